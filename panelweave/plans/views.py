@@ -98,7 +98,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        self.__dict__[name] = df
+        return df
 
     @cached_property
     def cy(self) -> DataFrame:

@@ -75,3 +75,17 @@ def write_by_scenario(df: DataFrame, path: str, column: str = "scenario") -> str
     """One folder per scenario."""
     df.write.mode("overwrite").partitionBy(column).parquet(path)
     return path
+
+
+def write_tables(
+    tables: Mapping[str, DataFrame], flags: Mapping[str, Sequence[str]], path: str, write_inputs: bool = False
+) -> dict[str, str]:
+    """Write tables as Parquet; inputs only on request, tables flagged ``no_output`` never."""
+    out = {}
+    for name, df in tables.items():
+        marks = flags.get(name, ())
+        if "no_output" in marks or ("input" in marks and not write_inputs):
+            continue
+        out[name] = f"{path}/{name}"
+        df.write.mode("overwrite").parquet(out[name])
+    return out
