@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.functions.semantics import clamp, if_else, raise_if, ratio
 from panelweave.operators.groups import attach, share, with_group, with_total
-from panelweave.operators.joins import checked_join
+from panelweave.operators.joins import checked_join, complete, replicate
+from panelweave.operators.timeseries import interpolate
 
 
 def downscale(
     coarse: DataFrame, members: DataFrame, keys: Sequence[str], proxy: str, value: str = "value", equal_split: bool = True
 ) -> DataFrame:
-    """Give each member its proxy share of the coarse value; totals are preserved."""
+    """Give each member its proxy share of every coarse row of its key; totals are preserved."""
     parts = share(members, proxy, keys, out="__share", equal_split=equal_split)
     return (
-        attach(parts, coarse.select(*keys, value), keys, "inner")
+        attach(parts, coarse, keys, "inner")
         .withColumn(value, F.col(value) * F.col("__share"))
         .drop("__share")
     )
@@ -200,3 +201,68 @@ def index_to_member(df: DataFrame, keys: Sequence[str], member: Column, value: s
     """Value relative to one reference member of the group, null without it."""
     rows = with_group(df, keys, {"__ref": F.max(F.when(member, F.col(value)))})
     return rows.withColumn(out, ratio(value, "__ref")).drop("__ref")
+
+
+def extend_scalers(scalers: DataFrame, keys: Sequence[str], years: Sequence[int]) -> DataFrame:
+    """Scalers for further years: linear between known years, flat outside them."""
+    return interpolate(complete(scalers, keys, "year", years), keys, y="scaler", rule=2)
+
+
+def scale_with_alternate(
+    detail: DataFrame,
+    control: DataFrame,
+    keys: Sequence[str],
+    category: str,
+    alternate: str,
+    value: str,
+    total: str,
+    out: str,
+) -> DataFrame:
+    """Scale to control totals, with the alternate category's scaler where a category has none.
+
+    Where the bottom-up sum of a controlled category is zero, its members share
+    the control total equally.
+    """
+    full = [*keys, category]
+    sums = detail.groupBy(*full).agg(F.sum(value).alias("__sum"), F.count(F.lit(1)).alias("__n"))
+    matched = attach(control.select(*full, total), sums, full, "left").select(
+        *full, F.col(total).alias("__total"), ratio(total, "__sum").alias("__own"), "__n"
+    )
+    spare = matched.where(F.col(category) == F.lit(alternate)).select(*keys, F.col("__own").alias("__spare"))
+    rows = attach(attach(detail, matched, full), spare, keys)
+    shared = ratio("__total", "__n")
+    scaled = F.when(F.col("__total").isNotNull() & F.col("__own").isNull(), shared).otherwise(
+        F.col(value) * F.coalesce("__own", "__spare")
+    )
+    return rows.withColumn(out, scaled).drop("__total", "__own", "__n", "__spare")
+
+
+def fill_from_class(
+    observed: DataFrame, average: DataFrame, members: Sequence[str], class_keys: Sequence[str], item: str, value: str
+) -> DataFrame:
+    """Observed shares, else the class average; every item of the class is kept for every member."""
+    who = observed.select(*members, *class_keys).distinct()
+    wanted = attach(who, average.select(*class_keys, item, F.col(value).alias("__mean")), class_keys, "inner")
+    seen = observed.select(*members, item, F.col(value).alias("__seen"))
+    return attach(wanted, seen, [*members, item]).select(
+        *members, *class_keys, item, F.coalesce("__seen", "__mean").alias(value)
+    )
+
+
+def impute_by_index(
+    prices: DataFrame, index: DataFrame, area: str, item: str, value: str, references: Sequence, names: Sequence[str]
+) -> DataFrame:
+    """Missing prices from a reference area's price times the area's index to it, the first reference that has one.
+
+    ``prices`` may lack cells; every area of ``index`` gets every item. The
+    index column of the i-th reference is ``names[i]``.
+    """
+    items = prices.groupBy(item).agg(
+        *[
+            F.max(F.when(F.col(area) == F.lit(ref), F.col(value))).alias(f"__ref{i}")
+            for i, ref in enumerate(references)
+        ]
+    )
+    grid = attach(replicate(index, items), prices.select(area, item, F.col(value).alias("__own")), [area, item])
+    guesses = [F.col(f"__ref{i}") * F.col(n) for i, n in enumerate(names)]
+    return grid.select(area, item, F.coalesce("__own", *guesses).alias(value))

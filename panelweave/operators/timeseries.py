@@ -277,6 +277,42 @@ def fold_years(
     )
 
 
+def fill_members_from_total(
+    members: DataFrame, totals: DataFrame, group: Sequence[str], member: Sequence[str], years: Sequence[int], value: str = "value", cut=None
+) -> DataFrame:
+    """Fill missing members of a group so that it reaches its total, from the newest year back.
+
+    What the known members leave of a year's total goes to the missing ones in
+    proportion to their (known or filled) values a year later. Each year needs
+    the year after it, so this is a loop over the years; ``cut`` materialises
+    the table after each step to keep the plan short.
+    """
+    years = sorted(years)
+    at = lambda y: F.max(F.when(F.col("year") == y, F.col(value))).alias(f"v{y}")
+    rows = members.groupBy(*group, *member).agg(*[at(y) for y in years])
+    limits = totals.groupBy(*group).agg(
+        *[F.max(F.when(F.col("year") == y, F.col(value))).alias(f"t{y}") for y in years]
+    )
+    rows = attach(rows, limits, group)
+    for year, later in list(zip(years, years[1:]))[::-1]:
+        gap = F.col(f"v{year}").isNull()
+        sums = with_group(
+            rows,
+            group,
+            {
+                "__known": F.sum(F.coalesce(f"v{year}", F.lit(0.0))),
+                "__later": F.sum(F.when(gap, F.col(f"v{later}"))),
+            },
+        )
+        left = F.col(f"t{year}") - F.col("__known")
+        filled = F.col(f"v{later}") * ratio(left, "__later")
+        rows = sums.withColumn(f"v{year}", F.when(gap, filled).otherwise(F.col(f"v{year}"))).drop("__known", "__later")
+        if cut is not None:
+            rows = cut(rows)
+    cells = [F.struct(F.lit(y).alias("year"), F.col(f"v{y}").alias(value)) for y in years]
+    return rows.select(*group, *member, F.inline(F.array(*cells)))
+
+
 def vintage_additions(
     df: DataFrame,
     keys: Sequence[str],
@@ -302,7 +338,7 @@ def vintage_additions(
         for vintage in years:
             if vintage >= year:
                 break
-            working = working + F.col(f"a{vintage}") * F.lit(
+            working = working + F.coalesce(f"a{vintage}", F.lit(0.0)) * F.lit(
                 vintage_factor(vintage, year, years, steps[vintage], lifetime)
             )
         new = F.col(f"v{year}") if year == years[0] else F.greatest(F.col(f"v{year}") - working, F.lit(0.0))

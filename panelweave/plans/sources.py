@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelweave.functions.semantics import strict_sum
-from panelweave.operators.allocation import share
+from panelweave.operators.groups import share
 from panelweave.operators.joins import checked_join, complete
 from panelweave.operators.quality import contract_select
 from panelweave.operators.regions import scenario_variants
