@@ -240,12 +240,16 @@ def scale_with_alternate(
 def fill_from_class(
     observed: DataFrame, average: DataFrame, members: Sequence[str], class_keys: Sequence[str], item: str, value: str
 ) -> DataFrame:
-    """Observed shares, else the class average; every item of the class is kept for every member."""
-    who = observed.select(*members, *class_keys).distinct()
+    """Observed shares, else the class average; every item of a member's class is kept.
+
+    ``members`` are the keys of the observations, ``class_keys`` those of the average.
+    """
+    who_keys = list(dict.fromkeys([*members, *class_keys]))
+    who = observed.select(*who_keys).distinct()
     wanted = attach(who, average.select(*class_keys, item, F.col(value).alias("__mean")), class_keys, "inner")
     seen = observed.select(*members, item, F.col(value).alias("__seen"))
     return attach(wanted, seen, [*members, item]).select(
-        *members, *class_keys, item, F.coalesce("__seen", "__mean").alias(value)
+        *who_keys, item, F.coalesce("__seen", "__mean").alias(value)
     )
 
 

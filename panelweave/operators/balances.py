@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio, sum_where
-from panelweave.operators.groups import attach, with_group
+from panelweave.operators.groups import attach, with_group, with_panel
 from panelweave.operators.joins import checked_join, complete
 
 # Names of the balance elements.
@@ -119,16 +119,19 @@ def regional_balance(
 
 
 def _split_by_share(df, cell, source, part, rest, uses):
-    """Split a balance in two by the share of uses that ``source`` covers."""
+    """Split a balance in two by the share of uses that ``source`` covers.
+
+    A cell holds one row per element, so a window over it is small.
+    """
     use = F.col("element").isin(*uses)
-    rows = with_group(
+    rows = with_panel(
         df,
         cell,
         {
-            "__source": sum_where(element(source), "value"),
-            "__uses": sum_where(use, "value"),
+            "__source": F.sum(F.when(element(source), F.col("value"))),
+            "__uses": F.sum(F.when(use, F.col("value"))),
         },
-    )
+    ).fillna(0.0, ["__source", "__uses"])
     covered = F.least(ratio("__source", "__uses", 0), F.lit(1.0))
     residual = F.col("__source") - F.col("__uses") * covered
     first = (
@@ -148,28 +151,36 @@ def _split_by_share(df, cell, source, part, rest, uses):
 
 
 def _rebalance(split: DataFrame, cell: Sequence[str], stocks: bool) -> DataFrame:
-    """Recompute the supply, demand and residual rows of every balance."""
+    """Recompute the supply, demand and residual rows of every balance.
+
+    Every row gives itself and its part in the recomputed rows, which one sum
+    brings together.
+    """
     supply, demand = F.col("element").isin(*SUPPLY), F.col("element").isin(*DEMAND)
-    names = [*BALANCE[:2], *(["Stock Variation"] if stocks else []), BALANCE[2]]
-    sums = split.where(supply | demand).groupBy(*cell, "bal_source").agg(
-        sum_where(supply, "value").alias("__s"),
-        sum_where(demand, "value").alias("__d"),
-        (
-            F.greatest(F.max(F.when(element("Closing stocks"), F.col("value"))), F.lit(0.0))
-            - F.greatest(F.max(F.when(element("Opening stocks"), F.col("value"))), F.lit(0.0))
-        ).alias("__v"),
+    names = [*BALANCE, *(["Stock Variation"] if stocks else [])]
+    value, zero = F.col("value"), F.lit(0.0)
+    given = F.when(supply, value).otherwise(zero)
+    taken = F.when(demand, value).otherwise(zero)
+    stored = (
+        F.when(element("Closing stocks"), F.greatest(value, zero))
+        .when(element("Opening stocks"), -F.greatest(value, zero))
+        .otherwise(zero)
     )
-    values = {
-        "Regional supply": F.col("__s"),
-        "Regional demand": F.col("__d"),
-        "Stock Variation": F.col("__v"),
-        "Residuals": F.col("__s") - F.col("__d"),
+    shares = {
+        "Regional supply": given,
+        "Regional demand": taken,
+        "Residuals": given - taken,
+        "Stock Variation": stored,
     }
-    cells = F.array(*[F.struct(F.lit(n).alias("element"), values[n].alias("value")) for n in names])
-    fresh = sums.withColumn("__e", F.explode(cells)).select(
-        *cell, F.col("__e")["element"].alias("element"), "bal_source", F.col("__e")["value"].alias("value")
+    own = F.struct(F.col("element").alias("element"), value.alias("value"))
+    fresh = [F.struct(F.lit(n).alias("element"), shares[n].alias("value")) for n in names]
+    rows = F.when(supply | demand, F.array(own, *fresh)).otherwise(F.array(own))
+    return (
+        split.where(~F.col("element").isin(*names))
+        .select(*cell, "bal_source", F.inline(rows))
+        .groupBy(*cell, "element", "bal_source")
+        .agg(F.sum("value").alias("value"))
     )
-    return split.where(~F.col("element").isin(*names)).unionByName(fresh)
 
 
 def import_balance(df: DataFrame, cell: Sequence[str]) -> DataFrame:
@@ -210,18 +221,20 @@ def extraction_rates(
     both = processed.unionByName(made).groupBy("comm", area, "year").agg(
         *[sum_where(element(n), "value").alias(f"__{n}") for n in ("Production", "Export", "Processed")]
     )
+    # From here on there is one row per commodity, area and year, so windows
+    # over the areas of a year and the years of an area are small.
     cells = attach(both, low, ["comm"]).withColumn("__low", F.coalesce("__low", F.lit(0.0)))
-    world = with_group(cells, ["comm", "year"], {"__wm": F.sum("__Production"), "__wp": F.sum("__Processed")})
+    world = with_panel(cells, ["comm", "year"], {"__wm": F.sum("__Production"), "__wp": F.sum("__Processed")})
     usable = lambda r: F.when(r != 0, r)
     rate = F.coalesce(usable(ratio("__Production", "__Processed")), usable(ratio("__wm", "__wp")), F.lit(1.0))
     rated = world.withColumn("__rate", F.greatest(rate, F.col("__low")))
-    traded = with_group(
+    traded = with_panel(
         rated,
         ["comm", "year"],
         {"__te": F.sum("__Export"), "__tq": F.sum(ratio("__Export", "__rate"))},
     )
-    before = rated.select("comm", area, (F.col("year") + 1).cast("int").alias("year"), F.col("__rate").alias("__lag"))
-    all_rates = attach(traded, before, ["comm", area, "year"])
+    by_year = Window.partitionBy("comm", area).orderBy("year")
+    all_rates = traded.withColumn("__lag", F.lag("__rate").over(by_year))
     parts = F.array(
         F.struct(F.lit("bal_import").alias("s"), F.coalesce(ratio("__te", "__tq"), F.col("__rate")).alias("r")),
         F.struct(F.lit("bal_domestic_lag").alias("s"), F.coalesce("__lag", "__rate").alias("r")),
@@ -255,6 +268,8 @@ def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequen
     sink's production. ``cut`` may materialise the table between tiers.
     """
     rows = df.select("comm", "item", "tier", area, "year", "element", "value")
+    if cut is not None:
+        rows = cut(rows)
     cell = ["comm", "item", area, "year"]
     for tier in sorted(tiers, reverse=True):
         current = rows.where(F.col("tier") == tier).drop("tier")
@@ -281,20 +296,16 @@ def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequen
                 (F.col("value") * F.col("source_share")).alias("value"),
             )
         )
-        made = folded.where(element("Production"))
-        moved = made.select(
-            "comm",
-            "item",
-            "tier",
-            area,
-            "year",
-            F.explode(F.array(F.lit("Production"), F.lit("Processed"))).alias("element"),
-            (-F.col("value")).alias("value"),
-        )
+        # The sink's production is no production of the source; it takes the
+        # place of part of the source's processed use.
+        entry = lambda name, value: F.struct(name.alias("element"), value.alias("value"))
+        moved = F.when(
+            element("Production"),
+            F.array(entry(F.col("element"), F.lit(0.0)), entry(F.lit("Processed"), -F.col("value"))),
+        ).otherwise(F.array(entry(F.col("element"), F.col("value"))))
         rows = (
             rows.where(F.col("tier") != tier)
-            .unionByName(folded)
-            .unionByName(moved)
+            .unionByName(folded.select("comm", "item", "tier", area, "year", F.inline(moved)))
             .groupBy("comm", "item", "tier", area, "year", "element")
             .agg(F.sum("value").alias("value"))
         )
@@ -305,15 +316,5 @@ def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequen
 
 def final_balance(df: DataFrame, cell: Sequence[str]) -> DataFrame:
     """Supply, demand and residual recomputed from the elements of each cell."""
-    flows = df.where(~F.col("element").isin(*BALANCE))
-    fresh = flows.groupBy(*cell).agg(
-        sum_where(F.col("element").isin(*SUPPLY), "value").alias("__s"),
-        sum_where(F.col("element").isin(*DEMAND), "value").alias("__d"),
-    )
-    values = (F.col("__s"), F.col("__d"), F.col("__s") - F.col("__d"))
-    cells = F.array(*[F.struct(F.lit(n).alias("element"), v.alias("value")) for n, v in zip(BALANCE, values)])
-    return flows.select(*cell, "element", "value").unionByName(
-        fresh.withColumn("__e", F.explode(cells)).select(
-            *cell, F.col("__e")["element"].alias("element"), F.col("__e")["value"].alias("value")
-        )
-    )
+    one = df.withColumn("bal_source", F.lit("all"))
+    return _rebalance(one, cell, False).drop("bal_source")

@@ -41,41 +41,46 @@ def improvement_rate(target: Column, start: Column, floor: Column, years: Column
 def supply_curve(
     points: DataFrame, keys: Sequence[str], price: str, quantity: str, width: float, supply: str = "supply"
 ) -> DataFrame:
-    """Cumulative supply by rising price, one row per key and distinct price.
+    """Cumulative supply by rising price, one row per key and distinct price, with the key's total.
 
     Equal prices are summed before the scan; ``width`` is the price range one
     task scans.
     """
     merged = points.groupBy(*keys, price).agg(F.sum(quantity).alias(quantity))
     return running_total(
-        merged, {supply: quantity}, keys, [F.col(price)], F.floor(F.col(price) / F.lit(float(width)))
+        merged,
+        {supply: quantity},
+        keys,
+        [F.col(price)],
+        F.floor(F.col(price) / F.lit(float(width))),
+        totals={f"{supply}_total": supply},
     )
 
 
 def half_supply_price(curve: DataFrame, keys: Sequence[str], price: str, supply: str, out: str = "mid_price") -> DataFrame:
-    """Lowest price supplying at least half of the maximum, with base price and maximum."""
-    top = with_group(curve, keys, {"max_supply": F.max(supply)})
-    return top.groupBy(*keys).agg(
+    """Lowest price supplying at least half of the total of a ``supply_curve``, with base price and maximum."""
+    total = F.col(f"{supply}_total")
+    return curve.groupBy(*keys).agg(
         F.min(price).alias("base_price"),
-        F.max("max_supply").alias("max_supply"),
-        F.min(F.when(F.col(supply) >= F.lit(0.5) * F.col("max_supply"), F.col(price))).alias(out),
+        F.max(total).alias("max_supply"),
+        F.min(F.when(F.col(supply) >= F.lit(0.5) * total, F.col(price))).alias(out),
     )
 
 
 def bracketed_mid_price(curve: DataFrame, keys: Sequence[str], price: str, supply: str, out: str = "mid_price") -> DataFrame:
     """Price at half supply on the line between the points around it; prices count from the base price."""
-    top = with_group(curve, keys, {"__max": F.max(supply), "__base": F.min(price)})
-    pvar = F.col(price) - F.col("__base")
-    part = F.col(supply) / F.col("__max")
-    low, high = F.when(part <= 0.5, pvar), F.when(part >= 0.5, pvar)
-    ends = top.groupBy(*keys).agg(
-        F.max("__max").alias("__m"),
+    part = F.col(supply) / F.col(f"{supply}_total")
+    low, high = F.when(part <= 0.5, F.col(price)), F.when(part >= 0.5, F.col(price))
+    ends = curve.groupBy(*keys).agg(
+        F.max(f"{supply}_total").alias("__m"),
+        F.min(price).alias("__base"),
         F.max(low).alias("p1"),
         F.max_by(supply, low).alias("q1"),
         F.min(high).alias("p2"),
         F.min_by(supply, high).alias("q2"),
     )
-    p1, q1, p2, q2, m = (F.col(c).cast("double") for c in ("p1", "q1", "p2", "q2", "__m"))
+    q1, q2, m = (F.col(c).cast("double") for c in ("q1", "q2", "__m"))
+    p1, p2 = (F.col(c) - F.col("__base") for c in ("p1", "p2"))
     line = ratio((p2 - p1) * m + 2 * q2 * p1 - 2 * q1 * p2, 2 * (q2 - q1))
     return ends.withColumn(out, line).select(*keys, out)
 
@@ -149,7 +154,7 @@ def abatement_shares(
     A share of 1 or more is set to ``cap``; a missing baseline gives 0.
     """
     curve = supply_curve(reductions, keys, cost, amount, width, supply="__cum")
-    rows = attach(curve, baseline.select(*keys, total), keys)
+    rows = attach(curve.drop("__cum_total"), baseline.select(*keys, total), keys)
     part = ratio("__cum", total, 0)
     return rows.select(*keys, cost, F.when(part >= 1, F.lit(cap)).otherwise(part).alias("share"))
 
@@ -170,12 +175,11 @@ def cap_outliers(
         keys,
         [F.col(weight).desc(), F.col(order_id).asc()],
         F.floor(-F.col(weight) / F.lit(float(widths[0]))),
+        totals={"__total": "__cum"},
     )
-    totals = with_group(ranked, keys, {"__total": F.sum(weight)})
-    part = ratio("__cum", "__total", 0)
-    shared = totals.withColumn("__part", part)
-    first = with_group(shared, keys, {"__least": F.min("__part")})
-    top = first.where(
+    shared = ranked.withColumn("__part", ratio("__cum", "__total", 0))
+    least = df.groupBy(*keys).agg(ratio(F.max(weight), F.sum(weight), 0).alias("__least"))
+    top = attach(shared, least, keys).where(
         (F.col("__part") <= F.greatest(F.col("__least"), F.lit(top_share)))
         & ~((F.col(weight) == 0) & (F.col("__part") > 0))
     )

@@ -2,14 +2,14 @@
 
 A value of a whole group is computed by a partial aggregate and joined back,
 so a group that holds a large part of all rows never lands in one task as it
-would with an unbounded window.
+would with an unbounded window. Windows serve groups of known small size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio
 
@@ -40,6 +40,16 @@ def with_group(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Colu
     return attach(df, df.groupBy(*keys).agg(*named), keys)
 
 
+def with_panel(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
+    """As ``with_group``, by a window, which reads its input once.
+
+    For groups of known small size only: the years of one series, or the
+    elements of one balance.
+    """
+    window = Window.partitionBy(*keys)
+    return df.withColumns({name: agg.over(window) for name, agg in aggregates.items()})
+
+
 def with_total(df: DataFrame, aggregates: Mapping[str, Column], source: DataFrame | None = None) -> DataFrame:
     """Add whole-table aggregates to every row through a one-row subquery."""
     source = df if source is None else source

@@ -21,18 +21,25 @@ def running_total(
     keys: Sequence[str],
     order_by: Sequence[Column],
     bucket: Column,
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums; ``values`` maps output to input columns."""
+    """Add inclusive running sums; ``values`` maps output to input columns.
+
+    ``totals`` maps further columns to running sums whose key total they get.
+    """
     rows = df.withColumn("__bucket", bucket)
     names = list(values)
     sums = rows.groupBy(*keys, "__bucket").agg(
         *[F.sum(values[n]).alias(f"__sum_{n}") for n in names]
     )
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    totals = dict(totals or {})
     offsets = sums.select(
         *keys,
         "__bucket",
         *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in names],
+        *[F.sum(f"__sum_{n}").over(whole).alias(out) for out, n in totals.items()],
     )
     inside = (
         Window.partitionBy(*keys, "__bucket").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
@@ -40,7 +47,7 @@ def running_total(
     scanned = rows.withColumns({f"__in_{n}": F.sum(values[n]).over(inside) for n in names})
     joined = attach(scanned, offsets, [*keys, "__bucket"])
     return joined.select(
-        *df.columns, *[(F.col(f"__before_{n}") + F.col(f"__in_{n}")).alias(n) for n in names]
+        *df.columns, *[(F.col(f"__before_{n}") + F.col(f"__in_{n}")).alias(n) for n in names], *totals
     )
 
 
@@ -81,12 +88,13 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: float) -
     rows travels as one row per map task.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    scanned = running_total(
-        counts, {"upto": "n"}, keys, [F.col(value)], F.floor(F.col(value) / F.lit(float(width)))
-    )
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    return attach(scanned, totals, keys) if keys else scanned.withColumn(
-        "total", totals.select("total").scalar()
+    return running_total(
+        counts,
+        {"upto": "n"},
+        keys,
+        [F.col(value)],
+        F.floor(F.col(value) / F.lit(float(width))),
+        totals={"total": "upto"},
     )
 
 

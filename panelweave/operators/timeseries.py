@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio
-from panelweave.operators.groups import attach, with_group
+from panelweave.operators.groups import attach, with_group, with_panel
 from panelweave.operators.joins import complete, replicate_values
 
 
@@ -170,12 +170,9 @@ def graft(past: DataFrame, future: DataFrame, keys: Sequence[str], value: str =
     """
     common = past.select("year").intersect(future.select("year")).agg(F.max("year").alias("base"))
     later = future.withColumn("__base", common.scalar())
-    anchor = later.where(F.col("year") == F.col("__base")).groupBy(scenario, *keys).agg(
-        F.first(value).alias("__anchor")
-    )
-    growth = attach(later.where(F.col("year") > F.col("__base")), anchor, [scenario, *keys]).withColumn(
-        "__growth", ratio(value, "__anchor")
-    )
+    at_base = F.col("year") == F.col("__base")
+    anchored = anchor_value(later, [scenario, *keys], at_base, value, "__anchor")
+    growth = anchored.where(F.col("year") > F.col("__base")).withColumn("__growth", ratio(value, "__anchor"))
     names = growth.groupBy().agg(F.array_sort(F.collect_set(scenario)).alias("names"))
     history = past.withColumn(scenario, F.explode(names.scalar()))
     base = past.withColumn("__base", common.scalar()).where(F.col("year") == F.col("__base"))
@@ -199,8 +196,8 @@ def cumulative_product(df: DataFrame, keys: Sequence[str], factor: str, out: str
 
 
 def anchor_value(df: DataFrame, keys: Sequence[str], cond: Column, value: str, out: str) -> DataFrame:
-    """Give every row of a key the value of its row that meets ``cond``."""
-    return with_group(df, keys, {out: F.max(F.when(cond, F.col(value)))})
+    """Give every row of a series the value of its row that meets ``cond``."""
+    return with_panel(df, keys, {out: F.max(F.when(cond, F.col(value)))})
 
 
 def moving_average(df: DataFrame, keys: Sequence[str], value: str, out: str, periods: int = 5) -> DataFrame:

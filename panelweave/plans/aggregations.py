@@ -11,7 +11,7 @@ from panelweave.functions.semantics import (
     weighted_mean,
 )
 from panelweave.operators.curves import regression
-from panelweave.operators.groups import attach, first_rows, with_group
+from panelweave.operators.groups import attach, first_rows, with_panel
 from panelweave.operators.reshape import numeric_columns
 from panelweave.operators.scans import quantiles
 from panelweave.plans.registry import query
@@ -210,7 +210,7 @@ def _ag16(t):
         SELECT n_nationkey, round(sum((value / 1e6 - mean / 1e6) ** 2), 6) AS sse FROM ts JOIN m USING (n_nationkey) GROUP BY 1""",
 )
 def _ag17(t):
-    rows = with_group(t.ts, ["n_nationkey"], {"mean": F.avg("value")})
+    rows = with_panel(t.ts, ["n_nationkey"], {"mean": F.avg("value")})
     error = F.col("value") / 1e6 - F.col("mean") / 1e6
     return rows.groupBy("n_nationkey").agg(F.round(F.sum(error * error), 6).alias("sse"))
 

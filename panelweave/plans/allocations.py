@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mean
 from panelweave.operators import allocation as A
-from panelweave.operators.groups import attach, share, with_group, with_total
+from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, replicate_values
 from panelweave.operators.scans import quantiles
 from panelweave.operators.timeseries import extend, interpolate, over
@@ -213,7 +213,7 @@ def _d22(t):
         FROM cy JOIN b USING (o_custkey)""",
 )
 def _d23(t):
-    rows = with_group(
+    rows = with_panel(
         t.cy,
         ["o_custkey"],
         {"base": F.max(F.when(F.col("year") == 2001, F.col("value"))), "least": F.min("value")},
@@ -365,7 +365,9 @@ def _d30(t):
     observed = share(sums, "v", ["c_nationkey", "c_mktsegment"])
     per_class = sums.groupBy("c_mktsegment", "o_orderpriority").agg(F.sum("v").alias("v"))
     average = share(per_class, "v", ["c_mktsegment"])
-    out = A.fill_from_class(observed, average, ["c_nationkey"], ["c_mktsegment"], "o_orderpriority", "share")
+    out = A.fill_from_class(
+        observed, average, ["c_nationkey", "c_mktsegment"], ["c_mktsegment"], "o_orderpriority", "share"
+    )
     return out.withColumn("share", F.round("share", 9))
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from panelweave.functions.semantics import is_in
 from panelweave.operators.curves import half_supply_price, supply_curve
-from panelweave.operators.groups import attach, with_group
+from panelweave.operators.groups import attach, with_panel
 from panelweave.operators.reshape import spread
 from panelweave.plans.registry import query
 from panelweave.plans.views import CURVE, CY, GAPS, YEARS
@@ -42,7 +42,7 @@ def _f3(t):
         QUALIFY sum(value) OVER (PARTITION BY o_custkey) > 2500000""",
 )
 def _f4(t):
-    rows = with_group(t.cy, ["o_custkey"], {"total": F.sum("value")})
+    rows = with_panel(t.cy, ["o_custkey"], {"total": F.sum("value")})
     return rows.where(F.col("total") > 2500000).select("o_custkey", "year", "value")
 
 
@@ -133,5 +133,5 @@ def _f10(t):
 )
 def _f11(t):
     at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
-    rows = with_group(t.cy, ["o_custkey"], {"v0": at(1996), "v1": at(2000)})
+    rows = with_panel(t.cy, ["o_custkey"], {"v0": at(1996), "v1": at(2000)})
     return rows.where(F.col("v0") < F.col("v1")).select("o_custkey", "year", "value")

@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 from panelweave.functions.semantics import clamp, ratio
 from panelweave.functions.units import ModelTime
 from panelweave.operators import timeseries as S
-from panelweave.operators.groups import with_group
+from panelweave.operators.groups import with_panel
 from panelweave.operators.joins import replicate_values
 from panelweave.operators.regions import scenario_variants, set_years
 from panelweave.operators.reshape import stack_tables
@@ -115,7 +115,7 @@ OUT_YEARS = [1995, 1998, 2001, 2005, 2010]
         SELECT n_regionkey, technology, year, round(value, 8) AS value FROM both_kinds WHERE year IN ({', '.join(map(str, OUT_YEARS))})""",
 )
 def _t6(t):
-    rows = with_group(t.ts, ["n_nationkey"], {"mean": F.avg("value")})
+    rows = with_panel(t.ts, ["n_nationkey"], {"mean": F.avg("value")})
     given = F.col("n_nationkey") >= 3
     costs = rows.select(
         "n_regionkey",
@@ -185,7 +185,7 @@ def _t10(t):
     step = F.col("year") - F.lag("year").over(S.over(["o_custkey"]))
     factors = t.cy.withColumn("f", F.coalesce(F.pow(1 + F.col("n_orders") / 100.0, step), F.lit(1.0)))
     run = S.cumulative_product(factors, ["o_custkey"], "f", "c")
-    based = with_group(run, ["o_custkey"], {"base": F.max_by("c", "year")})
+    based = with_panel(run, ["o_custkey"], {"base": F.max_by("c", "year")})
     return based.select("o_custkey", "year", F.round(ratio("c", "base"), 9).alias("level"))
 
 
@@ -374,7 +374,7 @@ def _t19(t):
 )
 def _t20(t):
     at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
-    rows = with_group(t.ts, ["n_nationkey"], {"v0": at(1995), "v1": at(1998), "v2": at(2000)})
+    rows = with_panel(t.ts, ["n_nationkey"], {"v0": at(1995), "v1": at(1998), "v2": at(2000)})
     v0, v1, v2, year = F.col("v0"), F.col("v1"), F.col("v2"), F.col("year")
     line = F.greatest(v0, v1 + (v1 - v0) * 2 / 3)
     guarded = F.when((year == 1998) & (v1 < v0), v0).when((year == 2000) & (v2 < v0), line).otherwise(F.col("value"))
@@ -401,7 +401,7 @@ def _t21(t):
 )
 def _t22(t):
     active = F.when(F.col("value") > 0, F.col("year"))
-    rows = with_group(t.cy, ["o_custkey"], {"base_year": F.min(active), "v0": F.min_by("value", active)})
+    rows = with_panel(t.cy, ["o_custkey"], {"base_year": F.min(active), "v0": F.min_by("value", active)})
     rate = F.pow(ratio("value", "v0"), F.lit(1.0) / (F.col("year") - F.col("base_year"))) - 1
     return rows.where(F.col("year") > F.col("base_year")).select(
         "o_custkey", "base_year", "year", F.round(clamp(rate, -0.5, 0.5), 8).alias("rate")
