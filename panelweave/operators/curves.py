@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import clamp, ratio
 from panelweave.operators.groups import attach, with_group, with_total
@@ -234,3 +235,95 @@ def regression_with_residual(df: DataFrame, y: str, x: str, out: str) -> DataFra
     return rows.withColumn("fitted", fitted).withColumn("residual", F.col(y) - F.col("fitted")).withColumn(
         out, clamp(F.col("fitted") + F.coalesce("residual", F.lit(0.0)), F.col("__lo"), F.col("__hi"))
     ).drop("__b0", "__b1", "__lo", "__hi")
+
+
+def stacked_segments(df: DataFrame, demands: Sequence[str], times: Sequence[str], names: Sequence[str], segment: str = "segment") -> DataFrame:
+    """Share of each stacked segment in the demand of each load period.
+
+    Segment k covers what the earlier ones leave of period k and, in the
+    periods after it, the same load for their time. Shares are per period.
+    """
+    n = len(names)
+    load = [[F.lit(0.0)] * n for _ in range(n)]
+    for k in range(n):
+        left = F.col(demands[k])
+        for earlier in range(k):
+            left = left - load[earlier][k]
+        for j in range(k, n):
+            load[k][j] = left if j == k else left * ratio(times[j], times[k])
+    totals = [sum((load[k][j] for k in range(n)), F.lit(0.0)) for j in range(n)]
+    keep = [c for c in df.columns if c not in demands and c not in times]
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(names[k]).alias(segment),
+                *[ratio(load[k][j], totals[j]).alias(names[j]) for j in range(n)],
+            )
+            for k in range(n)
+        ]
+    )
+    return df.select(*keep, F.inline(cells))
+
+
+def quartile_grades(curve: DataFrame, keys: Sequence[str], price: str, quantity: str, width: float) -> DataFrame:
+    """The four curve points at the quartiles of a key's points, as marginal amounts per grade."""
+    merged = curve.groupBy(*keys, price).agg(F.sum(quantity).alias("__q")).withColumn("__one", F.lit(1))
+    run = running_total(
+        merged,
+        {"cumulative": "__q", "__rank": "__one"},
+        keys,
+        [F.col(price)],
+        F.floor(F.col(price) / F.lit(float(width))),
+        totals={"__n": "__rank"},
+    )
+    hits = [F.ceil(F.col("__n") * F.lit(p)) == F.col("__rank") for p in (0.25, 0.5, 0.75, 1.0)]
+    picked = run.where(hits[0] | hits[1] | hits[2] | hits[3])
+    # At most four rows per key are left.
+    by_price = Window.partitionBy(*keys).orderBy(price)
+    before = F.coalesce(F.lag("cumulative").over(by_price), F.lit(0))
+    return picked.select(
+        *keys,
+        price,
+        F.concat(F.lit("grade "), F.row_number().over(by_price).cast("string")).alias("grade"),
+        (F.col("cumulative") - before).alias("marginal"),
+    )
+
+
+def log_price_grades(
+    df: DataFrame, keys: Sequence[str], base_price: str, resource: str, used: str, elasticity: Column, max_increase: float, grades: int
+) -> DataFrame:
+    """Graded resource on log-spaced prices; each grade gives what is available at the next price."""
+    grid = df.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(grades - 1))))
+    price = F.exp(F.col("__i") * F.lit(math.log(max_increase) / (grades - 1)) + F.log(base_price))
+    priced = grid.withColumn("price", price).withColumn(
+        "__avail", F.col(resource) * F.pow(F.col("price") / F.col(base_price), elasticity) - F.col(used)
+    )
+    # One row per grade and key.
+    by_grade = Window.partitionBy(*keys).orderBy("__i")
+    return priced.select(
+        *keys,
+        "price",
+        F.lead("__avail", 1, 0.0).over(by_grade).alias("available"),
+        F.concat(F.lit("grade"), (F.col("__i") + 1).cast("string")).alias("grade"),
+    )
+
+
+def lookup_interpolated(x: Column, knots: Sequence[tuple[float, float]], rule: int = 1) -> Column:
+    """Straight-line lookup in a short literal list of points."""
+    knots = sorted(knots)
+    first, last = knots[0], knots[-1]
+    out = F.when(x < first[0], F.lit(first[1]) if rule == 2 else F.lit(None).cast("double"))
+    for (x0, y0), (x1, y1) in zip(knots, knots[1:]):
+        out = out.when(x <= x1, F.lit(y0) + F.lit(y1 - y0) * (x - F.lit(x0)) / F.lit(x1 - x0))
+    return out.when(x > last[0], F.lit(last[1]) if rule == 2 else F.lit(None).cast("double"))
+
+
+def log_elasticity(q: Column, q0: Column, y: Column, y0: Column, limit: float = 10.0) -> Column:
+    """Log change of one amount per log change of another, kept within a limit.
+
+    Without a change in the second amount it is at the limit in the direction of
+    the first, and unknown if neither changes.
+    """
+    up, over = F.log(ratio(q, q0)), F.log(ratio(y, y0))
+    unbounded = F.when(up != 0, F.signum(up) * F.lit(limit))
+    return F.when(over == 0, unbounded).otherwise(clamp(ratio(up, over), -limit, limit))
