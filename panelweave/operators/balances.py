@@ -209,17 +209,20 @@ def extraction_rates(
     """Sink output per unit of processed source, per commodity, area and year.
 
     ``df`` holds all tiers with ``comm``, ``item``, ``tier``; ``sinks`` maps a
-    sink item to its source item. Areas without a usable rate take the world
-    rate; traded goods take the export-weighted rate; the lagged rate is that
+    sink item to its source item. Every area and year that holds a commodity gets
+    a rate; one without a usable rate of its own takes the world rate; traded goods take the export-weighted rate; the lagged rate is that
     of the preceding year. One row per commodity, area, year and balance part.
     """
     current = sinks.where(F.col("sink_tier") == tier)
     sources = current.select(F.col("source_item").alias("item")).distinct()
     low = current.groupBy("comm").agg(F.max(min_rate).alias("__low"))
-    processed = df.where(element("Processed") & (F.col("tier") < tier)).join(sources, "item", "left_semi")
-    made = df.where((F.col("tier") == tier) & F.col("element").isin("Production", "Export"))
-    both = processed.unionByName(made).groupBy("comm", area, "year").agg(
-        *[sum_where(element(n), "value").alias(f"__{n}") for n in ("Production", "Export", "Processed")]
+    from_source = attach(df, sources.withColumn("__source", F.lit(True)), ["item"])
+    processed = F.col("__source") & (F.col("tier") < tier) & element("Processed")
+    made = lambda name: (F.col("tier") == tier) & element(name)
+    both = from_source.where(F.col("tier") <= tier).groupBy("comm", area, "year").agg(
+        sum_where(made("Production"), "value").alias("__Production"),
+        sum_where(made("Export"), "value").alias("__Export"),
+        sum_where(processed, "value").alias("__Processed"),
     )
     # From here on there is one row per commodity, area and year, so windows
     # over the areas of a year and the years of an area are small.

@@ -107,7 +107,7 @@ def grid_fit_sql(points: str, keys: str, params: dict, error: str, rounds: list)
     "c6_fit_curve_exponent",
     f"""WITH {RUN}, h AS (SELECT p_brand, min(price) AS base, min(CASE WHEN supply >= 0.5 * total THEN price END) - min(price) AS mid FROM run GROUP BY 1),
         pts AS (SELECT p_brand, price - base AS x, mid, supply / total AS y FROM run JOIN h USING (p_brand)),
-        {grid_fit_sql('pts', 'p_brand', {'b': (1.0, 15.0)}, 'pow(x, b) / (pow(mid, b) + pow(x, b)) - y', [28, 20, 20])}
+        {grid_fit_sql('pts', 'p_brand', {'b': (1.0, 15.0)}, 'pow(x, b) / nullif(pow(mid, b) + pow(x, b), 0) - y', [28, 20, 20])}
         SELECT p_brand, round(b_best, 6) AS exponent, round(sse, 6) AS sse FROM b2""",
 )
 def _c6(t):
@@ -340,7 +340,7 @@ def _c19(t):
     "c20_weighted_lifetime_by_bin",
     """WITH b AS (SELECT p_brand, CASE WHEN p_size <= 15 THEN 'young' WHEN p_size <= 35 THEN 'middle' ELSE 'old' END AS bin,
          sum(p_retailprice * (p_size - 5)) / sum(p_retailprice) AS life, sum(p_size) AS generation FROM part GROUP BY 1, 2)
-       SELECT p_brand, bin, CASE WHEN round_even(life, 0) < 0 THEN 1 ELSE round_even(life, 0) END AS lifetime,
+       SELECT p_brand, bin, CASE WHEN round_even(life, 0) < 0 THEN 1 ELSE round_even(life, 0) + 0 END AS lifetime,
          round(generation / sum(generation) OVER (PARTITION BY p_brand), 9) AS share FROM b""",
 )
 def _c20(t):
@@ -348,7 +348,7 @@ def _c20(t):
     sums = binned.withColumn("life", F.col("p_size") - 5).groupBy("p_brand", "bin").agg(
         F.bround(weighted_mean("life", "p_retailprice"), 0).alias("lifetime"), F.sum("p_size").alias("generation")
     )
-    out = share(sums.withColumn("lifetime", F.when(F.col("lifetime") < 0, 1.0).otherwise(F.col("lifetime"))), "generation", ["p_brand"])
+    out = share(sums.withColumn("lifetime", F.when(F.col("lifetime") < 0, 1.0).otherwise(F.col("lifetime") + 0)), "generation", ["p_brand"])
     return out.select("p_brand", "bin", "lifetime", F.round("share", 9).alias("share"))
 
 
@@ -388,10 +388,10 @@ def _c21(t):
 
 @query(
     "c22_cap_at_group_maximum",
-    """WITH u AS (SELECT s_nationkey, p_brand, l_suppkey, sum(l_extendedprice) / sum(l_quantity) AS coef FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+    """WITH u AS (SELECT s_nationkey, p_brand, l_suppkey, round(sum(l_extendedprice), 2) AS v, sum(l_quantity) AS q FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
          JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
-       a AS (SELECT s_nationkey, p_brand, avg(coef) AS m FROM u GROUP BY 1, 2), c AS (SELECT p_brand, max(m) + 2 AS top FROM a GROUP BY 1)
-       SELECT l_suppkey, p_brand, round(least(coef, top), 10) AS coef FROM u JOIN c USING (p_brand)""",
+       a AS (SELECT s_nationkey, p_brand, round(sum(v), 2) / sum(q) AS m FROM u GROUP BY 1, 2), c AS (SELECT p_brand, max(m) + 2 AS top FROM a GROUP BY 1)
+       SELECT l_suppkey, p_brand, least(v / q, top) AS coef FROM u JOIN c USING (p_brand)""",
 )
 def _c22(t):
     units = (
@@ -399,18 +399,18 @@ def _c22(t):
         .agg(F.sum("l_extendedprice").alias("v"), F.sum("l_quantity").alias("q"))
         .join(t.part.select("p_partkey", "p_brand"), "p_partkey")
         .groupBy("l_suppkey", "p_brand")
-        .agg(ratio(F.sum("v"), F.sum("q")).alias("coef"))
+        .agg(F.round(F.sum("v"), 2).alias("v"), F.sum("q").alias("q"))
     )
     nation = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     top = (
         units.join(nation, "l_suppkey")
         .groupBy("s_nationkey", "p_brand")
-        .agg(F.avg("coef").alias("m"))
+        .agg(ratio(F.round(F.sum("v"), 2), F.sum("q")).alias("m"))
         .groupBy("p_brand")
         .agg((F.max("m") + 2).alias("top"))
     )
     rows = attach(units, top, ["p_brand"])
-    return rows.select("l_suppkey", "p_brand", F.round(row_min("coef", "top"), 10).alias("coef"))
+    return rows.select("l_suppkey", "p_brand", row_min(ratio("v", "q"), "top").alias("coef"))
 
 
 @query(

@@ -246,7 +246,7 @@ def backfill_sql() -> str:
         totals = ", ".join(f"t{x}" for x in YEARS)
         steps.append(f"s{y} AS (SELECT c_nationkey, o_custkey, {cols}, {totals} FROM {prev} WINDOW g AS (PARTITION BY c_nationkey))")
         prev = f"s{y}"
-    rows = " UNION ALL ".join(f"SELECT c_nationkey, o_custkey, {y} AS year, round(v{y}, 2) AS value FROM {prev}" for y in YEARS)
+    rows = " UNION ALL ".join(f"SELECT c_nationkey, o_custkey, {y} AS year, round(v{y}, 6) AS value FROM {prev}" for y in YEARS)
     values = ", ".join(f"max(CASE WHEN year = {y} THEN value END) AS v{y}" for y in YEARS)
     limits = ", ".join(f"1.25 * sum(CASE WHEN year = {y} THEN value END) AS t{y}" for y in YEARS)
     return f"""WITH {CY}, m AS (SELECT c_nationkey, cy.* FROM cy JOIN customer ON o_custkey = c_custkey),
@@ -261,7 +261,7 @@ def _t14(t):
     members = t.cy.select("o_custkey", "year", "value").join(who, "o_custkey")
     totals = members.groupBy("c_nationkey", "year").agg((F.sum("value") * 1.25).alias("value"))
     out = S.fill_members_from_total(members, totals, ["c_nationkey"], ["o_custkey"], YEARS, cut=cut_lineage)
-    return out.withColumn("value", F.round("value", 2))
+    return out.withColumn("value", F.round("value", 6))
 
 
 @query(

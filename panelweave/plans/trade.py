@@ -60,7 +60,7 @@ def _d9(t):
     f"""WITH {BILAT}, e AS (SELECT s_nation, c_nation, year, value FROM bilat WHERE value > 800000),
         i AS (SELECT s_nation, c_nation, year, value * 0.95 AS value FROM bilat WHERE value < 3000000),
         b AS (SELECT s_nation, c_nation, year, least(e.value, i.value) AS value FROM e FULL JOIN i USING (s_nation, c_nation, year))
-        SELECT r.n_regionkey AS reporter, p.n_regionkey AS partner, year, round(sum(value), 3) AS value FROM b
+        SELECT r.n_regionkey AS reporter, p.n_regionkey AS partner, year, round(sum(value), 6) AS value FROM b
         JOIN nation r ON s_nation = r.n_nationkey JOIN nation p ON c_nation = p.n_nationkey GROUP BY 1, 2, 3""",
 )
 def _d10(t):
@@ -72,7 +72,7 @@ def _d10(t):
     region = t.nation.select("n_nationkey", "n_regionkey")
     mapped = checked_join(both, region.withColumnRenamed("n_regionkey", "reporter"), {"from": "n_nationkey"})
     mapped = checked_join(mapped, region.withColumnRenamed("n_regionkey", "partner"), {"to": "n_nationkey"})
-    return mapped.groupBy("reporter", "partner", "year").agg(F.round(F.sum("value"), 3).alias("value"))
+    return mapped.groupBy("reporter", "partner", "year").agg(F.round(F.sum("value"), 6).alias("value"))
 
 
 REGIONAL = f"""{SUA}, agg AS (SELECT n_regionkey AS region, item, year, element, sum(value) AS value FROM sua JOIN nation ON area = n_nationkey GROUP BY 1, 2, 3, 4),
@@ -206,9 +206,8 @@ def primary_sql() -> str:
             f"""{k}_cells AS (SELECT comm, area, year,
                 coalesce(sum(CASE WHEN tier = {tier} AND element = 'Production' THEN value END), 0) AS pr,
                 coalesce(sum(CASE WHEN tier = {tier} AND element = 'Export' THEN value END), 0) AS ex,
-                coalesce(sum(CASE WHEN tier < {tier} AND element = 'Processed' THEN value END), 0) AS pc
-              FROM {rows} WHERE (tier = {tier} AND element IN ('Production', 'Export')) OR (tier < {tier} AND element = 'Processed' AND item IN {src})
-              GROUP BY 1, 2, 3)""",
+                coalesce(sum(CASE WHEN tier < {tier} AND element = 'Processed' AND item IN {src} THEN value END), 0) AS pc
+              FROM {rows} WHERE tier <= {tier} GROUP BY 1, 2, 3)""",
             f"""{k}_rate AS (SELECT *, greatest(coalesce(nullif(pr / nullif(pc, 0), 0),
                 nullif(sum(pr) OVER (PARTITION BY comm, year) / nullif(sum(pc) OVER (PARTITION BY comm, year), 0), 0), 1), {low}) AS rate FROM {k}_cells)""",
             f"""{k}_all AS (SELECT *, coalesce(sum(ex) OVER (PARTITION BY comm, year) / nullif(sum(ex / nullif(rate, 0)) OVER (PARTITION BY comm, year), 0), rate) AS traded,
