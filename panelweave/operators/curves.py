@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import clamp, ratio
 from panelweave.operators.groups import attach, with_group, with_total
-from panelweave.operators.scans import quantiles, running_total
+from panelweave.operators.scans import quantiles, running_total, tie_buckets
 
 
 def smooth_supply(exponent: Column, mid: Column, base: Column, maximum: Column, price: Column) -> Column:
@@ -53,7 +53,7 @@ def supply_curve(
         {supply: quantity},
         keys,
         [F.col(price)],
-        F.floor(F.col(price) / F.lit(float(width))),
+        [F.floor(F.col(price) / F.lit(float(width)))],
         totals={f"{supply}_total": supply},
     )
 
@@ -165,7 +165,7 @@ def cap_outliers(
 ) -> DataFrame:
     """Replace values above a threshold by the median of the largest members.
 
-    Members are ranked by weight. The threshold is the smaller of the group's
+    Members are ranked by weight and an integer id. The threshold is the smaller of the group's
     quantile and the largest value among the members that make up ``top_share``
     of the weight (the largest member at least). ``widths`` are the weight and
     value ranges one task scans.
@@ -175,7 +175,7 @@ def cap_outliers(
         {"__cum": weight},
         keys,
         [F.col(weight).desc(), F.col(order_id).asc()],
-        F.floor(-F.col(weight) / F.lit(float(widths[0]))),
+        tie_buckets(-F.col(weight), widths[0], order_id, 1_000_000),
         totals={"__total": "__cum"},
     )
     shared = ranked.withColumn("__part", ratio("__cum", "__total", 0))
@@ -273,7 +273,7 @@ def quartile_grades(curve: DataFrame, keys: Sequence[str], price: str, quantity:
         {"cumulative": "__q", "__rank": "__one"},
         keys,
         [F.col(price)],
-        F.floor(F.col(price) / F.lit(float(width))),
+        [F.floor(F.col(price) / F.lit(float(width)))],
         totals={"__n": "__rank"},
     )
     hits = [F.ceil(F.col("__n") * F.lit(p)) == F.col("__rank") for p in (0.25, 0.5, 0.75, 1.0)]

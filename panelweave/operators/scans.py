@@ -1,9 +1,9 @@
-"""Running totals, neighbours and exact quantiles over groups of any size.
+"""Running totals and exact quantiles over groups of any size.
 
-Each operator cuts a key's ordered rows into buckets by a column that never
-decreases along the order. Buckets are scanned in parallel; a second scan
-over one row per bucket supplies what came before. The buckets only divide
-the work: results are exact and do not depend on them.
+A key's ordered rows are cut into buckets by columns that never decrease along
+the order. Buckets are scanned in parallel; a second scan over one row per
+bucket supplies what came before. The buckets only divide the work: results
+are exact and do not depend on them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.operators.groups import attach, null_safe_join
+from panelweave.operators.groups import attach
 
 
 def running_total(
@@ -20,67 +20,63 @@ def running_total(
     values: Mapping[str, str],
     keys: Sequence[str],
     order_by: Sequence[Column],
-    bucket: Column,
+    buckets: Sequence[Column],
     totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums; ``values`` maps output to input columns.
 
-    ``totals`` maps further columns to running sums whose key total they get.
+    ``buckets`` cut the order from coarse to fine; each must never decrease
+    along the order within the one before it. A second bucket such as
+    ``struct(value, floor(id / n))`` cuts a run of equal values. ``totals``
+    maps further columns to running sums whose key total they get.
     """
-    rows = df.withColumn("__bucket", bucket)
     names = list(values)
-    sums = rows.groupBy(*keys, "__bucket").agg(
-        *[F.sum(values[n]).alias(f"__sum_{n}") for n in names]
-    )
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
     totals = dict(totals or {})
-    offsets = sums.select(
-        *keys,
-        "__bucket",
-        *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in names],
-        *[F.sum(f"__sum_{n}").over(whole).alias(out) for out, n in totals.items()],
-    )
+    levels = [f"__bucket{i}" for i in range(len(buckets))]
+    rows = df.withColumns(dict(zip(levels, buckets)))
+    sums = rows.groupBy(*keys, *levels).agg(*[F.sum(values[n]).alias(f"__sum_{n}") for n in names])
+    offsets = _offsets(sums, names, list(keys), levels, totals)
     inside = (
-        Window.partitionBy(*keys, "__bucket").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, *levels).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     )
     scanned = rows.withColumns({f"__in_{n}": F.sum(values[n]).over(inside) for n in names})
-    joined = attach(scanned, offsets, [*keys, "__bucket"])
+    joined = attach(scanned, offsets, [*keys, *levels])
     return joined.select(
         *df.columns, *[(F.col(f"__before_{n}") + F.col(f"__in_{n}")).alias(n) for n in names], *totals
     )
 
 
-def previous_row(
-    df: DataFrame,
-    values: Mapping[str, str],
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    bucket: Column,
-) -> DataFrame:
-    """Add values of the preceding row; the order columns must identify a row within its key."""
-    rows = df.withColumn("__bucket", bucket)
-    names = list(values)
-    ends = rows.groupBy(*keys, "__bucket").agg(
-        F.max(F.struct(*order_by, *[F.col(values[n]).alias(f"__v_{n}") for n in names])).alias("__end")
+def _offsets(sums, names, keys, levels, totals):
+    """What comes before each bucket, from the sums per bucket."""
+    outer, level = levels[:-1], levels[-1]
+    within = Window.partitionBy(*keys, *outer)
+    before = within.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+    own = sums.select(
+        *keys,
+        *levels,
+        *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in names],
+        *([] if outer else [F.sum(f"__sum_{n}").over(within).alias(out) for out, n in totals.items()]),
     )
-    across = Window.partitionBy(*keys).orderBy("__bucket")
-    carried = ends.select(*keys, "__bucket", F.lag("__end").over(across).alias("__carry"))
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order_by)
-    scanned = rows.withColumns(
-        {f"__lag_{n}": F.lag(values[n]).over(inside) for n in names}
-        | {"__first": F.row_number().over(inside) == 1}
+    if not outer:
+        return own
+    coarser = sums.groupBy(*keys, *outer).agg(*[F.sum(f"__sum_{n}").alias(f"__sum_{n}") for n in names])
+    above = _offsets(coarser, names, keys, outer, totals).withColumnsRenamed(
+        {f"__before_{n}": f"__above_{n}" for n in names}
     )
-    joined = attach(scanned, carried, [*keys, "__bucket"])
-    return joined.select(
-        *df.columns,
-        *[
-            F.when(F.col("__first"), F.col("__carry")[f"__v_{n}"]).otherwise(F.col(f"__lag_{n}")).alias(n)
-            for n in names
-        ],
+    both = attach(own, above, [*keys, *outer])
+    return both.select(
+        *keys,
+        *levels,
+        *[(F.col(f"__above_{n}") + F.col(f"__before_{n}")).alias(f"__before_{n}") for n in names],
+        *totals,
     )
 
 
+def tie_buckets(value: Column, width: float, tie: str, tie_width: int) -> list[Column]:
+    """Buckets for an order by ``value`` and then an integer id, safe for any number of equal values."""
+    return [F.floor(value / F.lit(float(width))), F.struct(value, F.floor(F.col(tie) / F.lit(tie_width)))]
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
     """Distinct values per key with their count ``n``, running count ``upto`` and key total ``total``.
 
@@ -93,7 +89,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: float) -
         {"upto": "n"},
         keys,
         [F.col(value)],
-        F.floor(F.col(value) / F.lit(float(width))),
+        [F.floor(F.col(value) / F.lit(float(width)))],
         totals={"total": "upto"},
     )
 
@@ -138,13 +134,3 @@ def with_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappin
     """Add quantiles of the group to every row."""
     return attach(df, quantiles(df, keys, value, probs, width, **kw), keys)
 
-
-__all__ = [
-    "attach",
-    "null_safe_join",
-    "previous_row",
-    "quantiles",
-    "running_total",
-    "value_counts",
-    "with_quantiles",
-]

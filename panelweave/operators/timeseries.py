@@ -7,7 +7,7 @@ the size of a window, provided that the input has one row per key and year
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -275,39 +275,44 @@ def fold_years(
 
 
 def fill_members_from_total(
-    members: DataFrame, totals: DataFrame, group: Sequence[str], member: Sequence[str], years: Sequence[int], value: str = "value", cut=None
+    members: DataFrame, totals: DataFrame, group: Sequence[str], member: Sequence[str], years: Sequence[int], value: str = "value"
 ) -> DataFrame:
     """Fill missing members of a group so that it reaches its total, from the newest year back.
 
     What the known members leave of a year's total goes to the missing ones in
-    proportion to their (known or filled) values a year later. Each year needs
-    the year after it, so this is a loop over the years; ``cut`` materialises
-    the table after each step to keep the plan short.
+    proportion to their (known or filled) values a year later. A filled value
+    is therefore the member's next known value times one factor per group and
+    year. One aggregate collects, for each pair of years, the known values
+    that members missing in between carry back; the factors follow year by
+    year from these sums, and one join brings them to the members. ``years``
+    is a short list, ``members`` one row per member and year.
     """
     years = sorted(years)
-    at = lambda y: F.max(F.when(F.col("year") == y, F.col(value))).alias(f"v{y}")
-    rows = members.groupBy(*group, *member).agg(*[at(y) for y in years])
-    limits = totals.groupBy(*group).agg(
-        *[F.max(F.when(F.col("year") == y, F.col(value))).alias(f"t{y}") for y in years]
-    )
-    rows = attach(rows, limits, group)
-    for year, later in list(zip(years, years[1:]))[::-1]:
-        gap = F.col(f"v{year}").isNull()
-        sums = with_group(
-            rows,
-            group,
-            {
-                "__known": F.sum(F.coalesce(f"v{year}", F.lit(0.0))),
-                "__later": F.sum(F.when(gap, F.col(f"v{later}"))),
-            },
+    at = lambda y: F.max(F.when(F.col("year") == y, F.col(value)))
+    rows = members.groupBy(*group, *member).agg(*[at(y).alias(f"v{y}") for y in years])
+    carried = []
+    for i, year in enumerate(years):
+        gap = F.lit(True)
+        for last, later in zip(years[i:], years[i + 1 :]):
+            gap = gap & F.col(f"v{last}").isNull()
+            carried.append(F.sum(F.when(gap, F.col(f"v{later}"))).alias(f"s{year}_{later}"))
+    known = [F.sum(F.coalesce(f"v{y}", F.lit(0.0))).alias(f"k{y}") for y in years]
+    limits = totals.groupBy(*group).agg(*[at(y).alias(f"t{y}") for y in years])
+    sums = attach(rows.groupBy(*group).agg(*known, *carried), limits, group)
+    for i in reversed(range(len(years) - 1)):
+        year, base, factor = years[i], F.lit(0.0), F.lit(1.0)
+        for last, later in zip(years[i:], years[i + 1 :]):
+            if last != year:
+                factor = factor * F.col(f"f{last}")
+            base = base + F.coalesce(F.col(f"s{year}_{later}") * factor, F.lit(0.0))
+        sums = sums.withColumn(f"f{year}", ratio(F.col(f"t{year}") - F.col(f"k{year}"), base))
+    filled = attach(rows, sums.select(*group, *[f"f{y}" for y in years[:-1]]), group)
+    for year, later in reversed(list(zip(years, years[1:]))):
+        filled = filled.withColumn(
+            f"v{year}", F.coalesce(F.col(f"v{year}"), F.col(f"v{later}") * F.col(f"f{year}"))
         )
-        left = F.col(f"t{year}") - F.col("__known")
-        filled = F.col(f"v{later}") * ratio(left, "__later")
-        rows = sums.withColumn(f"v{year}", F.when(gap, filled).otherwise(F.col(f"v{year}"))).drop("__known", "__later")
-        if cut is not None:
-            rows = cut(rows)
     cells = [F.struct(F.lit(y).alias("year"), F.col(f"v{y}").alias(value)) for y in years]
-    return rows.select(*group, *member, F.inline(F.array(*cells)))
+    return filled.select(*group, *member, F.inline(F.array(*cells)))
 
 
 def vintage_additions(

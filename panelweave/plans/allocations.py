@@ -11,6 +11,7 @@ from panelweave.operators.timeseries import extend, interpolate, over
 from panelweave.plans.registry import query
 from panelweave.plans.series import BETWEEN, interpolation
 from panelweave.plans.views import CY, GAPS, TS, YEARS
+from panelweave.session import cut_lineage
 
 
 def by_status(t):
@@ -110,15 +111,16 @@ def _d6(t):
           ELSE 1 + n_nationkey / 100.0 * (year - 1995) / 3.0 END, 4) AS value FROM ts""",
 )
 def _d7(t):
-    control = t.ts.where("year >= 1998").select(
+    ts = cut_lineage(t.ts)
+    control = ts.where("year >= 1998").select(
         "n_nationkey", "year", (F.col("value") * (1 + F.col("n_nationkey") / 100.0)).alias("control")
     )
-    known = attach(control, t.ts.select("n_nationkey", "year", "value"), ["n_nationkey", "year"]).select(
+    known = attach(control, ts.select("n_nationkey", "year", "value"), ["n_nationkey", "year"]).select(
         "n_nationkey", "year", ratio("control", "value").alias("scaler")
     )
     anchor = t.nation.select("n_nationkey", F.lit(1995).alias("year"), F.lit(1.0).alias("scaler"))
     scalers = A.extend_scalers(known.unionByName(anchor), ["n_nationkey"], YEARS)
-    rows = checked_join(t.ts, scalers, ["n_nationkey", "year"])
+    rows = checked_join(ts, scalers, ["n_nationkey", "year"])
     return rows.select("n_nationkey", "year", F.round(F.col("value") * F.col("scaler"), 4).alias("value"))
 
 

@@ -222,9 +222,10 @@ def _t12(t):
         FROM parent p JOIN later l ON l.n_regionkey = p.n_regionkey""",
 )
 def _t13(t):
-    whole = t.ts.where("year < 1998").groupBy("n_regionkey", "year").agg(F.sum("value").alias("value"))
+    ts = cut_lineage(t.ts)
+    whole = ts.where("year < 1998").groupBy("n_regionkey", "year").agg(F.sum("value").alias("value"))
     parents = whole.select("n_regionkey", F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("area"), "year", "value")
-    members = t.ts.where("year >= 1998").select(
+    members = ts.where("year >= 1998").select(
         "n_regionkey", F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("area"), "year", "value"
     )
     rows = parents.unionByName(members)
@@ -246,7 +247,7 @@ def backfill_sql() -> str:
         totals = ", ".join(f"t{x}" for x in YEARS)
         steps.append(f"s{y} AS (SELECT c_nationkey, o_custkey, {cols}, {totals} FROM {prev} WINDOW g AS (PARTITION BY c_nationkey))")
         prev = f"s{y}"
-    rows = " UNION ALL ".join(f"SELECT c_nationkey, o_custkey, {y} AS year, round(v{y}, 6) AS value FROM {prev}" for y in YEARS)
+    rows = " UNION ALL ".join(f"SELECT c_nationkey, o_custkey, {y} AS year, round(v{y}, 4) AS value FROM {prev}" for y in YEARS)
     values = ", ".join(f"max(CASE WHEN year = {y} THEN value END) AS v{y}" for y in YEARS)
     limits = ", ".join(f"1.25 * sum(CASE WHEN year = {y} THEN value END) AS t{y}" for y in YEARS)
     return f"""WITH {CY}, m AS (SELECT c_nationkey, cy.* FROM cy JOIN customer ON o_custkey = c_custkey),
@@ -260,8 +261,8 @@ def _t14(t):
     who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     members = t.cy.select("o_custkey", "year", "value").join(who, "o_custkey")
     totals = members.groupBy("c_nationkey", "year").agg((F.sum("value") * 1.25).alias("value"))
-    out = S.fill_members_from_total(members, totals, ["c_nationkey"], ["o_custkey"], YEARS, cut=cut_lineage)
-    return out.withColumn("value", F.round("value", 6))
+    out = S.fill_members_from_total(members, totals, ["c_nationkey"], ["o_custkey"], YEARS)
+    return out.withColumn("value", F.round("value", 4))
 
 
 @query(

@@ -84,6 +84,7 @@ REGIONAL = f"""{SUA}, agg AS (SELECT n_regionkey AS region, item, year, element,
 
 @query("d11_remove_intra_region_trade", f"WITH {REGIONAL} SELECT * FROM net WHERE value <> 0")
 def _d11(t):
+    t.keep_flows()
     crossing = item_flows(t).where("area <> source")
     sums = B.sum_elements(checked_join(t.sua, areas(t), ["area"]), ["region", "item", "year"])
     intra = B.intra_region_trade(crossing, areas(t), "area", "source", "region", ["item", "year"])
@@ -262,6 +263,7 @@ def _d15(t):
         GROUP BY 1, 2, 3, 4""",
 )
 def _d16(t):
+    t.keep_flows()
     crossing = item_flows(t).where("area <> source")
     out = B.regional_balance(t.sua, crossing, areas(t), "area", "source", "region", ["item", "year"])
     return out.withColumn("value", F.round("value", 2))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelweave.operators.joins import complete
 from panelweave.operators.reshape import spread
+from panelweave.session import cut_lineage, use_settings
 
 YEARS = list(range(1995, 2002))
 
@@ -92,7 +93,7 @@ class Tables:
     """Driver tables as lazy readers, and the views above as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark = spark
+        self.spark = use_settings(spark)
         self._dir = sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -140,13 +141,11 @@ class Tables:
 
     @cached_property
     def bilat(self) -> DataFrame:
-        # Lines shrink to one row per order and supplier nation before the
-        # shuffle on the order key.
         li, s = self.lineitem, self.supplier
-        sold = (
-            li.join(s, li.l_suppkey == s.s_suppkey)
-            .groupBy("l_orderkey", F.col("s_nationkey").alias("s_nation"))
-            .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("value"))
+        sold = li.join(s, li.l_suppkey == s.s_suppkey).select(
+            "l_orderkey",
+            F.col("s_nationkey").alias("s_nation"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("value"),
         )
         return (
             sold.join(self.buyers, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -186,6 +185,11 @@ class Tables:
             )
         )
 
+    def keep_flows(self) -> Tables:
+        """Write the flows once, for queries that read them several times."""
+        self.__dict__["flows"] = cut_lineage(self.flows)
+        return self
+
     @cached_property
     def sua(self) -> DataFrame:
         f = self.flows

@@ -6,7 +6,7 @@ from panelweave.functions.semantics import ratio, row_max, row_min
 from panelweave.operators.allocation import index_to_member
 from panelweave.operators.curves import supply_curve
 from panelweave.operators.groups import share, with_group
-from panelweave.operators.scans import running_total, with_quantiles
+from panelweave.operators.scans import running_total, tie_buckets, with_quantiles
 from panelweave.operators.timeseries import anchor_value, cumulative_product, moving_average, over
 from panelweave.plans.registry import query
 from panelweave.plans.views import CURVE, CY, GAPS, LINES, SUA, TS
@@ -116,7 +116,7 @@ def _w8(t):
         {"cum": "total"},
         ["c_nationkey"],
         [F.col("total").desc(), F.col("o_custkey").asc()],
-        F.floor(-F.col("total") / 100000),
+        tie_buckets(-F.col("total"), 100000, "o_custkey", 1_000_000),
         totals={"all": "cum"},
     )
     return run.select("c_nationkey", "o_custkey", F.round(ratio("cum", "all"), 9).alias("cum_share"))
@@ -128,7 +128,7 @@ def _w8(t):
 )
 def _w9(t):
     points = t.curve.withColumn("one", F.lit(1))
-    run = running_total(points, {"n": "one"}, ["p_brand"], [F.col("price")], F.floor(F.col("price") / 5))
+    run = running_total(points, {"n": "one"}, ["p_brand"], [F.col("price")], [F.floor(F.col("price") / 5)])
     return run.select("p_brand", "price", F.concat(F.lit("grade"), F.col("n").cast("string")).alias("grade"))
 
 

@@ -31,6 +31,14 @@ def session(app: str = "panelweave", master: str | None = None, **extra) -> Spar
     return builder.getOrCreate()
 
 
+def use_settings(spark: SparkSession) -> SparkSession:
+    """Apply the settings that may change at run time to a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive.") or key == "spark.sql.session.timeZone":
+            spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
