@@ -3,7 +3,3 @@
 Every operator takes and returns lazy ``DataFrame`` objects, so Catalyst sees
 one plan per query.
 """
-
-from panelweave.session import scratch_dir, session
-
-__all__ = ["session", "scratch_dir"]

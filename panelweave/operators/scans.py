@@ -100,37 +100,31 @@ def quantiles(
     value: str,
     probs: Mapping[str, float],
     width: float,
-    interpolate: bool = True,
+    steps: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """Exact quantiles per key without gathering a key's values.
 
-    ``interpolate`` gives the linear form between order statistics, otherwise
-    the smallest value whose cumulative share reaches the probability.
-    ``width`` is the value range one task scans.
+    ``probs`` names probabilities to be interpolated linearly between order
+    statistics, ``steps`` those that give the smallest value whose cumulative
+    share reaches them. ``width`` is the value range one task scans.
     """
     counts = value_counts(df, keys, value, width)
+    steps = dict(steps or {})
+    at = lambda reached, name: F.min(F.when(reached, F.col(value))).alias(name)
     picks = []
     for name, p in probs.items():
-        p = F.lit(float(p))
-        if interpolate:
-            rank = (F.col("total") - 1) * p
-            picks.append(F.min(F.when(F.col("upto") > F.floor(rank), F.col(value))).alias(f"__low_{name}"))
-            picks.append(F.min(F.when(F.col("upto") > F.ceil(rank), F.col(value))).alias(f"__high_{name}"))
-        else:
-            rank = F.col("total") * p
-            picks.append(F.min(F.when(F.col("upto") >= rank - F.lit(1e-9), F.col(value))).alias(f"__low_{name}"))
+        rank = (F.col("total") - 1) * F.lit(float(p))
+        picks += [at(F.col("upto") > F.floor(rank), f"__low_{name}"), at(F.col("upto") > F.ceil(rank), f"__high_{name}")]
+    for name, p in steps.items():
+        picks.append(at(F.col("upto") >= F.col("total") * F.lit(float(p)) - F.lit(1e-9), name))
     found = counts.groupBy(*keys).agg(F.max("total").alias("__total"), *picks)
     out = []
     for name, p in probs.items():
-        low = F.col(f"__low_{name}")
-        if interpolate:
-            rank = (F.col("__total") - 1) * F.lit(float(p))
-            low = low + (rank - F.floor(rank)) * (F.col(f"__high_{name}") - low)
-        out.append(low.cast("double").alias(name))
-    return found.select(*keys, *out)
+        low, rank = F.col(f"__low_{name}"), (F.col("__total") - 1) * F.lit(float(p))
+        out.append((low + (rank - F.floor(rank)) * (F.col(f"__high_{name}") - low)).cast("double").alias(name))
+    return found.select(*keys, *out, *[F.col(name).cast("double").alias(name) for name in steps])
 
 
-def with_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], width: float, **kw) -> DataFrame:
-    """Add quantiles of the group to every row."""
-    return attach(df, quantiles(df, keys, value, probs, width, **kw), keys)
-
+def with_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], width: float) -> DataFrame:
+    """Add interpolated quantiles of the group to every row."""
+    return attach(df, quantiles(df, keys, value, probs, width), keys)

@@ -11,7 +11,7 @@ from panelweave.functions.semantics import (
     weighted_mean,
 )
 from panelweave.operators.curves import regression
-from panelweave.operators.groups import attach, first_rows, with_panel
+from panelweave.operators.groups import first_rows, with_panel
 from panelweave.operators.reshape import numeric_columns
 from panelweave.operators.scans import quantiles
 from panelweave.plans.registry import query
@@ -114,10 +114,12 @@ def _ag7(t):
        FROM r GROUP BY 1""",
 )
 def _ag8(t):
-    args = (t.lineitem, ["l_returnflag"], "l_extendedprice")
-    smooth = quantiles(*args, {"p10": 0.1, "p95": 0.95}, width=1000)
-    steps = quantiles(*args, {"d25": 0.25, "d75": 0.75}, width=1000, interpolate=False)
-    return attach(smooth.select("l_returnflag", F.round("p10", 6).alias("p10"), F.round("p95", 6).alias("p95")), steps, ["l_returnflag"])
+    out = quantiles(
+        t.lineitem, ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "p95": 0.95}, 1000, steps={"d25": 0.25, "d75": 0.75}
+    )
+    return out.select(
+        "l_returnflag", F.round("p10", 6).alias("p10"), F.round("p95", 6).alias("p95"), "d25", "d75"
+    )
 
 
 @query(

@@ -45,7 +45,7 @@ def test_quantiles_match_numpy(spark, values):
     got = quantiles(df, ["k"], "v", probs, width=13).first()
     for name, p in probs.items():
         assert got[name] == pytest.approx(np.quantile(values, p))
-    steps = quantiles(df, ["k"], "v", probs, width=13, interpolate=False).first()
+    steps = quantiles(df, ["k"], "v", {}, width=13, steps=probs).first()
     for name, p in probs.items():
         assert steps[name] == np.quantile(values, p, method="inverted_cdf")
 
