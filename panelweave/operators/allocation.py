@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.functions.semantics import clamp, if_else, raise_if, ratio
 from panelweave.operators.groups import attach, share, with_group, with_total
-from panelweave.operators.joins import checked_join, complete, replicate
+from panelweave.operators.joins import checked_join, complete_panel, replicate
 from panelweave.operators.timeseries import interpolate
 
 
@@ -205,7 +205,7 @@ def index_to_member(df: DataFrame, keys: Sequence[str], member: Column, value: s
 
 def extend_scalers(scalers: DataFrame, keys: Sequence[str], years: Sequence[int]) -> DataFrame:
     """Scalers for further years: linear between known years, flat outside them."""
-    return interpolate(complete(scalers, keys, "year", years), keys, y="scaler", rule=2)
+    return interpolate(complete_panel(scalers, keys, "year", years), keys, y="scaler", rule=2)
 
 
 def scale_with_alternate(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio, sum_where
 from panelweave.operators.groups import attach, with_group, with_panel
-from panelweave.operators.joins import checked_join, complete
+from panelweave.operators.joins import checked_join, complete_panel
 
 # Names of the balance elements.
 SUPPLY = ("Opening stocks", "Production", "Import")
@@ -198,7 +198,7 @@ def stock_balance(df: DataFrame, cell: Sequence[str], years: Sequence[int] | Non
     split = _split_by_share(domestic, cell, "Opening stocks", "bal_domestic_lag", "bal_domestic_current", USES)
     if years is not None:
         keys = [c for c in split.columns if c not in ("year", "value")]
-        split = complete(split, keys, "year", years, fill={"value": 0.0})
+        split = complete_panel(split, keys, "year", years, fill={"value": 0.0})
     imported = df.where(F.col("bal_source") == "bal_import")
     return _rebalance(split, cell, True).unionByName(imported)
 

@@ -117,6 +117,31 @@ def complete(
     return done.fillna(dict(fill)) if fill else done
 
 
+def complete_panel(
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    values: Sequence,
+    fill: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """As ``complete``, reading its input once and leaving it partitioned by key.
+
+    A key's rows are gathered to see which values lack, so a key must have a
+    small known number of rows, such as one per year; aggregate first.
+    """
+    rest = [f for f in df.schema.fields if f.name not in keys and f.name != name]
+    kind = df.schema[name].dataType
+    rows = df.groupBy(*keys).agg(F.collect_list(F.struct(name, *[f.name for f in rest])).alias("__rows"))
+    wanted = F.array(*[F.lit(v).cast(kind) for v in values])
+    lacking = F.array_except(wanted, F.transform("__rows", lambda row: row[name]))
+    blanks = F.transform(
+        lacking,
+        lambda v: F.struct(v.alias(name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]),
+    )
+    done = rows.select(*keys, F.inline(F.concat("__rows", blanks))).select(*df.columns)
+    return done.fillna(dict(fill)) if fill else done
+
+
 def fallback_join(
     df: DataFrame, rules: DataFrame, levels: Sequence[Sequence[str]], value: str, order_by: Sequence[str]
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio
 from panelweave.operators.groups import attach, with_group, with_panel
-from panelweave.operators.joins import complete, replicate_values
+from panelweave.operators.joins import complete_panel, replicate, replicate_values
 
 
 def over(keys: Sequence[str], order: str | Column = "year"):
@@ -21,13 +21,23 @@ def over(keys: Sequence[str], order: str | Column = "year"):
 
 
 def _knots(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Nearest known point at or before and at or after each row."""
-    at_x = Window.partitionBy(*keys, x)
-    known = df.withColumn("__y", F.avg(y).over(at_x)).withColumn(
+    """Nearest known point at or before and at or after each row.
+
+    All windows share one partitioning, and all but one share one order.
+    """
+    by_x = Window.partitionBy(*keys).orderBy(F.col(x).asc())
+    whole = by_x.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known_x = F.when(F.col(y).isNotNull(), F.col(x))
+    known = df.withColumns(
+        {
+            "__y": F.avg(y).over(by_x.rangeBetween(0, 0)),
+            "__several": F.min(known_x).over(whole) < F.max(known_x).over(whole),
+        }
+    ).withColumn(
         "__point", F.when(F.col("__y").isNotNull(), F.struct(F.col(x).alias("x"), F.col("__y").alias("y")))
     )
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    forward = Window.partitionBy(*keys).orderBy(F.col(x).asc()).rowsBetween(*so_far)
+    forward = by_x.rowsBetween(*so_far)
     backward = Window.partitionBy(*keys).orderBy(F.col(x).desc()).rowsBetween(*so_far)
     return known.withColumn("__prev", F.last("__point", ignorenulls=True).over(forward)).withColumn(
         "__next", F.last("__point", ignorenulls=True).over(backward)
@@ -48,11 +58,8 @@ def interpolate(
     inner = prev["y"] + (next_["y"] - prev["y"]) * part
     if rule == 2:
         inner = F.coalesce(inner, prev["y"], next_["y"])
-    whole = Window.partitionBy(*keys)
-    known_x = F.when(F.col("__y").isNotNull(), F.col(x))
-    enough = F.min(known_x).over(whole) < F.max(known_x).over(whole)
     cols = list(dict.fromkeys([*df.columns, out or y]))
-    return _knots(df, keys, x, y).withColumn(out or y, F.when(enough, inner)).select(*cols)
+    return _knots(df, keys, x, y).withColumn(out or y, F.when(F.col("__several"), inner)).select(*cols)
 
 
 def interpolate_step(
@@ -106,7 +113,7 @@ def _resample_points(points, keys, x, y, grid, rule):
 
 def extend(df: DataFrame, keys: Sequence[str], years: Sequence[int], rule: int = 1) -> DataFrame:
     """Add the missing years of each key, then interpolate."""
-    return interpolate(complete(df, keys, "year", years), keys, rule=rule)
+    return interpolate(complete_panel(df, keys, "year", years), keys, rule=rule)
 
 
 def decay_extrapolate(
@@ -129,7 +136,7 @@ def decay_extrapolate(
     ids = [*keys, tech]
     years = sorted(set(out_years))
     params = [rate, floor, shadow]
-    grid = complete(df, [*ids, *params], "year", years)
+    grid = complete_panel(df, [*ids, *params], "year", years)
     filled = interpolate(grid, [*ids, *params], y=value)
     whole = Window.partitionBy(*ids, *params)
     known_year = F.when(F.col(value).isNotNull(), F.col("year"))
@@ -173,8 +180,7 @@ def graft(past: DataFrame, future: DataFrame, keys: Sequence[str], value: str =
     at_base = F.col("year") == F.col("__base")
     anchored = anchor_value(later, [scenario, *keys], at_base, value, "__anchor")
     growth = anchored.where(F.col("year") > F.col("__base")).withColumn("__growth", ratio(value, "__anchor"))
-    names = growth.groupBy().agg(F.array_sort(F.collect_set(scenario)).alias("names"))
-    history = past.withColumn(scenario, F.explode(names.scalar()))
+    history = replicate(past, growth.select(scenario).distinct())
     base = past.withColumn("__base", common.scalar()).where(F.col("year") == F.col("__base"))
     base = base.select(*keys, F.col(value).alias("__value"))
     cols = [scenario, *keys, "year", value]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelweave.functions.semantics import strict_sum
 from panelweave.operators.groups import share
-from panelweave.operators.joins import checked_join, complete
+from panelweave.operators.joins import checked_join, complete_panel
 from panelweave.operators.quality import contract_select
 from panelweave.operators.regions import scenario_variants
 from panelweave.operators.reshape import gather_years, spread
@@ -53,7 +53,7 @@ def _entry(t):
         {"n_regionkey": "r_regionkey"},
     )
     sums = regions.groupBy("r_name", "year").agg(F.round(strict_sum("value"), 2).alias("value"))
-    filled = interpolate(complete(sums, ["r_name"], "year", range(1994, 2003)), ["r_name"], rule=2)
+    filled = interpolate(complete_panel(sums, ["r_name"], "year", range(1994, 2003)), ["r_name"], rule=2)
     return share(filled, "value", ["year"]).withColumn("share", F.round("share", 9))
 
 

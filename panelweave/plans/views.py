@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.operators.joins import complete
+from panelweave.operators.joins import complete_panel
 from panelweave.operators.reshape import spread
 from panelweave.session import cut_lineage, use_settings
 
@@ -111,7 +111,7 @@ class Tables:
 
     @cached_property
     def gaps(self) -> DataFrame:
-        return complete(self.cy, ["o_custkey"], "year", YEARS)
+        return complete_panel(self.cy, ["o_custkey"], "year", YEARS)
 
     @cached_property
     def ts(self) -> DataFrame:

@@ -56,9 +56,10 @@ def test_replicate_is_a_full_product_under_copies(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_complete_keeps_rows_outside_the_values(frame, rows):
+@pytest.mark.parametrize("complete", [J.complete, J.complete_panel])
+def test_complete_keeps_rows_outside_the_values(frame, rows, complete):
     df = frame([("a", 1, 5.0), ("a", 9, 6.0), (None, 2, 7.0)], "k string, year int, v double")
-    out = J.complete(df, ["k"], "year", [1, 2], fill={"v": 0.0})
+    out = complete(df, ["k"], "year", [1, 2], fill={"v": 0.0})
     assert rows(out) == sorted(
         [("a", 1, 5.0), ("a", 2, 0.0), ("a", 9, 6.0), (None, 1, 0.0), (None, 2, 7.0)], key=lambda r: (r[0] is None, r[1])
     )
