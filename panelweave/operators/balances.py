@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio, sum_where
 from panelweave.operators.groups import attach, with_group, with_panel
-from panelweave.operators.joins import checked_join, complete_panel
+from panelweave.operators.joins import checked_join, complete_panel, keep_matching
 
 # Names of the balance elements.
 SUPPLY = ("Opening stocks", "Production", "Import")
@@ -251,7 +251,7 @@ def extraction_rates(
 def source_shares(df: DataFrame, sinks: DataFrame, area: str, tier: int) -> DataFrame:
     """Share of each source item in the processed use of its commodity, the same in all areas and years."""
     sources = sinks.where(F.col("sink_tier") == tier).select(F.col("source_item").alias("item")).distinct()
-    processed = df.where(element("Processed") & (F.col("tier") < tier)).join(sources, "item", "left_semi")
+    processed = keep_matching(df.where(element("Processed") & (F.col("tier") < tier)), sources, ["item"])
     sums = processed.groupBy("comm", "item", "tier").agg(F.sum("value").alias("__v"))
     shares = with_group(sums, ["comm"], {"__t": F.sum("__v"), "__n": F.count(F.lit(1))})
     return shares.select(

@@ -2,16 +2,19 @@
 
 No broadcast hints: the planner and adaptive execution pick the strategy from
 measured sizes, so a lookup table that outgrows memory falls back to a
-shuffled join with skew splitting.
+shuffled join. Joins against an aggregate compare keys null-safely, which gives
+the aggregate a shuffle of its own: only then can adaptive execution split a
+hot key of the other side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelweave.functions.semantics import raise_if
+from panelweave.functions.semantics import any_null, raise_if
 from panelweave.operators.groups import attach, first_rows, null_safe_join
 
 
@@ -32,8 +35,7 @@ def checked_join(
     be null except those in ``ignore``. The check is part of the plan, so it
     costs no extra action. Duplicate right keys are found by a combining
     aggregate; only a duplicate that a left row asks for is an error. A null
-    key counts as a miss unless ``null_keys`` lets it match a null key; plain
-    equality keeps the aggregate and the join on one partitioning.
+    key counts as a miss unless ``null_keys`` lets it match a null key.
     """
     pairs = _pairs(on)
     new = [c for c in right.columns if c not in pairs.values()]
@@ -41,19 +43,30 @@ def checked_join(
     lookup = right.groupBy(*[F.col(r).alias(k) for r, k in renamed.items()]).agg(
         F.count(F.lit(1)).alias("__matches"), *[F.first(c).alias(c) for c in new]
     )
-    matched = {lk: renamed[rk] for lk, rk in pairs.items()}
-    if null_keys:
-        joined = null_safe_join(left, lookup, matched, "left")
-    else:
-        cond = [left[lk] == lookup[rk] for lk, rk in matched.items()]
-        joined = left.join(lookup, cond, "left").drop(*matched.values())
+    joined = null_safe_join(left, lookup, {lk: renamed[rk] for lk, rk in pairs.items()}, "left")
     bad = F.col("__matches").isNull() | (F.col("__matches") > 1)
-    for c in new:
-        if c not in ignore:
-            bad = bad | F.col(c).isNull()
+    bad = reduce(lambda rest, c: rest | F.col(c).isNull(), [c for c in new if c not in ignore], bad)
+    if not null_keys:
+        bad = bad | any_null(*pairs)
     return joined.where(raise_if(bad, f"lookup on {sorted(pairs)} missed or is ambiguous")).drop("__matches")
 
 
+def _matching(df: DataFrame, other: DataFrame, on, how: str) -> DataFrame:
+    renamed = {l: f"__key_{l}" for l in _pairs(on)}
+    keys = other.select(*[F.col(r).alias(renamed[l]) for l, r in _pairs(on).items()]).distinct()
+    return null_safe_join(df, keys, renamed, how)
+
+
+def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """Rows whose key occurs in the other table; its keys are collapsed before the shuffle."""
+    return _matching(df, other, on, "left_semi")
+
+
+def drop_matching(df: DataFrame, other: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """Rows whose key does not occur in the other table."""
+    return _matching(df, other, on, "left_anti")
+
+
 def keep_first_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], order_by: Sequence[str], last: bool = False
 ) -> DataFrame:
@@ -92,28 +105,18 @@ def complete(
 ) -> DataFrame:
     """Every existing key combination with every value; rows beyond them survive.
 
-    Missing rows get nulls, or ``fill``.
+    Missing rows get nulls, or ``fill``. Only distinct keys are shuffled; the
+    rows themselves pass through.
     """
     kind = df.schema[name].dataType
-    grid = replicate_values(df.select(*keys).distinct(), "__value", values).withColumn(
-        "__value", F.col("__value").cast(kind)
+    present = df.select(*keys, name).distinct()
+    grid = replicate_values(present.select(*keys).distinct(), "__value", values)
+    grid = grid.withColumn(name, F.col("__value").cast(kind)).drop("__value")
+    lacking = [f for f in df.schema.fields if f.name not in keys and f.name != name]
+    blanks = drop_matching(grid, present, [*keys, name]).select(
+        *keys, name, *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking]
     )
-    renamed = {k: f"__grid_{k}" for k in keys}
-    grid = grid.withColumnsRenamed(renamed)
-    cond = df[name].eqNullSafe(grid["__value"])
-    for key, other in renamed.items():
-        cond = cond & df[key].eqNullSafe(grid[other])
-    joined = df.withColumn("__seen", F.lit(True)).join(grid, cond, "full")
-    pick = lambda own, other: F.when(F.col("__seen"), F.col(own)).otherwise(F.col(other)).alias(own)
-    out = []
-    for c in df.columns:
-        if c in renamed:
-            out.append(pick(c, renamed[c]))
-        elif c == name:
-            out.append(pick(c, "__value"))
-        else:
-            out.append(F.col(c))
-    done = joined.select(*out)
+    done = df.unionByName(blanks)
     return done.fillna(dict(fill)) if fill else done
 
 
@@ -159,6 +162,29 @@ def fallback_join(
     return out.withColumn(value, F.coalesce(*found)).select(*df.columns, value)
 
 
+def derived_rows(
+    df: DataFrame,
+    base: Column,
+    rules: DataFrame,
+    levels: Sequence[Sequence[str]],
+    fractions: Mapping[str, str],
+    label: str,
+    value: str,
+) -> DataFrame:
+    """Add rows made from the base rows by fractions that fall back over rule levels.
+
+    ``fractions`` maps the label of the new rows to the rule column with their
+    fraction. A row for which no level has a fraction gets a null value.
+    """
+    out = df
+    for name, column in fractions.items():
+        known = rules.where(F.col(column).isNotNull())
+        made = fallback_join(df.where(base), known, levels, column, [column])
+        made = made.withColumn(value, F.col(value) * F.col(column)).withColumn(label, F.lit(name))
+        out = out.unionByName(made.select(*df.columns).distinct())
+    return out
+
+
 def swap_codes(df: DataFrame, column: str, codes: DataFrame, code: str, name: str, pattern: str) -> DataFrame:
     """Replace codes by names if every value looks like a code, else names by codes.
 
@@ -182,14 +208,14 @@ def swap_codes(df: DataFrame, column: str, codes: DataFrame, code: str, name: st
     )
     rows = df.withColumn("__dir", all_codes)
     joined = rows.join(
-        unique, (rows["__dir"] == unique["__from"]) & (rows[column] == unique["__old"]), "left"
+        unique, rows["__dir"].eqNullSafe(unique["__from"]) & rows[column].eqNullSafe(unique["__old"]), "left"
     )
     return joined.select(*[F.col("__new").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def override_rows(generic: DataFrame, specific: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Specific rows replace the generic rows that share their key."""
-    return generic.join(specific.select(*keys).distinct(), list(keys), "left_anti").unionByName(specific)
+    return drop_matching(generic, specific, keys).unionByName(specific)
 
 
 def revise(df: DataFrame, revised: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

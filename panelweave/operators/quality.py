@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from panelweave.operators.joins import drop_matching
+
 
 
 def expect(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -51,6 +53,36 @@ def cube_gaps(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     return sizes.select("rows", product.alias("cells"), (product - F.col("rows")).alias("gap"))
 
 
+def supply_use_report(
+    df: DataFrame, area: str, item: str, free: Sequence[str], supply: Sequence[str], demand: Sequence[str], tolerance: float = 1e-4
+) -> DataFrame:
+    """Findings on a long balance table: nulls, negatives, world trade and cells out of balance, missing cells.
+
+    ``free`` elements may be negative. One row per rule with its number of
+    violations.
+    """
+    named = lambda names: F.col("element").isin(list(names))
+    count = lambda cond: F.count(F.when(cond, 1))
+    rows = df.agg(
+        count(F.col("value").isNull()).alias("null value"),
+        count(~named(free) & (F.col("value") < -0.001)).alias("negative value"),
+    )
+    part = lambda names: F.coalesce(F.sum(F.when(named(names), F.col("value"))), F.lit(0.0))
+    world = df.groupBy("year", item).agg((part(["Import"]) - part(["Export"])).alias("d"))
+    cells = df.groupBy("year", item, area).agg((part(supply) - part(demand)).alias("d"))
+    off = lambda sums, name: sums.agg(count(F.abs("d") > tolerance).alias(name))
+    gap = cube_gaps(df, ["year", item, area, "element"]).select(F.col("gap").alias("missing cell"))
+    named_counts = {
+        "null value": rows.select("null value"),
+        "negative value": rows.select("negative value"),
+        "trade imbalance": off(world, "n"),
+        "supply differs from demand": off(cells, "n"),
+        "missing cell": gap,
+    }
+    pairs = F.array(*[F.struct(F.lit(n).alias("rule"), one.scalar().alias("violations")) for n, one in named_counts.items()])
+    return df.sparkSession.range(1).select(F.inline(pairs))
+
+
 def mismatches(left: DataFrame, right: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     """Pairs of rows of two tables on which they contradict each other."""
     return left.join(right, list(keys), "full").where(bad)
@@ -98,11 +130,7 @@ def table_diff(
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Child keys without a parent, with their row counts."""
-    return (
-        child.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
-    )
+    return drop_matching(child.groupBy(key).agg(F.count(F.lit(1)).alias("rows")), parent, {key: parent_key})
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

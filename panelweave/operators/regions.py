@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelweave.functions.semantics import paste
 from panelweave.functions.units import ModelTime
 from panelweave.operators.groups import attach, first_rows, with_group
-from panelweave.operators.joins import override_rows, replicate, replicate_values
+from panelweave.operators.joins import drop_matching, keep_matching, override_rows, replicate, replicate_values
 from panelweave.session import cut_lineage
 
 
@@ -163,7 +163,7 @@ def rekey(
     map's columns in the result.
     """
     table_keys = list(old.values())
-    known = key_map.join(df.select(*[F.col(v).alias(k) for k, v in old.items()]).distinct(), list(old), "left_semi")
+    known = keep_matching(key_map, df, old)
     picked = first_rows(df, table_keys, order_by).withColumnsRenamed({v: k for k, v in old.items()})
     joined = attach(known, picked, list(old))
     return joined.withColumnsRenamed(dict(new)).select(*columns).distinct().dropna()
@@ -185,9 +185,8 @@ def lineage_closure(edges: DataFrame, source: str, target: str, max_depth: int =
             .join(step.withColumnRenamed("source", "__via"), "__via")
             .select("source", "target")
             .distinct()
-            .join(known.select("source", "target"), ["source", "target"], "left_anti")
         )
-        fresh = cut_lineage(reached.withColumn("depth", F.lit(depth)))
+        fresh = cut_lineage(drop_matching(reached, known, ["source", "target"]).withColumn("depth", F.lit(depth)))
         if fresh.isEmpty():
             return known
         known = known.unionByName(fresh)

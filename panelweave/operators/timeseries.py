@@ -247,6 +247,74 @@ def backcast_parent(
     return kept.unionByName(spread_back.select(*df.columns))
 
 
+def backcast_by_ratio(
+    df: DataFrame, parent: Column, split_year: int, item_keys: Sequence[str], member: str, value: str = "value"
+) -> DataFrame:
+    """Give each successor its split-year value moved by the whole area's trend before the split.
+
+    The trend is the sum over parent and successors relative to the split
+    year; an item without one gets zeros. Only the successors are returned.
+    """
+    whole = df.where(F.col("year") <= split_year).groupBy(*item_keys, "year").agg(F.sum(value).alias("__all"))
+    trend = with_panel(
+        whole, item_keys, {"__base": F.max(F.when(F.col("year") == split_year, F.col("__all")))}
+    ).where(F.col("year") < split_year)
+    factors = trend.select(*item_keys, "year", ratio("__all", "__base", 0).alias("__factor"))
+    start = df.where(~parent & (F.col("year") == split_year)).drop("year")
+    earlier = attach(start, factors, item_keys, "inner").withColumn(
+        value, F.coalesce(F.col(value) * F.col("__factor"), F.lit(0.0))
+    )
+    return df.where(~parent & (F.col("year") >= split_year)).unionByName(earlier.select(*df.columns))
+
+
+def backcast_splits(
+    df: DataFrame,
+    splits: DataFrame,
+    item_keys: Sequence[str],
+    member: str,
+    account_years: int = 3,
+    merges: DataFrame | None = None,
+    value: str = "value",
+) -> DataFrame:
+    """``backcast_parent`` for many dissolved parents at once.
+
+    ``splits`` lists parent, successor (``part``) and ``split_year``. Areas in
+    none of them keep all their rows; a successor that dissolves later itself
+    needs a second call. ``merges`` maps an area (``part``) to the area
+    (``whole``) it is summed into afterwards.
+    """
+    parts = splits.select("parent", F.col("part").alias(member), "split_year")
+    mapped = attach(df, parts, [member])
+    is_parent = splits.select(F.col("parent").alias(member), F.lit(True).alias("__gone")).distinct()
+    mapped = attach(mapped, is_parent, [member])
+    since = F.col("year") - F.col("split_year")
+    kept = mapped.where(F.col("__gone").isNull() & (F.col("split_year").isNull() | (since >= 0)))
+    later = mapped.where(since.between(0, account_years))
+    sums = later.groupBy("parent", *item_keys, member).agg(F.sum(F.coalesce(value, F.lit(0.0))).alias("__sum"))
+    shares = with_group(
+        sums, ["parent", *item_keys], {"__total": F.sum("__sum"), "__n": F.count(F.lit(1))}
+    ).select(
+        "parent",
+        *item_keys,
+        F.col(member).alias("__member"),
+        F.coalesce(ratio("__sum", "__total"), F.lit(1.0) / F.col("__n")).alias("__share"),
+    )
+    years = splits.groupBy(F.col("parent").alias(member)).agg(F.max("split_year").alias("__until"))
+    past = attach(df, years, [member], "inner").where(F.col("year") < F.col("__until"))
+    past = past.withColumnRenamed(member, "parent")
+    history = (
+        attach(past, shares, ["parent", *item_keys], "inner")
+        .withColumn(value, F.col(value) * F.col("__share"))
+        .withColumnRenamed("__member", member)
+    )
+    out = kept.select(*df.columns).unionByName(history.select(*df.columns))
+    if merges is None:
+        return out
+    named = attach(out, merges.select(F.col("part").alias(member), "whole"), [member])
+    keys = [c for c in df.columns if c not in (member, value)]
+    return named.groupBy(F.coalesce("whole", member).alias(member), *keys).agg(F.sum(value).alias(value))
+
+
 def fold_years(
     df: DataFrame,
     keys: Sequence[str],

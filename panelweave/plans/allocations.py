@@ -503,37 +503,31 @@ def _d38(t):
 
 @query(
     "d39_impute_by_reference_index",
-    """WITH p AS (SELECT s_nationkey, p_brand, sum(l_extendedprice) / sum(l_quantity) AS price FROM lineitem
-         JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
-         WHERE l_discount >= 0.09 AND l_tax >= 0.07 AND year(l_shipdate) = 1996 GROUP BY 1, 2),
-       w AS (SELECT s_nationkey, sum(l_extendedprice) / sum(l_quantity) AS price FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+    """WITH p AS (SELECT s_nationkey, p_brand || ' ' || p_name AS item, round(sum(l_extendedprice), 2) / sum(l_quantity) AS price FROM lineitem
+         JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+       w AS (SELECT s_nationkey, round(sum(l_extendedprice), 2) / sum(l_quantity) AS price FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
        i AS (SELECT s_nationkey, price / (SELECT price FROM w WHERE s_nationkey = 0) AS i0, price / (SELECT price FROM w WHERE s_nationkey = 1) AS i1 FROM w),
-       b AS (SELECT p_brand, max(CASE WHEN s_nationkey = 0 THEN price END) AS r0, max(CASE WHEN s_nationkey = 1 THEN price END) AS r1 FROM p GROUP BY 1)
-       SELECT i.s_nationkey, b.p_brand, round(coalesce(p.price, r0 * i0, r1 * i1), 6) AS price FROM i CROSS JOIN b
-       LEFT JOIN p ON p.s_nationkey = i.s_nationkey AND p.p_brand = b.p_brand""",
+       b AS (SELECT item, max(CASE WHEN s_nationkey = 0 THEN price END) AS r0, max(CASE WHEN s_nationkey = 1 THEN price END) AS r1 FROM p GROUP BY 1)
+       SELECT i.s_nationkey, b.item, coalesce(p.price, r0 * i0, r1 * i1) AS price FROM i CROSS JOIN b
+       LEFT JOIN p ON p.s_nationkey = i.s_nationkey AND p.item = b.item""",
 )
 def _d39(t):
     sums = [F.sum("l_extendedprice").alias("v"), F.sum("l_quantity").alias("q")]
     nation = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    price = ratio(F.sum("v"), F.sum("q")).alias("price")
-    chosen = t.lineitem.where(
-        (F.col("l_discount") >= 0.09) & (F.col("l_tax") >= 0.07) & (F.year("l_shipdate") == 1996)
-    )
+    item = F.concat_ws(" ", "p_brand", "p_name").alias("item")
+    price = ratio(F.round(F.sum("v"), 2), F.sum("q")).alias("price")
+    sold = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(*sums).join(nation, "l_suppkey")
     prices = (
-        chosen.groupBy("l_suppkey", "l_partkey")
-        .agg(*sums)
-        .join(nation, "l_suppkey")
-        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
-        .groupBy("s_nationkey", "p_brand")
+        sold.join(t.part.select(F.col("p_partkey").alias("l_partkey"), item), "l_partkey")
+        .groupBy("s_nationkey", "item")
         .agg(price)
     )
-    level = t.lineitem.groupBy("l_suppkey").agg(*sums).join(nation, "l_suppkey").groupBy("s_nationkey").agg(price)
+    level = sold.groupBy("s_nationkey").agg(price)
     ref = lambda k: F.max(F.when(F.col("s_nationkey") == k, F.col("price")))
     index = with_total(level, {"p0": ref(0), "p1": ref(1)}).select(
         "s_nationkey", ratio("price", "p0").alias("i0"), ratio("price", "p1").alias("i1")
     )
-    out = A.impute_by_index(prices, index, "s_nationkey", "p_brand", "price", [0, 1], ["i0", "i1"])
-    return out.withColumn("price", F.round("price", 6))
+    return A.impute_by_index(prices, index, "s_nationkey", "item", "price", [0, 1], ["i0", "i1"])
 
 
 @query(

@@ -56,6 +56,23 @@ def _q3(t):
     return gaps.withColumn("unbalanced", broken.scalar())
 
 
+@query(
+    "q3_supply_use_report",
+    f"""WITH {SUA}, c AS (SELECT area, item, year, coalesce(sum(CASE WHEN element IN ('Production', 'Import') THEN value END), 0)
+          - coalesce(sum(CASE WHEN element IN ('Export', 'Feed', 'Food', 'Processed') THEN value END), 0) AS d FROM sua GROUP BY 1, 2, 3),
+        w AS (SELECT item, year, coalesce(sum(CASE WHEN element = 'Import' THEN value END), 0)
+          - coalesce(sum(CASE WHEN element = 'Export' THEN value END), 0) AS d FROM sua GROUP BY 1, 2)
+        SELECT 'null value' AS rule, count(*) FILTER (WHERE value IS NULL) AS violations FROM sua
+        UNION ALL SELECT 'negative value', count(*) FILTER (WHERE value < -0.001) FROM sua
+        UNION ALL SELECT 'trade imbalance', count(*) FILTER (WHERE abs(d) > 0.0001) FROM w
+        UNION ALL SELECT 'supply differs from demand', count(*) FILTER (WHERE abs(d) > 0.0001) FROM c
+        UNION ALL SELECT 'missing cell', count(DISTINCT area) * count(DISTINCT item) * count(DISTINCT year) * count(DISTINCT element) - count(*) FROM sua""",
+)
+def _q3_report(t):
+    supply, demand = ["Production", "Import"], ["Export", "Feed", "Food", "Processed"]
+    return Q.supply_use_report(cut_lineage(t.sua), "area", "item", ["Stock Variation", "Other uses"], supply, demand)
+
+
 @query(
     "q4_two_table_consistency",
     f"""WITH {LINES} SELECT coalesce(l_orderkey, o_orderkey) AS orderkey, o_totalprice, amount FROM orders FULL JOIN lines ON l_orderkey = o_orderkey

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from panelweave.functions.semantics import is_in
 from panelweave.operators.curves import half_supply_price, supply_curve
 from panelweave.operators.groups import attach, with_panel
+from panelweave.operators.joins import drop_matching
 from panelweave.operators.reshape import spread
 from panelweave.plans.registry import query
 from panelweave.plans.views import CURVE, CY, GAPS, YEARS
@@ -90,12 +91,9 @@ def _f7(t):
         AND f.o_orderpriority = o.o_orderpriority)""",
 )
 def _f8(t):
-    keys = t.orders.where("o_orderstatus = 'F'").select("o_custkey", "o_orderpriority").distinct()
-    return (
-        t.orders.where("o_orderstatus = 'O'")
-        .join(keys, ["o_custkey", "o_orderpriority"], "left_anti")
-        .select("o_orderkey", "o_custkey", "o_orderpriority")
-    )
+    status = lambda s: t.orders.where(F.col("o_orderstatus") == s)
+    kept = drop_matching(status("O"), status("F"), ["o_custkey", "o_orderpriority"])
+    return kept.select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
 @query(

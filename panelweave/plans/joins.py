@@ -125,8 +125,8 @@ def _j10(t):
        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
 )
 def _j11(t):
-    lines = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return t.orders.select("o_orderkey", "o_orderstatus").join(lines, "o_orderkey", "left_semi")
+    lines = t.lineitem.where("l_returnflag = 'R'")
+    return J.keep_matching(t.orders.select("o_orderkey", "o_orderstatus"), lines, {"o_orderkey": "l_orderkey"})
 
 
 @query(
@@ -135,8 +135,8 @@ def _j11(t):
        (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = 2000)""",
 )
 def _j12(t):
-    active = t.orders.where(F.year("o_orderdate") == 2000).select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.select("c_custkey", "c_name").join(active, "c_custkey", "left_anti")
+    active = t.orders.where(F.year("o_orderdate") == 2000)
+    return J.drop_matching(t.customer.select("c_custkey", "c_name"), active, {"c_custkey": "o_custkey"})
 
 
 @query(
@@ -200,6 +200,23 @@ def _j16(t):
     return J.fallback_join(parts, rules, levels, "rate", ["rate"]).select("p_partkey", "rate")
 
 
+@query(
+    "j16_derived_rows_by_fallback",
+    """WITH rules AS (SELECT p_brand, p_type, min(p_retailprice) / 1000 AS f FROM part WHERE p_size <= 3 GROUP BY 1, 2),
+       byt AS (SELECT p_type, min(f) AS f FROM rules GROUP BY 1),
+       d AS (SELECT p_brand, p_type, CASE WHEN p_size > 25 THEN 'coarse' ELSE 'fine' END AS gas, CAST(sum(p_size) AS DOUBLE) AS v FROM part GROUP BY 1, 2, 3)
+       SELECT p_brand, p_type, gas, v FROM d
+       UNION ALL SELECT p_brand, p_type, 'soot', round(v * coalesce(rules.f, byt.f), 6) FROM d LEFT JOIN rules USING (p_brand, p_type) LEFT JOIN byt USING (p_type) WHERE gas = 'fine'""",
+)
+def _j16_derived(t):
+    gas = F.when(F.col("p_size") > 25, "coarse").otherwise("fine")
+    rows = t.part.groupBy("p_brand", "p_type", gas.alias("gas")).agg(F.sum("p_size").cast("double").alias("v"))
+    rules = t.part.where("p_size <= 3").select("p_brand", "p_type", (F.col("p_retailprice") / 1000).alias("soot"))
+    levels = [["p_brand", "p_type"], ["p_type"]]
+    out = J.derived_rows(rows, F.col("gas") == "fine", rules, levels, {"soot": "soot"}, "gas", "v")
+    return out.withColumn("v", F.round("v", 6))
+
+
 @query(
     "j17_self_join_shifted_year",
     f"""WITH {GAPS} SELECT a.o_custkey, a.year, a.value, b.value AS earlier FROM gaps a

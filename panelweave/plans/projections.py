@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from panelweave.operators.groups import with_total
+from panelweave.operators.joins import keep_matching
 from panelweave.operators.reshape import (
     columns_without_null,
     numeric_columns,
@@ -93,8 +94,8 @@ def _p10(t):
        WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 )
 def _p11(t):
-    wanted = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return t.orders.join(wanted, "o_custkey", "left_semi").select("o_orderkey", "o_totalprice")
+    wanted = t.customer.where("c_mktsegment = 'BUILDING'")
+    return keep_matching(t.orders, wanted, {"o_custkey": "c_custkey"}).select("o_orderkey", "o_totalprice")
 
 
 @query(

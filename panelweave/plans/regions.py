@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelweave.functions.semantics import paste
 from panelweave.operators import regions as R
 from panelweave.operators.groups import attach
-from panelweave.operators.joins import checked_join
+from panelweave.operators.joins import checked_join, drop_matching, keep_matching
 from panelweave.operators.reshape import stack_tables
 from panelweave.plans.registry import query
 from panelweave.plans.views import CY, TS
@@ -75,7 +75,7 @@ def _n2(t):
     rows = R.write_to_members(national, members, ["region", "subsector", "technology", "n"])
     counts = t.customer.groupBy("c_nationkey", F.col("c_mktsegment").alias("subsector")).agg(F.count(F.lit(1)).alias("k"))
     lacking = checked_join(counts.where("k < 10"), t.nation.select("n_nationkey", "n_name"), {"c_nationkey": "n_nationkey"})
-    kept = rows.join(lacking.select(F.col("n_name").alias("region"), "subsector"), ["region", "subsector"], "left_anti")
+    kept = drop_matching(rows, lacking, {"region": "n_name", "subsector": "subsector"})
     grid = checked_join(t.nation.select("n_name", "n_regionkey"), t.region, {"n_regionkey": "r_regionkey"})
     placed = checked_join(kept, grid.select("n_name", F.col("r_name").alias("grid")), {"region": "n_name"})
     market = F.when(F.col("technology") == "2-HIGH", F.col("grid")).otherwise("national")
@@ -298,8 +298,8 @@ def _n16(t):
     """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) > 0)""",
 )
 def _n17(t):
-    active = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 0").select(F.col("l_orderkey").alias("o_orderkey"))
-    return t.orders.select("o_orderkey", "o_custkey").join(active, "o_orderkey", "left_semi")
+    active = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 0")
+    return keep_matching(t.orders.select("o_orderkey", "o_custkey"), active, {"o_orderkey": "l_orderkey"})
 
 
 @query(

@@ -222,14 +222,60 @@ def _t12(t):
         FROM parent p JOIN later l ON l.n_regionkey = p.n_regionkey""",
 )
 def _t13(t):
-    ts = cut_lineage(t.ts)
+    rows = dissolved(cut_lineage(t.ts))
+    out = S.backcast_parent(rows, F.col("area").startswith("R"), 1998, ["n_regionkey"], "area", account_years=2)
+    return out.withColumn("value", F.round("value", 4))
+
+
+def dissolved(ts):
+    """Whole regions until 1997, their nations from 1998."""
     whole = ts.where("year < 1998").groupBy("n_regionkey", "year").agg(F.sum("value").alias("value"))
     parents = whole.select("n_regionkey", F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("area"), "year", "value")
     members = ts.where("year >= 1998").select(
         "n_regionkey", F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("area"), "year", "value"
     )
-    rows = parents.unionByName(members)
-    out = S.backcast_parent(rows, F.col("area").startswith("R"), 1998, ["n_regionkey"], "area", account_years=2)
+    return parents.unionByName(members)
+
+
+@query(
+    "t13_backcast_by_split_year_ratio",
+    f"""WITH {TS}, r AS (SELECT n_regionkey, year, sum(value) AS v FROM ts WHERE year <= 1998 GROUP BY 1, 2),
+        f AS (SELECT n_regionkey, year, v / max(CASE WHEN year = 1998 THEN v END) OVER (PARTITION BY n_regionkey) AS f FROM r)
+        SELECT n_regionkey, 'N' || n_nationkey AS area, year, round(value, 4) AS value FROM ts WHERE year >= 1998
+        UNION ALL SELECT t.n_regionkey, 'N' || n_nationkey, f.year, round(t.value * f.f, 4) FROM ts t JOIN f USING (n_regionkey) WHERE t.year = 1998 AND f.year < 1998""",
+)
+def _t13_ratio(t):
+    rows = dissolved(cut_lineage(t.ts))
+    out = S.backcast_by_ratio(rows, F.col("area").startswith("R"), 1998, ["n_regionkey"], "area")
+    return out.withColumn("value", F.round("value", 4))
+
+
+@query(
+    "t13_backcast_many_splits",
+    f"""WITH {TS}, ends AS (SELECT r_regionkey AS n_regionkey, 1997 + (r_regionkey // 3) AS y FROM region),
+        rows AS (SELECT ts.* FROM ts JOIN ends USING (n_regionkey) WHERE year >= y),
+        past AS (SELECT n_regionkey, year, sum(value) AS v FROM ts JOIN ends USING (n_regionkey) WHERE year < y GROUP BY 1, 2),
+        sh AS (SELECT n_regionkey, n_nationkey, sum(value) AS s FROM ts JOIN ends USING (n_regionkey) WHERE year BETWEEN y AND y + 2 GROUP BY 1, 2),
+        u AS (SELECT n_nationkey, year, value FROM rows UNION ALL
+          SELECT n_nationkey, past.year, v * s / sum(s) OVER (PARTITION BY n_regionkey, past.year) FROM past JOIN sh USING (n_regionkey))
+        SELECT CASE WHEN n_nationkey = 24 THEN 'N23' ELSE 'N' || n_nationkey END AS area, year, round(sum(value), 4) AS value FROM u GROUP BY 1, 2""",
+)
+def _t13_many(t):
+    ts = cut_lineage(t.ts)
+    split_year = (F.lit(1997) + F.floor(F.col("n_regionkey") / 3)).cast("int")
+    name = lambda prefix, key: F.concat(F.lit(prefix), F.col(key).cast("string"))
+    splits = t.nation.select(
+        name("R", "n_regionkey").alias("parent"), name("N", "n_nationkey").alias("part"), split_year.alias("split_year")
+    )
+    dated = ts.withColumn("split_year", split_year)
+    parents = (
+        dated.where("year < split_year")
+        .groupBy(name("R", "n_regionkey").alias("area"), "year")
+        .agg(F.sum("value").alias("value"))
+    )
+    members = dated.where("year >= split_year").select(name("N", "n_nationkey").alias("area"), "year", "value")
+    merges = t.spark.createDataFrame([("N24", "N23")], "part string, whole string")
+    out = S.backcast_splits(parents.unionByName(members), splits, [], "area", account_years=2, merges=merges)
     return out.withColumn("value", F.round("value", 4))
 
 

@@ -39,6 +39,16 @@ def use_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Start shuffles with enough partitions for an input; adaptive execution merges small ones.
+
+    Returns the number set, which is never below ``spark.sql.shuffle.partitions``.
+    """
+    wanted = max(-(-input_bytes // partition_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -188,5 +188,6 @@ def read_quirky(
     Lines are filtered as text, so a file may be split over tasks.
     """
     lines = spark.read.text(path).where(~F.col("value").rlike(skip))
-    rows = lines.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    parsed = F.from_csv("value", schema.toDDL(), {"mode": "FAILFAST"})
+    rows = lines.select(parsed.alias("r")).select("r.*")
     return rows if keep is None else rows.where(keep)

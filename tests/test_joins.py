@@ -101,3 +101,11 @@ def test_first_year_reaching(frame, rows):
     series = frame([("a", 2000, 1.0), ("a", 2001, 5.0), ("a", 2002, 9.0), ("b", 2000, 9.0), ("c", 2000, 1.0)], "k string, year int, value double")
     out = J.first_year_reaching(rules, series, ["k"], F.col("least"), "start")
     assert rows(out, "k", "start") == [("a", 2001), ("b", 2003)]
+
+
+def test_derived_rows_fall_back_or_stay_null(frame, rows):
+    df = frame([("s", "t", "PM", 10.0), ("s", "u", "PM", 10.0), ("q", "t", "PM", 10.0), ("s", "t", "CO", 1.0)], "a string, b string, gas string, v double")
+    rules = frame([("s", "t", 0.5), ("s", "z", 0.2)], "a string, b string, f double")
+    out = J.derived_rows(df, F.col("gas") == "PM", rules, [["a", "b"], ["a"]], {"BC": "f"}, "gas", "v")
+    assert rows(out.where("gas = 'BC'"), "a", "b", "v") == [("q", "t", None), ("s", "t", 5.0), ("s", "u", 2.0)]
+    assert out.count() == 7

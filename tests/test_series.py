@@ -173,3 +173,23 @@ def test_moving_average_keeps_ends_empty(frame):
 def test_cumulative_product_with_zero_and_negative(frame):
     df = frame([("a", 1, 2.0), ("a", 2, -3.0), ("a", 3, 0.0), ("a", 4, 5.0)], "k string, year int, f double")
     assert [r.p for r in S.cumulative_product(df, ["k"], "f", "p").orderBy("year").collect()] == [2.0, -6.0, 0.0, 0.0]
+
+
+def test_many_splits_with_a_merge(frame):
+    rows = [("P", 1990, 100.0), ("A", 1992, 30.0), ("B", 1992, 10.0), ("Q", 1995, 8.0), ("C", 1996, 0.0), ("D", 1996, 0.0), ("X", 1990, 5.0), ("X", 1996, 6.0)]
+    df = frame(rows, "area string, year int, value double")
+    splits = frame([("P", "A", 1992), ("P", "B", 1992), ("Q", "C", 1996), ("Q", "D", 1996)], "parent string, part string, split_year int")
+    merges = frame([("D", "C")], "part string, whole string")
+    got = {(r.area, r.year): r.value for r in S.backcast_splits(df, splits, [], "area", merges=merges).collect()}
+    assert got == {
+        ("A", 1990): 75.0, ("A", 1992): 30.0, ("B", 1990): 25.0, ("B", 1992): 10.0,
+        ("C", 1995): 8.0, ("C", 1996): 0.0, ("X", 1990): 5.0, ("X", 1996): 6.0,
+    }
+
+
+def test_backcast_by_ratio_without_trend(frame):
+    rows = [("i", "P", 1990, 50.0), ("i", "A", 1992, 30.0), ("i", "B", 1992, 70.0), ("j", "P", 1990, 5.0), ("j", "A", 1992, 0.0)]
+    df = frame(rows, "item string, area string, year int, value double")
+    out = S.backcast_by_ratio(df, F.col("area") == "P", 1992, ["item"], "area")
+    got = {(r.item, r.area): r.value for r in out.where("year = 1990").collect()}
+    assert got == {("i", "A"): 15.0, ("i", "B"): 35.0, ("j", "A"): 0.0}
