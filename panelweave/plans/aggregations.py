@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from panelweave.functions.semantics import (
     lenient_sum,
     ratio,
-    strict_mean,
     strict_sum,
     sum_where,
     weighted_mean,
@@ -75,12 +74,13 @@ def _ag4(t):
 @query(
     "ag5_mean",
     f"""WITH {SEGMENTS} SELECT c_nationkey, c_mktsegment, year,
-        CASE WHEN count(value) = count(*) THEN round(avg(value), 8) END AS strict,
-        round(avg(value), 8) AS known FROM seg GROUP BY 1, 2, 3""",
+        CASE WHEN count(value) = count(*) THEN round(sum(value), 2) / count(*) END AS strict,
+        round(sum(value), 2) / count(value) AS known FROM seg GROUP BY 1, 2, 3""",
 )
 def _ag5(t):
     return gaps_by_segment(t).groupBy("c_nationkey", "c_mktsegment", "year").agg(
-        F.round(strict_mean("value"), 8).alias("strict"), F.round(F.avg("value"), 8).alias("known")
+        ratio(F.round(strict_sum("value"), 2), F.count(F.lit(1))).alias("strict"),
+        ratio(F.round(F.sum("value"), 2), F.count("value")).alias("known"),
     )
 
 
@@ -231,13 +231,13 @@ def _ag18(t):
 
 @query(
     "ag19_two_step_mean",
-    f"""WITH {CY} SELECT c_nationkey, round(avg(value), 8) AS mean FROM
+    f"""WITH {CY} SELECT c_nationkey, round(sum(value), 2) / count(*) AS mean FROM
         (SELECT DISTINCT o_custkey, year, value FROM cy) JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
 )
 def _ag19(t):
     who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return t.cy.select("o_custkey", "year", "value").join(who, "o_custkey").groupBy("c_nationkey").agg(
-        F.round(F.avg("value"), 8).alias("mean")
+        ratio(F.round(F.sum("value"), 2), F.count(F.lit(1))).alias("mean")
     )
 
 

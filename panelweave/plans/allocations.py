@@ -82,14 +82,14 @@ def _d4(t):
 @query(
     "d5_scale_to_control_totals",
     """WITH s AS (SELECT l_orderkey, sum(l_extendedprice) AS v FROM lineitem GROUP BY 1)
-       SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * coalesce(o_totalprice / nullif(v, 0), 1), 6) AS scaled
+       SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * coalesce(o_totalprice / nullif(v, 0), 1), 4) AS scaled
        FROM lineitem JOIN s USING (l_orderkey) LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus = 'F'""",
 )
 def _d5(t):
     control = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     detail = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     out = A.scale_to_control(detail, control, ["l_orderkey"], "l_extendedprice", "o_totalprice", out="scaled")
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("scaled", 6).alias("scaled"))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("scaled", 4).alias("scaled"))
 
 
 @query(
@@ -142,16 +142,16 @@ def _d17(t):
 
 @query(
     "d18_input_output_coefficient",
-    """SELECT l_partkey, round(sum(l_extendedprice) / sum(l_quantity), 6) AS io,
+    """SELECT l_partkey, round(sum(l_extendedprice), 2) / sum(l_quantity) AS io,
        sum(l_quantity) - sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS net FROM lineitem GROUP BY 1""",
 )
 def _d18(t):
     sums = t.lineitem.groupBy("l_partkey").agg(
-        F.sum("l_extendedprice").alias("input"),
+        F.round(F.sum("l_extendedprice"), 2).alias("input"),
         F.sum("l_quantity").alias("output"),
         sum_where(F.col("l_returnflag") == "R", "l_quantity").alias("own"),
     )
-    return sums.select("l_partkey", F.round(ratio("input", "output"), 6).alias("io"), (F.col("output") - F.col("own")).alias("net"))
+    return sums.select("l_partkey", ratio("input", "output").alias("io"), (F.col("output") - F.col("own")).alias("net"))
 
 
 @query(
@@ -197,14 +197,14 @@ def _d21(t):
 @query(
     "d22_proportional_shrink",
     """WITH s AS (SELECT *, sum(l_extendedprice) OVER (PARTITION BY l_suppkey) AS tot FROM lineitem)
-       SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * ((tot - greatest(0, s_acctbal)) / tot), 6) AS kept
+       SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * ((tot - greatest(0, s_acctbal)) / tot), 4) AS kept
        FROM s JOIN supplier ON l_suppkey = s_suppkey""",
 )
 def _d22(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     extra = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.greatest("s_acctbal", F.lit(0.0)).alias("extra"))
     out = A.shrink_group(rows, ["l_suppkey"], "l_extendedprice", extra, "extra", "kept")
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("kept", 6).alias("kept"))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("kept", 4).alias("kept"))
 
 
 @query(
