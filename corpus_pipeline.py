@@ -8,18 +8,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import lines, minhash, quality
+from panelweave.llm import decontam, lines, minhash, pieces, quality
 from panelweave.llm.arrow import written
-from panelweave.llm.queries import table
+from panelweave.llm.queries import piece_model, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def keep(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of each id that ``judged`` marks as ``kept``, equal texts of one id once.
+
+    A null id is an id like others.
+    """
+    known = lambda df: df.withColumn("__id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    kept = known(judged.where("kept")).select("__id").distinct()
+    return known(docs).join(kept, "__id").dropDuplicates(["__id", "text"]).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    kept = judged.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept"))).select(*docs.columns)
+    return keep(docs, quality.judge(docs, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,14 +37,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept"))).select(*docs.columns)
+    return keep(docs, minhash.near_duplicates(docs))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti").select(*docs.columns)
+
+
+def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Counts and digests of the pieces of every text."""
+    return pieces.digests(docs, piece_model())
 
 
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
     ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece_encoding", sentencepiece_encoding),
 ]
 
 #: SQL cannot express the forest; tests hold the stages against brute force.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelweave.llm.arrow import written
 from panelweave.operators.groups import null_safe_join
 
 #: Values of the registered query and of the pipeline.
@@ -57,7 +58,8 @@ def drop_boilerplate(
     clash = {"__site", "lines", "n_lines", "n_removed", "__split", "__kept"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns in the way: {sorted(clash)}")
-    known = boilerplate(docs, site, text, ratio, pages)
+    # written first: the planner then knows its size before it plans to move the texts
+    known = written(boilerplate(docs, site, text, ratio, pages), "boilerplate")
     joined = null_safe_join(docs, known, {site: "__site"}, "left")
     kept = F.when(
         F.col("lines").isNotNull(),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import lines, minhash, quality
+from panelweave.llm import decontam, lines, minhash, pieces, quality
 from panelweave.session import use_settings
 
 
@@ -28,6 +28,10 @@ def op3_quality_rules(spark, sf_dir):
     return judged.select(*named, "anomaly")
 
 
+def op4_benchmark_decontamination(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -36,5 +40,26 @@ def op8_line_dedup(spark, sf_dir):
     return lines.drop_boilerplate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_minhash_near_dedup, op8_line_dedup)}
+def piece_model() -> bytes:
+    """The public model file's bytes, read where the query is built and shared from there."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
+def op10_pieces(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_quality_rules,
+        op4_benchmark_decontamination,
+        op6_minhash_near_dedup,
+        op8_line_dedup,
+        op10_pieces,
+    )
+}
 SQL = {"op8_line_dedup": lines.twin()}
