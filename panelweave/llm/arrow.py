@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import panelweave
 from panelweave.session import scratch_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, as --py-files would; once per application."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(spark.sparkContext.applicationId)
+    root = os.path.dirname(os.path.abspath(panelweave.__file__))
+    if not os.path.isdir(root):
+        return  # it came in an archive, which the workers have too
+    path = os.path.join(tempfile.mkdtemp(), "panelweave.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+
 
 def map_batches(df: DataFrame, columns: Sequence, make: Callable, schema: str) -> DataFrame:
     """Rows that ``make`` yields for each Arrow batch of the given columns.
@@ -16,6 +40,7 @@ def map_batches(df: DataFrame, columns: Sequence, make: Callable, schema: str) -
     ``make`` gets a record batch and returns an iterator of dicts of columns.
     """
     names = [c.split()[0] for c in schema.split(", ")]
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import decontam, lines, minhash, pieces, quality
+from panelweave.llm import decontam, lines, minhash, pieces, quality, suffixes, toxicity, urls
 from panelweave.session import use_settings
 
 
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.rule_table(spark)).drop("url")
+
+
 def op3_quality_rules(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged = quality.judge(docs, labels)
@@ -32,10 +37,20 @@ def op4_benchmark_decontamination(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark, sf_dir):
+    judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", "worst", "offending")
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    cut = suffixes.drop_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_line_dedup(spark, sf_dir):
     return lines.drop_boilerplate(table(spark, sf_dir, "documents"))
 
@@ -55,11 +70,14 @@ def op10_pieces(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_url_filters,
         op3_quality_rules,
         op4_benchmark_decontamination,
+        op5_toxicity,
         op6_minhash_near_dedup,
+        op7_suffix_dedup,
         op8_line_dedup,
         op10_pieces,
     )
 }
-SQL = {"op8_line_dedup": lines.twin()}
+SQL = {"op1_url_filters": urls.twin(), "op8_line_dedup": lines.twin()}

@@ -100,9 +100,14 @@ def count_in(mask: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(np.flatnonzero(mask), offs))
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range; ranges are in order and do not overlap."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, cuts: tuple[int, ...] = ()):
+    """64-bit hash of each byte range; ranges are in order and do not overlap.
+
+    With ``cuts`` also a row per cut with the hashes of the ranges' first so
+    many bytes, different from every range's own; 0 where a range is no longer.
+    """
     out = np.empty(len(starts), U64)
+    heads = np.zeros((len(cuts), len(starts)), U64)
     a = 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + BLOCK, "right")))
@@ -113,10 +118,15 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         part *= up[: len(part)]
         total = np.zeros(len(part) + 1, U64)
         np.cumsum(part, out=total[1:])
-        s = starts[a:b] - base
-        out[a:b] = (total[ends[a:b] - base] - total[s]) * down[s]
+        s, e = starts[a:b] - base, ends[a:b] - base
+        out[a:b] = (total[e] - total[s]) * down[s]
+        for row, n in zip(heads, cuts):
+            longer = np.flatnonzero(e - s > n)
+            at = s[longer]
+            row[a + longer] = mix(((total[at + n] - total[at]) * down[at]) ^ U64(n << 56))
         a = b
-    return mix(out)
+    out = mix(out)
+    return (out, heads) if cuts else out
 
 
 def words(data: np.ndarray, offs: np.ndarray, kind: np.ndarray = IS_WORD):
