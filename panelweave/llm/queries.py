@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import decontam, lines, minhash, pieces, quality, suffixes, toxicity, urls
+from panelweave.llm import decontam, lines, minhash, pieces, quality, spans, suffixes, toxicity, urls
 from panelweave.session import use_settings
 
 
@@ -55,6 +55,10 @@ def op8_line_dedup(spark, sf_dir):
     return lines.drop_boilerplate(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark, sf_dir):
+    return spans.drop_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def piece_model() -> bytes:
     """The public model file's bytes, read where the query is built and shared from there."""
     import public_tokenizers
@@ -77,6 +81,7 @@ QUERIES = {
         op6_minhash_near_dedup,
         op7_suffix_dedup,
         op8_line_dedup,
+        op9_substring_dedup,
         op10_pieces,
     )
 }
