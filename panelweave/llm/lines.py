@@ -53,17 +53,16 @@ def drop_boilerplate(
     share ``removed`` of the characters would go (line ends not counted) is
     itself a copied page, not a page with boilerplate, and is left whole to the
     duplicate operators. A null text stays null and has no lines; an empty text
-    has one blank line.
+    has one blank line. Columns named like the results are replaced.
     """
-    clash = {"__site", "lines", "n_lines", "n_removed", "__split", "__kept"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
+    others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     # written first: the planner then knows its size before it plans to move the texts
     known = written(boilerplate(docs, site, text, ratio, pages), "boilerplate")
-    joined = null_safe_join(docs, known, {site: "__site"}, "left")
+    known = known.withColumnRenamed("lines", "__lines")
+    joined = null_safe_join(docs.select(*others), known, {site: "__site"}, "left")
     kept = F.when(
-        F.col("lines").isNotNull(),
-        F.filter("__split", lambda x: ~F.array_contains("lines", _digest(x))),
+        F.col("__lines").isNotNull(),
+        F.filter("__split", lambda x: ~F.array_contains("__lines", _digest(x))),
     ).otherwise(F.col("__split"))
     length = lambda c: F.length(F.concat_ws("", c))
     whole = length("__split") - length("__kept") > length("__split") * removed
@@ -74,7 +73,7 @@ def drop_boilerplate(
         .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size("__split")))
         .withColumn("n_removed", F.size("__split") - F.size("__kept"))
         .withColumn(text, F.when(F.col(text).isNotNull(), F.concat_ws("\n", "__kept")))
-        .select(*docs.columns, "n_lines", "n_removed")
+        .select(*others, "n_lines", "n_removed")
     )
 
 

@@ -247,7 +247,7 @@ def _grid(segments: list[tuple[int, int, list[str]]]) -> tuple[list[int], list[l
     return edges, ends
 
 
-def learn_field(windows: list[tuple[list[tuple[int, int, list[str]]], dict[tuple[int, int], str]]], rounds: int = 12) -> Field:
+def learn_field(windows: list[tuple[list[tuple[int, int, list[str]]], dict[tuple[int, int], str]]], rounds: int = 20) -> Field:
     """Weights that make the marked segments likely: gradient steps with their own rate per weight."""
     made = Field()
     weights, squares = made.weights, {}
@@ -266,7 +266,7 @@ def learn_field(windows: list[tuple[list[tuple[int, int, list[str]]], dict[tuple
             for name, g in step.items():
                 g -= 1e-3 * weights.get(name, 0.0)
                 squares[name] = squares.get(name, 1e-6) + g * g
-                weights[name] = weights.get(name, 0.0) + 0.3 * g / math.sqrt(squares[name])
+                weights[name] = weights.get(name, 0.0) + 0.7 * g / math.sqrt(squares[name])
     return made
 
 
@@ -281,7 +281,7 @@ def _rewritten(kind: str, value: str, rng: np.random.Generator) -> tuple[str, bo
     if kind == "card":
         four = [d[i : i + 4] for i in range(0, len(d), 4)]
         wrong = d[:-1] + str((int(d[-1]) + 1 + pick) % 10)
-        return [(".".join(four), True), ("  ".join(four), True), (wrong, False), (wrong, False), (f"{wrong[:10]}", False), (d[:8], False)][pick]
+        return [(".".join(four), True), ("  ".join(four), True), (wrong, False), (wrong, False), (wrong[:10], False), (f"978-{d[3]}-{d[4:6]}-{d[6:12]}-{d[12]}", False)][pick]
     if kind == "email":
         name, _, site = value.partition("@")
         forms = [f"{name} (at) {site}", f"{name}[at]{site}", f"{name} [at] {site.replace('.', ' dot ')}", f"{name} @ {site}", f"@{site}", f"{name}@"]

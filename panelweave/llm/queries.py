@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import decontam, lines, minhash, pieces, quality, spans, suffixes, toxicity, urls
+from panelweave.llm import decontam, lines, minhash, pieces, pii, quality, spans, suffixes, toxicity, urls
 from panelweave.session import use_settings
 
 
@@ -26,6 +26,11 @@ def op1_url_filters(spark, sf_dir):
     return urls.judge(pages, urls.rule_table(spark)).drop("url")
 
 
+def op2_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.judge(docs, pii.learn(docs))
+
+
 def op3_quality_rules(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged = quality.judge(docs, labels)
@@ -75,6 +80,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters,
+        op2_pii,
         op3_quality_rules,
         op4_benchmark_decontamination,
         op5_toxicity,

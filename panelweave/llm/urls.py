@@ -101,11 +101,11 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
         F.when(F.col("__verdict") == "block", 1).otherwise(0).alias("strict"),
     )
     best = met.groupBy(F.col("host").alias("__of_host"), F.col("path").alias("__of_path")).agg(
-        F.max_by(F.struct(F.concat("__host", "__path").alias("rule"), F.col("__verdict").alias("verdict")), rank).alias("won")
+        F.max_by(F.struct(F.concat("__host", "__path").alias("rule"), F.col("__verdict").alias("verdict")), rank).alias("__won")
     )
     out = null_safe_join(seen, best, {"host": "__of_host", "path": "__of_path"}, "left")
     return out.select(
-        *seen.columns, F.col("won.rule").alias("rule"), F.coalesce("won.verdict", F.lit(default)).alias("verdict")
+        *seen.columns, F.col("__won.rule").alias("rule"), F.coalesce("__won.verdict", F.lit(default)).alias("verdict")
     )
 
 
