@@ -134,9 +134,20 @@ def recode(c: ColumnOrName, mapping: Mapping, default: Column | None = None) ->
 
 
 def raise_if(cond: Column, message: Column | str) -> Column:
-    """Boolean that is true, or fails the job where ``cond`` holds; for use in ``where``."""
+    """Boolean that is true, or fails the job where ``cond`` holds; for use in ``where``.
+
+    The row number, never below 0, is no function of the row. That keeps the optimiser from combining the
+    check with a later filter or moving one below it, which would silence it
+    for the rows that the later filter drops.
+    """
     message = F.lit(message) if isinstance(message, str) else message
-    return F.when(cond, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return F.when(cond, F.raise_error(message).cast("boolean")).otherwise(F.monotonically_increasing_id() >= 0)
+
+
+def year_between(date: ColumnOrName, first: int, last: int | None = None) -> Column:
+    """Whether a date lies in a year (or in the years up to ``last``), as bounds that reach the scan."""
+    low, high = (F.lit(f"{y}-01-01").cast("date") for y in (first, (last or first) + 1))
+    return (col(date) >= low) & (col(date) < high)
 
 
 # --- text -------------------------------------------------------------------

@@ -33,16 +33,24 @@ def checked_join(
 
     Every left row must find exactly one right row, and no joined column may
     be null except those in ``ignore``. The check is part of the plan, so it
-    costs no extra action. Duplicate right keys are found by a combining
-    aggregate; only a duplicate that a left row asks for is an error. A null
-    key counts as a miss unless ``null_keys`` lets it match a null key.
+    costs no extra action, and no later filter can skip it. Right keys are
+    counted by a combining aggregate over the keys alone; only a duplicate that
+    a left row asks for is an error. A null key counts as a miss unless
+    ``null_keys`` lets it match a null key.
     """
     pairs = _pairs(on)
     new = [c for c in right.columns if c not in pairs.values()]
     renamed = {r: f"__key_{r}" for r in pairs.values()}
-    lookup = right.groupBy(*[F.col(r).alias(k) for r, k in renamed.items()]).agg(
-        F.count(F.lit(1)).alias("__matches"), *[F.first(c).alias(c) for c in new]
+    counts = right.groupBy(*[F.col(r).alias(f"__n{k}") for r, k in renamed.items()]).agg(
+        F.count(F.lit(1)).alias("__matches")
     )
+    # Plain equality unless a null key may match: the lookup then is shuffled
+    # anew for the join with ``left``, which lets a hot key of ``left`` be split.
+    lookup, named = right.withColumnsRenamed(renamed), {k: f"__n{k}" for k in renamed.values()}
+    if null_keys:
+        lookup = null_safe_join(lookup, counts, named, "inner")
+    else:
+        lookup = lookup.join(counts, [F.col(k) == F.col(n) for k, n in named.items()]).drop(*named.values())
     joined = null_safe_join(left, lookup, {lk: renamed[rk] for lk, rk in pairs.items()}, "left")
     bad = F.col("__matches").isNull() | (F.col("__matches") > 1)
     bad = reduce(lambda rest, c: rest | F.col(c).isNull(), [c for c in new if c not in ignore], bad)
@@ -74,13 +82,15 @@ def keep_first_join(
     return attach(left, first_rows(right, on, order_by, last=last), on)
 
 
-def replicate(df: DataFrame, other: DataFrame, blocks: int = 64) -> DataFrame:
+def replicate(df: DataFrame, other: DataFrame, blocks: int | None = None) -> DataFrame:
     """Every row of ``df`` with every row of ``other``.
 
     Written as an equi-join on a block number: rows of ``df`` are spread over
     blocks and ``other`` is present in each, so the product is spread evenly
-    over tasks when ``other`` is too large to be sent to all of them.
+    over tasks when ``other`` is too large to be sent to all of them. There are
+    as many blocks as shuffle partitions unless the caller states a number.
     """
+    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = df.withColumn("__block", F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int"))
     copies = other.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return spread.join(copies, "__block").drop("__block")
@@ -129,12 +139,15 @@ def complete_panel(
 ) -> DataFrame:
     """As ``complete``, reading its input once and leaving it partitioned by key.
 
-    A key's rows are gathered to see which values lack, so a key must have a
-    small known number of rows, such as one per year; aggregate first.
+    A key's rows are gathered to see which values lack, so a key must have one
+    row per value, such as a year; aggregate first. A second row of one key and
+    value fails the job.
     """
     rest = [f for f in df.schema.fields if f.name not in keys and f.name != name]
     kind = df.schema[name].dataType
     rows = df.groupBy(*keys).agg(F.collect_list(F.struct(name, *[f.name for f in rest])).alias("__rows"))
+    taken = F.transform("__rows", lambda row: row[name])
+    rows = rows.where(raise_if(F.size("__rows") > F.size(F.array_distinct(taken)), f"several rows of one key and {name}"))
     wanted = F.array(*[F.lit(v).cast(kind) for v in values])
     lacking = F.array_except(wanted, F.transform("__rows", lambda row: row[name]))
     blanks = F.transform(

@@ -116,8 +116,23 @@ def empty_branches(df: DataFrame, levels: Sequence[str], value: str) -> DataFram
 
 
 def prune_empty(df: DataFrame, levels: Sequence[str], value: str) -> DataFrame:
-    """Drop the rows below empty branches."""
-    return with_group(df, levels, {"__sum": F.sum(value)}).where(F.col("__sum") != 0).drop("__sum")
+    """Drop the rows in a branch whose total is zero, at whichever level it is; a null total is no zero.
+
+    Levels are judged on the whole table, as ``empty_branches`` does: leaves
+    that cancel make their branch empty and go with it.
+    """
+    out = df
+    for depth in range(1, len(levels) + 1):
+        branch = list(levels[:depth])
+        empty = df.groupBy(*branch).agg(F.sum(value).alias("__sum")).where("__sum = 0").drop("__sum")
+        out = drop_matching(out, empty, branch)
+    return out
+
+
+def prune_references(df: DataFrame, pruned: DataFrame, kept: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Drop the rows that name a branch which ``pruned`` had and ``kept`` has no more; other rows stay."""
+    gone = drop_matching(pruned.select(*names).distinct(), kept, names)
+    return drop_matching(df, gone, names)
 
 
 def pass_through(
@@ -169,17 +184,18 @@ def rekey(
     return joined.withColumnsRenamed(dict(new)).select(*columns).distinct().dropna()
 
 
-def lineage_closure(edges: DataFrame, source: str, target: str, max_depth: int = 100) -> DataFrame:
+def lineage_closure(edges: DataFrame, source: str, target: str) -> DataFrame:
     """All pairs of a table and the tables it feeds, directly or through others, with the fewest steps.
 
     Semi-naive: only pairs found in the last step are extended. Every step is
-    checkpointed, so the plan does not grow. The loop ends when a step finds
-    nothing new; running past ``max_depth`` is an error, not a cut.
+    written out, so the plan does not grow. The loop ends when a step finds
+    nothing new, with cycles too.
     """
     step = edges.select(F.col(source).alias("source"), F.col(target).alias("target")).distinct()
     fresh = cut_lineage(step.withColumn("depth", F.lit(1)))
-    known = fresh
-    for depth in range(2, max_depth + 2):
+    known, depth = fresh, 1
+    while True:
+        depth += 1
         reached = (
             fresh.select("source", F.col("target").alias("__via"))
             .join(step.withColumnRenamed("source", "__via"), "__via")
@@ -190,4 +206,3 @@ def lineage_closure(edges: DataFrame, source: str, target: str, max_depth: int =
         if fresh.isEmpty():
             return known
         known = known.unionByName(fresh)
-    raise RuntimeError(f"lineage deeper than {max_depth} steps")

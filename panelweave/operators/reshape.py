@@ -34,9 +34,14 @@ def spread(
     value: str,
     names: Sequence,
     fill=None,
+    others: str = "fail",
 ) -> DataFrame:
-    """One column per name; two rows for one cell fail the job."""
-    cells = []
+    """One column per name; two rows for one cell fail the job.
+
+    So does a key value that is not listed, unless ``others`` is "drop".
+    """
+    unlisted = F.col(key).isNull() | ~F.col(key).isin(list(names)) if names else F.lit(True)
+    cells = [F.count(F.when(unlisted, F.lit(1))).alias("__others")]
     for name in names:
         hit = F.col(key) == F.lit(name)
         cells += [
@@ -46,6 +51,8 @@ def spread(
     wide = df.groupBy(*ids).agg(*cells)
     crowded = F.greatest(*[F.col(f"`__n_{n}`") for n in names], F.lit(0)) > 1
     wide = wide.where(raise_if(crowded, f"several rows for one cell of {key}"))
+    if others == "fail":
+        wide = wide.where(raise_if(F.col("__others") > 0, f"{key} has a value that is not listed"))
     wide = wide.select(*ids, *[F.col(f"`{n}`") for n in names])
     return wide.fillna(fill, subset=[str(n) for n in names]) if fill is not None else wide
 
@@ -88,6 +95,6 @@ def stack_tables(tables: Sequence[DataFrame], renames: Sequence[Mapping[str, str
     return out
 
 
-def equivalence_row(group: str, tags: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Names and values of a one-row table listing the tags of one group."""
-    return ["group.name", *[f"tag{i}" for i in range(1, len(tags) + 1)]], [group, *tags]
+def equivalence_rows(df: DataFrame, group: str, tag: str) -> DataFrame:
+    """One row per group with the list of its distinct tags in order, however many there are."""
+    return df.groupBy(group).agg(F.sort_array(F.collect_set(tag)).alias("tags"))

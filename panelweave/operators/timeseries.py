@@ -11,9 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.functions.semantics import ratio
+from panelweave.functions.semantics import raise_if, ratio
 from panelweave.operators.groups import attach, with_group, with_panel
 from panelweave.operators.joins import complete_panel, replicate, replicate_values
+from panelweave.operators.reshape import spread
+from panelweave.session import cut_lineage
 
 
 def over(keys: Sequence[str], order: str | Column = "year"):
@@ -129,9 +131,11 @@ def decay_extrapolate(
     """Fill gaps linearly, then decay exponentially toward a floor beyond the last known year.
 
     The floor is ``floor`` times the last known value. A row naming a shadow
-    technology follows that technology and decays only the difference to it.
-    Rows without parameters keep their gaps. ``df`` is long, with one row per
-    key, technology and year; the parameters are constant within a key.
+    technology follows that technology and decays only the difference to it; a
+    shadow technology without a value for the year fails the job. Rows without
+    parameters keep their gaps. ``df`` is long, with one row per key,
+    technology and year; the parameters are constant within a key. The
+    completed series are written once, for leaders and followers alike.
     """
     ids = [*keys, tech]
     years = sorted(set(out_years))
@@ -140,7 +144,7 @@ def decay_extrapolate(
     filled = interpolate(grid, [*ids, *params], y=value)
     whole = Window.partitionBy(*ids, *params)
     known_year = F.when(F.col(value).isNotNull(), F.col("year"))
-    based = filled.withColumn("__y0", F.max(known_year).over(whole))
+    based = cut_lineage(filled.withColumn("__y0", F.max(known_year).over(whole)))
 
     def decay(v0: Column) -> Column:
         fade = F.pow(F.lit(1.0) - F.col(rate), F.col("year") - F.col("__y0"))
@@ -158,7 +162,8 @@ def decay_extrapolate(
     gap = F.col(value) - F.col("__lead")
     followers = based.where(F.col(shadow).isNotNull())
     followers = (
-        attach(followers, lead, [*keys, shadow, "year"])
+        attach(followers, lead.withColumn("__led", F.lit(True)), [*keys, shadow, "year"])
+        .where(raise_if(given & F.col("__led").isNull(), "shadow technology is missing"))
         .withColumn("__v0", F.max(F.when(F.col("year") == F.col("__y0"), gap)).over(whole))
         .withColumn(
             value,
@@ -328,11 +333,13 @@ def fold_years(
 
     ``step(previous, row)`` gives a row's result from the previous row's
     result. The years of a key are gathered into one sorted array, so the input
-    must have one row per key and year.
+    must have one row per key and year; a second one fails the job.
     """
     packed = df.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(order, *fields))).alias("__rows")
     )
+    taken = F.transform("__rows", lambda row: row[order])
+    packed = packed.where(raise_if(F.size("__rows") > F.size(F.array_distinct(taken)), f"several rows of one key and {order}"))
     kind = "double"
     result = F.aggregate(
         "__rows",
@@ -348,6 +355,12 @@ def fold_years(
     )
 
 
+def _year_cells(df: DataFrame, keys: Sequence[str], years: Sequence[int], value: str, prefix: str) -> DataFrame:
+    """One column per listed year; a second row of a key and year, or another year, fails the job."""
+    cells = df.select(*keys, F.concat(F.lit(prefix), F.col("year").cast("string")).alias("__cell"), value)
+    return spread(cells, keys, "__cell", value, [f"{prefix}{y}" for y in years])
+
+
 def fill_members_from_total(
     members: DataFrame, totals: DataFrame, group: Sequence[str], member: Sequence[str], years: Sequence[int], value: str = "value"
 ) -> DataFrame:
@@ -359,11 +372,11 @@ def fill_members_from_total(
     year. One aggregate collects, for each pair of years, the known values
     that members missing in between carry back; the factors follow year by
     year from these sums, and one join brings them to the members. ``years``
-    is a short list, ``members`` one row per member and year.
+    is a short list, ``members`` one row per member and year, ``totals`` one
+    per group and year. A second row, or a year that is not listed, fails the job.
     """
     years = sorted(years)
-    at = lambda y: F.max(F.when(F.col("year") == y, F.col(value)))
-    rows = members.groupBy(*group, *member).agg(*[at(y).alias(f"v{y}") for y in years])
+    rows = _year_cells(members, [*group, *member], years, value, "v")
     carried = []
     for i, year in enumerate(years):
         gap = F.lit(True)
@@ -371,7 +384,7 @@ def fill_members_from_total(
             gap = gap & F.col(f"v{last}").isNull()
             carried.append(F.sum(F.when(gap, F.col(f"v{later}"))).alias(f"s{year}_{later}"))
     known = [F.sum(F.coalesce(f"v{y}", F.lit(0.0))).alias(f"k{y}") for y in years]
-    limits = totals.groupBy(*group).agg(*[at(y).alias(f"t{y}") for y in years])
+    limits = _year_cells(totals, group, years, value, "t")
     sums = attach(rows.groupBy(*group).agg(*known, *carried), limits, group)
     for i in reversed(range(len(years) - 1)):
         year, base, factor = years[i], F.lit(0.0), F.lit(1.0)
@@ -403,11 +416,12 @@ def vintage_additions(
     A vintage works at full output up to the last year of its life; in the
     period in which it retires it gives the part of the period it worked.
     Additions are what observed output leaves over, never negative, and the
-    first period's output is all new. ``df`` has one row per key and year.
+    first period's output is all new. ``df`` has one row per key and year; a
+    second one, or a year that is not listed, fails the job.
     """
     years = sorted(years)
     steps = dict(zip(years, [first_step, *[b - a for a, b in zip(years, years[1:])]]))
-    wide = df.groupBy(*keys).agg(*[F.max(F.when(F.col("year") == y, F.col(value))).alias(f"v{y}") for y in years])
+    wide = _year_cells(df, keys, years, value, "v")
     added: dict[int, Column] = {}
     for year in years:
         working = F.lit(0.0)

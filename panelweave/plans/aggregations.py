@@ -202,8 +202,8 @@ def _ag15(t):
        WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
 )
 def _ag16(t):
-    last = t.orders.agg(F.max(F.year("o_orderdate"))).scalar()
-    return t.orders.where(F.year("o_orderdate") == last).select("o_orderkey", "o_totalprice")
+    begin = t.orders.agg(F.trunc(F.max("o_orderdate"), "year")).scalar()
+    return t.orders.where(F.col("o_orderdate") >= begin).select("o_orderkey", "o_totalprice")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mean
+from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mean, year_between
 from panelweave.operators import allocation as A
 from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, replicate_values
@@ -236,7 +236,7 @@ def _d23(t):
         FROM interp JOIN ts USING (n_nationkey, year)""",
 )
 def _d24(t):
-    early = t.orders.where(F.year("o_orderdate") <= 1998)
+    early = t.orders.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("date"))
     sums = (
         early.groupBy("o_custkey", "o_orderpriority", F.year("o_orderdate").alias("year"))
         .agg(F.sum("o_totalprice").alias("v"))
@@ -355,7 +355,7 @@ def _d29(t):
        LEFT JOIN s ON s.c_nationkey = m.c_nationkey AND s.c_mktsegment = m.c_mktsegment AND s.o_orderpriority = c.o_orderpriority""",
 )
 def _d30(t):
-    seen = t.orders.where((F.col("o_orderstatus") == "F") & (F.year("o_orderdate") == 1995))
+    seen = t.orders.where((F.col("o_orderstatus") == "F") & year_between("o_orderdate", 1995))
     who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     sums = (
         seen.groupBy("o_custkey", "o_orderpriority")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from panelweave.functions.semantics import year_between
 from panelweave.operators import joins as J
 from panelweave.operators.balances import reconcile_bilateral
 from panelweave.operators.groups import attach, first_rows
@@ -135,7 +136,7 @@ def _j11(t):
        (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = 2000)""",
 )
 def _j12(t):
-    active = t.orders.where(F.year("o_orderdate") == 2000)
+    active = t.orders.where(year_between("o_orderdate", 2000))
     return J.drop_matching(t.customer.select("c_custkey", "c_name"), active, {"c_custkey": "o_custkey"})
 
 

@@ -213,13 +213,23 @@ def _n11(t):
 
 @query(
     "n12_prune_empty_branches",
-    """WITH v AS (SELECT p_brand, p_type, p_name, sum(CASE WHEN p_retailprice > 975 AND p_size > 25 THEN p_size ELSE 0 END) AS v FROM part GROUP BY 1, 2, 3)
-       SELECT p_brand, p_type, p_name, CAST(3 - grouping(p_type) - grouping(p_name) AS INTEGER) AS depth FROM v
-       GROUP BY GROUPING SETS ((p_brand), (p_brand, p_type), (p_brand, p_type, p_name)) HAVING sum(v) = 0""",
+    """WITH v AS (SELECT p_partkey, p_brand, p_type, p_name, CASE WHEN p_retailprice > 975 AND p_size > 25 THEN p_size ELSE 0 END AS v FROM part),
+       s AS (SELECT *, sum(v) OVER (PARTITION BY p_brand) AS a, sum(v) OVER (PARTITION BY p_brand, p_type) AS b,
+               sum(v) OVER (PARTITION BY p_brand, p_type, p_name) AS c FROM v),
+       kept AS (SELECT * FROM s WHERE a <> 0 AND b <> 0 AND c <> 0),
+       market AS (SELECT DISTINCT p_brand, p_type FROM part),
+       gone AS (SELECT p_brand, p_type FROM market EXCEPT SELECT p_brand, p_type FROM kept)
+       SELECT 'branch' AS kind, p_partkey, p_brand, p_type, p_name FROM kept UNION ALL
+       SELECT 'market', NULL, p_brand, p_type, NULL FROM market m
+       WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.p_brand = m.p_brand AND g.p_type = m.p_type)""",
 )
 def _n12(t):
     amount = F.when((F.col("p_retailprice") > 975) & (F.col("p_size") > 25), F.col("p_size")).otherwise(0)
-    return R.empty_branches(t.part.withColumn("v", amount), ["p_brand", "p_type", "p_name"], "v")
+    tree = t.part.select("p_partkey", "p_brand", "p_type", "p_name", amount.alias("v"))
+    kept = R.prune_empty(tree, ["p_brand", "p_type", "p_name"], "v")
+    markets = R.prune_references(t.part.select("p_brand", "p_type").distinct(), tree, kept, ["p_brand", "p_type"])
+    kept = kept.drop("v").withColumn("kind", F.lit("branch"))
+    return kept.unionByName(markets.withColumn("kind", F.lit("market")), allowMissingColumns=True)
 
 
 @query(

@@ -1,9 +1,9 @@
 """Queries for wide and long forms."""
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from panelweave.functions.semantics import sum_where
-from panelweave.operators.reshape import gather_years, spread
+from panelweave.operators.reshape import equivalence_rows, gather_years, spread
 from panelweave.plans.registry import query
 from panelweave.plans.views import CY, YEARS
 from panelweave.sources.sinks import nest
@@ -64,17 +64,11 @@ def _r5(t):
     )
 
 
-TAGS = range(1, 26)
-
-
 @query(
     "r6_equivalence_row",
-    f"""WITH b AS (SELECT p_type, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) AS i
-          FROM (SELECT DISTINCT p_type, p_brand FROM part))
-        SELECT p_type, {', '.join(f"max(CASE WHEN i = {i} THEN p_brand END) AS tag{i}" for i in TAGS)} FROM b GROUP BY 1""",
+    """SELECT p_type, count(DISTINCT p_brand) AS n_tags, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS tags
+       FROM part GROUP BY 1""",
 )
 def _r6(t):
-    # One row per brand and type: the window is as long as the list of brands.
-    pairs = t.part.select("p_type", "p_brand").distinct()
-    place = F.concat(F.lit("tag"), F.row_number().over(Window.partitionBy("p_type").orderBy("p_brand")).cast("string"))
-    return spread(pairs.withColumn("col", place), ["p_type"], "col", "p_brand", [f"tag{i}" for i in TAGS])
+    rows = equivalence_rows(t.part, "p_type", "p_brand")
+    return rows.select("p_type", F.size("tags").cast("long").alias("n_tags"), F.array_join("tags", ",").alias("tags"))

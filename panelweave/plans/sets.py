@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from panelweave.functions.semantics import year_between
 from panelweave.operators.quality import duplicate_keys
 from panelweave.operators.reshape import stack_tables
 from panelweave.plans.registry import query
@@ -44,7 +45,7 @@ ACTIVE = "SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = "
         UNION ALL SELECT 'only first', o_custkey FROM ({ACTIVE} 1995 EXCEPT {ACTIVE} 1996)""",
 )
 def _u3(t):
-    active = lambda y: t.orders.where(F.year("o_orderdate") == y).select("o_custkey")
+    active = lambda y: t.orders.where(year_between("o_orderdate", y)).select("o_custkey")
     a, b = active(1995), active(1996)
     tag = lambda df, kind: df.select(F.lit(kind).alias("kind"), "o_custkey")
     return (

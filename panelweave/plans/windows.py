@@ -2,7 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
-from panelweave.functions.semantics import ratio, row_max, row_min
+from panelweave.functions.semantics import ratio, row_max, row_min, sum_where, year_between
 from panelweave.operators.allocation import index_to_member
 from panelweave.operators.curves import supply_curve
 from panelweave.operators.groups import share, with_group
@@ -28,10 +28,11 @@ URGENT = """urgent AS (SELECT c_custkey, c_nationkey, c_mktsegment, round(coales
 
 
 def urgent(t):
-    chosen = t.orders.where(
-        (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT") & (F.year("o_orderdate") == 1998)
+    # all orders are read; only the few that count have a value, so that some totals are zero
+    chosen = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT") & year_between("o_orderdate", 1998)
+    sums = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.round(sum_where(chosen, "o_totalprice"), 2).alias("value")
     )
-    sums = chosen.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.round(F.sum("o_totalprice"), 2).alias("value"))
     return (
         t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
         .join(sums, "c_custkey", "left")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,37 +38,34 @@ def use_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
-    """Start shuffles with enough partitions for an input; adaptive execution merges small ones.
-
-    Returns the number set, which is never below ``spark.sql.shuffle.partitions``.
-    """
-    wanted = max(-(-input_bytes // partition_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only in local mode with the setting unset;
-    on a cluster a missing setting is an error.
+    Where the setting is absent, a folder beside the session's tables: all
+    executors share the warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="panelweave-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder below the shared one; holds all its scratch tables."""
+    return f"{checkpoint_root(spark).rstrip('/')}/panelweave-{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for a table written and read back."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the run's folder for a table written and read back."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the run's folder; call it when the results that read from it are stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df):

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from panelweave.sources.tables import path_missing
+
 # One letter per column in the types line.
 TYPE_CODES: dict[str, T.DataType | None] = {
     "c": T.StringType(),
@@ -94,8 +96,9 @@ def find_table(spark: SparkSession, base: str, optional: bool = False) -> str |
         try:
             spark.read.text(base + extension)
             return base + extension
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if not path_missing(error):
+                raise
     if optional:
         return None
     raise FileNotFoundError(base)
@@ -125,7 +128,9 @@ def read_annotated(spark: SparkSession, path: str, name: str | None = None) -> A
         header = [r.value for r in spark.read.text(path + ".header").orderBy("value").collect()]
         header = [re.sub(r"^[0-9]{4} ", "", line) for line in header]
         columns = _leading_lines(spark, path)[1]
-    except AnalysisException:
+    except AnalysisException as error:
+        if not path_missing(error):
+            raise
         header, columns = _leading_lines(spark, path)
         name = re.sub(r"\.gz$", "", name)
     metadata = parse_header(header, name)

@@ -12,10 +12,17 @@ def optional_table(spark: SparkSession, path: str, schema: T.StructType) -> Data
     """The table, or an empty one of the given schema where it is absent."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not path_missing(error):
+            raise
         return spark.createDataFrame([], schema)
 
 
+def path_missing(error: AnalysisException) -> bool:
+    """Whether nothing is there; a table that is there but cannot be read is an error."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """The primary table, or the fallback where the primary is empty; decided inside the plan."""
     return primary.unionByName(fallback.select(*primary.columns).where(~primary.exists()))

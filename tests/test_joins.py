@@ -29,6 +29,23 @@ def test_checked_join_fails_though_columns_are_pruned(frame, left):
         J.checked_join(left, frame([(1, 10.0)], "k int, w double"), ["k"]).select("v").collect()
 
 
+@pytest.mark.parametrize("later", ["v = 'a'", "w > 5", "k = 1", "w = 10 and v = 'a'"])
+def test_checked_join_fails_though_a_later_filter_drops_the_row(frame, left, later):
+    with pytest.raises(PySparkException, match="missed or is ambiguous"):
+        J.checked_join(left, frame([(1, 10.0)], "k int, w double"), ["k"]).where(later).collect()
+
+
+def test_checked_join_sorts_nothing_to_count_keys(spark, frame, left):
+    plan = J.checked_join(left, frame([(1, "p"), (2, "q")], "k int, w string"), ["k"])
+    assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_complete_panel_fails_on_two_rows_of_one_key_and_year(frame):
+    df = frame([("a", 1, 5), ("a", 1, 6)], "k string, year int, v int")
+    with pytest.raises(PySparkException, match="several rows"):
+        J.complete_panel(df, ["k"], "year", [1, 2]).collect()
+
+
 def test_checked_join_ignored_column_and_null_key(frame, rows):
     left = frame([(1, "a"), (None, "b")], "k int, v string")
     right = frame([(1, None), (None, 5.0)], "k int, w double")

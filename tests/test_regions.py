@@ -5,6 +5,18 @@ from pyspark.sql import functions as F, types as T
 from panelweave.operators import quality as Q, regions as R, reshape as H
 
 
+def test_spread_rejects_values_that_are_not_listed(frame, rows):
+    df = frame([(1, "a", 5), (1, "z", 6)], "k int, n string, v int")
+    with pytest.raises(PySparkException, match="not listed"):
+        H.spread(df, ["k"], "n", "v", ["a"]).collect()
+    assert rows(H.spread(df, ["k"], "n", "v", ["a"], others="drop")) == [(1, 5)]
+
+
+def test_tag_lists_of_any_length(frame):
+    df = frame([("g", f"t{i:02}") for i in range(26)] * 2, "g string, t string")
+    assert H.equivalence_rows(df, "g", "t").first()["tags"] == [f"t{i:02}" for i in range(26)]
+
+
 def test_spread_rejects_crowded_cells(frame):
     df = frame([("a", "x", 1), ("a", "x", 2)], "k string, n string, v int")
     with pytest.raises(PySparkException, match="several rows"):
@@ -34,12 +46,23 @@ def test_overlay_adds_and_replaces(frame, rows):
     assert rows(R.overlay(base, frame([(2, 21), (3, 30)], "k int, v int"), ["k"])) == [(1, 10, "x"), (2, 21, "y"), (3, 30, None)]
 
 
-def test_lineage_with_a_cycle_and_depth_limit(frame, rows):
+def test_lineage_with_a_cycle(frame, rows):
     edges = frame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "s string, t string")
     out = R.lineage_closure(edges, "s", "t")
     assert [r for r in rows(out) if r[0] == "a"] == [("a", "a", 3), ("a", "b", 1), ("a", "c", 2), ("a", "d", 3)]
-    with pytest.raises(RuntimeError):
-        R.lineage_closure(edges, "s", "t", max_depth=1)
+
+
+def test_lineage_of_any_depth(frame):
+    edges = frame([(i, i + 1) for i in range(8)], "s int, t int")
+    assert R.lineage_closure(edges, "s", "t").agg({"depth": "max"}).first()[0] == 8
+
+
+def test_cancelling_leaves_make_an_empty_branch(frame, rows):
+    df = frame([("a", "x", 5), ("a", "y", -5), ("b", "x", 1), ("b", "y", 0), ("c", None, 2)], "l1 string, l2 string, v int")
+    kept = R.prune_empty(df, ["l1", "l2"], "v")
+    assert rows(kept) == [("b", "x", 1), ("c", None, 2)]
+    trade = frame([("a", 1), ("b", 2), ("z", 3), (None, 4)], "l1 string, n int")
+    assert rows(R.prune_references(trade, df, kept, ["l1"])) == [("b", 2), ("z", 3), (None, 4)]
 
 
 def test_empty_branches_and_pruning(frame, rows):

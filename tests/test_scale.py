@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from panelweave.operators.groups import first_rows, share, with_group
 from panelweave.operators.joins import checked_join
 from panelweave.operators.scans import quantiles
-from panelweave.session import checkpoint_root, cut_lineage, scratch_dir, size_shuffles, use_settings
+from panelweave.session import checkpoint_root, cut_lineage, drop_scratch, run_dir, scratch_dir, use_settings
 
 SMALL = {
     "spark.sql.shuffle.partitions": "64",
@@ -70,18 +70,37 @@ def test_quantile_of_a_hot_key(skewed):
     assert got == (values[49_999] + values[50_000]) / 2
 
 
-def test_shuffle_sizing(spark):
-    assert size_shuffles(spark, 1 << 40) == 8192
-    assert size_shuffles(spark, 10) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-
-
 def test_scratch_follows_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_root(spark) == root and scratch_dir(spark, "x").startswith(root)
     assert cut_lineage(spark.range(3)).inputFiles()[0].removeprefix("file://").startswith(root)
 
 
+def test_scratch_without_the_setting_lies_beside_the_tables(spark, monkeypatch):
+    setting = spark.conf.get("spark.checkpoint.dir")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: {"spark.sql.warehouse.dir": "/shared/tables"}.get(key, default))
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, path: None)
+    assert checkpoint_root(spark) == "/shared/tables/_scratch" and setting
+
+
+def test_scratch_is_removed_as_a_whole(spark):
+    cut_lineage(spark.range(3))
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert system.exists(folder)
+    drop_scratch(spark)
+    assert not system.exists(folder)
+
+
+def test_year_bounds_reach_the_scan(spark):
+    import __spark_entry__ as entry
+
+    for name in ("j12_anti_join", "u3_value_set_operations"):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan, name
+
+
 def test_no_collecting_or_pairing_nodes_in_core_plans(spark):
     import __spark_entry__ as entry
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelweave.operators import timeseries as S
@@ -193,3 +194,23 @@ def test_backcast_by_ratio_without_trend(frame):
     out = S.backcast_by_ratio(df, F.col("area") == "P", 1992, ["item"], "area")
     got = {(r.item, r.area): r.value for r in out.where("year = 1990").collect()}
     assert got == {("i", "A"): 15.0, ("i", "B"): 35.0, ("j", "A"): 0.0}
+
+
+@pytest.mark.parametrize("extra", [("m", 1, 6.0), ("m", 9, 6.0)], ids=["second row", "year not listed"])
+def test_members_and_vintages_fail_on_rows_they_cannot_place(frame, extra):
+    rows = frame([("m", 1, 5.0), ("m", 2, 7.0), extra], "member string, year int, value double")
+    with pytest.raises(PySparkException):
+        S.vintage_additions(rows, ["member"], [1, 2], 30).collect()
+    totals = frame([("g", 1, 9.0), ("g", 2, 9.0)], "grp string, year int, value double")
+    members = rows.withColumn("grp", F.lit("g"))
+    with pytest.raises(PySparkException):
+        S.fill_members_from_total(members, totals, ["grp"], ["member"], [1, 2]).collect()
+
+
+def test_missing_shadow_technology_fails(frame):
+    df = frame(
+        [("r", "a", y, 10.0 - y, 0.1, 0.5, None) for y in (1, 2)] + [("r", "b", y, 20.0 - y, 0.1, 0.5, "gone") for y in (1, 2)],
+        "region string, technology string, year int, value double, improvement_rate double, improvement_max double, improvement_shadow_technology string",
+    )
+    with pytest.raises(PySparkException, match="shadow technology"):
+        S.decay_extrapolate(df, ["region"], [1, 2, 3]).collect()
