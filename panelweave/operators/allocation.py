@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.functions.semantics import clamp, if_else, raise_if, ratio
-from panelweave.operators.groups import attach, share, with_group, with_total
+from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, complete_panel, replicate
 from panelweave.operators.timeseries import interpolate
 
@@ -54,14 +54,30 @@ def scale_to_control(
     total: str,
     default: float | None = 1.0,
     out: str | None = None,
+    short: bool = False,
 ) -> DataFrame:
-    """Scale rows so that each key sums to its control total; keys without one keep ``default`` times their data."""
+    """Scale rows so that each key sums to its control total; keys without one keep ``default`` times their data.
+
+    ``short`` states that a key has few rows, as an order has lines: its sum
+    then comes from a window, and the rows are read and shuffled once. ``keys``
+    must not be null then.
+    """
+    if short:
+        summed = with_panel(detail, keys, {"__bottom_up": F.sum(value)}).join(control.select(*keys, total), list(keys), "left")
+        scaled = F.col(value) * ratio(total, "__bottom_up", default)
+        return summed.withColumn(out or value, scaled).select(*dict.fromkeys([*detail.columns, out or value]))
     scalers = control_scalers(detail, control, keys, value, total, default)
     return attach(detail, scalers, keys).withColumn(out or value, F.col(value) * F.col("scaler")).drop("scaler")
 
 
-def scale_strict(detail: DataFrame, available: DataFrame, keys: Sequence[str], value: str, total: str, out: str) -> DataFrame:
+def scale_strict(
+    detail: DataFrame, available: DataFrame, keys: Sequence[str], value: str, total: str, out: str, short: bool = False
+) -> DataFrame:
     """As ``scale_to_control``, but a key without a control total fails the job."""
+    if short:
+        summed = with_panel(detail, keys, {"__bottom_up": F.sum(value)})
+        both = checked_join(summed, available.select(*keys, total), keys)
+        return both.withColumn(out, F.col(value) * ratio(total, "__bottom_up")).drop("__bottom_up", total)
     sums = detail.groupBy(*keys).agg(F.sum(value).alias("__bottom_up"))
     scalers = checked_join(sums, available.select(*keys, total), keys).select(
         *keys, ratio(total, "__bottom_up").alias("__scaler")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import clamp, ratio
 from panelweave.operators.groups import attach, with_group, with_total
 from panelweave.operators.scans import quantiles, running_total, tie_buckets
+from panelweave.session import cut_lineage
 
 
 def smooth_supply(exponent: Column, mid: Column, base: Column, maximum: Column, price: Column) -> Column:
@@ -114,17 +115,22 @@ def fit_by_grid(
     points: DataFrame,
     keys: Sequence[str],
     parameters: Mapping[str, tuple[float, float]],
-    error: Column,
+    error: Column | Callable[..., Column],
     rounds: Sequence[int],
 ) -> DataFrame:
     """Parameters with the least sum of squared errors, by successively finer grids.
 
-    ``parameters`` gives each range, ``error`` is an expression over the point
-    and parameter columns, and ``rounds`` the number of intervals per range in
-    each round. A round looks one interval of the previous round to each side.
-    Errors are summed by a combining aggregate, so a key may have any number of
-    points.
+    ``parameters`` gives each range and ``rounds`` the number of intervals per
+    range in each round. A round looks one interval of the previous round to
+    each side. ``error`` is a function of the parameters that gives an
+    expression over the point columns: the errors at all values of the last
+    parameter are then sums of one aggregate, and points are repeated for the
+    other parameters only. As a plain expression over point and parameter
+    columns it costs a copy of the points per grid cell. Sums combine map-side,
+    so a key may have any number of points.
     """
+    if callable(error):
+        return _fit_by_sums(points, keys, parameters, error, rounds)
     names = list(parameters)
     centre = None
     width = {n: hi - lo for n, (lo, hi) in parameters.items()}
@@ -147,6 +153,31 @@ def fit_by_grid(
     return last.withColumnsRenamed({f"__{n}": n for n in names})
 
 
+def _fit_by_sums(points, keys, parameters, error, rounds):
+    *others, last = parameters
+    centre, width = None, {n: hi - lo for n, (lo, hi) in parameters.items()}
+    for parts in rounds:
+        rows = points if centre is None else attach(points, centre.drop("sse"), keys)
+        step = {n: width[n] / parts for n in parameters}
+        low = {n: F.lit(lo) if centre is None else F.col(f"__{n}") - F.lit(width[n] / 2) for n, (lo, _) in parameters.items()}
+        at = lambda n, begin, i: clamp(begin + i * F.lit(step[n]), *map(F.lit, parameters[n]))
+        for n in others:
+            rows = rows.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(parts)))).withColumn(n, at(n, low[n], F.col("__i")))
+        rows = rows.withColumn("__low", low[last])
+        squares = []
+        for i in range(parts + 1):
+            e = error(**{n: F.col(n) for n in others}, **{last: at(last, F.col("__low"), F.lit(i))})
+            squares.append(F.sum(e * e).alias(f"__s{i}"))
+        sums = rows.groupBy(*keys, *others, "__low").agg(*squares)
+        cells = [
+            F.struct(F.col(f"__s{i}").alias("sse"), *others, at(last, F.col("__low"), F.lit(i)).alias(last)) for i in range(parts + 1)
+        ]
+        best = sums.select(*keys, F.least(*cells).alias("__cell")).groupBy(*keys).agg(F.min("__cell").alias("__best"))
+        centre = best.select(*keys, *[F.col("__best")[n].alias(f"__{n}") for n in parameters], F.col("__best")["sse"].alias("sse"))
+        width = {n: 2 * step[n] for n in parameters}
+    return centre.withColumnsRenamed({f"__{n}": n for n in parameters})
+
+
 def abatement_shares(
     reductions: DataFrame, baseline: DataFrame, keys: Sequence[str], cost: str, amount: str, total: str, width: float, cap: float = 0.95
 ) -> DataFrame:
@@ -168,8 +199,10 @@ def cap_outliers(
     Members are ranked by weight and an integer id. The threshold is the smaller of the group's
     quantile and the largest value among the members that make up ``top_share``
     of the weight (the largest member at least). ``widths`` are the weight and
-    value ranges one task scans.
+    value ranges one task scans. The input is written once, as it is read
+    several times.
     """
+    df = cut_lineage(df)
     ranked = running_total(
         df,
         {"__cum": weight},
@@ -177,10 +210,11 @@ def cap_outliers(
         [F.col(weight).desc(), F.col(order_id).asc()],
         tie_buckets(-F.col(weight), widths[0], order_id, 1_000_000),
         totals={"__total": "__cum"},
+        even=-F.col(weight),
     )
     shared = ranked.withColumn("__part", ratio("__cum", "__total", 0))
     least = df.groupBy(*keys).agg(ratio(F.max(weight), F.sum(weight), 0).alias("__least"))
-    top = attach(shared, least, keys).where(
+    top = cut_lineage(attach(shared, least, keys).select(*keys, value, weight, "__part", "__least")).where(
         (F.col("__part") <= F.greatest(F.col("__least"), F.lit(top_share)))
         & ~((F.col(weight) == 0) & (F.col("__part") > 0))
     )

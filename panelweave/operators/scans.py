@@ -13,6 +13,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.operators.groups import attach
+from panelweave.session import cut_lineage
+
+#: Pieces of about equal size into which a key's rows are cut by sampled values.
+PIECES = 64
 
 
 def running_total(
@@ -22,6 +26,7 @@ def running_total(
     order_by: Sequence[Column],
     buckets: Sequence[Column],
     totals: Mapping[str, str] | None = None,
+    even: Column | None = None,
 ) -> DataFrame:
     """Add inclusive running sums; ``values`` maps output to input columns.
 
@@ -29,7 +34,15 @@ def running_total(
     along the order within the one before it. A second bucket such as
     ``struct(value, floor(id / n))`` cuts a run of equal values. ``totals``
     maps further columns to running sums whose key total they get.
+
+    ``even`` is a number by which rows are ordered first. Its quantiles, roughly
+    known from one aggregate per key, then cut the order ahead of ``buckets``,
+    so that a bucket which holds most of a key's values is shared by tasks.
     """
+    if even is not None:
+        df, even_bucket = with_even_pieces(cut_lineage(df), keys, even)
+        made = running_total(df, values, keys, order_by, [even_bucket, *buckets], totals)
+        return made.drop("__limits")
     names = list(values)
     totals = dict(totals or {})
     levels = [f"__bucket{i}" for i in range(len(buckets))]
@@ -46,6 +59,19 @@ def running_total(
     )
 
 
+def with_even_pieces(df: DataFrame, keys: Sequence[str], value: Column) -> tuple[DataFrame, Column]:
+    """The rows with their key's limits, and the piece a row falls into.
+
+    The limits are written once: every use of the pieces must see the same.
+    """
+    probs = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
+    limits = df.groupBy(*keys).agg(F.percentile_approx(value.cast("double"), probs, F.lit(1000)).alias("__limits"))
+    limits = cut_lineage(limits)
+    rows = attach(df, limits, keys) if keys else df.withColumn("__limits", limits.scalar())
+    beyond = [F.when(value > F.get("__limits", F.lit(i)), 1).otherwise(0) for i in range(PIECES - 1)]
+    return rows, sum(beyond[1:], beyond[0])
+
+
 def _offsets(sums, names, keys, levels, totals):
     """What comes before each bucket, from the sums per bucket."""
     outer, level = levels[:-1], levels[-1]
@@ -91,6 +117,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: float) -
         [F.col(value)],
         [F.floor(F.col(value) / F.lit(float(width)))],
         totals={"total": "upto"},
+        even=F.col(value),
     )
 
 

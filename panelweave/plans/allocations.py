@@ -88,7 +88,7 @@ def _d4(t):
 def _d5(t):
     control = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     detail = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    out = A.scale_to_control(detail, control, ["l_orderkey"], "l_extendedprice", "o_totalprice", out="scaled")
+    out = A.scale_to_control(detail, control, ["l_orderkey"], "l_extendedprice", "o_totalprice", out="scaled", short=True)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("scaled", 4).alias("scaled"))
 
 
@@ -101,7 +101,7 @@ def _d5(t):
 def _d6(t):
     control = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     detail = t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag", "l_quantity")
-    out = A.scale_strict(detail, control, ["l_orderkey"], "l_quantity", "o_totalprice", "scaled")
+    out = A.scale_strict(detail, control, ["l_orderkey"], "l_quantity", "o_totalprice", "scaled", short=True)
     return out.groupBy("l_suppkey", "l_returnflag").agg(F.round(F.sum("scaled"), 4).alias("scaled"))
 
 
@@ -463,7 +463,7 @@ def _d35(t):
 def _d36(t):
     control = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     detail = t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity")
-    out = A.scale_to_control(detail, control, ["l_orderkey"], "l_quantity", "o_totalprice", default=0.0, out="scaled")
+    out = A.scale_to_control(detail, control, ["l_orderkey"], "l_quantity", "o_totalprice", default=0.0, out="scaled", short=True)
     return out.groupBy("l_suppkey").agg(F.round(F.sum("scaled"), 4).alias("scaled"))
 
 

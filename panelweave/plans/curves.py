@@ -119,8 +119,8 @@ def _c6(t):
         (F.col("mid_price") - F.col("base_price")).alias("mid"),
         (F.col("supply") / F.col("supply_total")).alias("y"),
     )
-    fitted = ratio(F.pow("x", "b"), F.pow("mid", "b") + F.pow("x", "b"))
-    out = C.fit_by_grid(cut_lineage(points), ["p_brand"], {"b": (1.0, 15.0)}, fitted - F.col("y"), [28, 20, 20])
+    error = lambda b: ratio(F.pow("x", b), F.pow("mid", b) + F.pow("x", b)) - F.col("y")
+    out = C.fit_by_grid(cut_lineage(points), ["p_brand"], {"b": (1.0, 15.0)}, error, [28, 20, 20])
     return out.select("p_brand", F.round("b", 6).alias("exponent"), F.round("sse", 6).alias("sse"))
 
 
@@ -139,7 +139,7 @@ def _c7(t):
     points = left.select(
         "n_nationkey", (F.col("year") - 1995).alias("x"), (1 - F.col("run") / F.col("total")).alias("y")
     )
-    error = C.s_curve(F.col("k"), F.col("h"), F.col("x")) - F.col("y")
+    error = lambda k, h: C.s_curve(k, h, F.col("x")) - F.col("y")
     out = C.fit_by_grid(cut_lineage(points), ["n_nationkey"], {"k": (0.0, 4.0), "h": (0.0, 10.0)}, error, [20, 10])
     return out.select(
         "n_nationkey",

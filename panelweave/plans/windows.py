@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 from panelweave.functions.semantics import ratio, row_max, row_min, sum_where, year_between
 from panelweave.operators.allocation import index_to_member
 from panelweave.operators.curves import supply_curve
-from panelweave.operators.groups import share, with_group
+from panelweave.operators.groups import share, with_panel
 from panelweave.operators.scans import running_total, tie_buckets, with_quantiles
 from panelweave.operators.timeseries import anchor_value, cumulative_product, moving_average, over
 from panelweave.plans.registry import query
@@ -119,6 +119,7 @@ def _w8(t):
         [F.col("total").desc(), F.col("o_custkey").asc()],
         tie_buckets(-F.col("total"), 100000, "o_custkey", 1_000_000),
         totals={"all": "cum"},
+        even=-F.col("total"),
     )
     return run.select("c_nationkey", "o_custkey", F.round(ratio("cum", "all"), 9).alias("cum_share"))
 
@@ -234,7 +235,7 @@ def _w17(t):
     f"WITH {LINES} SELECT n_lines, count(*) AS rows, sum(l_quantity) AS qty FROM lineitem JOIN lines USING (l_orderkey) GROUP BY 1",
 )
 def _w18(t):
-    rows = with_group(t.lineitem.select("l_orderkey", "l_quantity"), ["l_orderkey"], {"n_lines": F.count(F.lit(1))})
+    rows = with_panel(t.lineitem.select("l_orderkey", "l_quantity"), ["l_orderkey"], {"n_lines": F.count(F.lit(1))})
     return rows.groupBy("n_lines").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").alias("qty"))
 
 

@@ -108,3 +108,15 @@ def test_no_collecting_or_pairing_nodes_in_core_plans(spark):
         plan = executed(entry.queries()[name](spark, "/root/testdata/sf0.001"))
         for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert node not in plan, (name, node)
+
+
+def test_a_bucket_with_very_many_values_is_shared_by_tasks(spark):
+    """300,000 distinct values under one key and one literal width."""
+    from panelweave.operators.scans import running_total, tie_buckets, with_even_pieces
+
+    rows = spark.range(0, 300_000, 1, 8).select(F.lit(1).alias("k"), (F.col("id") / 1e6).alias("v"), "id")
+    pieces, piece = with_even_pieces(rows, ["k"], F.col("v"))
+    counts = [r["count"] for r in pieces.groupBy(piece.alias("p")).count().collect()]
+    assert len(counts) >= 60 and max(counts) < 300_000 / 30
+    run = running_total(rows, {"n": "id"}, ["k"], [F.col("v"), F.col("id")], tie_buckets(F.col("v"), 1000, "id", 10**6), even=F.col("v"))
+    assert run.where(F.col("n") != F.col("id") * (F.col("id") + 1) / 2).count() == 0
