@@ -268,7 +268,8 @@ def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequen
     Each tier's balances are split into imported, stock and current parts,
     divided by the matching extraction rate, and added to the source items in
     proportion to their processed use; the source's processed use drops by the
-    sink's production. ``cut`` may materialise the table between tiers.
+    sink's production. ``cut`` may materialise the input and the table between
+    tiers, which are read several times; the last result is not.
     """
     rows = df.select("comm", "item", "tier", area, "year", "element", "value")
     if cut is not None:
@@ -312,7 +313,7 @@ def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequen
             .groupBy("comm", "item", "tier", area, "year", "element")
             .agg(F.sum("value").alias("value"))
         )
-        if cut is not None:
+        if cut is not None and tier != min(tiers):
             rows = cut(rows)
     return sum_elements(rows, ["comm", area, "year"])
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from panelweave.operators import balances as B
 from panelweave.operators.joins import checked_join
 from panelweave.plans.registry import query
-from panelweave.plans.views import BILAT, SUA
+from panelweave.plans.views import BILAT, SUA, YEARS
 from panelweave.session import cut_lineage
 
 CELL = ["area", "item", "year"]
@@ -140,13 +140,24 @@ def rebalance_sql(table: str, keys: str, name: str, stocks: bool) -> str:
         UNION ALL SELECT {keys}, 'Residuals', bal_source, s - d FROM {name}_b{stock})"""
 
 
-def balance_sql(table: str, keys: str, name: str) -> str:
-    """SQL for the imported, lagged and current parts of the balances of a table."""
+def balance_sql(table: str, keys: str, name: str, years: bool = False) -> str:
+    """SQL for the imported, lagged and current parts of the balances of a table.
+
+    With ``years``, the lagged and current parts get zeros in the years they lack.
+    """
+    split, filled = f"{name}_s_u", ""
+    if years:
+        ids = ", ".join(k for k in keys.split(", ") if k != "year")
+        filled = f"""{name}_ids AS (SELECT DISTINCT {ids}, element, bal_source FROM {split}),
+      {name}_all AS (SELECT {ids}, year, element, bal_source, coalesce(value, 0) AS value FROM {name}_ids
+        CROSS JOIN (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS year) LEFT JOIN {split} USING ({ids}, year, element, bal_source)),"""
+        split = f"{name}_all"
     return f"""{split_sql(table, keys, 'Import', 'bal_import', 'bal_domestic', name + '_i')},
       {rebalance_sql(name + '_i_u', keys, name + '_imp', False)},
       {name}_dom AS (SELECT {keys}, element, value FROM {name}_imp WHERE bal_source = 'bal_domestic'),
       {split_sql(name + '_dom', keys, 'Opening stocks', 'bal_domestic_lag', 'bal_domestic_current', name + '_s')},
-      {rebalance_sql(name + '_s_u', keys, name + '_stk', True)},
+      {filled}
+      {rebalance_sql(split, keys, name + '_stk', True)},
       {name} AS (SELECT * FROM {name}_stk UNION ALL SELECT * FROM {name}_imp WHERE bal_source = 'bal_import')"""
 
 
@@ -165,10 +176,10 @@ def _d13(t):
 
 @query(
     "d14_stock_balance",
-    f"""WITH {SUA}, {balance_sql('sua', KEYS, 'bal')} SELECT {KEYS}, element, bal_source, round(value, 4) + 0 AS value FROM bal""",
+    f"""WITH {SUA}, {balance_sql('sua', KEYS, 'bal', years=True)} SELECT {KEYS}, element, bal_source, round(value, 4) + 0 AS value FROM bal""",
 )
 def _d14(t):
-    out = B.stock_balance(B.import_balance(t.sua, CELL), CELL)
+    out = B.stock_balance(B.import_balance(t.sua, CELL), CELL, YEARS)
     return out.select(*CELL, "element", "bal_source", (F.round("value", 4) + 0).alias("value"))
 
 

@@ -59,7 +59,7 @@ CURVE = """curve AS (
   FROM part GROUP BY 1, 2)"""
 
 # Quantities by both nations, part type, year and return flag.
-FLOWS = """flows AS (
+FLOWS = """flows AS MATERIALIZED (
   SELECT s_nationkey AS s_nation, c_nationkey AS c_nation, p_type AS item,
          CAST(year(o_orderdate) AS INTEGER) AS year, l_returnflag AS flag,
          sum(l_quantity) AS qty, round(sum(l_quantity * l_discount), 2) AS opened,
@@ -71,7 +71,7 @@ FLOWS = """flows AS (
 
 # A long element table built from the flows.
 SUA = f"""{FLOWS},
-sua AS (
+sua AS MATERIALIZED (
   SELECT area, item, year, element, round(sum(value), 2) AS value FROM (
     SELECT s_nation AS area, item, year, 'Production' AS element, qty AS value FROM flows
     UNION ALL SELECT s_nation, item, year, 'Export', qty FROM flows WHERE s_nation <> c_nation
