@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelweave.functions.semantics import clamp, if_else, raise_if, ratio
 from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, complete_panel, replicate
+from panelweave.operators.scans import quantiles
 from panelweave.operators.timeseries import interpolate
 
 
@@ -85,6 +86,16 @@ def scale_strict(
     return checked_join(detail, scalers, keys).withColumn(out, F.col(value) * F.col("__scaler")).drop("__scaler")
 
 
+def complete_with_median(targets: DataFrame, known: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+    """Every target with its known value, or the median of all known values; ``filled`` marks the latter.
+
+    ``width`` is the value range one task scans for the median.
+    """
+    middle = quantiles(known, [], value, {"__middle": 0.5}, width).scalar()
+    rows = attach(targets, known.select(*keys, value), keys)
+    return rows.withColumns({"filled": F.col(value).isNull(), value: F.coalesce(F.col(value), middle)})
+
+
 def deduct_in_order(
     df: DataFrame, first: str, second: str, deduction: str, max_fraction: float, first_out: str, second_out: str
 ) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.functions.semantics import clamp, ratio
-from panelweave.operators.groups import attach, with_group, with_total
+from panelweave.functions.semantics import bin_label, clamp, ratio, weighted_mean
+from panelweave.operators.groups import attach, share, with_group, with_total
 from panelweave.operators.scans import quantiles, running_total, tie_buckets
 from panelweave.session import cut_lineage
 
@@ -178,6 +178,21 @@ def _fit_by_sums(points, keys, parameters, error, rounds):
     return centre.withColumnsRenamed({f"__{n}": n for n in parameters})
 
 
+def lifetimes_by_bin(
+    df: DataFrame, keys: Sequence[str], size: str, weight: str, breaks: Sequence, labels: Sequence[str], shift: float = 0.0
+) -> DataFrame:
+    """Weighted mean lifetime of each bin, in whole years and 1 where negative, and the bin's share of the key's size.
+
+    The lifetime of a row is its ``size`` less ``shift``; bins are right-closed.
+    """
+    binned = df.withColumn("bin", bin_label(size, breaks, labels)).withColumn("__life", F.col(size) - F.lit(shift))
+    sums = binned.groupBy(*keys, "bin").agg(
+        F.bround(weighted_mean("__life", weight), 0).alias("lifetime"), F.sum(size).alias("__size")
+    )
+    life = F.when(F.col("lifetime") < 0, 1.0).otherwise(F.col("lifetime") + 0)
+    return share(sums.withColumn("lifetime", life), "__size", keys).select(*keys, "bin", "lifetime", "share")
+
+
 def abatement_shares(
     reductions: DataFrame, baseline: DataFrame, keys: Sequence[str], cost: str, amount: str, total: str, width: float, cap: float = 0.95
 ) -> DataFrame:

@@ -402,6 +402,22 @@ def fill_members_from_total(
     return filled.select(*group, *member, F.inline(F.array(*cells)))
 
 
+def control_years(
+    rules: DataFrame, keys: Sequence[str], start: str, lifetime: str, last: str, clock, lasting: int = 10
+) -> DataFrame:
+    """When a control begins, ends by its lifetime, and is switched off after its last year in use.
+
+    ``off_year`` is the model period after ``last``; ``lasting`` marks lifetimes of over so many years.
+    """
+    return rules.select(
+        *keys,
+        F.col(start).alias("start_year"),
+        (F.col(start) + F.col(lifetime)).alias("end_year"),
+        clock.next_year(F.col(last)).alias("off_year"),
+        (F.col(lifetime) > lasting).alias("lasting"),
+    )
+
+
 def vintage_additions(
     df: DataFrame,
     keys: Sequence[str],

@@ -6,7 +6,6 @@ from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mea
 from panelweave.operators import allocation as A
 from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, replicate_values
-from panelweave.operators.scans import quantiles
 from panelweave.operators.timeseries import extend, interpolate, over
 from panelweave.plans.registry import query
 from panelweave.plans.series import BETWEEN, interpolation
@@ -494,11 +493,8 @@ def _d38(t):
     known = t.supplier.where("s_acctbal > 8000").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
         F.round(F.avg("s_acctbal"), 8).alias("price")
     )
-    middle = quantiles(known, [], "price", {"m": 0.5}, width=100).scalar()
-    rows = t.nation.select("n_nationkey").join(known, "n_nationkey", "left")
-    return rows.select(
-        "n_nationkey", F.round(F.coalesce("price", middle), 6).alias("price"), F.col("price").isNull().alias("filled")
-    )
+    out = A.complete_with_median(t.nation.select("n_nationkey"), known, ["n_nationkey"], "price", width=100)
+    return out.withColumn("price", F.round("price", 6))
 
 
 @query(

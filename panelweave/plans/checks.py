@@ -6,6 +6,7 @@ from panelweave.functions.units import ModelTime
 from panelweave.operators import quality as Q
 from panelweave.operators.groups import share
 from panelweave.operators.balances import final_balance
+from panelweave.operators.steps import Step, run_steps
 from panelweave.plans.registry import query
 from panelweave.plans.views import BILAT, CY, LINES, SUA, TS, YEARS
 from panelweave.session import cut_lineage
@@ -142,7 +143,8 @@ def yearly_change(inputs):
     f"""WITH {CY} SELECT o_custkey, round(max(CASE WHEN year = 2001 THEN value END) - max(CASE WHEN year = 1995 THEN value END), 2) AS change FROM cy GROUP BY 1""",
 )
 def _ud1(t):
-    return yearly_change({"yearly": t.cy})["change"]
+    step = Step("yearly_change", {"yearly": ["o_custkey", "year", "value"]}, {"change": ["o_custkey", "change"]}, yearly_change)
+    return run_steps([step], {"yearly": t.cy, "unused": t.nation})["change"]
 
 
 @query(

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from panelweave.functions.semantics import bin_label, clamp, ratio, row_min, weighted_mean
+from panelweave.functions.semantics import clamp, ratio, row_min
 from panelweave.functions.units import UNIT_FACTORS
 from panelweave.operators import curves as C
 from panelweave.operators.allocation import fixed_charge_rate
-from panelweave.operators.groups import attach, share, with_group, with_panel
+from panelweave.operators.groups import attach, with_group, with_panel
 from panelweave.operators.timeseries import over, resample
 from panelweave.plans.registry import query
 from panelweave.plans.views import CURVE, CY, TS
@@ -344,12 +344,8 @@ def _c19(t):
          round(generation / sum(generation) OVER (PARTITION BY p_brand), 9) AS share FROM b""",
 )
 def _c20(t):
-    binned = t.part.withColumn("bin", bin_label("p_size", [0, 15, 35, 50], ["young", "middle", "old"]))
-    sums = binned.withColumn("life", F.col("p_size") - 5).groupBy("p_brand", "bin").agg(
-        F.bround(weighted_mean("life", "p_retailprice"), 0).alias("lifetime"), F.sum("p_size").alias("generation")
-    )
-    out = share(sums.withColumn("lifetime", F.when(F.col("lifetime") < 0, 1.0).otherwise(F.col("lifetime") + 0)), "generation", ["p_brand"])
-    return out.select("p_brand", "bin", "lifetime", F.round("share", 9).alias("share"))
+    out = C.lifetimes_by_bin(t.part, ["p_brand"], "p_size", "p_retailprice", [0, 15, 35, 50], ["young", "middle", "old"], 5)
+    return out.withColumn("share", F.round("share", 9))
 
 
 @query(

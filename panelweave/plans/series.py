@@ -377,13 +377,7 @@ def _t18(t):
     rules = t.cy.groupBy("o_custkey").agg(
         F.min("year").alias("start_year"), F.sum("n_orders").cast("int").alias("lifetime"), F.max("year").alias("last")
     )
-    return rules.select(
-        "o_custkey",
-        "start_year",
-        (F.col("start_year") + F.col("lifetime")).alias("end_year"),
-        clock.next_year(F.col("last")).alias("off_year"),
-        (F.col("lifetime") > 10).alias("lasting"),
-    )
+    return S.control_years(rules, ["o_custkey"], "start_year", "lifetime", "last", clock)
 
 
 def recurrence_sql() -> str:
