@@ -8,8 +8,10 @@ checked on their full shingle sets.
 
 No group is expanded into all its pairs. Documents with equal sets form one
 class first. Within a bucket every class is checked against the bucket's
-leader; components of the confirmed links are then known, and only classes that
-still share a bucket with another component go to an exact prefix-filter join.
+leader, another class in nearly every bucket of a large group, so a class meets
+at most as many others as there are bands. The links' components are then
+known, and only classes that still share a bucket with another component go to
+an exact join on the rarest shingles of their sets.
 """
 
 from __future__ import annotations
@@ -150,7 +152,7 @@ def _checked(pairs: DataFrame, of: DataFrame, shingle: int, percent: int) -> Dat
 
 
 def _prefixes(rest: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Rows (token, node, component, size) of the shingles of which linked classes share one.
+    """Rows (token, node, component, size, place) of the shingles of which linked classes share one.
 
     Any fixed order of all shingles makes the join exact: of a set of n, the
     first n - ceil(n * percent / 100) + 1 are enough. Rare shingles come first;
@@ -186,10 +188,11 @@ def _prefixes(rest: DataFrame, shingle: int, percent: int) -> DataFrame:
                 "node": batch.column(0).take(who),
                 "component": batch.column(1).take(who),
                 "size": np.diff(begin)[who.to_numpy() - lo],
+                "place": np.concatenate([np.arange(len(o)) for o in out]) if out else np.empty(0, np.int64),
             }
 
     return map_batches(
-        rest, ["node", "component", "text"], make, "token bigint, node bigint, component bigint, size bigint"
+        rest, ["node", "component", "text"], make, "token bigint, node bigint, component bigint, size bigint, place bigint"
     )
 
 
@@ -217,8 +220,10 @@ def near_duplicates(
 
     # buckets of two or more classes, each with its leader
     keyed = full.select("node", F.explode("bands").alias("bucket"))
-    led = keyed.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    led = led.where("leader != last").select(F.col("bucket").alias("__bucket"), "leader")
+    turned = F.col("node").bitwiseXOR(F.col("bucket"))
+    led = keyed.groupBy("bucket").agg(F.min(turned).alias("first"), F.max(turned).alias("last"))
+    leader = F.col("first").bitwiseXOR(F.col("bucket")).alias("leader")
+    led = led.where("first != last").select(F.col("bucket").alias("__bucket"), leader)
     crowded = written(null_safe_join(keyed, led, {"bucket": "__bucket"}, "inner").distinct(), "crowded")
     pairs = crowded.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
@@ -242,6 +247,8 @@ def near_duplicates(
             tokens.join(other, F.col("token") == F.col("token_b"))
             .where("node < node_b and component != component_b")
             .where(f"100 * least(size, size_b) >= {percent} * greatest(size, size_b)")
+            # at the first shared shingle, what follows must still hold the whole overlap
+            .where(f"least(size - place, size_b - place_b) * {100 + percent} >= {percent} * (size + size_b)")
             .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
             .distinct()
         )
