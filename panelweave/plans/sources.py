@@ -170,12 +170,12 @@ def _s8(t):
 )
 def _s9(t):
     series = sinks.nest(t.ts, ["n_regionkey", "n_nationkey"], "point", ["year"])
-    paths = sinks.write_document(
+    path = sinks.write_one_document(
         {"series": series, "customer": t.customer.select("c_custkey", "c_name", "c_mktsegment")},
         scratch_dir(t.spark, "document"),
         {"customer": ["c_name", "c_custkey", "c_mktsegment"]},
     )
-    read = lambda tag, schema: t.spark.read.format("xml").option("rowTag", tag).schema(schema).load(paths[tag])
+    read = lambda tag, schema: sinks.read_from_document(t.spark, path, tag, schema)
     back = read("series", "n_nationkey int, point array<struct<year: int, value: double>>")
     flat = read("customer", "c_name string, c_custkey long, c_mktsegment string")
     count = lambda df, tag, items: df.agg(

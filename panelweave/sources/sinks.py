@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelweave.operators.quality import contract_select
 
@@ -71,6 +72,43 @@ def write_document(
     return out
 
 
+def write_one_document(
+    tables: Mapping[str, DataFrame],
+    path: str,
+    contracts: Mapping[str, Sequence[str]] | None = None,
+    root: str = "scenario",
+    suffix: str | None = None,
+) -> str:
+    """Write several tables as the rows of one document, each under its header tag; returns the folder.
+
+    Tables follow each other in the order given; within a table rows have no
+    order. The part files in the order of their names are the document. It is
+    cut by ranges of table and row, so a large table is written by many tasks.
+    """
+    pieces = []
+    for place, (tag, df) in enumerate(tables.items(), 1):
+        if contracts and tag in contracts:
+            df = contract_select(df, contracts[tag])
+        # one line per row; a line end inside a value is written as its character reference
+        line = F.replace(F.to_xml(F.struct(*df.columns), {"rowTag": tag, "indent": ""}), F.lit("\n"), F.lit("&#10;"))
+        pieces.append(df.select(F.lit(place).alias("place"), line.alias("line")))
+    spark = pieces[0].sparkSession
+    for place, line in ((0, f"<{root}>"), (len(pieces) + 1, f"</{root}>")):
+        pieces.append(spark.range(1).select(F.lit(place).alias("place"), F.lit(line).alias("line")))
+    whole = reduce(DataFrame.unionByName, pieces).withColumn("spread", F.xxhash64("line"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = whole.repartitionByRange(parts, "place", "spread").sortWithinPartitions("place", "spread")
+    target = with_suffix(path, suffix)
+    ordered.select("line").write.mode("overwrite").text(target)
+    return target
+
+
+def read_from_document(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """The rows under a header tag of a document that ``write_one_document`` wrote."""
+    lines = spark.read.text(path).where(F.col("value").rlike(f"^<{tag}[ >/]"))
+    return lines.select(F.from_xml("value", schema, {"rowTag": tag}).alias("row")).select("row.*")
+
+
 def write_by_scenario(df: DataFrame, path: str, column: str = "scenario") -> str:
     """One folder per scenario."""
     df.write.mode("overwrite").partitionBy(column).parquet(path)

@@ -117,3 +117,18 @@ def test_inputs_are_not_written_unless_asked(frame, tmp_path):
     flags = {"b": ["input"], "c": ["no_output"]}
     assert set(sinks.write_tables(made, flags, str(tmp_path / "1"))) == {"a"}
     assert set(sinks.write_tables(made, flags, str(tmp_path / "2"), write_inputs=True)) == {"a", "b"}
+
+
+def test_one_document_holds_several_tables(spark, frame, tmp_path):
+    import xml.etree.ElementTree as tree
+
+    many = frame([(i, f"n & <{i}>") for i in range(300)], "k int, name string")
+    few = frame([(1.5, [(2001, 3.0)])], "v double, point array<struct<year: int, value: double>>")
+    path = sinks.write_one_document({"many": many, "few": few}, str(tmp_path / "doc"), {"many": ["name", "k"]})
+    files = sorted(f for f in (tmp_path / "doc").iterdir() if f.name.startswith("part-"))
+    root = tree.fromstring("".join(f.read_text() for f in files))
+    assert root.tag == "scenario" and [c.tag for c in root] == ["many"] * 300 + ["few"]
+    assert {(c[0].text, c[1].text) for c in root[:300]} == {(f"n & <{i}>", str(i)) for i in range(300)}
+    assert root[300].find("point/year").text == "2001"
+    back = sinks.read_from_document(spark, path, "many", "name string, k int")
+    assert sorted(map(tuple, back.collect())) == sorted((f"n & <{i}>", i) for i in range(300))
