@@ -1,14 +1,16 @@
 """The registered queries on the smallest tables and the pipeline stage by stage."""
 
+import hashlib
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from helpers import DOCS, documents, near_duplicates, words
+from helpers import DOCS, documents, lowered, near_duplicates, words
+from panelweave.llm import decontam, lines
 from panelweave.llm.queries import QUERIES, SQL
-from panelweave.llm import decontam
 from tools.check import compare, connect
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -61,6 +63,48 @@ def test_clean_documents_pass_and_leaks_go(spark, stages):
     docs = spark.createDataFrame(clean + leaks, DOCS)
     kept = {r[0] for r in stages["benchmark_decontamination"](docs).select("doc_id").collect()}
     assert kept == set(range(50))
-    lines = {r[0]: r[1] for r in stages["line_dedup"](docs).select("doc_id", "text").collect()}
-    assert lines == {r[0]: r[1] for r in clean + leaks}
-    assert decontam.WINDOW == 15
+    cut = {r[0]: r[1] for r in stages["line_dedup"](docs).select("doc_id", "text").collect()}
+    assert cut == {r[0]: r[1] for r in clean + leaks}
+
+
+def plain_leak(text: str, items: list[list[str]]) -> bool:
+    """Whether 12 of 15 tokens in a row agree with an item's."""
+    import numpy as np
+
+    tokens = re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", lowered(text))
+    for item in items:
+        n, m, w = len(tokens), len(item), min(decontam.WINDOW, len(item))
+        if n < w or m < decontam.SPAN:
+            continue
+        equal = np.array(tokens, object)[:, None] == np.array(item, object)[None]
+        agree = sum(equal[k : n - w + k + 1, k : m - w + k + 1].astype(int) for k in range(w))
+        if (100 * agree >= decontam.PERCENT * w).any():
+            return True
+    return False
+
+
+def test_run_is_the_plain_stages_in_a_row(spark):
+    """The forest's choice is taken as it is; every later stage is done again by plain code."""
+    import duckdb
+    import pandas as pd
+    import public_tokenizers
+    import sentencepiece
+
+    kept = corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR)
+    kept = pd.DataFrame([r.asDict() for r in kept.collect()])
+    assert (kept.text.str.split().str.len() >= 20).all()
+    con = duckdb.connect()
+    con.register("kept", kept)
+    rows = con.sql(lines.twin("kept")).select("doc_id, text").fetchall()
+    rows = [(i, t) for (i, _, _, chosen), (_, t) in zip(near_duplicates(rows, 5, 80), rows) if chosen]
+    texts = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    items = [re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", lowered(t)) for t in texts]
+    rows = [(i, t) for i, t in rows if not plain_leak(t, items)]
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {}
+    for i, t in rows:
+        ids = library.encode(t, add_eos=True)
+        want[i] = (len(ids), digest(" ".join(map(str, ids))), digest(library.decode(ids)))
+    out = corpus_pipeline.run(spark, SF_DIR).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert {r[0]: tuple(r[1:]) for r in out} == want and len(out) == len(want)
