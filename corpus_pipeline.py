@@ -43,7 +43,8 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.select(F.col("doc_id").alias("__bad")).distinct()
+    # written first: leaks are few as a rule, and the planner then need not move the texts to them
+    bad = written(found.select(F.col("doc_id").alias("__bad")).distinct(), "leaks")
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti").select(*docs.columns)
 
 
