@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm import textvec as tv
-from panelweave.llm.arrow import map_batches, texts
+from panelweave.llm.arrow import map_batches, texts, written
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -334,8 +334,11 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     Texts of over ``LONGEST`` characters take no part, and at most ``REGIONS``
     regions of either the plain or the rewritten texts.
     """
-    known = docs.where(F.col(text).rlike("[0-9@]") & (F.length(text) <= LONGEST))
-    rows = known.select(text).orderBy(F.xxhash64(key), text).limit(sample).toArrow().column(0).to_pylist()
+    known = docs.where(F.col(key).isNotNull() & F.col(text).rlike("[0-9@]") & (F.length(text) <= LONGEST))
+    # ids first: the choice then moves no texts but those chosen
+    ids = known.select(F.col(key).alias("__key")).orderBy(F.xxhash64("__key"), "__key").limit(sample)
+    chosen = known.join(written(ids.distinct(), "sample"), F.col(key) == F.col("__key")).select(key, text)
+    rows = chosen.orderBy(F.xxhash64(key), text).limit(sample).toArrow().column(1).to_pylist()
     rng = np.random.default_rng(11)
     plain = [w for t in rows for w in windows_of(t)][:REGIONS]
     other = [w for t in rows for w in windows_of(t, rng)][:REGIONS]
