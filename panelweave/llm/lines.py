@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelweave.llm.arrow import written
 from panelweave.operators.groups import null_safe_join
 
-#: Values of the registered query and of the pipeline.
+#: Values of the registered query and of the pipeline. REMOVED is the twin's alone.
 RATIO, PAGES, REMOVED = 0.05, 4, 0.5
 
 
@@ -25,15 +25,18 @@ def boilerplate(
 ) -> DataFrame:
     """Digests of each site's boilerplate lines: ``site`` and an array ``lines``.
 
-    A line counts once per page. It is boilerplate if it stands on at least
-    ``pages`` pages and on more than ``ratio`` of the site's pages. A site has
-    at most (mean distinct lines of a page) / ``ratio`` such lines, so an array
-    stays short whatever the number of pages. Blank lines never count; pages
-    without a site form a site of their own.
+    Pages of a site with one text are one page, so that copies alone make no
+    boilerplate. A line counts once per page. It is boilerplate if it stands on
+    at least ``pages`` pages and on more than ``ratio`` of the site's pages. A
+    site has at most (mean distinct lines of a page) / ``ratio`` such lines, so
+    an array stays short whatever the number of pages. Blank lines never count;
+    pages without a site form a site of their own.
     """
-    totals = docs.groupBy(F.col(site).alias("__of")).agg(F.count(F.lit(1)).alias("total"))
+    page = _digest(F.coalesce(F.col(text), F.lit(""))).alias("__page")
+    totals = docs.select(F.col(site).alias("__of"), page).distinct().groupBy("__of").agg(F.count(F.lit(1)).alias("total"))
     line = F.filter(F.array_distinct(_split(text)), lambda x: F.trim(x) != "")
-    seen = docs.select(F.col(site).alias("__site"), F.explode(F.transform(line, _digest)).alias("line"))
+    every = docs.select(F.col(site).alias("__site"), page, F.transform(line, _digest).alias("__lines"))
+    seen = every.dropDuplicates(["__site", "__page"]).select("__site", F.explode("__lines").alias("line"))
     counts = seen.groupBy("__site", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= pages)
     common = null_safe_join(counts, totals, {"__site": "__of"}, "inner").where(F.col("n") > F.col("total") * ratio)
     return common.groupBy("__site").agg(F.collect_list("line").alias("lines"))
@@ -45,15 +48,13 @@ def drop_boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     pages: int = PAGES,
-    removed: float = REMOVED,
 ) -> DataFrame:
     """The documents without their site's boilerplate lines, with ``n_lines`` and ``n_removed``.
 
-    Every row stays, with its other columns. A page of which more than the
-    share ``removed`` of the characters would go (line ends not counted) is
-    itself a copied page, not a page with boilerplate, and is left whole to the
-    duplicate operators. A null text stays null and has no lines; an empty text
-    has one blank line. Columns named like the results are replaced.
+    Every row stays, with its other columns, and every boilerplate line goes,
+    also from a page that holds little else (its text may become empty). A null
+    text stays null and has no lines; an empty text has one blank line. Columns
+    named like the results are replaced.
     """
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     # written first: the planner then knows its size before it plans to move the texts
@@ -64,12 +65,9 @@ def drop_boilerplate(
         F.col("__lines").isNotNull(),
         F.filter("__split", lambda x: ~F.array_contains("__lines", _digest(x))),
     ).otherwise(F.col("__split"))
-    length = lambda c: F.length(F.concat_ws("", c))
-    whole = length("__split") - length("__kept") > length("__split") * removed
     return (
         joined.withColumn("__split", _split(text))
         .withColumn("__kept", kept)
-        .withColumn("__kept", F.when(whole, F.col("__split")).otherwise(F.col("__kept")))
         .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size("__split")))
         .withColumn("n_removed", F.size("__split") - F.size("__kept"))
         .withColumn(text, F.when(F.col(text).isNotNull(), F.concat_ws("\n", "__kept")))
@@ -78,7 +76,11 @@ def drop_boilerplate(
 
 
 def twin(docs: str = "documents", ratio: float = RATIO, pages: int = PAGES, removed: float = REMOVED) -> str:
-    """The same in SQL, over whole lines; gives all columns of ``documents`` and the counts."""
+    """SQL over whole lines; gives all columns of ``documents`` and the counts.
+
+    Unlike the operator it counts copied pages one by one, and leaves a page
+    whole of which more than ``removed`` of the characters would go.
+    """
     return f"""
 with pages_of as (select source, count(*) total from {docs} group by source),
 lines_of as (

@@ -370,6 +370,16 @@ def test_line_dedup(spark):
     assert lines.drop_boilerplate(frame.limit(0)).count() == 0
 
 
+def test_line_dedup_on_pages_that_are_mostly_boilerplate(spark):
+    rows = [(i, f"The line of the site\nown text {i}", "s") for i in range(60)]
+    rows += [(100, "The line of the site\nshort", "s"), (101, "The line of the site", "s")]
+    rows += [(200 + i, "The line of the site\na page copied often\nwith a second line", "s") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = {r[0]: r[1:] for r in got(lines.drop_boilerplate(frame), "doc_id", "text", "n_lines", "n_removed")}
+    assert out[0] == ("own text 0", 2, 1) and out[100] == ("short", 2, 1) and out[101] == ("", 1, 1)
+    assert all(out[200 + i] == ("a page copied often\nwith a second line", 3, 1) for i in range(40))
+
+
 # --- 9: sentence spans
 
 
