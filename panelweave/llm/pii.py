@@ -31,10 +31,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+")
 #: What a region with candidates is built around, and how many characters belong to it on either side.
 TRIGGER = re.compile(r"[0-9]+|@|[(\[]at[)\]]")
 AROUND = 24
-#: Digit groups and characters of a candidate at most.
+#: Digit groups of a candidate at most, and characters of a number or of an address before its sign.
 GROUPS, CHARS = 8, 64
 NUMBER = re.compile(r"[+(]{0,2}[0-9]+")
 NEXT = re.compile(r"[\x20().\-/]{1,3}[0-9]+")
+SIGN = re.compile(r"@|[(\[]at[)\]]")
 ADDRESS = re.compile(r"\x20?(?:@|[(\[]at[)\]])\x20?([A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)+)")
 #: Texts and regions that serve to learn at most, and characters of such a text.
 SAMPLE, REGIONS, LONGEST = 1500, 1200, 20_000
@@ -106,16 +107,32 @@ def _chains(runs: list[tuple[int, int]], text: str, joints: str) -> Iterator[lis
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches around digits and at signs; neighbours close together are one."""
-    low = high = None
+    """Stretches around digits and at signs, with whole addresses; neighbours that meet are one."""
+    found = []
     for m in TRIGGER.finditer(text):
-        if low is not None and m.start() - high > 2 * AROUND:
-            yield max(0, low - AROUND), min(len(text), high + AROUND)
+        low, high = m.start() - AROUND, m.end() + AROUND
+        if not m.group()[0].isdigit() and (address := _address(text, m.start())):
+            low, high = min(low, address[0]), max(high, address[1].end())
+        found.append((low, high))
+    low = high = None
+    for a, b in sorted(found):
+        if low is not None and a > high:
+            yield max(0, low), min(len(text), high)
             low = None
-        low = m.start() if low is None else low
-        high = m.end()
+        low, high = (a, b) if low is None else (low, max(high, b))
     if low is not None:
-        yield max(0, low - AROUND), min(len(text), high + AROUND)
+        yield max(0, low), min(len(text), high)
+
+
+def _address(text: str, at: int) -> tuple[int, re.Match] | None:
+    """Where the address of the sign at a place begins, and its match from the sign to the end of the host."""
+    m = ADDRESS.match(text, at - (text[at - 1 : at] == " "))
+    if not m:
+        return None
+    begin = m.start()
+    while begin > 0 and m.start() - begin < CHARS and text[begin - 1] in LOCAL:
+        begin -= 1
+    return (begin, m) if begin < m.start() else None
 
 
 def _side(text: str, at: int) -> str:
@@ -140,11 +157,9 @@ def candidates(text: str, low: int, high: int) -> list[tuple[int, int, list[str]
                 groups.append(step.group()[len(gap) :])
                 joints.append(gap)
                 at = step.end()
-    for m in ADDRESS.finditer(text, low, high):
-        begin = m.start()
-        while begin > low and m.start() - begin < CHARS and text[begin - 1] in LOCAL:
-            begin -= 1
-        if begin < m.start():
+    for at in SIGN.finditer(text, low, high):
+        if address := _address(text, at.start()):
+            begin, m = address
             sign = m.group()[: m.start(1) - m.start()]
             name, site = text[begin : m.start()], m.group(1)
             out.append(

@@ -146,6 +146,29 @@ def test_random_field_adds_spans_and_leaves_clean_texts(spark):
         assert digest == hashlib.sha256(",".join(base).encode()).hexdigest() and set(base) <= set(all_.split(","))
 
 
+def test_long_addresses_are_whole_candidates():
+    hosts = ["mathematics.uni-hamburg.de", "research-institute dot org", "universityhospital dot org"]
+    hosts += ["h" * (n - 4) + ".org" for n in (25, 40, 64, 300)] + ["sub.domain." * 5 + "example.net"]
+    for local in ("anna.b", "maximilian.schwarzenberger-lindt", "l" * 25, "x." * 31 + "yz", "a1" * 32):
+        for sign in ("@", " (at) ", "[at]", " [at] "):
+            for host in hosts:
+                text = f"please write to {local}{sign}{host}, with some words before and after it"
+                spots = [(a, b) for a, b in pii.regions(text)]
+                found = [text[s[0] : s[1]] for a, b in spots for s in pii.candidates(text, a, b) if s[2][0] == "mail"]
+                assert found == [local + sign + host]
+                assert all(x[1] < y[0] for x, y in zip(spots, spots[1:]))
+
+
+def test_random_field_adds_long_addresses_whole(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join([words(rng, 12), personal(rng), words(rng, 12), personal(rng), words(rng, 5)])) for i in range(150)]
+    model = pii.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    mails = ["maximilian.schwarzenberger-lindt (at) example.org", "anna.b [at] mathematics.uni-hamburg.de", "anna.b [at] research-institute dot org", "anna.b [at] universityhospital dot org"]
+    frame = spark.createDataFrame([(i, f"write to {m} today") for i, m in enumerate(mails)], "doc_id long, text string")
+    out = got(pii.judge(frame, model), "doc_id", "n_added", "spans")
+    assert out == [(i, 1, f"email:9:{9 + len(m)}") for i, m in enumerate(mails)]
+
+
 def test_field_is_a_distribution_over_segmentations():
     text = "x +1 (555) 123-4567 4111111111111111 y"
     segments = [s for low, high in pii.regions(text) for s in pii.candidates(text, low, high)]
