@@ -8,7 +8,8 @@ sequences are laid side by side and their equal tokens counted.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,31 +23,74 @@ from panelweave.operators.groups import null_safe_join
 MASKS = ((0, 2, 3, 5, 6, 7), (0, 2, 6, 7, 8, 10), (0, 2, 3, 7, 8, 9), (0, 1, 2, 3, 4, 7))
 WINDOW, PERCENT = 15, 80
 SPAN = 1 + max(map(max, MASKS))
+#: Items of fewer tokens are too short for these masks and have their own.
+LEAST = 12
 #: The filter of benchmark hashes has two to this many bits, whatever the benchmark's size.
 BITS = 27
 
 
+def short_masks(n: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Masks for a whole item of n tokens, moved to begin at 0, each with the place in the item that it begins at.
+
+    With ``wrong`` differing tokens allowed, positions fall into ``wrong + 2``
+    classes in turn, and a mask keeps two of them: some mask keeps no wrong one.
+    """
+    classes = n - -(-n * PERCENT // 100) + 2
+    kept = [[o for o in range(n) if o % classes in pair] for pair in combinations(range(classes), 2)]
+    return [(k[0], tuple(o - k[0] for o in k)) for k in kept]
+
+
+SHORT = {n: short_masks(n) for n in range(1, LEAST)}
+#: Enters a mask's hashes, so that those of different masks differ.
+NUMBERS = {mask: i + 1 for i, mask in enumerate(dict.fromkeys([*MASKS, *[m for n in SHORT for _, m in SHORT[n]]]))}
+
+
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the letter-and-digit runs, A-Z lowered, and the index of each text's first."""
     starts, ends, first = tv.words(data, offs, tv.IS_ALNUM)
     return tv.hashes(tv.LOWER[data], starts, ends), first
 
 
-def seeds(h: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _hashed(h: np.ndarray, at: np.ndarray | slice, n: int, mask: tuple[int, ...]) -> np.ndarray:
+    """Hashes of a mask at the first n token positions, or at those of ``at`` among them."""
+    made = np.full(n, NUMBERS[mask], np.uint64)[at]
+    for o in mask:
+        made *= np.uint64(tv.BASE)
+        made += h[o : o + n][at]
+    return made
+
+
+def seeds(
+    h: np.ndarray, first: np.ndarray, masks: Sequence[tuple[int, ...]] = MASKS
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per mask: token positions at which it fits in a text, and its hashes there."""
     owner = tv.owners(first)
-    for number, mask in enumerate(MASKS):
+    for mask in masks:
         n = len(h) - mask[-1]
         if n <= 0:
             continue
-        made = np.full(n, number + 1, np.uint64)
-        for o in mask:
-            made *= np.uint64(tv.BASE)
-            made += h[o : o + n]
+        made = _hashed(h, slice(None), n, mask)
         at = np.flatnonzero(first[1:][owner[:n]] - np.arange(n) > mask[-1])
         yield at, tv.mix(made[at])
 
 
+def _seeds_of_items(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Distinct hashes of each text as an item: of all places if it is long, else of its own masks."""
+    size, owner = np.diff(first), tv.owners(first)
+    of, made = [np.empty(0, np.int64)], [h[:0]]
+    for at, found in seeds(h, first):
+        long = size[owner[at]] >= LEAST
+        of.append(owner[at[long]])
+        made.append(found[long])
+    for n in SHORT:
+        which = np.flatnonzero(size == n)
+        for begin, mask in SHORT[n] if len(which) else ():
+            of.append(which)
+            made.append(tv.mix(_hashed(h, first[which] + begin, len(h) - mask[-1], mask)))
+    of, made = np.concatenate(of), np.concatenate(made)
+    return [np.unique(made[of == i]) for i in range(len(size))]
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     edge = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.int32())
     values = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
@@ -59,14 +103,10 @@ def item_seeds(items: DataFrame, item: str = "item_id", text: str = "text") -> D
     def make(batch: pa.RecordBatch) -> Iterator[dict]:
         for lo, hi, data, offs in tv.slices(batch.column(1)):
             h, first = tokens(data, offs)
-            found = list(seeds(h, first))
-            at = np.concatenate([a for a, _ in found]) if found else np.empty(0, np.int64)
-            made = np.concatenate([m for _, m in found]) if found else h[:0]
-            of = tv.owners(first)[at]
             yield {
                 item: batch.column(0)[lo:hi],
                 "tokens": _lists([h[a:b] for a, b in zip(first[:-1], first[1:])]),
-                "seeds": _lists([np.unique(made[of == i]) for i in range(hi - lo)]),
+                "seeds": _lists(_seeds_of_items(h, first)),
             }
 
     kind = items.schema[item].dataType.simpleString()
@@ -85,8 +125,8 @@ def _filter(hashes: DataFrame):
     return hashes.sparkSession.sparkContext.broadcast(bitmap)
 
 
-def _regions(docs: DataFrame, bitmap, key: str, text: str) -> DataFrame:
-    """Stretches of documents around hashes that the filter lets through.
+def _regions(docs: DataFrame, bitmap, masks: Sequence[tuple[int, ...]], key: str, text: str) -> DataFrame:
+    """Stretches of documents around hashes of the masks that the filter lets through.
 
     One row per stretch: key, ``start`` (token number), ``tokens`` from one
     window before its first hit to one after its last, and distinct ``seeds``.
@@ -96,7 +136,7 @@ def _regions(docs: DataFrame, bitmap, key: str, text: str) -> DataFrame:
         for lo, hi, data, offs in tv.slices(batch.column(1)):
             h, first = tokens(data, offs)
             at, made = [], []
-            for a, m in seeds(h, first):
+            for a, m in seeds(h, first, masks):
                 cell = m >> np.uint64(64 - BITS)
                 bit = bitmap.value[(cell >> np.uint64(5)).astype(np.int64)] >> (cell & np.uint64(31)).astype(np.uint32)
                 hit = np.flatnonzero(bit & np.uint32(1))
@@ -166,13 +206,16 @@ def leaks(
     A passage is a window of 15 tokens (or a whole shorter item) of which at
     least 80 percent agree in place. Gives key, item, ``matched`` (most equal
     tokens in a window), ``doc_token`` and ``item_token`` (where the first such
-    window begins). Items shorter than a mask have no seeds and no pairs; null
-    and empty texts have no tokens. Rows repeated under one key or item count
+    window begins). Items of fewer than 5 tokens have to agree whole; null and
+    empty texts have no tokens. Rows repeated under one key or item count
     as one, and null keys or items match as keys of their own.
     """
     made = written(item_seeds(items, item, text), "items")
     hashes = made.select(F.col(item), F.explode("seeds").alias("seed")).distinct()
-    regions = written(_regions(docs, _filter(hashes), key, text), "regions")
+    # documents are hashed only by masks that some item has
+    lengths = made.select(F.size("tokens").alias("n")).where(F.col("n").between(1, LEAST - 1)).distinct().collect()
+    masks = list(dict.fromkeys([*MASKS, *[mask for (n,) in sorted(lengths) for _, mask in SHORT[n]]]))
+    regions = written(_regions(docs, _filter(hashes), masks, key, text), "regions")
     hits = regions.select(key, "start", F.explode("seeds").alias("seed"))
     met = hits.join(hashes, "seed").select(key, "start", item).distinct()
     place = met.withColumnsRenamed({key: "__key", "start": "__start"})

@@ -261,6 +261,50 @@ def test_masks_hit_every_window_with_three_substitutions():
         assert any(not {o + s for o in mask} & set(wrong) for mask in decontam.MASKS for s in range(decontam.WINDOW - mask[-1]))
 
 
+@pytest.mark.parametrize("n", range(1, 15))
+def test_masks_hit_every_short_item_with_the_substitutions_allowed(n):
+    import itertools
+
+    allowed = n - -(-n * decontam.PERCENT // 100)
+    masks = decontam.SHORT.get(n) or [(s, m) for m in decontam.MASKS for s in range(n - m[-1])]
+    for wrong in itertools.combinations(range(n), allowed):
+        assert any(not {o + s for o in mask} & set(wrong) for s, mask in masks)
+
+
+def plain_pairs(docs, items):
+    """(document, item) with a whole item or 15 of its tokens that agree to 80 percent, items of every length."""
+    split = lambda t: re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", lowered(t))
+    out = set()
+    for key, text in docs:
+        a = split(text)
+        for item, other in items:
+            b = split(other)
+            w = min(decontam.WINDOW, len(b))
+            places = [(i, j) for i in range(len(a) - w + 1) for j in range(len(b) - w + 1)]
+            if b and any(100 * sum(a[i + k] == b[j + k] for k in range(w)) >= decontam.PERCENT * w for i, j in places):
+                out.add((key, item))
+    return out
+
+
+def test_leaks_of_items_of_every_length(spark):
+    import itertools
+
+    rng = random.Random(14)
+    items = [(10 * n + i, " ".join(f"i{n}x{i}x{k}" for k in range(n))) for n in range(1, 19) for i in range(2)]
+    docs = []
+    for item, text in items:
+        part = text.split()
+        allowed = min(len(part), 15) - -(-min(len(part), 15) * decontam.PERCENT // 100)
+        wrongs = [w for r in range(allowed + 2) for w in itertools.combinations(range(len(part)), r)]
+        for wrong in wrongs if len(wrongs) < 60 else rng.sample(wrongs, 60):
+            changed = ["other" if k in wrong else p for k, p in enumerate(part)]
+            docs.append((len(docs), " ".join([words(rng, rng.randint(0, 30)), *changed, words(rng, rng.randint(1, 30))])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = decontam.leaks(frame, spark.createDataFrame(items, "item_id long, text string"))
+    rows = [tuple(r) for r in found.select("doc_id", "item_id").collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == plain_pairs(docs, items)
+
+
 # --- 5: toxicity
 
 
