@@ -13,19 +13,27 @@ from panelweave.llm.arrow import written
 from panelweave.llm.queries import piece_model, table
 
 
-def keep(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The rows of each id that ``judged`` marks as ``kept``, equal texts of one id once.
+#: What a row is known by: 128 bits of its id and text, so that null and repeated ids are told apart.
+ROW = ["__a", "__b"]
+
+
+def known(docs: DataFrame) -> DataFrame:
+    """The documents with the columns ``ROW``."""
+    parts = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    return docs.withColumns({"__a": F.xxhash64(*parts), "__b": F.xxhash64(F.lit(1), *parts)})
 
-    A null id is an id like others.
-    """
-    known = lambda df: df.withColumn("__id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    kept = known(judged.where("kept")).select("__id").distinct()
-    return known(docs).join(kept, "__id").dropDuplicates(["__id", "text"]).select(*docs.columns)
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``known`` with a key ``__row`` that is in the order of the ids, null last."""
+    rows = known(docs)
+    return rows.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return keep(docs, quality.judge(docs, table(spark, sf_dir, "labels")))
+    """Rows that the quality rules keep."""
+    rows = known(docs)
+    judged = quality.judge(rows, table(spark, sf_dir, "labels"), also=ROW)
+    return rows.join(judged.where("kept").select(*ROW), ROW, "left_semi").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +44,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
-    return keep(docs, minhash.near_duplicates(docs))
+    """The row with the smallest id of each group of near-duplicates; rows of equal id and text count as one.
+
+    Null ids come after all others, and a hash of the text decides among rows of one id.
+    """
+    rows = keyed(docs)
+    kept = minhash.near_duplicates(rows, key="__row").where("kept").select(*[F.col(f"__row.{c}") for c in ROW])
+    return rows.join(kept, ROW, "left_semi").dropDuplicates(ROW).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Rows without a passage of a benchmark item."""
+    rows = keyed(docs)
+    found = decontam.leaks(rows, table(spark, sf_dir, "benchmark"), key="__row")
     # written first: leaks are few as a rule, and the planner then need not move the texts to them
-    bad = written(found.select(F.col("doc_id").alias("__bad")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti").select(*docs.columns)
+    bad = written(found.select(*[F.col(f"__row.{c}") for c in ROW]).distinct(), "leaks")
+    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ rows, gathered as a fixed-size histogram.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,20 +66,23 @@ def _slice_statistics(data: np.ndarray, offs: np.ndarray, window: int) -> dict[s
     return {k: v.astype(np.int64) for k, v in stats.items()} | features
 
 
-def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 8) -> DataFrame:
+def statistics(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 8, also: Sequence[str] = ()
+) -> DataFrame:
     """Rule statistics and the forest's features, one row per document.
 
     Words are runs without ASCII white space, compared as they stand. Null and
-    empty texts count 0 everywhere.
+    empty texts count 0 everywhere. The columns ``also`` are handed on.
     """
 
     def make(batch: pa.RecordBatch) -> Iterator[dict]:
         for lo, hi, data, offs in tv.slices(batch.column(1)):
-            yield {key: batch.column(0)[lo:hi]} | _slice_statistics(data, offs, window)
+            others = {c: batch.column(2 + i)[lo:hi] for i, c in enumerate(also)}
+            yield {key: batch.column(0)[lo:hi]} | _slice_statistics(data, offs, window) | others
 
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, {STATISTICS}, " + ", ".join(f"{f} double" for f in FEATURES)
-    return map_batches(docs, [key, texts(docs, text)], make, schema)
+    kind = lambda c: f"{c} {docs.schema[c].dataType.simpleString()}"
+    schema = f"{kind(key)}, {STATISTICS}, " + ", ".join([*[f"{f} double" for f in FEATURES], *map(kind, also)])
+    return map_batches(docs, [key, texts(docs, text), *also], make, schema)
 
 
 # --- the forest -------------------------------------------------------------
@@ -186,6 +189,7 @@ def judge(
     sample: int = 4096,
     trees: int = 128,
     wrong: float = 0.001,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Statistics, ``base_failed``, ``anomaly`` and ``kept`` of every document.
 
@@ -195,9 +199,9 @@ def judge(
     they are taken in the order of a hash of the key. Rows with a null key
     have no label and are judged like others. Ids labelled twice count as good
     only if all their labels say so. Documents below 20 words take no part in
-    the fit.
+    the fit. The columns ``also`` are handed on.
     """
-    stats = written(statistics(docs, key, text), "quality")
+    stats = written(statistics(docs, key, text, also=also), "quality")
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     stats = stats.withColumn("base_failed", failed)
     marks = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min("quality").alias("quality"))

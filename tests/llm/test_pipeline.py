@@ -67,6 +67,27 @@ def test_clean_documents_pass_and_leaks_go(spark, stages):
     assert cut == {r[0]: r[1] for r in clean + leaks}
 
 
+def test_rows_of_null_and_repeated_ids_are_judged_one_by_one(spark, stages):
+    import random
+
+    rng = random.Random(13)
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first()["text"]
+    good, other, third = (words(rng, 80, 5000) for _ in range(3))
+    near = good + " and a tail"
+    rows = lambda *pairs: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in pairs], DOCS)
+    out = lambda name, df: sorted(map(tuple, stages[name](df).select("doc_id", "text").collect()), key=str)
+    plain = lambda *pairs: sorted(pairs, key=str)
+    odd = rows((None, good), (None, "too short"), (None, None), (None, ""), (7, other), (7, "junk"), (8, third), (8, third))
+    assert out("quality_rules", odd) == plain((None, good), (7, other), (8, third), (8, third))
+    odd = rows((None, good), (None, near), (None, other), (7, third), (7, third + " tail"), (9, other), (8, ""), (None, ""))
+    found = out("minhash_near_dedup", odd)
+    assert len(found) == 5 and {(9, other), (8, ""), (None, "")} <= set(found)
+    assert len({(None, good), (None, near)} & set(found)) == 1 == len({(7, third), (7, third + " tail")} & set(found))
+    leak = f"{other} {item} {third}"
+    odd = rows((None, good), (None, leak), (None, None), (7, other), (7, leak))
+    assert out("benchmark_decontamination", odd) == plain((None, good), (None, None), (7, other))
+
+
 def plain_leak(text: str, items: list[list[str]]) -> bool:
     """Whether 12 of 15 tokens in a row agree with an item's."""
     import numpy as np
