@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import decontam, lines, minhash, pieces, pii, quality, spans, suffixes, toxicity, urls
+from panelweave.llm import align, decontam, lines, minhash, nbsvm, pieces, pii, quality, search, spans, suffixes, toxicity, urls
 from panelweave.session import use_settings
 
 
@@ -76,6 +76,29 @@ def op10_pieces(spark, sf_dir):
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op11_ranked_search(spark, sf_dir):
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_classifier(spark, sf_dir):
+    judged = nbsvm.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", "margin")
+
+
+def vocabularies() -> align.Vocabularies:
+    """The two public vocabularies, read where the query is built and shared from there."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return align.Vocabularies(file.read(), piece_model())
+
+
+def op13_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    files = vocabularies()
+    return align.digests(docs, files, align.learn(docs, files))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +112,9 @@ QUERIES = {
         op8_line_dedup,
         op9_substring_dedup,
         op10_pieces,
+        op11_ranked_search,
+        op12_quality_classifier,
+        op13_token_alignment,
     )
 }
-SQL = {"op1_url_filters": urls.twin(), "op8_line_dedup": lines.twin()}
+SQL = {"op1_url_filters": urls.twin(), "op8_line_dedup": lines.twin(), "op11_ranked_search": search.twin()}
