@@ -22,7 +22,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -34,8 +34,12 @@ from panelweave.llm import textvec as tv
 from panelweave.llm.arrow import map_batches, ship, texts, written
 from panelweave.llm.pieces import Model
 
+#: Fixed value: how byte-level vocabularies of this family split text into words.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Parts kept per Python worker, and the longest part that is kept.
-CACHED, LONG = 200_000, 64
+CACHED, LONG = 600_000, 64
+#: Parts encoded together.
+RUN = 4096
 #: Characters of text worked through at once.
 SLICE = 1 << 20
 #: What makes it necessary to look at the characters around a blank: without it every blank is single.
@@ -136,21 +140,43 @@ class PerfectHash:
         return out
 
 
+def _byte_level(files: Vocabularies, surface: list[bytes]) -> Callable[[str], list[int]]:
+    """Encoder of the byte-level tokenizer.
+
+    Where ids follow the order of merges and words are split by the usual
+    pattern, ids are ranks, and the faster of two libraries encodes by them.
+    """
+    spec = json.loads(files.byte_level)
+    model, added = spec["model"], {t["id"] for t in spec.get("added_tokens", [])}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if files.cuttable() and all(model["vocab"].get(x + y) == 256 + i for i, (x, y) in enumerate(merges)):
+        import tiktoken
+
+        ranks = {surface[i]: i for i in model["vocab"].values() if i not in added}
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_str(files.byte_level)
+    own.encode_special_tokens = True
+    own.no_truncation()
+    own.no_padding()
+    return lambda text: own.encode(text, add_special_tokens=False).ids
+
+
 class Parts:
     """Both tokenizers of a worker, and a bounded cache of aligned parts of texts."""
 
     def __init__(self, files: Vocabularies):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.first = Tokenizer.from_str(files.byte_level)
-        self.first.encode_special_tokens = True
-        self.first.no_truncation()
-        self.first.no_padding()
-        self.second = sentencepiece.SentencePieceProcessor(model_proto=files.pieces)
         self.bytes = files.surfaces()
+        self.first = _byte_level(files, self.bytes[0])
+        self.second = sentencepiece.SentencePieceProcessor(model_proto=files.pieces)
         self.length = [np.array([len(x) for x in own]) for own in self.bytes]
+        # every id as it is spelled before another of its group, and at the group's end
+        self.words = [f"{i}{c}" for i in range(len(self.bytes[0])) for c in (",", "|")]
+        self.words += [f"{i}{c}" for i in range(len(self.bytes[1])) for c in (",", ";", "")]
         self.cut = re.compile(r"(?<=\S) (?=\S)").split if files.cuttable() else None
         self.clear()
 
@@ -174,46 +200,80 @@ class Parts:
 
     def encoded(self, parts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of a blank and each part by either tokenizer."""
-        first = [e.ids for e in self.first.encode_batch([" " + p for p in parts], add_special_tokens=False)]
-        return list(zip(first, self.second.encode(parts, num_threads=1)))
+        return list(zip(map(self.first, [" " + p for p in parts]), self.second.encode(parts, num_threads=1)))
 
-    def aligned(self, part: str, a: list[int], b: list[int]):
-        """Ends (bytes, and tokens of either) of the part's groups; None if the bytes are not the part's."""
+    def aligned(self, part: str, a: list[int], b: list[int]) -> list[tuple[int, int, int]] | None:
+        """Ends of the part's groups in bytes and in tokens of either; None if the bytes are not the part's."""
         source = b" " + part.encode()
         if b"".join(map(self.bytes[0].__getitem__, a)) != source or b"".join(map(self.bytes[1].__getitem__, b)) != source:
             return None
         ends = [np.cumsum(n[np.array(ids, np.int64)]) for n, ids in zip(self.length, (a, b))]
         at, i, j = np.intersect1d(*ends, return_indices=True)
-        return at, i + 1, j + 1
+        return list(zip(at.tolist(), (i + 1).tolist(), (j + 1).tolist()))
 
     def add(self, parts: list[str]) -> None:
-        """Encodes and aligns parts that are not held yet."""
-        if not parts:
-            return
-        valid, sizes, links, counts = [], [], [], []
-        for part, (a, b) in zip(parts, self.encoded(parts)):
-            self.number[part] = len(self.spelled)
-            made = self.aligned(part, a, b)
-            valid.append(made is not None)
-            if made is None:
-                sizes.append((0, 0))
-                counts.append(0)
-                self.spelled.append("")
+        """Encodes and aligns parts that are not held yet, many at once.
+
+        Parts joined by blanks are cut where they were joined. Where the bytes of a
+        run of parts do not come back, it is halved until the guilty part is alone.
+        """
+        alone = lambda p: self.cut is None or p[0].isspace() or p[-1].isspace()
+        plain = [p for p in parts if not alone(p)]
+        runs = [plain[i : i + RUN] for i in range(0, len(plain), RUN)] + [[p] for p in parts if alone(p)]
+        made = []
+        while runs:
+            run = runs.pop()
+            done = self._together(run)
+            if done is None and len(run) > 1:
+                runs += [run[: len(run) // 2], run[len(run) // 2 :]]
                 continue
-            _, i, j = made
-            sizes.append((len(a), len(b)))
-            counts.append(len(i))
-            groups, x, y = [], 0, 0
-            for p, q in zip(i.tolist(), j.tolist()):
-                links.append(a[p - 1] << 32 | b[q - 1])
-                groups.append(",".join(map(str, a[x:p])) + "|" + ",".join(map(str, b[y:q])))
-                x, y = p, q
-            self.spelled.append(";".join(groups))
-        self.valid = np.append(self.valid, np.array(valid, bool))
-        self.sizes = np.vstack((self.sizes, np.array(sizes, np.int64).reshape(-1, 2)))
-        self.links = np.append(self.links, np.array(links, np.uint64))
+            if done is None:
+                done = [""], np.full((1, 2), -1), np.empty(0, np.uint64), np.zeros(1, np.int64)
+            self.number.update(zip(run, range(len(self.spelled), len(self.spelled) + len(run))))
+            self.spelled += done[0]
+            made.append(done[1:])
+        if not made:
+            return
+        sizes, links, counts = (np.concatenate(x) for x in zip(*made))
+        self.valid = np.append(self.valid, sizes[:, 0] >= 0)
+        self.sizes = np.vstack((self.sizes, np.maximum(sizes, 0)))
+        self.links = np.append(self.links, links)
         self.edge = np.append(self.edge, self.edge[-1] + np.cumsum(counts))
 
+    def _together(self, run: list[str]):
+        """Spelled groups, token counts, links and link counts of a run of parts; None if bytes differ."""
+        text = " ".join(run)
+        source = b" " + text.encode()
+        flat, ends = [], []
+        for own, length, ids in zip(self.bytes, self.length, (self.first(" " + text), self.second.encode(text))):
+            if b"".join(map(own.__getitem__, ids)) != source:
+                return None
+            flat.append(np.array(ids, np.int64))
+            ends.append(np.cumsum(length[flat[-1]]))
+        (a, b), (x, y) = flat, ends
+        part = np.cumsum([1 + len(p.encode()) for p in run])
+        at = np.searchsorted(y, x)
+        i = np.flatnonzero(y[at] == x)  # last tokens of the groups by either
+        j = at[i]
+        if len(run) > 1 and (x[i][np.minimum(np.searchsorted(x[i], part), len(i) - 1)] != part).any():
+            return None
+        tokens = [np.diff(np.concatenate(([0], np.searchsorted(e, part, "right")))) for e in ends]
+        counts = np.diff(np.concatenate(([0], np.searchsorted(x[i], part, "right"))))
+        # both token lists in one, group by group, each with the sign that follows it
+        left, right = np.arange(len(a)), np.arange(len(b))
+        before = np.concatenate(([0], j + 1))
+        place = np.empty(len(a) + len(b), np.int64)
+        group = np.searchsorted(i, left), np.searchsorted(j, right)
+        after = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        after[0][i] = after[1][j] = 1
+        after[1][j[np.cumsum(counts) - 1]] = 2
+        place[left + before[group[0]]] = 2 * a + after[0]
+        place[right + i[group[1]] + 1] = 2 * len(self.bytes[0]) + 3 * b + after[1]
+        words = list(map(self.words.__getitem__, place.tolist()))
+        edge = np.concatenate(([0], np.cumsum(tokens[0] + tokens[1]))).tolist()
+        spelled = ["".join(words[p:q]) for p, q in zip(edge, edge[1:])]
+        return spelled, np.stack(tokens, 1), (a[i] << 32 | b[j]).astype(np.uint64), counts
+
     def numbers(self, held: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all parts of the texts in order, and where each text's begin."""
         if len(self.spelled) > CACHED:
@@ -381,8 +441,10 @@ def align(docs: DataFrame, files: Vocabularies, key: str = "doc_id", text: str =
                     if made is None:
                         done = {n: [] for n in lists}
                         break
-                    for name, values in zip(("ends", "ends_a", "ends_b"), (made[0] + at, made[1] + n[0], made[2] + n[1])):
-                        done[name].extend(values.tolist())
+                    for end, i, j in made:
+                        done["ends"].append(end + at)
+                        done["ends_a"].append(i + n[0])
+                        done["ends_b"].append(j + n[1])
                     done["a"].extend(a)
                     done["b"].extend(b)
                     n = [n[0] + len(a), n[1] + len(b)]

@@ -86,12 +86,11 @@ def scale_strict(
     return checked_join(detail, scalers, keys).withColumn(out, F.col(value) * F.col("__scaler")).drop("__scaler")
 
 
-def complete_with_median(targets: DataFrame, known: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+def complete_with_median(targets: DataFrame, known: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Every target with its known value, or the median of all known values; ``filled`` marks the latter.
 
-    ``width`` is the value range one task scans for the median.
     """
-    middle = quantiles(known, [], value, {"__middle": 0.5}, width).scalar()
+    middle = quantiles(known, [], value, {"__middle": 0.5}).scalar()
     rows = attach(targets, known.select(*keys, value), keys)
     return rows.withColumns({"filled": F.col(value).isNull(), value: F.coalesce(F.col(value), middle)})
 

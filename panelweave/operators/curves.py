@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import bin_label, clamp, ratio, weighted_mean
 from panelweave.operators.groups import attach, share, with_group, with_total
-from panelweave.operators.scans import quantiles, running_total, tie_buckets
+from panelweave.operators.scans import quantiles, running_total
 from panelweave.session import cut_lineage
 
 
@@ -41,12 +41,11 @@ def improvement_rate(target: Column, start: Column, floor: Column, years: Column
 
 
 def supply_curve(
-    points: DataFrame, keys: Sequence[str], price: str, quantity: str, width: float, supply: str = "supply"
+    points: DataFrame, keys: Sequence[str], price: str, quantity: str, supply: str = "supply"
 ) -> DataFrame:
     """Cumulative supply by rising price, one row per key and distinct price, with the key's total.
 
-    Equal prices are summed before the scan; ``width`` is the price range one
-    task scans.
+    Equal prices are summed before the scan.
     """
     merged = points.groupBy(*keys, price).agg(F.sum(quantity).alias(quantity))
     return running_total(
@@ -54,7 +53,6 @@ def supply_curve(
         {supply: quantity},
         keys,
         [F.col(price)],
-        [F.floor(F.col(price) / F.lit(float(width)))],
         totals={f"{supply}_total": supply},
     )
 
@@ -194,13 +192,13 @@ def lifetimes_by_bin(
 
 
 def abatement_shares(
-    reductions: DataFrame, baseline: DataFrame, keys: Sequence[str], cost: str, amount: str, total: str, width: float, cap: float = 0.95
+    reductions: DataFrame, baseline: DataFrame, keys: Sequence[str], cost: str, amount: str, total: str, cap: float = 0.95
 ) -> DataFrame:
     """Cumulative reduction by cost as a share of the baseline.
 
     A share of 1 or more is set to ``cap``; a missing baseline gives 0.
     """
-    curve = supply_curve(reductions, keys, cost, amount, width, supply="__cum")
+    curve = supply_curve(reductions, keys, cost, amount, supply="__cum")
     rows = attach(curve.drop("__cum_total"), baseline.select(*keys, total), keys)
     part = ratio("__cum", total, 0)
     return rows.select(*keys, cost, F.when(part >= 1, F.lit(cap)).otherwise(part).alias("share"))
@@ -244,16 +242,16 @@ def cap_outliers(
     ).drop("__upper", "__median", "__largest")
 
 
-def cap_by_spread(df: DataFrame, keys: Sequence[str], value: str, width: float, out: str, times: float = 2.0) -> DataFrame:
+def cap_by_spread(df: DataFrame, keys: Sequence[str], value: str, out: str, times: float = 2.0) -> DataFrame:
     """Cap at the median plus a multiple of the interquartile range."""
-    limits = quantiles(df, keys, value, {"__q1": 0.25, "__q2": 0.5, "__q3": 0.75}, width)
+    limits = quantiles(df, keys, value, {"__q1": 0.25, "__q2": 0.5, "__q3": 0.75})
     upper = F.col("__q2") + F.lit(times) * (F.col("__q3") - F.col("__q1"))
     return attach(df, limits, keys).withColumn(out, F.least(F.col(value), upper)).drop("__q1", "__q2", "__q3")
 
 
-def narrow_band(df: DataFrame, keys: Sequence[str], value: str, low: float, high: float, width: float, out: str) -> DataFrame:
+def narrow_band(df: DataFrame, keys: Sequence[str], value: str, low: float, high: float, out: str) -> DataFrame:
     """Move values outside a quantile band to its edge."""
-    limits = quantiles(df, keys, value, {"__low": low, "__high": high}, width)
+    limits = quantiles(df, keys, value, {"__low": low, "__high": high})
     return attach(df, limits, keys).withColumn(
         out, clamp(value, F.col("__low"), F.col("__high"))
     ).drop("__low", "__high")
@@ -314,7 +312,7 @@ def stacked_segments(df: DataFrame, demands: Sequence[str], times: Sequence[str]
     return df.select(*keep, F.inline(cells))
 
 
-def quartile_grades(curve: DataFrame, keys: Sequence[str], price: str, quantity: str, width: float) -> DataFrame:
+def quartile_grades(curve: DataFrame, keys: Sequence[str], price: str, quantity: str) -> DataFrame:
     """The four curve points at the quartiles of a key's points, as marginal amounts per grade."""
     merged = curve.groupBy(*keys, price).agg(F.sum(quantity).alias("__q")).withColumn("__one", F.lit(1))
     run = running_total(
@@ -322,7 +320,6 @@ def quartile_grades(curve: DataFrame, keys: Sequence[str], price: str, quantity:
         {"cumulative": "__q", "__rank": "__one"},
         keys,
         [F.col(price)],
-        [F.floor(F.col(price) / F.lit(float(width)))],
         totals={"__n": "__rank"},
     )
     hits = [F.ceil(F.col("__n") * F.lit(p)) == F.col("__rank") for p in (0.25, 0.5, 0.75, 1.0)]

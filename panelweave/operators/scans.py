@@ -1,22 +1,30 @@
 """Running totals and exact quantiles over groups of any size.
 
-A key's ordered rows are cut into buckets by columns that never decrease along
-the order. Buckets are scanned in parallel; a second scan over one row per
-bucket supplies what came before. The buckets only divide the work: results
-are exact and do not depend on them.
+Running totals cut the rows into ranges of about equal size along keys and
+order, at splitters that Spark samples; their number follows the row count.
+Ranges are scanned in parallel, and a second scan over one row per range
+supplies what came before. Quantiles narrow each wanted rank to a band of
+values, round by round, until what lies in the bands is small enough to be
+sorted per key; ranks are counted, so results are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelweave.functions.semantics import raise_if
 from panelweave.operators.groups import attach
 from panelweave.session import cut_lineage
 
-#: Pieces of about equal size into which a key's rows are cut by sampled values.
-PIECES = 64
+#: Rows of a range that one task scans.
+ROWS = 250_000
+#: Equal shares at whose limits a band is cut, and the accuracy of the limits (a tenth of a share).
+SHARES, ACCURACY = 256, 2560
+#: Rows of a key, or of a band, that one task sorts.
+FEW = 1 << 18
 
 
 def running_total(
@@ -24,101 +32,83 @@ def running_total(
     values: Mapping[str, str],
     keys: Sequence[str],
     order_by: Sequence[Column],
-    buckets: Sequence[Column],
     totals: Mapping[str, str] | None = None,
-    even: Column | None = None,
+    rows: int = ROWS,
 ) -> DataFrame:
     """Add inclusive running sums; ``values`` maps output to input columns.
 
-    ``buckets`` cut the order from coarse to fine; each must never decrease
-    along the order within the one before it. A second bucket such as
-    ``struct(value, floor(id / n))`` cuts a run of equal values. ``totals``
-    maps further columns to running sums whose key total they get.
-
-    ``even`` is a number by which rows are ordered first. Its quantiles, roughly
-    known from one aggregate per key, then cut the order ahead of ``buckets``,
-    so that a bucket which holds most of a key's values is shared by tasks.
+    ``order_by`` should end in a column that tells rows apart, or rows be summed
+    by it before: rows of equal order follow each other in any order and stay in
+    one range. ``totals`` maps further columns to running sums whose key total
+    they get. The input is written once; with more than ``rows`` rows it is
+    written a second time by ranges, as a range's number must not change.
     """
-    if even is not None:
-        df, even_bucket = with_even_pieces(cut_lineage(df), keys, even)
-        made = running_total(df, values, keys, order_by, [even_bucket, *buckets], totals)
-        return made.drop("__limits")
-    names = list(values)
     totals = dict(totals or {})
-    levels = [f"__bucket{i}" for i in range(len(buckets))]
-    rows = df.withColumns(dict(zip(levels, buckets)))
-    sums = rows.groupBy(*keys, *levels).agg(*[F.sum(values[n]).alias(f"__sum_{n}") for n in names])
-    offsets = _offsets(sums, names, list(keys), levels, totals)
-    inside = (
-        Window.partitionBy(*keys, *levels).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    kept = cut_lineage(df)
+    n = -(-kept.count() // rows)
+    if n <= 1:
+        inside = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+        whole = {out: F.sum(values[name]).over(Window.partitionBy(*keys)) for out, name in totals.items()}
+        return kept.withColumns({name: F.sum(c).over(inside) for name, c in values.items()} | whole)
+    ranged = kept.repartitionByRange(n, *[F.col(k) for k in keys], *order_by)
+    ranged = cut_lineage(ranged.withColumn("__range", F.spark_partition_id()))
+    # one row per key and range
+    sums = ranged.groupBy(*keys, "__range").agg(*[F.sum(c).alias(f"__sum_{name}") for name, c in values.items()])
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *keys,
+        "__range",
+        *[F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}") for name in values],
+        *[F.sum(f"__sum_{name}").over(Window.partitionBy(*keys)).alias(out) for out, name in totals.items()],
     )
-    scanned = rows.withColumns({f"__in_{n}": F.sum(values[n]).over(inside) for n in names})
-    joined = attach(scanned, offsets, [*keys, *levels])
+    inside = Window.partitionBy(*keys, "__range").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    scanned = ranged.withColumns({f"__in_{name}": F.sum(c).over(inside) for name, c in values.items()})
+    joined = attach(scanned, offsets, [*keys, "__range"])
     return joined.select(
-        *df.columns, *[(F.col(f"__before_{n}") + F.col(f"__in_{n}")).alias(n) for n in names], *totals
+        *df.columns, *[(F.col(f"__before_{n}") + F.col(f"__in_{n}")).alias(n) for n in values], *totals
     )
 
 
-def with_even_pieces(df: DataFrame, keys: Sequence[str], value: Column) -> tuple[DataFrame, Column]:
-    """The rows with their key's limits, and the piece a row falls into.
-
-    The limits are written once: every use of the pieces must see the same.
-    """
-    probs = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
-    limits = df.groupBy(*keys).agg(F.percentile_approx(value.cast("double"), probs, F.lit(1000)).alias("__limits"))
-    limits = cut_lineage(limits)
-    rows = attach(df, limits, keys) if keys else df.withColumn("__limits", limits.scalar())
-    beyond = [F.when(value > F.get("__limits", F.lit(i)), 1).otherwise(0) for i in range(PIECES - 1)]
-    return rows, sum(beyond[1:], beyond[0])
-
-
-def _offsets(sums, names, keys, levels, totals):
-    """What comes before each bucket, from the sums per bucket."""
-    outer, level = levels[:-1], levels[-1]
-    within = Window.partitionBy(*keys, *outer)
-    before = within.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-    own = sums.select(
-        *keys,
-        *levels,
-        *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in names],
-        *([] if outer else [F.sum(f"__sum_{n}").over(within).alias(out) for out, n in totals.items()]),
-    )
-    if not outer:
-        return own
-    coarser = sums.groupBy(*keys, *outer).agg(*[F.sum(f"__sum_{n}").alias(f"__sum_{n}") for n in names])
-    above = _offsets(coarser, names, keys, outer, totals).withColumnsRenamed(
-        {f"__before_{n}": f"__above_{n}" for n in names}
-    )
-    both = attach(own, above, [*keys, *outer])
-    return both.select(
-        *keys,
-        *levels,
-        *[(F.col(f"__above_{n}") + F.col(f"__before_{n}")).alias(f"__before_{n}") for n in names],
-        *totals,
-    )
+def _beside(rows: DataFrame, limits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with their key's limits; without keys the limits are one row."""
+    if keys:
+        return attach(rows, limits, keys)
+    one = limits.select(F.struct(*limits.columns).alias("one")).scalar()
+    return rows.withColumn("__one", one).select(*rows.columns, "__one.*")
 
 
-def tie_buckets(value: Column, width: float, tie: str, tie_width: int) -> list[Column]:
-    """Buckets for an order by ``value`` and then an integer id, safe for any number of equal values."""
-    return [F.floor(value / F.lit(float(width))), F.struct(value, F.floor(F.col(tie) / F.lit(tie_width)))]
+def _inside(value: Column, name: str) -> Column:
+    low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
+    return (low.isNull() | (value >= low)) & (high.isNull() | (value <= high))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
-    """Distinct values per key with their count ``n``, running count ``upto`` and key total ``total``.
+def _narrowed(rows: DataFrame, limits: DataFrame, keys: Sequence[str], value: Column, ranks: Mapping[str, tuple]) -> DataFrame:
+    """Narrower bands around the wanted ranks, from the limits of equal shares of each band's rows.
 
-    Counting first collapses copies, so even a value shared by a third of all
-    rows travels as one row per map task.
+    A rank lies within a tenth of a share of its place among the limits, so the
+    band from two limits below to two above holds it.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    return running_total(
-        counts,
-        {"upto": "n"},
-        keys,
-        [F.col(value)],
-        [F.floor(F.col(value) / F.lit(float(width)))],
-        totals={"total": "upto"},
-        even=F.col(value),
-    )
+    probs = F.array(*[F.lit(i / SHARES) for i in range(SHARES + 1)])
+    sums = [F.max("__total").alias("__total")]
+    for name in ranks:
+        inside = _inside(value, name)
+        sums += [
+            F.percentile_approx(F.when(inside, value), probs, F.lit(ACCURACY)).alias(f"__cut_{name}"),
+            F.count(F.when(value < F.col(f"__low_{name}"), 1)).alias(f"__below_{name}"),
+            F.count(F.when(inside, 1)).alias(f"__in_{name}"),
+            *[F.max(f"__{end}_{name}").alias(f"__{end}_{name}") for end in ("low", "high")],
+        ]
+    found = _beside(rows, limits, keys).groupBy(*keys).agg(*sums)
+    out = {}
+    for name, (first, last) in ranks.items():
+        below, held, cut = (F.col(f"__{c}_{name}") for c in ("below", "in", "cut"))
+        at = F.floor((first - below) / held * F.lit(SHARES)).cast("int") - 1
+        to = F.ceil((last + 1 - below) / held * F.lit(SHARES)).cast("int") + 1
+        out[f"__low_{name}"] = F.when(at >= 0, F.get(cut, at)).otherwise(F.col(f"__low_{name}"))
+        out[f"__high_{name}"] = F.when(to <= SHARES, F.get(cut, to)).otherwise(F.col(f"__high_{name}"))
+    ends = [F.col(f"__in_{name}") for name in ranks]
+    most = F.greatest(*ends) if len(ends) > 1 else ends[0]
+    return found.select(*keys, "__total", *[c.alias(n) for n, c in out.items()], most.alias("__most"))
 
 
 def quantiles(
@@ -126,32 +116,66 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    width: float,
     steps: Mapping[str, float] | None = None,
+    few: int = FEW,
 ) -> DataFrame:
     """Exact quantiles per key without gathering a key's values.
 
     ``probs`` names probabilities to be interpolated linearly between order
     statistics, ``steps`` those that give the smallest value whose cumulative
-    share reaches them. ``width`` is the value range one task scans.
+    share reaches them. Keys of more than ``few`` rows have each wanted rank
+    narrowed to a band of values first: a round is one aggregate over the rows
+    and leaves about a fiftieth of a band. Rows are then counted below, and per
+    value inside, the bands; a rank outside its band would fail the job.
     """
-    counts = value_counts(df, keys, value, width)
     steps = dict(steps or {})
-    at = lambda reached, name: F.min(F.when(reached, F.col(value))).alias(name)
-    picks = []
-    for name, p in probs.items():
-        rank = (F.col("total") - 1) * F.lit(float(p))
-        picks += [at(F.col("upto") > F.floor(rank), f"__low_{name}"), at(F.col("upto") > F.ceil(rank), f"__high_{name}")]
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    limits = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total")))
+    most = limits.agg(F.max("__total")).first()[0] or 0
+    total, v = F.col("__total"), F.col(value)
+    rank = {name: (total - 1) * F.lit(float(p)) for name, p in probs.items()}
+    ranks = {name: (F.floor(r), F.ceil(r)) for name, r in rank.items()}
     for name, p in steps.items():
-        picks.append(at(F.col("upto") >= F.col("total") * F.lit(float(p)) - F.lit(1e-9), name))
-    found = counts.groupBy(*keys).agg(F.max("total").alias("__total"), *picks)
+        at = F.greatest(F.ceil(total * F.lit(float(p)) - F.lit(1e-9)) - 1, F.lit(0))
+        ranks[name] = (at, at)
+    banded = most > few
+    if banded:
+        kind = df.schema[value].dataType
+        ends = [f"__{end}_{name}" for name in ranks for end in ("low", "high")]
+        limits = limits.withColumns({end: F.lit(None).cast(kind) for end in ends})
+    while most > few:
+        limits = cut_lineage(_narrowed(rows, limits, keys, v, ranks))
+        most = limits.agg(F.max("__most")).first()[0] * 5 // SHARES
+        limits = limits.drop("__most")
+    if banded:
+        every = _beside(rows, limits, keys)
+        cell = F.when(reduce(lambda a, b: a | b, [_inside(v, name) for name in ranks]), v)
+        below = [F.count(F.when(v < F.col(f"__low_{name}"), 1)).alias(f"__below_{name}") for name in ranks]
+        held = [F.max(c).alias(c) for c in ("__total", *ends)]
+        counts = every.groupBy(*keys, cell.alias(value)).agg(F.count(F.lit(1)).alias("__n"), *below, *held)
+    else:
+        counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+        counts = counts.withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
+    whole = Window.partitionBy(*keys)
+    run = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    picks = []
+    for name, (first, last) in ranks.items():
+        inside = _inside(v, name) & v.isNotNull() if banded else F.lit(True)
+        upto = F.sum(F.when(inside, F.col("__n"))).over(run)
+        upto = upto + F.sum(f"__below_{name}").over(whole) if banded else upto
+        counts = counts.withColumn(f"__upto_{name}", upto)
+        reached = lambda at, name=name, inside=inside: F.min(F.when(inside & (F.col(f"__upto_{name}") > at), v))
+        picks += [reached(first).alias(f"__first_{name}"), reached(last).alias(f"__last_{name}")]
+    found = counts.groupBy(*keys).agg(F.max("__total").alias("__total"), *picks)
+    lost = reduce(lambda a, b: a | b, [F.col(f"__last_{name}").isNull() for name in ranks])
+    found = found.where(raise_if((total > 0) & lost, "a quantile lies outside the values looked at"))
     out = []
-    for name, p in probs.items():
-        low, rank = F.col(f"__low_{name}"), (F.col("__total") - 1) * F.lit(float(p))
-        out.append((low + (rank - F.floor(rank)) * (F.col(f"__high_{name}") - low)).cast("double").alias(name))
-    return found.select(*keys, *out, *[F.col(name).cast("double").alias(name) for name in steps])
+    for name in probs:
+        low = F.col(f"__first_{name}")
+        out.append((low + (rank[name] - F.floor(rank[name])) * (F.col(f"__last_{name}") - low)).cast("double").alias(name))
+    return found.select(*keys, *out, *[F.col(f"__first_{name}").cast("double").alias(name) for name in steps])
 
 
-def with_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], width: float) -> DataFrame:
+def with_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """Add interpolated quantiles of the group to every row."""
-    return attach(df, quantiles(df, keys, value, probs, width), keys)
+    return attach(df, quantiles(df, keys, value, probs), keys)

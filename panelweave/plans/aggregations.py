@@ -100,7 +100,7 @@ def _ag6(t):
     "SELECT p_brand, round(median(p_retailprice), 6) AS median FROM part GROUP BY 1",
 )
 def _ag7(t):
-    out = quantiles(t.part, ["p_brand"], "p_retailprice", {"median": 0.5}, width=5)
+    out = quantiles(t.part, ["p_brand"], "p_retailprice", {"median": 0.5})
     return out.withColumn("median", F.round("median", 6))
 
 
@@ -115,7 +115,7 @@ def _ag7(t):
 )
 def _ag8(t):
     out = quantiles(
-        t.lineitem, ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "p95": 0.95}, 1000, steps={"d25": 0.25, "d75": 0.75}
+        t.lineitem, ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "p95": 0.95}, steps={"d25": 0.25, "d75": 0.75}
     )
     return out.select(
         "l_returnflag", F.round("p10", 6).alias("p10"), F.round("p95", 6).alias("p95"), "d25", "d75"

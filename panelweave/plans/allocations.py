@@ -493,7 +493,7 @@ def _d38(t):
     known = t.supplier.where("s_acctbal > 8000").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
         F.round(F.avg("s_acctbal"), 8).alias("price")
     )
-    out = A.complete_with_median(t.nation.select("n_nationkey"), known, ["n_nationkey"], "price", width=100)
+    out = A.complete_with_median(t.nation.select("n_nationkey"), known, ["n_nationkey"], "price")
     return out.withColumn("price", F.round("price", 6))
 
 

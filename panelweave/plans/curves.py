@@ -17,7 +17,7 @@ RUN = f"""{CURVE}, run AS (SELECT *, CAST(sum(quantity) OVER (PARTITION BY p_bra
 
 
 def brand_curve(t):
-    return C.supply_curve(t.part, ["p_brand"], "p_retailprice", "p_size", width=5)
+    return C.supply_curve(t.part, ["p_brand"], "p_retailprice", "p_size")
 
 
 @query(
@@ -69,7 +69,7 @@ def _c3(t):
 )
 def _c4(t):
     points = t.part.withColumn("cost", F.round(ratio("p_retailprice", "p_size"), 4))
-    return C.supply_curve(points, ["p_type"], "cost", "p_size", width=10).select("p_type", "cost", "supply")
+    return C.supply_curve(points, ["p_type"], "cost", "p_size").select("p_type", "cost", "supply")
 
 
 @query(
@@ -165,7 +165,7 @@ COSTS = [895.0, 910.0, 930.0, 950.05, 970.0, 990.0]
 def _c8(t):
     reductions = t.part.select("p_type", F.col("p_retailprice").alias("tax"), F.col("p_size").alias("amount"))
     baseline = t.part.groupBy("p_type").agg((F.sum("p_size") * 0.9).alias("base"))
-    shares = C.abatement_shares(reductions, baseline, ["p_type"], "tax", "amount", "base", width=5)
+    shares = C.abatement_shares(reductions, baseline, ["p_type"], "tax", "amount", "base")
     out = resample(shares, ["p_type"], "tax", "share", COSTS)
     return out.select("p_type", "tax", F.round("share", 8).alias("reduction"))
 
@@ -193,7 +193,7 @@ def _c9(t):
        WINDOW w AS (PARTITION BY p_brand ORDER BY price)""",
 )
 def _c10(t):
-    out = C.quartile_grades(t.part, ["p_brand"], "p_retailprice", "p_size", width=5)
+    out = C.quartile_grades(t.part, ["p_brand"], "p_retailprice", "p_size")
     return out.withColumnRenamed("p_retailprice", "price")
 
 
@@ -248,7 +248,7 @@ def _c13(t):
        SELECT l_orderkey, l_linenumber, l_partkey, round(least(l_extendedprice, upper), 6) AS capped FROM lineitem JOIN q USING (l_suppkey)""",
 )
 def _c14(t):
-    out = C.cap_by_spread(t.lineitem, ["l_suppkey"], "l_extendedprice", width=1000, out="capped", times=0.9)
+    out = C.cap_by_spread(t.lineitem, ["l_suppkey"], "l_extendedprice", out="capped", times=0.9)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("capped", 6).alias("capped"))
 
 
@@ -258,7 +258,7 @@ def _c14(t):
        SELECT p_partkey, round(least(greatest(p_retailprice, lo), hi), 6) AS price FROM part JOIN q USING (p_brand)""",
 )
 def _c15(t):
-    out = C.narrow_band(t.part, ["p_brand"], "p_retailprice", 0.1, 0.8, width=5, out="price")
+    out = C.narrow_band(t.part, ["p_brand"], "p_retailprice", 0.1, 0.8, out="price")
     return out.select("p_partkey", F.round("price", 6).alias("price"))
 
 
@@ -446,4 +446,4 @@ def _c25(t):
     yearly = F.lit(fixed_charge_rate(0.05, 20)) * F.col("p_retailprice") + 30
     price = ratio(yearly, F.col("p_size") / 100.0) / UNIT_FACTORS["YEAR_HOURS"] / UNIT_FACTORS["KWH_GJ"]
     points = t.part.withColumn("price", F.round(price, 6))
-    return C.supply_curve(points, ["p_type"], "price", "p_size", width=1).select("p_type", "price", "supply")
+    return C.supply_curve(points, ["p_type"], "price", "p_size").select("p_type", "price", "supply")

@@ -55,7 +55,7 @@ def _f4(t):
         SELECT p_brand, min(price) AS price FROM top WHERE supply >= 0.5 * m GROUP BY 1""",
 )
 def _f5(t):
-    curve = supply_curve(t.part, ["p_brand"], "p_retailprice", "p_size", width=5)
+    curve = supply_curve(t.part, ["p_brand"], "p_retailprice", "p_size")
     return half_supply_price(curve, ["p_brand"], "p_retailprice", "supply", out="price").select("p_brand", "price")
 
 

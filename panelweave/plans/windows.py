@@ -6,7 +6,7 @@ from panelweave.functions.semantics import ratio, row_max, row_min, sum_where, y
 from panelweave.operators.allocation import index_to_member
 from panelweave.operators.curves import supply_curve
 from panelweave.operators.groups import share, with_panel
-from panelweave.operators.scans import running_total, tie_buckets, with_quantiles
+from panelweave.operators.scans import running_total, with_quantiles
 from panelweave.operators.timeseries import anchor_value, cumulative_product, moving_average, over
 from panelweave.plans.registry import query
 from panelweave.plans.views import CURVE, CY, GAPS, LINES, SUA, TS
@@ -86,7 +86,7 @@ def _w5(t):
     f"WITH {CURVE} SELECT p_brand, price, CAST(sum(quantity) OVER (PARTITION BY p_brand ORDER BY price) AS BIGINT) AS supply FROM curve",
 )
 def _w6(t):
-    curve = supply_curve(t.part, ["p_brand"], "p_retailprice", "p_size", width=5)
+    curve = supply_curve(t.part, ["p_brand"], "p_retailprice", "p_size")
     return curve.select("p_brand", F.col("p_retailprice").alias("price"), "supply")
 
 
@@ -117,9 +117,7 @@ def _w8(t):
         {"cum": "total"},
         ["c_nationkey"],
         [F.col("total").desc(), F.col("o_custkey").asc()],
-        tie_buckets(-F.col("total"), 100000, "o_custkey", 1_000_000),
         totals={"all": "cum"},
-        even=-F.col("total"),
     )
     return run.select("c_nationkey", "o_custkey", F.round(ratio("cum", "all"), 9).alias("cum_share"))
 
@@ -130,7 +128,7 @@ def _w8(t):
 )
 def _w9(t):
     points = t.curve.withColumn("one", F.lit(1))
-    run = running_total(points, {"n": "one"}, ["p_brand"], [F.col("price")], [F.floor(F.col("price") / 5)])
+    run = running_total(points, {"n": "one"}, ["p_brand"], [F.col("price")])
     return run.select("p_brand", "price", F.concat(F.lit("grade"), F.col("n").cast("string")).alias("grade"))
 
 
@@ -203,7 +201,7 @@ def _w14(t):
        WHERE l_extendedprice > upper""",
 )
 def _w15(t):
-    rows = with_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"upper": 0.95}, width=1000)
+    rows = with_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"upper": 0.95})
     return rows.where(F.col("l_extendedprice") > F.col("upper")).select(
         "l_orderkey", "l_linenumber", F.round("upper", 6).alias("upper"), "l_extendedprice"
     )

@@ -129,6 +129,16 @@ def test_cutting_at_blanks_changes_nothing(files):
         assert [i for x in a for i in x] == whole[0] and [i for x in b for i in x] == whole[1]
 
 
+def test_ranks_give_the_ids_of_the_file(files):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_str(files.byte_level)
+    own.encode_special_tokens = True
+    parts = align.Parts(files)
+    for text in filter(None, ODD + [r[1] for r in documents()]):
+        assert parts.first(text) == own.encode(text, add_special_tokens=False).ids
+
+
 def test_full_cache_and_long_parts(spark, files, monkeypatch):
     parts = align.Parts(files)
     monkeypatch.setattr(align, "CACHED", 20)
