@@ -205,41 +205,57 @@ def abatement_shares(
 
 
 def cap_outliers(
-    df: DataFrame, keys: Sequence[str], value: str, weight: str, order_id: str, quantile_p: float, top_share: float, widths: tuple[float, float], out: str
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    weight: str,
+    order_id: str,
+    quantile_p: float,
+    top_share: float,
+    out: str,
+    by_group: Column | None = None,
+    limit: float | None = None,
 ) -> DataFrame:
-    """Replace values above a threshold by the median of the largest members.
-
-    Members are ranked by weight and an integer id. The threshold is the smaller of the group's
-    quantile and the largest value among the members that make up ``top_share``
-    of the weight (the largest member at least). ``widths`` are the weight and
-    value ranges one task scans. The input is written once, as it is read
-    several times.
+    """Replace missing values and outliers by a median of the group, under one of two rules per row.
+
+    A null value counts as 0 in every threshold and median. Members are ranked
+    by weight, largest first, and an integer id; the top members are those that
+    make up ``top_share`` of the weight (the largest member at least), without
+    later members of weight 0. Where ``by_group`` holds, values above the
+    smaller of the group's quantile and the largest top value become the
+    median of the top members. Elsewhere, and where it is null, values above
+    the absolute ``limit`` become the median of the whole group. Without
+    ``by_group`` the first rule holds for all rows. The input is written once,
+    as it is read several times.
     """
-    df = cut_lineage(df)
+    if by_group is not None and limit is None:
+        raise ValueError("rows outside the group rule need a limit")
+    rule = F.lit(True) if by_group is None else F.coalesce(by_group, F.lit(False))
+    df = cut_lineage(df.withColumns({"__known": F.coalesce(F.col(value), F.lit(0)), "__rule": rule}))
     ranked = running_total(
-        df,
+        df.select(*keys, "__known", weight, order_id),
         {"__cum": weight},
         keys,
         [F.col(weight).desc(), F.col(order_id).asc()],
-        tie_buckets(-F.col(weight), widths[0], order_id, 1_000_000),
         totals={"__total": "__cum"},
-        even=-F.col(weight),
+        write=False,
     )
-    shared = ranked.withColumn("__part", ratio("__cum", "__total", 0))
     least = df.groupBy(*keys).agg(ratio(F.max(weight), F.sum(weight), 0).alias("__least"))
-    top = cut_lineage(attach(shared, least, keys).select(*keys, value, weight, "__part", "__least")).where(
-        (F.col("__part") <= F.greatest(F.col("__least"), F.lit(top_share)))
-        & ~((F.col(weight) == 0) & (F.col("__part") > 0))
+    top = cut_lineage(
+        attach(ranked.withColumn("__part", ratio("__cum", "__total", 0)), least, keys)
+        .where(F.col("__part") <= F.greatest(F.col("__least"), F.lit(top_share)))
+        .where(~((F.col(weight) == 0) & (F.col("__part") > 0)))
+        .select(*keys, "__known")
     )
-    upper = quantiles(df, keys, value, {"__upper": quantile_p}, widths[1])
-    median = quantiles(top, keys, value, {"__median": 0.5}, widths[1])
-    largest = top.groupBy(*keys).agg(F.max(value).alias("__largest"))
-    limits = attach(attach(upper, median, keys), largest, keys)
-    rows = attach(df, limits, keys)
-    threshold = F.least("__upper", "__largest")
-    return rows.withColumn(
-        out, F.when(F.col(value).isNull() | (F.col(value) > threshold), F.col("__median")).otherwise(F.col(value))
-    ).drop("__upper", "__median", "__largest")
+    whole = {"__upper": quantile_p} | ({} if by_group is None else {"__middle": 0.5})
+    limits = attach(quantiles(df, keys, "__known", whole), quantiles(top, keys, "__known", {"__median": 0.5}), keys)
+    limits = attach(limits, top.groupBy(*keys).agg(F.max("__known").alias("__largest")), keys)
+    v = F.col(value)
+    made = F.when(v.isNull() | (v > F.least("__upper", "__largest")), F.col("__median")).otherwise(v)
+    if by_group is not None:
+        other = F.when(v.isNull() | (v > F.lit(float(limit))), F.col("__middle")).otherwise(v)
+        made = F.when(F.col("__rule"), made).otherwise(other)
+    return attach(df, limits, keys).withColumn(out, made).drop("__known", "__rule", "__largest", "__median", *whole)
 
 
 def cap_by_spread(df: DataFrame, keys: Sequence[str], value: str, out: str, times: float = 2.0) -> DataFrame:

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.functions.semantics import raise_if
+from panelweave.functions.semantics import clamp, raise_if, ratio
 from panelweave.operators.groups import attach
 from panelweave.session import cut_lineage
 
@@ -34,17 +34,19 @@ def running_total(
     order_by: Sequence[Column],
     totals: Mapping[str, str] | None = None,
     rows: int = ROWS,
+    write: bool = True,
 ) -> DataFrame:
     """Add inclusive running sums; ``values`` maps output to input columns.
 
     ``order_by`` should end in a column that tells rows apart, or rows be summed
     by it before: rows of equal order follow each other in any order and stay in
     one range. ``totals`` maps further columns to running sums whose key total
-    they get. The input is written once; with more than ``rows`` rows it is
-    written a second time by ranges, as a range's number must not change.
+    they get. The input is written once, unless ``write`` is false because it
+    was just written; with more than ``rows`` rows it is written again by
+    ranges, as a range's number must not change.
     """
     totals = dict(totals or {})
-    kept = cut_lineage(df)
+    kept = cut_lineage(df) if write else df
     n = -(-kept.count() // rows)
     if n <= 1:
         inside = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
@@ -82,30 +84,46 @@ def _inside(value: Column, name: str) -> Column:
     return (low.isNull() | (value >= low)) & (high.isNull() | (value <= high))
 
 
-def _narrowed(rows: DataFrame, limits: DataFrame, keys: Sequence[str], value: Column, ranks: Mapping[str, tuple]) -> DataFrame:
+def _narrowed(
+    rows: DataFrame, limits: DataFrame | None, keys: Sequence[str], value: Column, kind, ranks: Mapping[str, tuple]
+) -> DataFrame:
     """Narrower bands around the wanted ranks, from the limits of equal shares of each band's rows.
 
-    A rank lies within a tenth of a share of its place among the limits, so the
-    band from two limits below to two above holds it.
+    Without ``limits`` each key's band holds all its rows, and one sketch serves
+    all ranks. ``__most`` counts the rows between the ends of the band that was
+    cut; it shrinks each round, however many rows one value holds. A rank lies within a tenth of a share of its place among the
+    limits, so the band from two limits below to two above holds it.
     """
     probs = F.array(*[F.lit(i / SHARES) for i in range(SHARES + 1)])
-    sums = [F.max("__total").alias("__total")]
-    for name in ranks:
-        inside = _inside(value, name)
-        sums += [
-            F.percentile_approx(F.when(inside, value), probs, F.lit(ACCURACY)).alias(f"__cut_{name}"),
-            F.count(F.when(value < F.col(f"__low_{name}"), 1)).alias(f"__below_{name}"),
-            F.count(F.when(inside, 1)).alias(f"__in_{name}"),
-            *[F.max(f"__{end}_{name}").alias(f"__{end}_{name}") for end in ("low", "high")],
-        ]
-    found = _beside(rows, limits, keys).groupBy(*keys).agg(*sums)
+    if limits is None:
+        held = F.count(F.lit(1))
+        cut = F.percentile_approx(value, probs, F.lit(ACCURACY))
+        sums = [held.alias("__total")]
+        for name in ranks:
+            sums += [cut.alias(f"__cut_{name}"), F.lit(0).alias(f"__below_{name}"), held.alias(f"__in_{name}")]
+            sums += [F.lit(None).cast(kind).alias(f"__{end}_{name}") for end in ("low", "high")]
+        found = rows.groupBy(*keys).agg(*sums)
+    else:
+        sums = [F.max("__total").alias("__total")]
+        for name in ranks:
+            low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
+            # the ends of a band may be held by very many rows, which are not cut again
+            inside = (low.isNull() | (value > low)) & (high.isNull() | (value < high))
+            sums += [
+                F.percentile_approx(F.when(inside, value), probs, F.lit(ACCURACY)).alias(f"__cut_{name}"),
+                F.count(F.when(value <= low, 1)).alias(f"__below_{name}"),
+                F.count(F.when(inside, 1)).alias(f"__in_{name}"),
+                *[F.max(f"__{end}_{name}").alias(f"__{end}_{name}") for end in ("low", "high")],
+            ]
+        found = _beside(rows, limits, keys).groupBy(*keys).agg(*sums)
     out = {}
     for name, (first, last) in ranks.items():
         below, held, cut = (F.col(f"__{c}_{name}") for c in ("below", "in", "cut"))
-        at = F.floor((first - below) / held * F.lit(SHARES)).cast("int") - 1
-        to = F.ceil((last + 1 - below) / held * F.lit(SHARES)).cast("int") + 1
-        out[f"__low_{name}"] = F.when(at >= 0, F.get(cut, at)).otherwise(F.col(f"__low_{name}"))
-        out[f"__high_{name}"] = F.when(to <= SHARES, F.get(cut, to)).otherwise(F.col(f"__high_{name}"))
+        place = lambda rank: clamp(ratio((rank - below) * F.lit(SHARES), held, 0), -2.0, SHARES + 2.0)
+        at = F.least(F.floor(place(first)).cast("int") - 1, F.lit(SHARES))
+        to = F.greatest(F.ceil(place(last + 1)).cast("int") + 1, F.lit(0))
+        out[f"__low_{name}"] = F.when((held > 0) & (at >= 0), F.get(cut, at)).otherwise(F.col(f"__low_{name}"))
+        out[f"__high_{name}"] = F.when((held > 0) & (to <= SHARES), F.get(cut, to)).otherwise(F.col(f"__high_{name}"))
     ends = [F.col(f"__in_{name}") for name in ranks]
     most = F.greatest(*ends) if len(ends) > 1 else ends[0]
     return found.select(*keys, "__total", *[c.alias(n) for n, c in out.items()], most.alias("__most"))
@@ -126,27 +144,25 @@ def quantiles(
     share reaches them. Keys of more than ``few`` rows have each wanted rank
     narrowed to a band of values first: a round is one aggregate over the rows
     and leaves about a fiftieth of a band. Rows are then counted below, and per
-    value inside, the bands; a rank outside its band would fail the job.
+    value inside, the bands; a rank outside its band would fail the job. Only
+    the limits of the bands are written, one row per key and round.
     """
     steps = dict(steps or {})
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    limits = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total")))
-    most = limits.agg(F.max("__total")).first()[0] or 0
     total, v = F.col("__total"), F.col(value)
+    most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
     rank = {name: (total - 1) * F.lit(float(p)) for name, p in probs.items()}
     ranks = {name: (F.floor(r), F.ceil(r)) for name, r in rank.items()}
     for name, p in steps.items():
         at = F.greatest(F.ceil(total * F.lit(float(p)) - F.lit(1e-9)) - 1, F.lit(0))
         ranks[name] = (at, at)
-    banded = most > few
-    if banded:
-        kind = df.schema[value].dataType
-        ends = [f"__{end}_{name}" for name in ranks for end in ("low", "high")]
-        limits = limits.withColumns({end: F.lit(None).cast(kind) for end in ends})
+    ends = [f"__{end}_{name}" for name in ranks for end in ("low", "high")]
+    limits = None
     while most > few:
-        limits = cut_lineage(_narrowed(rows, limits, keys, v, ranks))
+        limits = cut_lineage(_narrowed(rows, limits, keys, v, df.schema[value].dataType, ranks))
         most = limits.agg(F.max("__most")).first()[0] * 5 // SHARES
         limits = limits.drop("__most")
+    banded = limits is not None
     if banded:
         every = _beside(rows, limits, keys)
         cell = F.when(reduce(lambda a, b: a | b, [_inside(v, name) for name in ranks]), v)
@@ -158,13 +174,17 @@ def quantiles(
         counts = counts.withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
     whole = Window.partitionBy(*keys)
     run = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    if not banded:
+        counts = counts.withColumn("__upto", F.sum("__n").over(run))
     picks = []
     for name, (first, last) in ranks.items():
-        inside = _inside(v, name) & v.isNotNull() if banded else F.lit(True)
-        upto = F.sum(F.when(inside, F.col("__n"))).over(run)
-        upto = upto + F.sum(f"__below_{name}").over(whole) if banded else upto
-        counts = counts.withColumn(f"__upto_{name}", upto)
-        reached = lambda at, name=name, inside=inside: F.min(F.when(inside & (F.col(f"__upto_{name}") > at), v))
+        inside, upto = F.lit(True), F.col("__upto")
+        if banded:
+            inside = _inside(v, name) & v.isNotNull()
+            upto = F.sum(F.when(inside, F.col("__n"))).over(run) + F.sum(f"__below_{name}").over(whole)
+            counts = counts.withColumn(f"__upto_{name}", upto)
+            upto = F.col(f"__upto_{name}")
+        reached = lambda at, upto=upto, inside=inside: F.min(F.when(inside & (upto > at), v))
         picks += [reached(first).alias(f"__first_{name}"), reached(last).alias(f"__last_{name}")]
     found = counts.groupBy(*keys).agg(F.max("__total").alias("__total"), *picks)
     lost = reduce(lambda a, b: a | b, [F.col(f"__last_{name}").isNull() for name in ranks])

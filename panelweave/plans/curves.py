@@ -227,17 +227,22 @@ def _c12(t):
 
 @query(
     "c13_outlier_replacement",
-    f"""WITH {CY}, w AS (SELECT c_nationkey, o_custkey, c_acctbal AS v, round(sum(value), 2) AS wt FROM cy JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+    f"""WITH {CY}, w AS (SELECT c_nationkey, o_custkey, c_mktsegment AS seg, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS raw,
+          CASE WHEN c_acctbal >= 0 THEN c_acctbal ELSE 0 END AS v, round(sum(value), 2) AS wt
+          FROM cy JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4, 5),
         c AS (SELECT *, sum(wt) OVER (PARTITION BY c_nationkey ORDER BY wt DESC, o_custkey ROWS UNBOUNDED PRECEDING) / sum(wt) OVER (PARTITION BY c_nationkey) AS part FROM w),
         l AS (SELECT *, min(part) OVER (PARTITION BY c_nationkey) AS least FROM c),
         t AS (SELECT c_nationkey, median(v) AS med, max(v) AS largest FROM l WHERE part <= greatest(least, 0.6) AND NOT (wt = 0 AND part > 0) GROUP BY 1),
-        q AS (SELECT c_nationkey, quantile_cont(v, 0.95) AS upper FROM w GROUP BY 1)
-        SELECT o_custkey, round(CASE WHEN v > least(upper, largest) THEN med ELSE v END, 6) AS value FROM w JOIN t USING (c_nationkey) JOIN q USING (c_nationkey)""",
+        q AS (SELECT c_nationkey, quantile_cont(v, 0.95) AS upper, median(v) AS middle FROM w GROUP BY 1)
+        SELECT o_custkey, round(CASE WHEN seg IN ('BUILDING', 'MACHINERY') THEN CASE WHEN raw IS NULL OR raw > least(upper, largest) THEN med ELSE raw END
+            WHEN raw IS NULL OR raw > 9000 THEN middle ELSE raw END, 6) AS value FROM w JOIN t USING (c_nationkey) JOIN q USING (c_nationkey)""",
 )
 def _c13(t):
-    who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.col("c_acctbal").alias("v"))
+    known = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))
+    who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.col("c_mktsegment").alias("seg"), known.alias("v"))
     rows = t.cy.groupBy("o_custkey").agg(F.round(F.sum("value"), 2).alias("wt")).join(who, "o_custkey")
-    out = C.cap_outliers(rows, ["c_nationkey"], "v", "wt", "o_custkey", 0.95, 0.6, (100000, 100), "value")
+    grouped = F.col("seg").isin("BUILDING", "MACHINERY")
+    out = C.cap_outliers(rows, ["c_nationkey"], "v", "wt", "o_custkey", 0.95, 0.6, "value", by_group=grouped, limit=9000.0)
     return out.select("o_custkey", F.round("value", 6).alias("value"))
 
 

@@ -42,7 +42,7 @@ def test_improvement_rate_reaches_target_or_null(spark):
 
 def test_mid_price_between_brackets(frame):
     df = frame([("a", 1.0, 2.0), ("a", 2.0, 2.0), ("a", 4.0, 2.0), ("a", 5.0, 4.0)], "k string, p double, q double")
-    curve = C.supply_curve(df, ["k"], "p", "q", width=2)
+    curve = C.supply_curve(df, ["k"], "p", "q")
     # Half of 10 lies between (price 2, supply 4) and (price 4, supply 6); prices count from 1.
     assert C.bracketed_mid_price(curve, ["k"], "p", "supply").first().mid_price == pytest.approx(2.0)
     half = C.half_supply_price(curve, ["k"], "p", "supply").first()
@@ -52,18 +52,33 @@ def test_mid_price_between_brackets(frame):
 def test_abatement_cap_and_missing_baseline(frame, rows):
     cuts = frame([("a", 0.0, 6.0), ("a", 10.0, 5.0), ("b", 0.0, 1.0)], "k string, cost double, cut double")
     base = frame([("a", 10.0)], "k string, base double")
-    out = C.abatement_shares(cuts, base, ["k"], "cost", "cut", "base", width=5)
+    out = C.abatement_shares(cuts, base, ["k"], "cost", "cut", "base")
     assert rows(out) == [("a", 0.0, 0.6), ("a", 10.0, 0.95), ("b", 0.0, 0.0)]
 
 
 def test_outlier_replacement(frame):
     rows = [("k", i, float(100 - i), 10.0 + i) for i in range(9)] + [("k", 9, 0.5, 500.0), ("k", 10, 0.25, None)]
     df = frame(rows, "k string, id int, w double, v double")
-    out = {r.id: r.x for r in C.cap_outliers(df, ["k"], "v", "w", "id", 0.95, 0.99, (10, 10), "x").collect()}
+    out = {r.id: r.x for r in C.cap_outliers(df, ["k"], "v", "w", "id", 0.95, 0.99, "x").collect()}
     assert out[8] == out[9] == out[10] == 13.5
     assert out[3] == 13.0
 
 
+def test_outlier_replacement_under_either_rule(frame):
+    """Rows outside the group rule are held against the limit and take the whole group's median, null counted as 0."""
+    values = [4.0, 6.0, 8.0, 10.0, 500.0, None, 2000.0, 30.0]
+    rows = [("k", i, 100.0 if i < 4 else 4.0, v, i % 2 == 0 if i < 7 else None) for i, v in enumerate(values)]
+    df = frame(rows + [("one", 8, 0.0, None, True), ("none", 9, 1.0, 2000.0, False)], "k string, id int, w double, v double, own boolean")
+    made = C.cap_outliers(df, ["k"], "v", "w", "id", 0.95, 0.965, "x", by_group=F.col("own"), limit=1000.0)
+    out = {r.id: r.x for r in made.collect()}
+    assert made.columns == [*df.columns, "x"]
+    # the top members are the first four: their median is 7, their largest 10; the median of all eight is 9
+    assert [out[i] for i in range(8)] == [4.0, 6.0, 8.0, 10.0, 7.0, 9.0, 7.0, 30.0]
+    assert out[8] == 0.0 and out[9] == 2000.0
+    with pytest.raises(ValueError):
+        C.cap_outliers(df, ["k"], "v", "w", "id", 0.95, 0.9, "x", by_group=F.col("own"))
+
+
 def test_stacked_segments_cover_each_period(frame):
     df = frame([("n", 0.4, 0.3, 0.2, 0.1, 4.0, 2.0, 1.0, 0.4)], "k string, d0 double, d1 double, d2 double, d3 double, t0 double, t1 double, t2 double, t3 double")
     names = ["base", "middle", "high", "peak"]

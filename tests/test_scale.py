@@ -65,7 +65,7 @@ def test_shares_and_first_rows_of_a_hot_key(skewed):
 
 
 def test_quantile_of_a_hot_key(skewed):
-    got = quantiles(skewed, ["k"], "v", {"m": 0.5}, width=10).where("k = 0").first().m
+    got = quantiles(skewed, ["k"], "v", {"m": 0.5}, few=1000).where("k = 0").first().m
     values = sorted(i % 97 for i in range(100_000))
     assert got == (values[49_999] + values[50_000]) / 2
 
@@ -110,13 +110,31 @@ def test_no_collecting_or_pairing_nodes_in_core_plans(spark):
             assert node not in plan, (name, node)
 
 
-def test_a_bucket_with_very_many_values_is_shared_by_tasks(spark):
-    """300,000 distinct values under one key and one literal width."""
-    from panelweave.operators.scans import running_total, tie_buckets, with_even_pieces
+def test_a_key_with_very_many_values_is_shared_by_tasks(spark):
+    """A million distinct prices under one key: no task scans more than twice the mean."""
+    from panelweave.operators.curves import supply_curve
+    from panelweave.operators.scans import ROWS, running_total
 
-    rows = spark.range(0, 300_000, 1, 8).select(F.lit(1).alias("k"), (F.col("id") / 1e6).alias("v"), "id")
-    pieces, piece = with_even_pieces(rows, ["k"], F.col("v"))
-    counts = [r["count"] for r in pieces.groupBy(piece.alias("p")).count().collect()]
-    assert len(counts) >= 60 and max(counts) < 300_000 / 30
-    run = running_total(rows, {"n": "id"}, ["k"], [F.col("v"), F.col("id")], tie_buckets(F.col("v"), 1000, "id", 10**6), even=F.col("v"))
+    rows = spark.range(0, 1_000_000, 1, 8).select(F.lit(1).alias("k"), (F.col("id") / 1e7).alias("v"), "id", F.lit(1).alias("one"))
+    n = -(-1_000_000 // ROWS) * 4
+    run = running_total(rows, {"n": "id"}, ["k"], [F.col("v"), F.col("id")], rows=-(-1_000_000 // n))
     assert run.where(F.col("n") != F.col("id") * (F.col("id") + 1) / 2).count() == 0
+    sizes = [r["count"] for r in rows.repartitionByRange(n, "k", "v", "id").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == n and max(sizes) <= 2 * sum(sizes) / n
+    curve = supply_curve(rows, ["k"], "v", "one")
+    assert curve.where(F.col("supply") != F.round(F.col("v") * 1e7) + 1).count() == 0 and curve.where("supply_total <> 1000000").count() == 0
+
+
+def test_bands_narrow_to_exact_quantiles(spark):
+    """300,000 distinct values of one key, and another whose one value is held by a third of all rows."""
+    rows = spark.range(0, 600_000, 1, 8).select(
+        (F.col("id") % 2).alias("k"),
+        F.when((F.col("id") % 2 == 1) & (F.col("id") < 400_000), 7.0).otherwise(((F.col("id") * 7919) % 600_011).cast("double")).alias("v"),
+    )
+    probs = {"q1": 0.1, "q5": 0.5, "q9": 0.951}
+    got = {r.k: r for r in quantiles(rows, ["k"], "v", probs, steps={"s3": 0.3}, few=500).collect()}
+    want = {r.k: r for r in quantiles(rows, ["k"], "v", probs, steps={"s3": 0.3}, few=10**9).collect()}
+    plain = {r.k: r for r in rows.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).collect()}
+    for k in (0, 1):
+        assert got[k] == want[k]
+        assert all(abs(got[k][n] - plain[k][n]) < 1e-6 for n in probs)

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from panelweave.operators.curves import quartile_grades
-from panelweave.operators.scans import quantiles, running_total, tie_buckets
+from panelweave.operators.scans import quantiles, running_total
 
 
 def test_running_total_with_a_hot_value(spark):
@@ -21,7 +21,7 @@ def test_running_total_with_a_hot_value(spark):
     )
     df = spark.createDataFrame(pdf)
     out = running_total(
-        df, {"cum": "w"}, ["k"], [F.col("w").desc(), F.col("id").asc()], tie_buckets(-F.col("w"), 100, "id", 64), totals={"all": "cum"}
+        df, {"cum": "w"}, ["k"], [F.col("w").desc(), F.col("id").asc()], totals={"all": "cum"}, rows=400
     ).toPandas()
     want = pdf.sort_values(["k", "w", "id"], ascending=[True, False, True])
     want["cum"] = want.groupby("k")["w"].cumsum()
@@ -32,7 +32,7 @@ def test_running_total_with_a_hot_value(spark):
 
 def test_running_total_without_keys(spark):
     df = spark.range(100).withColumn("v", F.lit(1))
-    out = running_total(df, {"n": "v"}, [], [F.col("id")], [F.floor(F.col("id") / 7)], totals={"all": "n"})
+    out = running_total(df, {"n": "v"}, [], [F.col("id")], totals={"all": "n"}, rows=7)
     assert out.where(F.col("n") != F.col("id") + 1).count() == 0
     assert out.where("all <> 100").count() == 0
 
@@ -42,22 +42,22 @@ def test_running_total_without_keys(spark):
 def test_quantiles_match_numpy(spark, values):
     df = spark.createDataFrame([("a", float(v)) for v in values] + [("a", None)], "k string, v double")
     probs = {"q0": 0.0, "q1": 0.1, "q5": 0.5, "q9": 0.95, "qm": 1.0}
-    got = quantiles(df, ["k"], "v", probs, width=13).first()
+    got = quantiles(df, ["k"], "v", probs).first()
     for name, p in probs.items():
         assert got[name] == pytest.approx(np.quantile(values, p))
-    steps = quantiles(df, ["k"], "v", {}, width=13, steps=probs).first()
+    steps = quantiles(df, ["k"], "v", {}, steps=probs).first()
     for name, p in probs.items():
         assert steps[name] == np.quantile(values, p, method="inverted_cdf")
 
 
 def test_quantiles_without_keys(frame):
     df = frame([(1.0,), (2.0,), (4.0,)], "v double")
-    assert quantiles(df, [], "v", {"m": 0.5}, width=1).first().m == 2.0
+    assert quantiles(df, [], "v", {"m": 0.5}).first().m == 2.0
 
 
 def test_quartile_grades_small_groups(frame, rows):
     df = frame([("a", 1.0, 5), ("a", 2.0, 7), ("a", 3.0, 1), ("a", 4.0, 2), ("a", 5.0, 4), ("b", 1.0, 3)], "k string, p double, q int")
-    assert rows(quartile_grades(df, ["k"], "p", "q", width=1)) == [
+    assert rows(quartile_grades(df, ["k"], "p", "q")) == [
         ("a", 2.0, "grade 1", 12), ("a", 3.0, "grade 2", 1), ("a", 4.0, "grade 3", 2), ("a", 5.0, "grade 4", 4),
         ("b", 1.0, "grade 1", 3),
     ]
