@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelweave.llm.arrow import written
 from panelweave.operators.groups import null_safe_join
 
-#: Values of the registered query and of the pipeline. REMOVED is the twin's alone.
-RATIO, PAGES, REMOVED = 0.05, 4, 0.5
+#: Values of the registered query and of the pipeline.
+RATIO, PAGES = 0.05, 4
 
 
 def _split(text: str) -> Column:
@@ -75,30 +75,23 @@ def drop_boilerplate(
     )
 
 
-def twin(docs: str = "documents", ratio: float = RATIO, pages: int = PAGES, removed: float = REMOVED) -> str:
-    """SQL over whole lines; gives all columns of ``documents`` and the counts.
-
-    Unlike the operator it counts copied pages one by one, and leaves a page
-    whole of which more than ``removed`` of the characters would go.
-    """
+def twin(docs: str = "documents", ratio: float = RATIO, pages: int = PAGES) -> str:
+    """SQL over whole lines and whole texts; gives all columns of ``documents`` and the counts."""
     return f"""
-with pages_of as (select source, count(*) total from {docs} group by source),
-lines_of as (
-  select source, unnest(list_distinct(string_split(coalesce(text, ''), chr(10)))) line from {docs}),
+with pages_of as (select distinct source, coalesce(text, '') page from {docs}),
+totals as (select source, count(*) total from pages_of group by source),
+lines_of as (select source, unnest(list_distinct(string_split(page, chr(10)))) line from pages_of),
 common as (
   select l.source, l.line from (
     select source, line, count(*) n from lines_of where trim(line, ' ') <> '' group by source, line) l
-  join pages_of p on l.source is not distinct from p.source
+  join totals p on l.source is not distinct from p.source
   where n >= {pages} and n > total * cast({ratio} as double)),
 lists as (select source, list(line) lines from common group by source),
 cut as (
   select d.*, string_split(coalesce(d.text, ''), chr(10)) every,
     [x for x in string_split(coalesce(d.text, ''), chr(10)) if not list_contains(coalesce(l.lines, []), x)] few
-  from {docs} d left join lists l on d.source is not distinct from l.source),
-judged as (
-  select *, case when length(array_to_string(every, '')) - length(array_to_string(few, ''))
-    > length(array_to_string(every, '')) * cast({removed} as double) then every else few end kept from cut)
-select doc_id, case when text is not null then array_to_string(kept, chr(10)) end as text, lang, source, n_chars,
+  from {docs} d left join lists l on d.source is not distinct from l.source)
+select doc_id, case when text is not null then array_to_string(few, chr(10)) end as text, lang, source, n_chars,
   cast(case when text is null then 0 else len(every) end as integer) n_lines,
-  cast(len(every) - len(kept) as integer) n_removed
-from judged"""
+  cast(len(every) - len(few) as integer) n_removed
+from cut"""

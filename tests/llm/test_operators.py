@@ -437,6 +437,50 @@ def test_line_dedup(spark):
     assert lines.drop_boilerplate(frame.limit(0)).count() == 0
 
 
+def plain_lines(rows, ratio, pages):
+    """Line dedup in plain Python: (text, n_lines, n_removed) of every (id, text, site)."""
+    from collections import Counter
+
+    counts, totals = Counter(), Counter()
+    for site, text in {(s, t or "") for _, t, s in rows}:
+        totals[site] += 1
+        counts.update((site, line) for line in set(text.split("\n")) if line.strip(" "))
+    common = lambda s, line: counts[s, line] >= pages and counts[s, line] > totals[s] * ratio
+    out = []
+    for i, t, s in rows:
+        every = (t or "").split("\n")
+        few = [x for x in every if not common(s, x)]
+        out.append((i, None if t is None else "\n".join(few), 0 if t is None else len(every), len(every) - len(few)))
+    return out
+
+
+def test_line_dedup_is_its_sql_and_its_plain_version(spark):
+    """Copies, pages that are mostly boilerplate, null texts and sites; rows over and under either limit."""
+    import random
+
+    import duckdb
+
+    rng = random.Random(8)
+    shared = [f"site line {i}" for i in range(12)] + ["", "  "]
+    rows = []
+    for i in range(400):
+        site = rng.choice(["a", "a", "a", "b", None])
+        own = [rng.choice(shared[: 3 + i % 12]) for _ in range(rng.randrange(4))]
+        own += [f"own {rng.randrange(3000)} {i}" for _ in range(rng.randrange(3))]
+        rng.shuffle(own)
+        rows.append((i if i % 50 else None, "\n".join(own), site))
+    rows += [(1000 + i, "copied page\nwith a line of its own", "b") for i in range(60)]
+    rows += [(2000, None, "a"), (2001, None, None), (2002, "", "b"), (2003, "site line 0\nsite line 0", "a")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS)
+    got_ = sorted(map(tuple, lines.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed").collect()), key=str)
+    assert got_ == sorted(plain_lines(rows, lines.RATIO, lines.PAGES), key=str)
+    assert sum(r[3] for r in got_) > 100 and any(r[1] == "copied page\nwith a line of its own" for r in got_)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    sql = con.sql(lines.twin()).select("doc_id, text, n_lines, n_removed").fetchall()
+    assert sorted(sql, key=str) == got_
+
+
 def test_line_dedup_on_pages_that_are_mostly_boilerplate(spark):
     rows = [(i, f"The line of the site\nown text {i}", "s") for i in range(60)]
     rows += [(100, "The line of the site\nshort", "s"), (101, "The line of the site", "s")]

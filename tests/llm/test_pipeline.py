@@ -95,7 +95,7 @@ def plain_leak(text: str, items: list[list[str]]) -> bool:
     tokens = re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", lowered(text))
     for item in items:
         n, m, w = len(tokens), len(item), min(decontam.WINDOW, len(item))
-        if n < w or m < decontam.SPAN:
+        if n < w or not m:
             continue
         equal = np.array(tokens, object)[:, None] == np.array(item, object)[None]
         agree = sum(equal[k : n - w + k + 1, k : m - w + k + 1].astype(int) for k in range(w))
