@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.functions.semantics import ratio, sum_where
 from panelweave.operators.groups import attach, with_group, with_panel
-from panelweave.operators.joins import checked_join, complete_panel, keep_matching
+from panelweave.operators.joins import checked_join, complete_panel, full_join, keep_matching
 
 # Names of the balance elements.
 SUPPLY = ("Opening stocks", "Production", "Import")
@@ -81,7 +81,7 @@ def reconcile_bilateral(exports: DataFrame, imports: DataFrame, reporter: str, p
         F.col(partner).alias(reporter), F.col(reporter).alias(partner), *keys, F.col("value").alias("__mirror")
     )
     pair = [reporter, partner, *keys]
-    both = exports.select(*pair, "value").join(mirrored, pair, "full")
+    both = full_join(exports.select(*pair, "value"), mirrored, pair)
     return both.select(*pair, F.least("value", "__mirror").alias("value")).where(F.col("value").isNotNull())
 
 

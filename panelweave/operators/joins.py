@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.functions.semantics import any_null, raise_if
 from panelweave.operators.groups import attach, first_rows, null_safe_join
+from panelweave.session import cut_lineage
 
 
 def _pairs(on: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -75,6 +76,68 @@ def drop_matching(df: DataFrame, other: DataFrame, on: Sequence[str] | Mapping[s
     return _matching(df, other, on, "left_anti")
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, least: int) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows and more than ``least`` of them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    return counts.where((F.col("__n") > F.lit(least)) & (F.col("__n") > total * F.lit(share))).select(*keys)
+
+
+def full_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    null_keys: bool = False,
+    share: float = 0.001,
+    least: int = 100_000,
+) -> DataFrame:
+    """Full outer join whose hot keys are split; a row without a partner comes once.
+
+    A full outer join cannot be split at a hot key, as no part of one side knows
+    whether the others found a partner. Keys with more than ``share`` of a
+    side's rows, and more than ``least``, are found by a count and written: at
+    most 2 / ``share`` rows, which are broadcast. Their rows are joined by an inner join,
+    which adaptive execution may split on either side, and those whose key the
+    other side lacks are added; all other rows go through the plain join. A null
+    key finds no partner unless ``null_keys``; then it meets null. Columns: keys,
+    then the others of ``left`` and of ``right``, whose names must differ.
+    """
+    keys = list(keys)
+    mine, theirs = ([c for c in df.columns if c not in keys] for df in (left, right))
+    twice = set(mine) & set(theirs)
+    if twice:
+        raise ValueError(f"both sides have columns named {sorted(twice)}")
+    kinds = {f.name: f.dataType for f in [*left.schema.fields, *right.schema.fields]}
+    pad = lambda df: df.select(*keys, *[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in mine + theirs])
+    alone = []
+    if not null_keys:
+        missing = any_null(*keys)
+        alone = [pad(df.where(missing)) for df in (left, right)]
+        left, right = (df.where(~missing) for df in (left, right))
+    hot = cut_lineage(_hot_keys(left, keys, share, least).unionByName(_hot_keys(right, keys, share, least)).distinct())
+    named = {k: f"__{k}" for k in keys}
+
+    def joined(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+        made = b.withColumnsRenamed(named)
+        cond = reduce(lambda x, y: x & y, [a[k].eqNullSafe(made[n]) for k, n in named.items()])
+        return a.join(made, cond, how).select(*[F.coalesce(k, n).alias(k) for k, n in named.items()], *mine, *theirs)
+
+    if hot.isEmpty():
+        parts = [joined(left, right, "full"), *alone]
+    else:
+        few = F.broadcast(hot.withColumnsRenamed(named))
+        pick = lambda df, how: df.join(few, reduce(lambda x, y: x & y, [df[k].eqNullSafe(few[n]) for k, n in named.items()]), how)
+        a, b = pick(left, "left_semi"), pick(right, "left_semi")
+        parts = [
+            joined(pick(left, "left_anti"), pick(right, "left_anti"), "full"),
+            joined(a, b, "inner"),
+            pad(drop_matching(a, b, keys)),
+            pad(drop_matching(b, a, keys)),
+            *alone,
+        ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def keep_first_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], order_by: Sequence[str], last: bool = False
 ) -> DataFrame:

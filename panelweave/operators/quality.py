@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from panelweave.operators.joins import drop_matching
+from panelweave.operators.joins import drop_matching, full_join
 
 
 
@@ -85,7 +85,7 @@ def supply_use_report(
 
 def mismatches(left: DataFrame, right: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     """Pairs of rows of two tables on which they contradict each other."""
-    return left.join(right, list(keys), "full").where(bad)
+    return full_join(left, right, keys).where(bad)
 
 
 def negative_rows(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -103,12 +103,9 @@ def table_diff(
     Two whole numbers must be equal; other numbers may differ by
     ``rel * (floor + |left|)``.
     """
-    other = right.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(value).alias("__right"), F.lit(True).alias("__in_right"))
+    other = right.select(*keys, F.col(value).alias("__right"), F.lit(True).alias("__in_right"))
     both = left.select(*keys, F.col(value).alias("left_value"), F.lit(True).alias("__in_left"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & both[k].eqNullSafe(other[f"__{k}"])
-    joined = both.join(other, cond, "full")
+    joined = full_join(both, other, keys, null_keys=True)
     lv, rv = F.col("left_value"), F.col("__right")
     whole = (lv == F.floor(lv)) & (rv == F.floor(rv))
     limit = F.when(whole, F.lit(0.0)).otherwise(F.lit(rel) * (F.lit(floor) + F.abs(lv)))
@@ -121,7 +118,7 @@ def table_diff(
         .otherwise(F.lit("differs"))
     )
     return joined.select(
-        *[F.coalesce(k, f"__{k}").alias(k) for k in keys],
+        *keys,
         "left_value",
         F.col("__right").alias("right_value"),
         status.alias("status"),

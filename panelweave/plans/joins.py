@@ -8,19 +8,16 @@ from panelweave.operators.balances import reconcile_bilateral
 from panelweave.operators.groups import attach, first_rows
 from panelweave.plans.registry import query
 from panelweave.plans.views import BILAT, CY, GAPS, TS
-
-
-def year_slice(t, year, out):
-    return t.cy.where(F.col("year") == year).select("o_custkey", F.col("value").alias(out))
+from panelweave.session import cut_lineage
 
 
 @query(
     "j1_left_join",
-    f"""WITH {CY} SELECT c_custkey, c_mktsegment, value FROM customer
-        LEFT JOIN cy ON o_custkey = c_custkey AND year = 1995""",
+    f"""WITH {CY} SELECT c_custkey, c_mktsegment, year, value FROM customer
+        LEFT JOIN cy ON o_custkey + 7 = c_custkey""",
 )
 def _j1(t):
-    right = year_slice(t, 1995, "value").withColumnRenamed("o_custkey", "c_custkey")
+    right = t.cy.select((F.col("o_custkey") + 7).alias("c_custkey"), "year", "value")
     return t.customer.select("c_custkey", "c_mktsegment").join(right, "c_custkey", "left")
 
 
@@ -36,21 +33,22 @@ def _j2(t):
 
 @query(
     "j3_full_join",
-    f"""WITH {CY}, a AS (SELECT o_custkey, value AS v1995 FROM cy WHERE year = 1995),
-        b AS (SELECT o_custkey, value AS v1996 FROM cy WHERE year = 1996)
-        SELECT o_custkey, v1995, v1996 FROM a FULL JOIN b USING (o_custkey)""",
+    """WITH a AS (SELECT o_custkey, round(sum(o_totalprice), 2) AS spent, count(*) AS orders FROM orders GROUP BY 1),
+        b AS (SELECT c_custkey + 7 AS o_custkey, c_acctbal FROM customer)
+        SELECT o_custkey, spent, orders, c_acctbal FROM a FULL JOIN b USING (o_custkey)""",
 )
 def _j3(t):
-    return year_slice(t, 1995, "v1995").join(year_slice(t, 1996, "v1996"), "o_custkey", "full")
+    orders = t.orders.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spent"), F.count(F.lit(1)).alias("orders"))
+    customers = t.customer.select((F.col("c_custkey") + 7).alias("o_custkey"), "c_acctbal")
+    return J.full_join(orders, customers, ["o_custkey"])
 
 
 @query(
     "j4_right_join",
-    f"""WITH {CY} SELECT c_custkey, value FROM (SELECT * FROM cy WHERE year = 2001)
-        RIGHT JOIN customer ON o_custkey = c_custkey""",
+    f"""WITH {CY} SELECT c_custkey, year, value FROM cy RIGHT JOIN customer ON o_custkey + 7 = c_custkey""",
 )
 def _j4(t):
-    left = year_slice(t, 2001, "value").withColumnRenamed("o_custkey", "c_custkey")
+    left = t.cy.select((F.col("o_custkey") + 7).alias("c_custkey"), "year", "value")
     return left.join(t.customer.select("c_custkey"), "c_custkey", "right")
 
 
@@ -229,15 +227,16 @@ def _j17(t):
 
 @query(
     "j18_self_join_swapped_partners",
-    f"""WITH {BILAT}, e AS (SELECT s_nation AS reporter, c_nation AS partner, year, value FROM bilat WHERE value > 1000000),
-        i AS (SELECT c_nation AS partner, s_nation AS reporter, year, round(value * 0.98, 6) AS value FROM bilat WHERE value < 5000000)
+    f"""WITH {BILAT}, e AS (SELECT s_nation AS reporter, CASE WHEN year = 1997 THEN c_nation + 100 ELSE c_nation END AS partner, year, value FROM bilat),
+        i AS (SELECT c_nation AS partner, s_nation AS reporter, year, round(value * 0.98, 6) AS value FROM bilat)
         SELECT reporter, partner, year, least(e.value, i.value) AS value FROM e FULL JOIN i USING (reporter, partner, year)""",
 )
 def _j18(t):
-    exports = t.bilat.where("value > 1000000").select(
-        F.col("s_nation").alias("reporter"), F.col("c_nation").alias("partner"), "year", "value"
-    )
-    imports = t.bilat.where("value < 5000000").select(
+    # the exports of one year name partners that report no imports, and the other way round
+    partner = F.when(F.col("year") == 1997, F.col("c_nation") + 100).otherwise(F.col("c_nation"))
+    bilat = cut_lineage(t.bilat)
+    exports = bilat.select(F.col("s_nation").alias("reporter"), partner.alias("partner"), "year", "value")
+    imports = bilat.select(
         F.col("c_nation").alias("reporter"),
         F.col("s_nation").alias("partner"),
         "year",
@@ -280,9 +279,9 @@ def _j20(t):
 
 @query(
     "j21_revised_values",
-    f"""WITH {CY} SELECT c_custkey, coalesce(value, c_acctbal) AS c_acctbal FROM customer
-        LEFT JOIN cy ON o_custkey = c_custkey AND year = 2001""",
+    f"""WITH {CY}, r AS (SELECT o_custkey + 7 AS c_custkey, max(value) AS value FROM cy GROUP BY 1)
+        SELECT c_custkey, coalesce(value, c_acctbal) AS c_acctbal FROM customer LEFT JOIN r USING (c_custkey)""",
 )
 def _j21(t):
-    revised = t.cy.where("year = 2001").select(F.col("o_custkey").alias("c_custkey"), F.col("value").alias("c_acctbal"))
+    revised = t.cy.groupBy((F.col("o_custkey") + 7).alias("c_custkey")).agg(F.max("value").alias("c_acctbal"))
     return J.revise(t.customer.select("c_custkey", "c_acctbal"), revised, ["c_custkey"], "c_acctbal")

@@ -57,15 +57,18 @@ def _d9(t):
 
 @query(
     "d10_bilateral_reconciliation",
-    f"""WITH {BILAT}, e AS (SELECT s_nation, c_nation, year, value FROM bilat WHERE value > 800000),
-        i AS (SELECT s_nation, c_nation, year, value * 0.95 AS value FROM bilat WHERE value < 3000000),
+    f"""WITH {BILAT}, e AS (SELECT s_nation, c_nation, CAST(CASE WHEN s_nation % 5 = 0 THEN year + 100 ELSE year END AS INTEGER) AS year, value FROM bilat),
+        i AS (SELECT s_nation, c_nation, year, value * 0.95 AS value FROM bilat),
         b AS (SELECT s_nation, c_nation, year, least(e.value, i.value) AS value FROM e FULL JOIN i USING (s_nation, c_nation, year))
         SELECT r.n_regionkey AS reporter, p.n_regionkey AS partner, year, round(sum(value), 6) AS value FROM b
         JOIN nation r ON s_nation = r.n_nationkey JOIN nation p ON c_nation = p.n_nationkey GROUP BY 1, 2, 3""",
 )
 def _d10(t):
-    exports = t.bilat.where("value > 800000").withColumnsRenamed({"s_nation": "from", "c_nation": "to"})
-    imports = t.bilat.where("value < 3000000").select(
+    # a fifth of the exporters report under other years, so that either side has rows of its own
+    year = F.when(F.col("s_nation") % 5 == 0, F.col("year") + 100).otherwise(F.col("year")).cast("int")
+    bilat = cut_lineage(t.bilat)
+    exports = bilat.select(F.col("s_nation").alias("from"), F.col("c_nation").alias("to"), year.alias("year"), "value")
+    imports = bilat.select(
         F.col("c_nation").alias("from"), F.col("s_nation").alias("to"), "year", (F.col("value") * 0.95).alias("value")
     )
     both = B.reconcile_bilateral(exports, imports, "from", "to", ["year"])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelweave.operators.groups import first_rows, share, with_group
-from panelweave.operators.joins import checked_join
+from panelweave.operators.joins import checked_join, full_join
 from panelweave.operators.scans import quantiles
 from panelweave.session import checkpoint_root, cut_lineage, drop_scratch, run_dir, scratch_dir, use_settings
 
@@ -56,6 +56,37 @@ def test_lookup_splits_the_hot_key(skewed):
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_full_join_splits_hot_keys_of_either_side(skewed):
+    """Keys 0 (hot on the left, 20 partners), -1 (hot on the right, one partner), -2 (hot on the right only), null (hot)."""
+    left = skewed.select(F.when(F.col("k") % 50 != 49, F.col("k")).alias("k"), F.col("pad").alias("a"))
+    left = left.unionByName(left.limit(1).select(F.lit(-1).cast("bigint").alias("k"), "a"))
+    right = skewed.select(F.when(F.col("k") == 0, -1).when(F.col("k") < 1500, -2).otherwise(F.col("k") + 2000).alias("k"), F.col("pad").alias("b"))
+    right = right.unionByName(skewed.where("k = 1").limit(20).select(F.lit(0).cast("bigint").alias("k"), F.col("pad").alias("b")))
+    out = full_join(left, right, ["k"], share=0.01, least=1000)
+    plain = left.join(right, "k", "full")
+    assert out.columns == ["k", "a", "b"]
+    print_of = lambda df: df.select(F.count("*"), F.count("k"), F.count("a"), F.count("b"), F.sum(F.xxhash64("k", "a", "b").cast("decimal(38,0)"))).first()
+    assert print_of(out) == print_of(plain)
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_full_join_of_null_keys_and_empty_sides(frame):
+    a = frame([(1, None, 1.0), (None, "x", 2.0), (2, "y", None)], "i int, s string, a double")
+    b = frame([(1, None, 5.0), (None, "x", 6.0), (3, "z", 7.0)], "i int, s string, b double")
+    same = [(1, None, 1.0, 5.0), (2, "y", None, None), (3, "z", None, 7.0), (None, "x", 2.0, 6.0)]
+    apart = [(1, None, 1.0, None), (1, None, None, 5.0), (2, "y", None, None), (3, "z", None, 7.0), (None, "x", 2.0, None), (None, "x", None, 6.0)]
+    for least in (0, 100):  # every key hot, or none
+        got = {tuple(r) for r in full_join(a, b, ["i", "s"], null_keys=True, share=0.0, least=least).collect()}
+        assert got == set(same)
+        got = {tuple(r) for r in full_join(a, b, ["i", "s"], share=0.0, least=least).collect()}
+        assert got == set(apart)
+    assert full_join(a, b.limit(0), ["i", "s"], share=0.0, least=0).count() == 3 == full_join(a.limit(0), b, ["i", "s"]).count()
+    with pytest.raises(ValueError):
+        full_join(a, a, ["i", "s"])
+
+
 def test_shares_and_first_rows_of_a_hot_key(skewed):
     parts = share(skewed, "v", ["k"]).groupBy("k").agg(F.sum("share").alias("s"))
     assert parts.where(F.abs(F.col("s") - 1) > 1e-9).count() == 0
