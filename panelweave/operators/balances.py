@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.functions.semantics import ratio, sum_where
+from panelweave.functions.semantics import raise_if, ratio, sum_where
 from panelweave.operators.groups import attach, with_group, with_panel
 from panelweave.operators.joins import checked_join, complete_panel, full_join, keep_matching
 
@@ -192,8 +192,11 @@ def import_balance(df: DataFrame, cell: Sequence[str]) -> DataFrame:
     return _rebalance(_split_by_share(df, cell, "Import", "bal_import", "bal_domestic", USES), cell, False)
 
 
-def stock_balance(df: DataFrame, cell: Sequence[str], years: Sequence[int] | None = None) -> DataFrame:
-    """Split the domestic part further into opening stocks and current output."""
+def stock_balance(df: DataFrame, cell: Sequence[str], years: Sequence[int] | Column | None = None) -> DataFrame:
+    """Split the domestic part further into opening stocks and current output.
+
+    With ``years``, also as an array column, either part gets zeros in the years it lacks.
+    """
     domestic = df.where(F.col("bal_source") == "bal_domestic").drop("bal_source")
     split = _split_by_share(domestic, cell, "Opening stocks", "bal_domestic_lag", "bal_domestic_current", USES)
     if years is not None:
@@ -262,11 +265,28 @@ def source_shares(df: DataFrame, sinks: DataFrame, area: str, tier: int) -> Data
     )
 
 
-def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequence[int], cut=None) -> DataFrame:
+def prescale(df: DataFrame, rates: DataFrame, tier: int) -> DataFrame:
+    """Divide a tier's values by the output-specific rate of their item, where ``rates`` has one.
+
+    ``rates`` holds ``item`` and ``rate``; two rows of one item fail the job, a
+    rate of 0 gives 0.
+    """
+    one = rates.groupBy("item").agg(F.max("rate").alias("__rate"), F.count(F.lit(1)).alias("__n"))
+    one = one.where(raise_if(F.col("__n") > 1, "several output rates of one item")).drop("__n")
+    concerned = (F.col("tier") == tier) & F.col("__rate").isNotNull()
+    scaled = F.when(concerned, ratio("value", "__rate", 0)).otherwise(F.col("value"))
+    return attach(df, one, ["item"]).withColumn("value", scaled).drop("__rate")
+
+
+def primary_equivalent(
+    df: DataFrame, sinks: DataFrame, area: str, tiers: Sequence[int], cut=None, output_rates: DataFrame | None = None
+) -> DataFrame:
     """Fold processed items into their sources, highest tier first.
 
-    Each tier's balances are split into imported, stock and current parts,
-    divided by the matching extraction rate, and added to the source items in
+    Each tier's values are divided by the output-specific rates, where
+    ``output_rates`` has them, then its balances are split into imported, stock
+    and current parts, with zeros in the tier's years that a part lacks. Parts are divided by the
+    matching extraction rate and added to the source items in
     proportion to their processed use; the source's processed use drops by the
     sink's production. ``cut`` may materialise the input and the table between
     tiers, which are read several times; the last result is not.
@@ -276,8 +296,11 @@ def primary_equivalent(df: DataFrame, sinks: DataFrame, area: str, tiers: Sequen
         rows = cut(rows)
     cell = ["comm", "item", area, "year"]
     for tier in sorted(tiers, reverse=True):
+        if output_rates is not None:
+            rows = prescale(rows, output_rates, tier)
         current = rows.where(F.col("tier") == tier).drop("tier")
-        parts = stock_balance(import_balance(current, cell), cell)
+        years = current.agg(F.collect_set("year").alias("years")).scalar()
+        parts = stock_balance(import_balance(current, cell), cell, years)
         rates = extraction_rates(rows, sinks, area, tier)
         scaled = attach(parts, rates, ["comm", area, "year", "bal_source"]).withColumn(
             "value", F.coalesce(ratio("value", "extraction_rate"), F.lit(0.0))

@@ -197,11 +197,13 @@ def complete_panel(
     df: DataFrame,
     keys: Sequence[str],
     name: str,
-    values: Sequence,
+    values: Sequence | Column,
     fill: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """As ``complete``, reading its input once and leaving it partitioned by key.
 
+    ``values`` may be a column that holds an array, the same in every row.
+
     A key's rows are gathered to see which values lack, so a key must have one
     row per value, such as a year; aggregate first. A second row of one key and
     value fails the job.
@@ -211,8 +213,9 @@ def complete_panel(
     rows = df.groupBy(*keys).agg(F.collect_list(F.struct(name, *[f.name for f in rest])).alias("__rows"))
     taken = F.transform("__rows", lambda row: row[name])
     rows = rows.where(raise_if(F.size("__rows") > F.size(F.array_distinct(taken)), f"several rows of one key and {name}"))
-    wanted = F.array(*[F.lit(v).cast(kind) for v in values])
-    lacking = F.array_except(wanted, F.transform("__rows", lambda row: row[name]))
+    wanted = values if isinstance(values, Column) else F.array(*[F.lit(v).cast(kind) for v in values])
+    rows = rows.withColumn("__wanted", wanted)
+    lacking = F.array_except("__wanted", F.transform("__rows", lambda row: row[name]))
     blanks = F.transform(
         lacking,
         lambda v: F.struct(v.alias(name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]),

@@ -143,17 +143,17 @@ def rebalance_sql(table: str, keys: str, name: str, stocks: bool) -> str:
         UNION ALL SELECT {keys}, 'Residuals', bal_source, s - d FROM {name}_b{stock})"""
 
 
-def balance_sql(table: str, keys: str, name: str, years: bool = False) -> str:
+def balance_sql(table: str, keys: str, name: str, years: str | None = None) -> str:
     """SQL for the imported, lagged and current parts of the balances of a table.
 
-    With ``years``, the lagged and current parts get zeros in the years they lack.
+    With ``years``, a list, the lagged and current parts get zeros in the years they lack.
     """
     split, filled = f"{name}_s_u", ""
     if years:
         ids = ", ".join(k for k in keys.split(", ") if k != "year")
         filled = f"""{name}_ids AS (SELECT DISTINCT {ids}, element, bal_source FROM {split}),
-      {name}_all AS (SELECT {ids}, year, element, bal_source, coalesce(value, 0) AS value FROM {name}_ids
-        CROSS JOIN (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS year) LEFT JOIN {split} USING ({ids}, year, element, bal_source)),"""
+      {name}_all AS (SELECT {keys}, element, bal_source, sum(value) AS value FROM (SELECT {keys}, element, bal_source, value FROM {split}
+        UNION ALL BY NAME SELECT {ids}, CAST(unnest({years}) AS INTEGER) AS year, element, bal_source, 0.0 AS value FROM {name}_ids) GROUP BY {keys}, element, bal_source),"""
         split = f"{name}_all"
     return f"""{split_sql(table, keys, 'Import', 'bal_import', 'bal_domestic', name + '_i')},
       {rebalance_sql(name + '_i_u', keys, name + '_imp', False)},
@@ -179,7 +179,7 @@ def _d13(t):
 
 @query(
     "d14_stock_balance",
-    f"""WITH {SUA}, {balance_sql('sua', KEYS, 'bal', years=True)} SELECT {KEYS}, element, bal_source, round(value, 4) + 0 AS value FROM bal""",
+    f"""WITH {SUA}, {balance_sql('sua', KEYS, 'bal', years='range(1995, 2002)')} SELECT {KEYS}, element, bal_source, round(value, 4) + 0 AS value FROM bal""",
 )
 def _d14(t):
     out = B.stock_balance(B.import_balance(t.sua, CELL), CELL, YEARS)
@@ -194,6 +194,8 @@ TREE = [
     ("B", "LARGE", 1, "ECONOMY", 0.0),
     ("B", "PROMO", 1, "ECONOMY", 0.0),
 ]
+# Output-specific rates by which items are scaled before their tier is folded.
+OUTPUT_RATES = {"SMALL": 0.8, "PROMO": 1.25}
 ITEM_TIERS = {"STANDARD": ("A", 0), "MEDIUM": ("A", 1), "SMALL": ("A", 2), "ECONOMY": ("B", 0), "LARGE": ("B", 1), "PROMO": ("B", 1)}
 
 
@@ -215,9 +217,12 @@ def primary_sql() -> str:
         low = "CASE comm " + " ".join(f"WHEN '{c}' THEN {v}" for c, v in lows.items()) + " ELSE 0 END"
         k = f"k{tier}"
         keys = "comm, item, area, year"
+        scale = "CASE item " + " ".join(f"WHEN '{i}' THEN {v}" for i, v in OUTPUT_RATES.items()) + " ELSE 1 END"
+        ctes.append(f"{k}_in AS (SELECT * REPLACE (CASE WHEN tier = {tier} THEN value / {scale} ELSE value END AS value) FROM {rows})")
+        rows = f"{k}_in"
         ctes += [
             f"{k}_cur AS (SELECT comm, item, area, year, element, value FROM {rows} WHERE tier = {tier})",
-            balance_sql(f"{k}_cur", keys, f"{k}_bal"),
+            balance_sql(f"{k}_cur", keys, f"{k}_bal", years=f"(SELECT list(DISTINCT year) FROM {k}_cur)"),
             f"""{k}_cells AS (SELECT comm, area, year,
                 coalesce(sum(CASE WHEN tier = {tier} AND element = 'Production' THEN value END), 0) AS pr,
                 coalesce(sum(CASE WHEN tier = {tier} AND element = 'Export' THEN value END), 0) AS ex,
@@ -262,7 +267,8 @@ def _d15(t):
         TREE, "comm string, sink_item string, sink_tier int, source_item string, min_rate double"
     )
     rows = checked_join(t.sua, tiers, ["item"])
-    out = B.primary_equivalent(rows, sinks, "area", [1, 2], cut=cut_lineage)
+    rates = t.spark.createDataFrame(list(OUTPUT_RATES.items()), "item string, rate double")
+    out = B.primary_equivalent(rows, sinks, "area", [1, 2], cut=cut_lineage, output_rates=rates)
     done = B.final_balance(out, ["comm", "area", "year"])
     return done.select("comm", "area", "year", "element", (F.round("value", 3) + 0).alias("value"))
 
