@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.llm import textvec as tv
 from panelweave.llm.arrow import map_batches, texts, written
@@ -73,43 +73,78 @@ def band_keys(signature: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return tv.mix(keys)
 
 
-def _set_keys(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """64 bits of each set: a sum over its members, mixed with its size.
+#: Salts of the two 64-bit keys of a set.
+NODE, CHECK = 0x51 << 48, 0x2B << 48
 
-    Equal keys are taken for equal sets; among n sets that goes wrong with a
-    chance of about n * n / 2**65.
-    """
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tv.mix(sets ^ np.uint64(0x51 << 48)))))
+
+def _set_keys(sets: np.ndarray, begin: np.ndarray, salt: int = NODE) -> np.ndarray:
+    """64 bits of each set: a sum over its members, mixed with its size."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tv.mix(sets ^ np.uint64(salt)))))
     return tv.mix(total[begin[1:]] - total[begin[:-1]] + np.diff(begin).astype(np.uint64)).view(np.int64)
 
 
 def signed(docs: DataFrame, shingle: int, rows: int, bands: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: ``n_shingles``, the class ``node`` (documents of equal sets) and band keys."""
+    """Per document: ``n_shingles``, the class ``node`` (documents of equal sets) and band keys.
+
+    ``check`` are 64 further bits of the set, ``at`` a hash of the text.
+    """
 
     def make(batch: pa.RecordBatch) -> Iterator[dict]:
         for lo, hi, sets, begin in tv.shingle_sets(batch.column(1), shingle):
             keys = band_keys(signatures(sets, begin, rows * bands), rows, bands).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * bands, pa.int32()), pa.array(keys.ravel()))
-            yield {key: batch.column(0)[lo:hi], "n_shingles": np.diff(begin), "node": _set_keys(sets, begin), "bands": lists}
+            own = {"node": _set_keys(sets, begin), "check": _set_keys(sets, begin, CHECK)}
+            yield {key: batch.column(0)[lo:hi], "n_shingles": np.diff(begin)} | own | {"at": batch.column(2)[lo:hi], "bands": lists}
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, n_shingles bigint, node bigint, bands array<bigint>"
-    return map_batches(docs, [key, texts(docs, text)], make, schema)
+    schema = f"{key} {kind}, n_shingles bigint, node bigint, check bigint, at bigint, bands array<bigint>"
+    return map_batches(docs, [key, texts(docs, text), _text_hash(docs, text)], make, schema)
+
+
+def _text_hash(docs: DataFrame, text: str) -> Column:
+    return F.xxhash64(texts(docs, text)).alias("__at")
+
+
+def _classes(seen: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with their class, and one row per class: ``node``, its ``least`` key, a text's hash ``at``, ``check``.
+
+    Documents are of one class if 128 bits of their sets agree: where documents
+    of one ``node`` differ in ``check``, each check is a class of its own.
+    """
+
+    def made(rows: DataFrame) -> DataFrame:
+        at = F.coalesce(F.min_by("at", key), F.min("at")).alias("at")
+        check = [F.min("check").alias("check"), F.max("check").alias("__other")]
+        return rows.where("n_shingles > 0").groupBy("node").agg(F.min(key).alias("least"), at, *check)
+
+    classes = written(made(seen), "classes")
+    torn = classes.where(F.col("check") != F.col("__other")).select(F.col("node").alias("__torn"))
+    if torn.head(1):
+        parted = F.when(F.col("__torn").isNotNull(), F.xxhash64("node", "check")).otherwise(F.col("node"))
+        joined = seen.join(torn, F.col("node") == F.col("__torn"), "left")
+        seen = written(joined.withColumn("node", parted).drop("__torn"), "signed")
+        classes = written(made(seen), "classes")
+    return seen, classes.drop("__other")
 
 
 def _class_texts(docs, classes, crowded, shingle: int, key: str, text: str) -> DataFrame:
-    """``node`` and one ``text`` of each class that shares a bucket with another."""
+    """``node`` and one ``text`` of each class that shares a bucket with another.
+
+    A class is joined to its texts by its least key and a text's hash, so that
+    rows of one key, or of none, meet only the class of their own text.
+    """
     wanted = classes.join(crowded.select("node").distinct(), "node")
-    firsts = docs.select(F.col(key).alias("__least"), texts(docs, text).alias("text")).where("text != ''")
-    found = wanted.join(firsts, F.col("least").eqNullSafe(F.col("__least"))).select("node", "text")
+    own = docs.select(F.col(key).alias("__least"), texts(docs, text).alias("text"), _text_hash(docs, text)).where("text != ''")
+    same = F.col("least").eqNullSafe(F.col("__least")) & (F.col("at") == F.col("__at"))
+    found = wanted.join(own, same).select("node", "check", "text")
 
     def make(batch: pa.RecordBatch) -> Iterator[dict]:
-        # a key may stand on rows of several classes
-        for lo, hi, sets, begin in tv.shingle_sets(batch.column(1), shingle):
-            right = pa.array(_set_keys(sets, begin) == batch.column(0)[lo:hi].to_numpy())
-            yield {n: batch.column(n)[lo:hi].filter(right) for n in ("node", "text")}
+        # texts of one hash may be of several classes
+        for lo, hi, sets, begin in tv.shingle_sets(batch.column(2), shingle):
+            right = pa.array(_set_keys(sets, begin, CHECK) == batch.column(1)[lo:hi].to_numpy())
+            yield {"node": batch.column(0)[lo:hi].filter(right), "text": batch.column(2)[lo:hi].filter(right)}
 
-    return map_batches(found, ["node", "text"], make, "node bigint, text string").dropDuplicates(["node"])
+    return map_batches(found, ["node", "check", "text"], make, "node bigint, text string").dropDuplicates(["node"])
 
 
 def _checked(pairs: DataFrame, of: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -215,8 +250,8 @@ def near_duplicates(
     """
     rows, bands = bands_for(percent, coordinates)
     seen = written(signed(docs, shingle, rows, bands, key, text), "signed")
+    seen, classes = _classes(seen, key)
     full = seen.where("n_shingles > 0")
-    classes = full.groupBy("node").agg(F.min(key).alias("least"))
 
     # buckets of two or more classes, each with its leader
     keyed = full.select("node", F.explode("bands").alias("bucket"))
@@ -260,6 +295,6 @@ def near_duplicates(
     least = heads.groupBy(F.col("component").alias("__component")).agg(F.min("least").alias("component_id"))
     heads = null_safe_join(heads, least, {"component": "__component"}, "inner")
     heads = heads.select(F.col("node").alias("__node"), "component_id")
-    out = null_safe_join(seen.drop("bands"), heads, {"node": "__node"}, "left")
+    out = null_safe_join(seen.drop("bands", "check", "at"), heads, {"node": "__node"}, "left")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(key)))
     return out.select(key, "n_shingles", "component_id", F.col(key).eqNullSafe(F.col("component_id")).alias("kept"))

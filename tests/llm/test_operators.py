@@ -437,6 +437,50 @@ def test_line_dedup(spark):
     assert lines.drop_boilerplate(frame.limit(0)).count() == 0
 
 
+def test_near_copies_without_ids_meet_their_own_texts_only(spark, monkeypatch):
+    """1,000 near copies under the null id, and 200 under one id: a class gathers one text per copy of it."""
+    import random
+
+    rng = random.Random(21)
+    base = words(rng, 120, 4000).split()
+    texts = []
+    for i in range(1000):
+        own = list(base)
+        own[rng.randrange(len(own))] = f"w{i}"
+        texts.append(" ".join(own))
+    rows = [(None, t) for t in texts] + [(5, t + " tail") for t in texts[:200]] + [(None, texts[0])] * 3
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    gathered = []
+    plain = minhash._class_texts
+    monkeypatch.setattr(minhash, "map_batches", lambda df, *a: (gathered.append(df), map_batches(df, *a))[1])
+
+    def counted(*args):
+        gathered.clear()
+        out = plain(*args)
+        gathered.append(gathered[0].count())
+        return out
+
+    from panelweave.llm.arrow import map_batches
+
+    monkeypatch.setattr(minhash, "_class_texts", counted)
+    counts = []
+    keep = minhash.written
+    monkeypatch.setattr(minhash, "written", lambda df, name: (counts.append(gathered[-1]) if name == "texts" else None, keep(df, name))[1])
+    out = minhash.near_duplicates(docs, 3, 85).collect()
+    assert len(counts) == 1 and counts[0] <= len(rows)
+    assert len(out) == len(rows) and {r.component_id for r in out} == {5}
+    assert sum(r.kept for r in out) == 200
+
+
+def test_sets_that_share_64_bits_stay_apart(spark, monkeypatch):
+    """Every node key made equal: the other 64 bits tell the sets apart."""
+    plain = minhash.signed
+    monkeypatch.setattr(minhash, "signed", lambda *a, **k: plain(*a, **k).withColumn("node", F.lit(7).cast("bigint")))
+    docs = spark.createDataFrame(documents(), DOCS)
+    rows = got(minhash.near_duplicates(docs, 3, 85), "doc_id", "n_shingles", "component_id", "kept")
+    assert rows == sorted(near_duplicates([r[:2] for r in documents()], 3, 85), key=KEY_LAST)
+
+
 def plain_lines(rows, ratio, pages):
     """Line dedup in plain Python: (text, n_lines, n_removed) of every (id, text, site)."""
     from collections import Counter
