@@ -38,15 +38,24 @@ def use_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local_path(path: str) -> bool:
+    """Whether a path names no store, or the local file system."""
+    return "://" not in path and not path.partition(":")[0].isalpha() or path.startswith("file:")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a folder beside the session's tables: all
-    executors share the warehouse.
+    Where the setting is absent, a folder beside the session's tables. On a
+    cluster that has to be a store all executors reach; a warehouse on a local
+    path, which is the default, fails with a message.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and is_local_path(warehouse):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder: the warehouse {warehouse} is a local path")
+        root = warehouse.rstrip("/") + "/_scratch"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -115,6 +115,20 @@ def test_scratch_without_the_setting_lies_beside_the_tables(spark, monkeypatch):
     assert checkpoint_root(spark) == "/shared/tables/_scratch" and setting
 
 
+def test_scratch_on_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    tables = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: tables.get(key, default))
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, path: None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    for path in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse", "file:///x"):
+        tables["spark.sql.warehouse.dir"] = path
+        with pytest.raises(RuntimeError):
+            checkpoint_root(spark)
+    tables["spark.sql.warehouse.dir"] = "hdfs://name/tables"
+    assert checkpoint_root(spark) == "hdfs://name/tables/_scratch"
+
+
 def test_scratch_is_removed_as_a_whole(spark):
     cut_lineage(spark.range(3))
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
