@@ -23,8 +23,8 @@ def test_query(spark, name):
 
 
 def test_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(SQL) == {"op1_url_filters", "op8_line_dedup"} and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(SQL) == {"op1_url_filters", "op8_line_dedup", "op11_ranked_search"} and "pipeline" in entry.queries()
 
 
 @pytest.fixture(scope="module")
