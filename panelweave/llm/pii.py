@@ -332,10 +332,13 @@ def windows_of(text: str, rng: np.random.Generator | None = None) -> Iterator[tu
 def added_spans(text: str, base: list[tuple[str, int, int]], model: Field) -> list[tuple[str, int, int]]:
     """Spans of the random field that touch no base span."""
     out = []
-    taken = sorted((a, b) for _, a, b in base)
+    held = np.zeros(len(text) + 1, np.int32)
+    for _, a, b in base:
+        held[a:b] = 1
+    before = np.concatenate(([0], np.cumsum(held))).tolist()
     for low, high in regions(text):
         for kind, a, b in model.best(candidates(text, low, high)):
-            if all(b <= x or a >= y for x, y in taken if y > low and x < high):
+            if before[a] == before[b]:
                 out.append((kind, a, b))
     return out
 
