@@ -19,21 +19,21 @@ from panelweave.llm import textvec as tv
 from panelweave.llm.arrow import map_batches, texts, written
 from panelweave.operators.groups import null_safe_join
 
-#: A run has two sentences or more and this many words; a sentence of ``ALONE`` words is a run by itself.
-WORDS, ALONE = 16, 32
+#: Every run of ``SEVERAL`` sentences counts; shorter ones do from this many words on: two sentences, one sentence.
+SEVERAL, WORDS, ALONE = 3, 16, 16
 IS_STOP = np.zeros(256, bool)
 IS_STOP[list(b".!?")] = True
 
 
-def sentence_runs(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
+def sentence_runs(data: np.ndarray, offs: np.ndarray, several: int = SEVERAL, words: int = WORDS, alone: int = ALONE) -> dict[str, np.ndarray]:
     """Sentences and runs of a slice.
 
     A sentence ends with a word that ends in a full stop, exclamation or
     question mark, or at a line end. The runs are, for every sentence, the
-    shortest one beginning and the shortest one ending with it that has at
-    least ``WORDS`` words and two sentences, and sentences of ``ALONE`` words.
-    Any common passage of over twice ``WORDS`` words and one sentence is thus
-    covered by runs that lie inside it. Gives each text's first sentence
+    shortest one beginning and the shortest one ending with it that has
+    ``several`` sentences, however short, or two and more with ``words`` words
+    in all, and sentences of ``alone`` words. Longer runs are covered by
+    these, so that no repeated run of ``several`` sentences is missed. Gives each text's first sentence
     (``own``), sentences' first bytes (``begin``), runs' first and last
     sentence, and hashes, which ignore the case of A-Z and kinds of white space.
     """
@@ -49,11 +49,11 @@ def sentence_runs(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     own = np.searchsorted(word, first)
     each = np.arange(len(word))
     owner = tv.owners(own)
-    ahead = np.maximum(each + 1, np.searchsorted(until, word + WORDS))
-    back = np.minimum(each - 1, np.searchsorted(word, until - WORDS, "right") - 1)
+    ahead = np.minimum(each + several - 1, np.maximum(each + 1, np.searchsorted(until, word + words)))
+    back = np.maximum(each - several + 1, np.minimum(each - 1, np.searchsorted(word, until - words, "right") - 1))
     fits = (ahead < own[1:][owner]) if len(word) else each > 0
     held = (back >= own[:-1][owner]) if len(word) else each > 0
-    long = until - word >= ALONE
+    long = until - word >= alone
     low = np.concatenate((each[fits], back[held], each[long]))
     high = np.concatenate((ahead[fits], each[held], each[long]))
     pick = np.unique(low * (len(word) + 1) + high)
@@ -66,12 +66,12 @@ def sentence_runs(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     return {"own": own, "begin": starts[word], "low": low, "high": high, "hash": made, "owner": owner[low] if len(low) else low}
 
 
-def _hashes(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _hashes(docs: DataFrame, key: str, text: str, limits: tuple[int, int, int]) -> DataFrame:
     """Distinct run hashes of every document, as rows (hash, key)."""
 
     def make(batch: pa.RecordBatch) -> Iterator[dict]:
         for lo, hi, data, offs in tv.slices(batch.column(1)):
-            found = sentence_runs(data, offs)
+            found = sentence_runs(data, offs, *limits)
             _, later = tv.repeated(found["owner"], found["hash"])
             keep = ~later
             yield {
@@ -87,17 +87,21 @@ def _last(key: str):
     return F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("__key")
 
 
-def drop_repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeated_spans(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", several: int = SEVERAL, words: int = WORDS, alone: int = ALONE
+) -> DataFrame:
     """Per row: key, ``text`` without repeated spans, ``n_sentences``, ``n_removed`` and ``removed``.
 
     The first occurrence stays: the one in the document of the smallest key,
     and there the one furthest to the front. A removed sentence takes the white
     space behind it along; ``removed`` lists the ranges as begin:end in UTF-8
-    bytes. ``key`` is a whole number; a null key counts as the last, and rows
+    bytes. Every run of ``several`` sentences counts, one of
+    two from ``words`` words on and a single one from ``alone``. ``key`` is a whole number; a null key counts as the last, and rows
     repeated under one key count as one document, each keeping its text. Null
     texts read as empty and have no sentence.
     """
-    seen = _hashes(docs, key, text)
+    limits = (several, words, alone)
+    seen = _hashes(docs, key, text, limits)
     shared = seen.groupBy(F.col("hash").alias("__hash")).agg(F.min("__key").alias("head"), F.max("__key").alias("tail"))
     shared = written(shared.where("head < tail").select("__hash", "head"), "shared")
     late = null_safe_join(seen, shared, {"hash": "__hash"}, "inner").where("__key > head")
@@ -107,7 +111,7 @@ def drop_repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     def make(batch: pa.RecordBatch) -> Iterator[dict]:
         for lo, hi, data, offs in tv.slices(batch.column(1)):
-            found = sentence_runs(data, offs)
+            found = sentence_runs(data, offs, *limits)
             own, owner, made = found["own"], found["owner"], found["hash"]
             gone = _later(owner, made)
             edge = np.searchsorted(owner, np.arange(hi - lo + 1))

@@ -100,17 +100,18 @@ def sentences(text: str) -> list[list[tuple[int, str]]]:
     return out
 
 
-def sentence_runs(parts: list, least: int = 16, alone: int = 32) -> list[tuple[int, int]]:
+def sentence_runs(parts: list, several: int = 3, least: int = 16, alone: int = 16) -> list[tuple[int, int]]:
+    """The shortest runs that count, from and up to every sentence."""
     n = [len(s) for s in parts]
     made = set()
     for i in range(len(parts)):
         j = i + 1
-        while j < len(parts) and sum(n[i : j + 1]) < least:
+        while j < len(parts) and j - i + 1 < several and sum(n[i : j + 1]) < least:
             j += 1
         if j < len(parts):
             made.add((i, j))
         j = i - 1
-        while j >= 0 and sum(n[j : i + 1]) < least:
+        while j >= 0 and i - j + 1 < several and sum(n[j : i + 1]) < least:
             j -= 1
         if j >= 0:
             made.add((j, i))
@@ -119,12 +120,19 @@ def sentence_runs(parts: list, least: int = 16, alone: int = 32) -> list[tuple[i
     return sorted(made)
 
 
-def without_repeats(rows: list[tuple]) -> dict:
+def all_runs(parts: list) -> list[tuple[int, int]]:
+    """Every run that counts, of any length."""
+    n = [len(s) for s in parts]
+    pairs = [(i, j) for i in range(len(parts)) for j in range(i, len(parts))]
+    return [(i, j) for i, j in pairs if j - i >= 2 or sum(n[i : j + 1]) >= 16]
+
+
+def without_repeats(rows: list[tuple], runs=sentence_runs) -> dict:
     """{id: (text, sentences, removed)}; ids are unique."""
     first, out = set(), {}
     for key, text in sorted(rows):
         parts, dead = sentences(text or ""), set()
-        for i, j in sentence_runs(parts):
+        for i, j in runs(parts):
             run = tuple(lowered(w) for s in parts[i : j + 1] for _, w in s)
             if run in first:
                 dead.update(range(i, j + 1))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import DOCS, documents, lowered, near_duplicates, shingles, split_words, without_repeats, words
+from helpers import DOCS, all_runs, documents, lowered, near_duplicates, shingles, split_words, without_repeats, words
 from panelweave.llm import decontam, lines, minhash, pieces, pii, quality, spans, suffixes, textvec, toxicity, urls
 
 KEY_LAST = lambda row: (row[0] is None, row[0] or 0, str(row[1:]))
@@ -169,27 +169,46 @@ def test_random_field_adds_long_addresses_whole(spark):
     assert out == [(i, 1, f"email:9:{9 + len(m)}") for i, m in enumerate(mails)]
 
 
-def test_field_is_a_distribution_over_segmentations():
-    text = "x +1 (555) 123-4567 4111111111111111 y"
-    segments = [s for low, high in pii.regions(text) for s in pii.candidates(text, low, high)]
-    model = pii.Field({(k, "number"): 0.3 * i for i, k in enumerate(pii.KINDS)})
+@pytest.mark.parametrize("text", ["x +1 (555) 123-4567", "call 20 8123 4567 or", "id 10.20.30.40.7 y", "a.b (at) c.org, 555 123 4567"])
+def test_field_is_a_distribution_over_segmentations(text):
     import itertools
     import math
 
-    total, marginal = 0.0, [0.0] * len(segments)
+    segments = [s for low, high in pii.regions(text) for s in pii.candidates(text, low, high)]
+    assert 2 <= len(segments) <= 7
+    kind = {s[2][0] for s in segments}
+    model = pii.Field({(k, f): 1.1 * i + 0.9 for i, k in enumerate(pii.KINDS) for f in kind})
+    model.weights |= {(k, f): 0.2 * ((7 * i + 3 * len(f)) % 11 - 5) for i, k in enumerate(pii.KINDS) for s in segments for f in s[2][1:]}
+    total, marginal, best = 0.0, [[0.0] * len(pii.KINDS) for _ in segments], (-1.0, None)
     for chosen in itertools.product(range(-1, len(pii.KINDS)), repeat=len(segments)):
-        picked = [(segments[i], k, i) for i, k in enumerate(chosen) if k >= 0]
-        ends = sorted((s[0], s[1]) for s, _, _ in picked)
-        if any(a[1] > b[0] for a, b in zip(ends, ends[1:])):
+        picked = [(i, k) for i, k in enumerate(chosen) if k >= 0]
+        ends = sorted(segments[i][:2] for i, _ in picked)
+        if any(x[1] > y[0] for x, y in zip(ends, ends[1:])):
             continue
-        weight = math.exp(sum(model.scores(s[2])[k] for s, k, _ in picked))
+        weight = math.exp(sum(model.scores(segments[i][2])[k] for i, k in picked))
         total += weight
-        for _, _, i in picked:
-            marginal[i] += weight
-        if len(segments) > 6:
-            pytest.skip("too many segments to enumerate")
-    for chances, m in zip(model.chances(segments), marginal):
-        assert abs(sum(chances) - m / total) < 1e-9
+        best = max(best, (weight, sorted((pii.KINDS[k], *segments[i][:2]) for i, k in picked)))
+        for i, k in picked:
+            marginal[i][k] += weight
+    for chances, row in zip(model.chances(segments), marginal):
+        assert all(abs(c - m / total) < 1e-9 for c, m in zip(chances, row))
+    found = model.best(segments)
+    number = {s[:2]: i for i, s in enumerate(segments)}
+    score = sum(model.scores(segments[number[a, b]][2])[pii.KINDS.index(k)] for k, a, b in found)
+    assert found and abs(math.exp(score) - best[0]) < 1e-9 * best[0]
+
+
+def test_added_spans_take_time_in_line_with_the_text():
+    import time
+
+    model = pii.Field({(k, "mail"): 9.0 if k == "email" else -9.0 for k in pii.KINDS})
+    text = " ".join(f"a{i}@b.org c{i} (at) d.org" for i in range(50_000))
+    began = time.time()
+    base = pii.base_spans(text)
+    added = pii.added_spans(text, base, model)
+    assert len(base) == len(added) == 50_000 and time.time() - began < 30
+    held = {(a, b) for _, a, b in base}
+    assert not held & {(a, b) for _, a, b in added}
 
 
 # --- 3: quality rules
@@ -557,6 +576,30 @@ def test_passages_of_fifty_words_go_whole(spark):
         assert shared in out[0][0] and not any(set(shared.split()[20:30]) <= set(out[i][0].split()[40:60]) for i in (1, 2))
 
 
+def test_every_run_of_several_sentences_counts(spark):
+    rng = random.Random(21)
+    few = [" ".join(rng.choices("a b c".split(), k=rng.randint(1, 3))) + rng.choice([". ", "! ", ".\n", "\n"]) for _ in range(8)]
+    rows = [(i, "".join(rng.choices(few, k=rng.randint(0, 14))) + rng.choice(["", f"own{i} end."])) for i in range(300)]
+    rows += [(300, "Yes it is. So be it. All right."), (301, "Yes it is. So be it. All right."), (302, "Yes it is. So be it. Or not.")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r[0]: r[1:] for r in got(spans.drop_repeated_spans(frame), "doc_id", "text", "n_sentences", "n_removed")}
+    assert out == without_repeats(rows, all_runs)
+    assert out[301] == ("", 3, 3) and out[302][2] == 0
+
+
+def test_passages_within_lines_lose_their_whole_sentences(spark):
+    rng = random.Random(22)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    inner = [own(9) + "." for _ in range(6)]
+    shared = own(4) + ". " + " ".join(inner) + " " + own(5)
+    rows = [(i, f"{own(12)} {shared} {own(7)}. {own(11)}.") for i in range(40)]
+    out = dict(got(spans.drop_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "text"))
+    assert out[0] == rows[0][1]
+    for i in range(1, 40):
+        assert not any(s in out[i] for s in inner)
+        assert out[i].split()[:12] == rows[i][1].split()[:12] and out[i].split()[-11:] == rows[i][1].split()[-11:]
+
+
 # --- 10: pieces
 
 
