@@ -187,22 +187,22 @@ def rekey(
 def lineage_closure(edges: DataFrame, source: str, target: str) -> DataFrame:
     """All pairs of a table and the tables it feeds, directly or through others, with the fewest steps.
 
-    Semi-naive: only pairs found in the last step are extended. Every step is
-    written out, so the plan does not grow. The loop ends when a step finds
-    nothing new, with cycles too.
+    Path doubling: with all pairs of up to n steps known, a pair of up to 2n
+    steps is one of exactly n steps followed by a known one, so a chain of
+    length m takes about log2 m rounds. Every round is written out, so the plan
+    does not grow. A round without a pair of its full length is the last, with
+    cycles too.
     """
     step = edges.select(F.col(source).alias("source"), F.col(target).alias("target")).distinct()
     fresh = cut_lineage(step.withColumn("depth", F.lit(1)))
-    known, depth = fresh, 1
-    while True:
-        depth += 1
+    known, length = fresh, 1
+    while not (whole := fresh.where(F.col("depth") == length)).isEmpty():
+        head = whole.select("source", F.col("target").alias("__via"), F.col("depth").alias("__first"))
         reached = (
-            fresh.select("source", F.col("target").alias("__via"))
-            .join(step.withColumnRenamed("source", "__via"), "__via")
-            .select("source", "target")
-            .distinct()
+            head.join(known.withColumnsRenamed({"source": "__via", "depth": "__then"}), "__via")
+            .groupBy("source", "target")
+            .agg(F.min(F.col("__first") + F.col("__then")).alias("depth"))
         )
-        fresh = cut_lineage(drop_matching(reached, known, ["source", "target"]).withColumn("depth", F.lit(depth)))
-        if fresh.isEmpty():
-            return known
-        known = known.unionByName(fresh)
+        fresh = cut_lineage(drop_matching(reached, known, ["source", "target"]))
+        known, length = known.unionByName(fresh), 2 * length
+    return known

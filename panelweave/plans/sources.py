@@ -226,6 +226,26 @@ def _s12(t):
     )
 
 
+@query(
+    "s12_nested_document",
+    """WITH located AS (SELECT n_regionkey, c_nationkey, c_custkey, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+         marks AS (SELECT DISTINCT 'region' AS tag, n_regionkey AS name FROM located UNION ALL SELECT DISTINCT 'nation', c_nationkey FROM located),
+         lines AS (SELECT '<' || tag || ' name="' || name || '">' AS line FROM marks UNION ALL SELECT '</' || tag || '>' FROM marks
+           UNION ALL SELECT '<customer><c_custkey>' || c_custkey || '</c_custkey><c_name>' || c_name || '</c_name></customer>' FROM located
+           UNION ALL VALUES ('<scenario>'), ('</scenario>'))
+       SELECT line, count(*) AS copies FROM lines GROUP BY 1""",
+)
+def _s12_document(t):
+    located = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    path = sinks.write_nested_document(
+        located.select("n_regionkey", "c_nationkey", "c_custkey", "c_name"),
+        {"region": "n_regionkey", "nation": "c_nationkey"},
+        "customer",
+        scratch_dir(t.spark, "nested"),
+    )
+    return t.spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("copies"))
+
+
 @query(
     "s13_write_by_scenario",
     f"""WITH {TS} SELECT scenario, count(*) AS rows, round(sum(round(value * factor, 4)), 2) AS total

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelweave.operators.quality import contract_select
 
@@ -95,10 +95,64 @@ def write_one_document(
     spark = pieces[0].sparkSession
     for place, line in ((0, f"<{root}>"), (len(pieces) + 1, f"</{root}>")):
         pieces.append(spark.range(1).select(F.lit(place).alias("place"), F.lit(line).alias("line")))
-    whole = reduce(DataFrame.unionByName, pieces).withColumn("spread", F.xxhash64("line"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = whole.repartitionByRange(parts, "place", "spread").sortWithinPartitions("place", "spread")
-    target = with_suffix(path, suffix)
+    return _write_lines(reduce(DataFrame.unionByName, pieces), ["place"], with_suffix(path, suffix))
+
+
+def write_nested_document(
+    df: DataFrame,
+    levels: Mapping[str, str],
+    leaf: str,
+    path: str,
+    root: str = "scenario",
+    suffix: str | None = None,
+) -> str:
+    """Write flat rows as one document of nested elements; returns the folder.
+
+    ``levels`` maps element tags, from the outer to the inner, to the column
+    that names the element; the other columns become the ``leaf`` element of
+    the row. Elements of a level stand in the order of their names, null first
+    and without a name attribute; rows of one element have no order, and
+    repeated rows stay. No element is gathered: opening and closing tags are
+    rows of their own, sorted around what they hold, so a single element of any
+    size is written by many tasks. The part files in the order of their names
+    are the document.
+    """
+    tags, columns = list(levels), list(levels.values())
+    rest = [c for c in df.columns if c not in columns]
+    order = [c for i in range(len(levels)) for c in (f"key{i}", f"side{i}")]
+
+    def lines(rows: DataFrame, depth: int, side: Column, text: Column) -> DataFrame:
+        """Rows at a depth: inside all elements around them, before (0), in (1) or behind (2) the last."""
+        places = []
+        for i, name in enumerate(columns):
+            held = F.col(name) if i < depth else F.lit(None).cast(df.schema[name].dataType)
+            at = side if i == depth - 1 else F.lit(1 if i < depth else None).cast("int")
+            places += [held.alias(f"key{i}"), at.alias(f"side{i}")]
+        flat = F.replace(text, F.lit("\n"), F.lit("&#10;"))
+        return rows.select(F.lit(1).alias("place"), *places, flat.alias("line"))
+
+    pieces = [lines(df, len(levels), F.lit(1), F.to_xml(F.struct(*rest), {"rowTag": leaf, "indent": ""}))]
+    inner = df.select(*columns)
+    for depth in range(len(levels), 0, -1):
+        inner = inner.select(*columns[:depth]).distinct()
+        tag, name = tags[depth - 1], F.col(columns[depth - 1]).cast("string")
+        for mark, attribute in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            name = F.replace(name, F.lit(mark), F.lit(attribute))
+        opened = F.concat(F.lit(f"<{tag}"), F.coalesce(F.concat(F.lit(' name="'), name, F.lit('"')), F.lit("")), F.lit(">"))
+        ends = inner.withColumn("__side", F.explode(F.array(F.lit(0), F.lit(2))))
+        pieces.append(lines(ends, depth, F.col("__side"), F.when(F.col("__side") == 0, opened).otherwise(f"</{tag}>")))
+    frame = df.sparkSession.range(1)
+    blank = [F.lit(None).cast(pieces[0].schema[c].dataType).alias(c) for c in order]
+    for place, line in ((0, f"<{root}>"), (2, f"</{root}>")):
+        pieces.append(frame.select(F.lit(place).alias("place"), *blank, F.lit(line).alias("line")))
+    return _write_lines(reduce(DataFrame.unionByName, pieces), ["place", *order], with_suffix(path, suffix))
+
+
+def _write_lines(lines: DataFrame, order: Sequence[str], target: str) -> str:
+    """Write the column ``line`` sorted, by ranges of the order; rows of one place are spread by their hash."""
+    whole = lines.withColumn("spread", F.xxhash64("line"))
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = whole.repartitionByRange(parts, *order, "spread").sortWithinPartitions(*order, "spread")
     ordered.select("line").write.mode("overwrite").text(target)
     return target
 

@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from panelweave.operators import quality as Q, regions as R, reshape as H
+from panelweave.session import cut_lineage
 
 
 def test_spread_rejects_values_that_are_not_listed(frame, rows):
@@ -52,9 +55,26 @@ def test_lineage_with_a_cycle(frame, rows):
     assert [r for r in rows(out) if r[0] == "a"] == [("a", "a", 3), ("a", "b", 1), ("a", "c", 2), ("a", "d", 3)]
 
 
-def test_lineage_of_any_depth(frame):
-    edges = frame([(i, i + 1) for i in range(8)], "s int, t int")
-    assert R.lineage_closure(edges, "s", "t").agg({"depth": "max"}).first()[0] == 8
+def test_lineage_of_any_depth(frame, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(R, "cut_lineage", lambda df: rounds.append(1) or cut_lineage(df))
+    out = R.lineage_closure(frame([(i, i + 1) for i in range(300)], "s int, t int"), "s", "t")
+    wrong = out.where("depth != target - source").count()
+    assert (out.count(), wrong) == (300 * 301 // 2, 0) and len(rounds) <= 10
+
+
+def test_lineage_takes_the_fewest_steps(frame, rows):
+    rng = random.Random(4)
+    edges = {(rng.randrange(25), rng.randrange(25)) for _ in range(40)} | {(i, i + 1) for i in range(30, 41)} | {(41, 30), (33, 38)}
+    best = {e: 1 for e in edges}
+    for n in range(2, 60):
+        for (a, b), d in list(best.items()):
+            if d == n - 1:
+                for x, y in edges:
+                    if x == b:
+                        best.setdefault((a, y), n)
+    out = R.lineage_closure(frame([*edges, *list(edges)[:5]], "s int, t int"), "s", "t")
+    assert rows(out) == sorted((a, b, d) for (a, b), d in best.items())
 
 
 def test_cancelling_leaves_make_an_empty_branch(frame, rows):

@@ -1,4 +1,5 @@
 import gzip
+from xml.etree import ElementTree
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -132,3 +133,33 @@ def test_one_document_holds_several_tables(spark, frame, tmp_path):
     assert root[300].find("point/year").text == "2001"
     back = sinks.read_from_document(spark, path, "many", "name string, k int")
     assert sorted(map(tuple, back.collect())) == sorted((f"n & <{i}>", i) for i in range(300))
+
+
+def parsed(path):
+    text = "".join(f.read_text() for f in sorted(path.glob("part-*")))
+    return ElementTree.fromstring(text)
+
+
+def test_nested_document_of_odd_names(spark, tmp_path):
+    data = [("b", 1, "x"), ("a", 2, "<&> \"q\"\nz"), ("a", 2, "y"), ("a", None, "n"), (None, 1, "w"), ('<"&>', 7, None), ("b", 1, "x")]
+    df = spark.createDataFrame(data, "sector string, tech int, note string").repartition(3)
+    path = sinks.write_nested_document(df, {"sector": "sector", "technology": "tech"}, "row", str(tmp_path / "d"), suffix="_low")
+    root = parsed(tmp_path / "d_low")
+    assert path.endswith("d_low") and root.tag == "scenario"
+    assert [s.get("name") for s in root] == [None, '<"&>', "a", "b"]
+    assert [t.get("name") for t in root[2]] == [None, "2"]
+    back = [(s.get("name"), t.get("name"), r.findtext("note")) for s in root for t in s for r in t]
+    want = [(a, None if b is None else str(b), c) for a, b, c in data]
+    assert sorted(back, key=str) == sorted(want, key=str)
+    sinks.write_nested_document(df.limit(0), {"sector": "sector"}, "row", str(tmp_path / "none"))
+    assert len(parsed(tmp_path / "none")) == 0
+
+
+def test_one_element_is_written_by_many_tasks(spark, tmp_path):
+    n = 200_000
+    df = spark.range(n).select(F.lit("all").alias("top"), F.lit(1).alias("inner"), (F.col("id") % 1000).alias("k"), "id")
+    sinks.write_nested_document(df, {"top": "top", "inner": "inner"}, "row", str(tmp_path / "d"))
+    parts = [len(f.read_text().splitlines()) for f in sorted((tmp_path / "d").glob("part-*"))]
+    assert len([p for p in parts if p]) > 4 and max(parts) < n / 2
+    rows = parsed(tmp_path / "d")[0][0]
+    assert len(rows) == n and {int(r.findtext("id")) for r in rows} == set(range(n))
