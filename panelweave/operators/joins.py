@@ -225,20 +225,42 @@ def complete_panel(
 
 
 def fallback_join(
-    df: DataFrame, rules: DataFrame, levels: Sequence[Sequence[str]], value: str, order_by: Sequence[str]
+    df: DataFrame,
+    rules: DataFrame,
+    levels: Sequence[Sequence[str]],
+    value: str,
+    order_by: Sequence[str],
+    ambiguous: str | None = None,
 ) -> DataFrame:
     """Value of the most specific rule that applies.
 
-    ``levels`` lists key sets from specific to general. Rules are reduced to
-    one row per key at each level, so no level fans out.
+    ``levels`` lists key sets from specific to general. The rules of one key
+    at one level are reduced to the first in the stated order, so no level fans
+    out; a null value falls through to the next level. ``ambiguous`` names a
+    column that says whether rules of the level that decided gave the key
+    different values; it is null where no rule applies. Null keys match.
+
+    All levels are matched in one join, on the distinct keys of ``df``, and
+    ranked by a combining aggregate, so the rows themselves are joined once.
     """
-    out = df
-    found = []
-    for i, keys in enumerate(levels):
-        picked = first_rows(rules.select(*{*keys, *order_by, value}), keys, [c for c in order_by if c not in keys])
-        out = attach(out, picked.select(*keys, F.col(value).alias(f"__level_{i}")), keys)
-        found.append(F.col(f"__level_{i}"))
-    return out.withColumn(value, F.coalesce(*found)).select(*df.columns, value)
+    keys = list(dict.fromkeys(k for level in levels for k in level))
+    by = {c: f"__by_{c}" for c in order_by}
+
+    def spread(rows: DataFrame, *rest: Column) -> DataFrame:
+        """Every row once per level, with keys that do not belong to the level set to null."""
+        leveled = rows.select(F.explode(F.array(*map(F.lit, range(len(levels))))).alias("__level"), *keys, *rest)
+        belongs = {k: [i for i, level in enumerate(levels) if k in level] for k in keys}
+        return leveled.withColumns({f"__at_{k}": F.when(F.col("__level").isin(at), F.col(k)) for k, at in belongs.items()})
+
+    at = ["__level", *[f"__at_{k}" for k in keys]]
+    given = spread(rules, F.col(value).alias("__value"), *[F.col(c).alias(n) for c, n in by.items()])
+    picked = first_rows(given.select(*at, *by.values(), "__value"), at, list(by.values())).select(*at, "__value")
+    many = given.groupBy(*at).agg((F.min("__value") != F.max("__value")).alias("__many"))
+    found = attach(picked, many, at) if ambiguous else picked.withColumn("__many", F.lit(None).cast("boolean"))
+    asked = attach(spread(df.select(*keys).distinct()), found.where(F.col("__value").isNotNull()), at, "inner")
+    best = asked.groupBy(*keys).agg(F.min(F.struct("__level", "__value", "__many")).alias("__best"))
+    out = {value: F.col("__best")["__value"]} | ({ambiguous: F.col("__best")["__many"]} if ambiguous else {})
+    return attach(df, best, keys).select(*df.columns, *[c.alias(name) for name, c in out.items()])
 
 
 def derived_rows(

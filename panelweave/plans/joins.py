@@ -185,18 +185,22 @@ def _j15(t):
 
 @query(
     "j16_hierarchical_fallback_join",
-    """WITH rules AS (SELECT p_brand, p_type, p_size, min(p_retailprice) AS rate FROM part WHERE p_size <= 10 GROUP BY 1, 2, 3),
-       l0 AS (SELECT * FROM rules),
-       l1 AS (SELECT p_brand, p_type, min(rate) AS rate FROM rules GROUP BY 1, 2),
-       l3 AS (SELECT p_type, min(rate) AS rate FROM rules GROUP BY 1)
-       SELECT p.p_partkey, coalesce(l0.rate, l1.rate, l3.rate) AS rate FROM part p
-       LEFT JOIN l0 USING (p_brand, p_type, p_size) LEFT JOIN l1 USING (p_brand, p_type) LEFT JOIN l3 USING (p_type)""",
+    """WITH rules AS (SELECT CASE WHEN p_size > 30 THEN p_brand || '*' ELSE p_brand END AS p_brand, p_type,
+           CASE WHEN p_size > 10 THEN p_size + 100 ELSE p_size END AS p_size, p_retailprice AS rate FROM part),
+       l0 AS (SELECT p_brand, p_type, p_size, min(rate) AS rate, min(rate) <> max(rate) AS several FROM rules GROUP BY 1, 2, 3),
+       l1 AS (SELECT p_brand, p_type, min(rate) AS rate, min(rate) <> max(rate) AS several FROM rules GROUP BY 1, 2),
+       l2 AS (SELECT p_type, min(rate) AS rate, min(rate) <> max(rate) AS several FROM rules GROUP BY 1)
+       SELECT p.p_partkey, coalesce(l0.rate, l1.rate, l2.rate) AS rate, coalesce(l0.several, l1.several, l2.several) AS several FROM part p
+       LEFT JOIN l0 USING (p_brand, p_type, p_size) LEFT JOIN l1 USING (p_brand, p_type) LEFT JOIN l2 USING (p_type)""",
 )
 def _j16(t):
-    rules = t.part.where("p_size <= 10").select("p_brand", "p_type", "p_size", F.col("p_retailprice").alias("rate"))
+    # other brands and sizes in some of the rules leave parts to the wider levels
+    brand = F.when(F.col("p_size") > 30, F.concat("p_brand", F.lit("*"))).otherwise(F.col("p_brand"))
+    size = F.when(F.col("p_size") > 10, F.col("p_size") + 100).otherwise(F.col("p_size"))
+    rules = t.part.select(brand.alias("p_brand"), "p_type", size.alias("p_size"), F.col("p_retailprice").alias("rate"))
     parts = t.part.select("p_partkey", "p_brand", "p_type", "p_size")
     levels = [["p_brand", "p_type", "p_size"], ["p_brand", "p_type"], ["p_type"]]
-    return J.fallback_join(parts, rules, levels, "rate", ["rate"]).select("p_partkey", "rate")
+    return J.fallback_join(parts, rules, levels, "rate", ["rate"], "several").select("p_partkey", "rate", "several")
 
 
 @query(

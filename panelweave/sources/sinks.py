@@ -89,8 +89,7 @@ def write_one_document(
     for place, (tag, df) in enumerate(tables.items(), 1):
         if contracts and tag in contracts:
             df = contract_select(df, contracts[tag])
-        # one line per row; a line end inside a value is written as its character reference
-        line = F.replace(F.to_xml(F.struct(*df.columns), {"rowTag": tag, "indent": ""}), F.lit("\n"), F.lit("&#10;"))
+        line = _one_line(F.to_xml(F.struct(*df.columns), {"rowTag": tag, "indent": ""}))
         pieces.append(df.select(F.lit(place).alias("place"), line.alias("line")))
     spark = pieces[0].sparkSession
     for place, line in ((0, f"<{root}>"), (len(pieces) + 1, f"</{root}>")):
@@ -128,8 +127,7 @@ def write_nested_document(
             held = F.col(name) if i < depth else F.lit(None).cast(df.schema[name].dataType)
             at = side if i == depth - 1 else F.lit(1 if i < depth else None).cast("int")
             places += [held.alias(f"key{i}"), at.alias(f"side{i}")]
-        flat = F.replace(text, F.lit("\n"), F.lit("&#10;"))
-        return rows.select(F.lit(1).alias("place"), *places, flat.alias("line"))
+        return rows.select(F.lit(1).alias("place"), *places, _one_line(text).alias("line"))
 
     pieces = [lines(df, len(levels), F.lit(1), F.to_xml(F.struct(*rest), {"rowTag": leaf, "indent": ""}))]
     inner = df.select(*columns)
@@ -148,6 +146,11 @@ def write_nested_document(
     return _write_lines(reduce(DataFrame.unionByName, pieces), ["place", *order], with_suffix(path, suffix))
 
 
+def _one_line(text: Column) -> Column:
+    """The text as one line; a line end inside a value is written as its character reference."""
+    return F.replace(F.regexp_replace(text, r"\n\z", ""), F.lit("\n"), F.lit("&#10;"))
+
+
 def _write_lines(lines: DataFrame, order: Sequence[str], target: str) -> str:
     """Write the column ``line`` sorted, by ranges of the order; rows of one place are spread by their hash."""
     whole = lines.withColumn("spread", F.xxhash64("line"))

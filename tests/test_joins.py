@@ -126,3 +126,20 @@ def test_derived_rows_fall_back_or_stay_null(frame, rows):
     out = J.derived_rows(df, F.col("gas") == "PM", rules, [["a", "b"], ["a"]], {"BC": "f"}, "gas", "v")
     assert rows(out.where("gas = 'BC'"), "a", "b", "v") == [("q", "t", None), ("s", "t", 5.0), ("s", "u", 2.0)]
     assert out.count() == 7
+
+
+def test_fallback_reports_rules_that_differ(frame, rows):
+    df = frame([(1, "a", "x"), (2, "a", "y"), (3, "b", "z"), (4, "c", "x"), (5, None, "x"), (6, "d", "x")], "id int, a string, b string")
+    rules = frame(
+        [("a", "x", 3.0, 1), ("a", "x", 3.0, 2), ("a", "q", 2.0, 3), ("b", "z", None, 1), ("b", "w", 5.0, 9), ("b", "v", 4.0, 10), ("c", "x", 7.0, 2), ("c", "x", 6.0, 3), (None, "x", 8.0, 1)],
+        "a string, b string, rate double, rank int",
+    )
+    out = J.fallback_join(df, rules, [["a", "b"], ["a"]], "rate", ["rank"], "differ").select("id", "rate", "differ")
+    assert rows(out) == [(1, 3.0, False), (2, 3.0, True), (3, None, None), (4, 7.0, True), (5, 8.0, False), (6, None, None)]
+
+
+def test_fallback_joins_the_rows_once(frame):
+    df = frame([(1, "a", "x")], "id int, a string, b string")
+    out = J.fallback_join(df, df.withColumnRenamed("id", "rate"), [["a", "b"], ["a"], ["b"]], "rate", ["rate"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
