@@ -20,7 +20,16 @@ from panelweave.llm.arrow import map_batches, texts, written
 
 SYMBOLS = b"#*$%&|<>"
 STATISTICS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-FEATURES = ["symbol_share", "stutter_share", "word_length", "upper_share", "shout_share", "bare_share"]
+#: Repeated words stay with the base rule: their share, as a feature, hides the bad rows behind good rows of few repeats.
+FEATURES = [
+    "symbol_share",
+    "stutter_share",
+    "word_length",
+    "upper_share",
+    "shout_share",
+    "bare_share",
+    "dup_line_share",
+]
 
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(SYMBOLS)] = True
@@ -62,6 +71,7 @@ def _slice_statistics(data: np.ndarray, offs: np.ndarray, window: int) -> dict[s
         "upper_share": some(upper, stats["word_chars"]),
         "shout_share": some(tv.count_in(data == 33, offs), n_words),
         "bare_share": some(np.bincount(owner[bare], minlength=n), n_words),
+        "dup_line_share": some(stats["n_dup_lines"], np.diff(line_first)),
     }
     return {k: v.astype(np.int64) for k, v in stats.items()} | features
 

@@ -1,6 +1,7 @@
 """Each operator against a plain version on small tables with odd rows."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -244,6 +245,53 @@ def test_quality_judgement(spark, docs, labels):
     assert quality.judge(docs, labels.limit(0)).where("kept = base_failed").count() == 0
 
 
+def test_forest_scores_follow_path_lengths():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(40, 3)), [[9.0, 9.0, 9.0]]])
+    forest = quality.grow(x, trees=5, rows=16, seed=1)
+
+    def usual(n):
+        return 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else float(n == 2)
+
+    def path(row, node):
+        f = forest.feature[node]
+        return forest.path[node] if f < 0 else path(row, forest.left[node] + int(row[f] >= forest.cut[node]))
+
+    want = [2 ** -(sum(path(row, r) for r in forest.roots) / 5 / usual(16)) for row in x]
+    assert np.allclose(forest.score(x), want)
+    assert np.argmax(quality.grow(x, trees=128, rows=41).score(x)) == 40
+
+    def leaves(node, depth):
+        if forest.feature[node] < 0:
+            return [(depth, forest.path[node])]
+        return leaves(forest.left[node], depth + 1) + leaves(forest.left[node] + 1, depth + 1)
+
+    for root in forest.roots:
+        ends, left = leaves(root, 0), []
+        for depth, length in ends:
+            # a leaf's path is its depth and the usual path among the rows left in it
+            left.append(next(n for n in range(17) if abs(depth + usual(n) - length) < 1e-9))
+            assert depth <= 4 and (left[-1] <= 1 or depth == 4)
+    assert len(quality.grow(x[:1], trees=2).roots) == 2
+
+
+def test_threshold_rejects_the_stated_share(spark):
+    rng = random.Random(8)
+    rows = [(rng.random(), 1) for _ in range(500)] + [(rng.random(), 0) for _ in range(50)]
+    frame = spark.createDataFrame([*rows, (0.999, None)], "anomaly double, quality int")
+    for wrong in (0.0, 0.01, 0.1):
+        limit = quality.threshold(frame, wrong=wrong)
+        rejected = lambda t: sum(a > t for a, q in rows if q == 1)
+        assert rejected(limit) <= wrong * 500 < rejected(limit - 1 / 2000)
+    assert quality.threshold(frame.where("quality = 0")) == 2.0
+
+
+def test_repeated_lines_reach_the_forest(spark):
+    text = "one two\nthree\none two\n\none two"
+    frame = spark.createDataFrame([(1, text), (2, None), (3, "\n\n")], "doc_id long, text string")
+    assert got(quality.statistics(frame), "doc_id", "dup_line_share") == [(1, 0.5), (2, 0.0), (3, 0.0)]
+
+
 # --- 4: decontamination
 
 
