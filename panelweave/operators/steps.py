@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -58,3 +61,38 @@ def run_steps(steps: Sequence[Step], tables: Mapping[str, DataFrame]) -> dict[st
             known = run_step(step, known)
             waiting.remove(step)
     return known
+
+
+def rows_per_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    function: Callable[[pa.Table], pa.Table],
+    schema: str,
+    order_by: Sequence[str] = (),
+    bound: int = 1_000_000,
+) -> DataFrame:
+    """Rows that a caller's function makes of the rows of each key; null keys are a group like others.
+
+    The function gets a group as one Arrow table with all columns of ``df``,
+    sorted by ``order_by``, and returns any number of rows with the columns of
+    ``schema``; further columns are dropped, a lacking one fails the job. Rows
+    arrive in one shuffle, batch by batch, and a group fails the job as soon as
+    more than ``bound`` of its rows have come, so no task holds a larger one.
+    For groups without such a bound use aggregates, windows over sampled
+    ranges (``running_total``) or joins.
+    """
+    made = to_arrow_schema(StructType.fromDDL(schema))
+    order = [(c, "ascending") for c in order_by]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            n += batch.num_rows
+            if n > bound:
+                raise ValueError(f"a group on {list(keys)} has over {bound} rows")
+            held.append(batch)
+        table = pa.Table.from_batches(held)
+        out = function(table.sort_by(order) if order else table)
+        yield from out.select(made.names).cast(made).to_batches()
+
+    return df.groupBy(*keys).applyInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mean, year_between
+from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mean
 from panelweave.operators import allocation as A
 from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, replicate_values
@@ -345,30 +345,25 @@ def _d29(t):
 
 @query(
     "d30_observed_else_class_share",
-    """WITH o AS (SELECT c_nationkey, c_mktsegment, o_orderpriority, round(sum(o_totalprice), 2) AS v FROM orders
-         JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1995 GROUP BY 1, 2, 3),
-       s AS (SELECT *, v / sum(v) OVER (PARTITION BY c_nationkey, c_mktsegment) AS share FROM o),
+    """WITH o AS (SELECT o_custkey, c_mktsegment, o_orderpriority, round(sum(o_totalprice), 2) AS v FROM orders
+         JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+       s AS (SELECT *, v / sum(v) OVER (PARTITION BY o_custkey) AS share FROM o),
        c AS (SELECT c_mktsegment, o_orderpriority, sum(v) / sum(sum(v)) OVER (PARTITION BY c_mktsegment) AS mean FROM o GROUP BY 1, 2)
-       SELECT m.c_nationkey, m.c_mktsegment, c.o_orderpriority, round(coalesce(share, mean), 9) AS share
-       FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM s) m JOIN c USING (c_mktsegment)
-       LEFT JOIN s ON s.c_nationkey = m.c_nationkey AND s.c_mktsegment = m.c_mktsegment AND s.o_orderpriority = c.o_orderpriority""",
+       SELECT m.o_custkey, m.c_mktsegment, c.o_orderpriority, round(coalesce(share, mean), 9) AS share
+       FROM (SELECT DISTINCT o_custkey, c_mktsegment FROM s) m JOIN c USING (c_mktsegment)
+       LEFT JOIN s ON s.o_custkey = m.o_custkey AND s.o_orderpriority = c.o_orderpriority""",
 )
 def _d30(t):
-    seen = t.orders.where((F.col("o_orderstatus") == "F") & year_between("o_orderdate", 1995))
-    who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     sums = (
-        seen.groupBy("o_custkey", "o_orderpriority")
-        .agg(F.sum("o_totalprice").alias("v"))
+        t.orders.groupBy("o_custkey", "o_orderpriority")
+        .agg(F.round(F.sum("o_totalprice"), 2).alias("v"))
         .join(who, "o_custkey")
-        .groupBy("c_nationkey", "c_mktsegment", "o_orderpriority")
-        .agg(F.round(F.sum("v"), 2).alias("v"))
     )
-    observed = share(sums, "v", ["c_nationkey", "c_mktsegment"])
+    observed = share(sums, "v", ["o_custkey"])
     per_class = sums.groupBy("c_mktsegment", "o_orderpriority").agg(F.sum("v").alias("v"))
     average = share(per_class, "v", ["c_mktsegment"])
-    out = A.fill_from_class(
-        observed, average, ["c_nationkey", "c_mktsegment"], ["c_mktsegment"], "o_orderpriority", "share"
-    )
+    out = A.fill_from_class(observed, average, ["o_custkey"], ["c_mktsegment"], "o_orderpriority", "share")
     return out.withColumn("share", F.round("share", 9))
 
 
@@ -486,12 +481,13 @@ def _d37(t):
 
 @query(
     "d38_complete_with_global_median",
-    """WITH s AS (SELECT s_nationkey AS n_nationkey, round(avg(s_acctbal), 8) AS price FROM supplier WHERE s_acctbal > 8000 GROUP BY 1)
+    """WITH s AS (SELECT s_nationkey AS n_nationkey, CASE WHEN avg(s_acctbal) > 4500 THEN round(avg(s_acctbal), 8) END AS price FROM supplier GROUP BY 1)
        SELECT n_nationkey, round(coalesce(price, (SELECT median(price) FROM s)), 6) AS price, price IS NULL AS filled FROM nation LEFT JOIN s USING (n_nationkey)""",
 )
 def _d38(t):
-    known = t.supplier.where("s_acctbal > 8000").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
-        F.round(F.avg("s_acctbal"), 8).alias("price")
+    average = F.avg("s_acctbal")
+    known = t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
+        F.when(average > 4500, F.round(average, 8)).alias("price")
     )
     out = A.complete_with_median(t.nation.select("n_nationkey"), known, ["n_nationkey"], "price")
     return out.withColumn("price", F.round("price", 6))

@@ -1,12 +1,14 @@
 """Queries for data-quality operators and user functions."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from panelweave.functions.units import ModelTime
 from panelweave.operators import quality as Q
 from panelweave.operators.groups import share
 from panelweave.operators.balances import final_balance
-from panelweave.operators.steps import Step, run_steps
+from panelweave.operators.steps import Step, rows_per_group, run_steps
 from panelweave.plans.registry import query
 from panelweave.plans.views import BILAT, CY, LINES, SUA, TS, YEARS
 from panelweave.session import cut_lineage
@@ -161,6 +163,28 @@ def _ud2(t):
     )
 
 
+# Orders of a customer at least 90 days after the last one taken, from the first on.
+@query(
+    "ud2_caller_function_per_group",
+    """WITH RECURSIVE o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS day FROM orders WHERE o_orderdate IS NOT NULL),
+       k AS (SELECT o_custkey, min(day) AS day, 1 AS place FROM o GROUP BY 1
+         UNION ALL SELECT k.o_custkey, min(o.day), k.place + 1 FROM k JOIN o ON o.o_custkey = k.o_custkey
+         AND o.day >= k.day + 90 GROUP BY k.o_custkey, k.place)
+       SELECT o_custkey, place, day FROM k""",
+)
+def _ud2_caller(t):
+    def spaced(group: pa.Table) -> pa.Table:
+        days, taken = group.column("day").to_numpy(), [0]
+        while (at := int(np.searchsorted(days, days[taken[-1]] + 90))) < len(days):
+            taken.append(at)
+        out = group.take(taken)
+        return out.append_column("place", pa.array(np.arange(1, len(taken) + 1)))
+
+    day = F.unix_date(F.to_date("o_orderdate")).alias("day")
+    dated = t.orders.where("o_orderdate is not null").select("o_custkey", day)
+    return rows_per_group(dated, ["o_custkey"], spaced, "o_custkey long, place int, day long", ["day"])
+
+
 @query(
     "ud3_vectorised_scalar",
     f"WITH {CY} SELECT o_custkey, year, least(year + 1, 2001) AS next_year FROM cy",

@@ -100,12 +100,13 @@ def _p11(t):
 
 @query(
     "p12_literal_table",
-    """SELECT rank, count(*) AS n FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('5-LOW', 5))
-       p(o_orderpriority, rank) USING (o_orderpriority) GROUP BY 1""",
+    """SELECT rank, count(*) AS n FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3),
+       ('4-NOT SPECIFIED', 4), ('5-LOW', 5)) p(o_orderpriority, rank) USING (o_orderpriority) GROUP BY 1""",
 )
 def _p12(t):
     literal = t.spark.createDataFrame(
-        [("1-URGENT", 1), ("2-HIGH", 2), ("5-LOW", 5)], "o_orderpriority string, rank int"
+        [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)],
+        "o_orderpriority string, rank int",
     )
     return t.orders.groupBy("o_orderpriority").count().join(literal, "o_orderpriority").select(
         "rank", F.col("count").alias("n")

@@ -20,7 +20,7 @@ from panelweave.operators.joins import checked_join
 from panelweave.plans.registry import query
 from panelweave.plans.views import CY, GAPS, YEARS
 
-DEFLATE_2020 = deflator(2020, 2001)
+TO_2020 = " ".join(f"WHEN {y} THEN {deflator(2020, y)!r}" for y in YEARS)
 
 
 @query(
@@ -203,10 +203,11 @@ def _x15(t):
 
 @query(
     "x16_price_deflator",
-    f"WITH {CY} SELECT o_custkey, round(value * {DEFLATE_2020!r}, 6) AS value FROM cy WHERE year = 2001",
+    f"WITH {CY} SELECT o_custkey, year, round(value * CASE year {TO_2020} END, 6) AS value FROM cy",
 )
 def _x16(t):
-    return t.cy.where("year = 2001").select("o_custkey", F.round(F.col("value") * deflator(2020, 2001), 6).alias("value"))
+    value = F.col("value") * deflator_from(F.col("year"), 2020)
+    return t.cy.select("o_custkey", "year", F.round(value, 6).alias("value"))
 
 
 @query(
