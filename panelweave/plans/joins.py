@@ -205,7 +205,7 @@ def _j16(t):
 
 @query(
     "j16_derived_rows_by_fallback",
-    """WITH rules AS (SELECT p_brand, p_type, min(p_retailprice) / 1000 AS f FROM part WHERE p_size <= 3 GROUP BY 1, 2),
+    """WITH rules AS (SELECT CASE p_type WHEN 'ECONOMY' THEN p_brand || '*' ELSE p_brand END AS p_brand, p_type, min(p_retailprice) / 1000 AS f FROM part GROUP BY 1, 2),
        byt AS (SELECT p_type, min(f) AS f FROM rules GROUP BY 1),
        d AS (SELECT p_brand, p_type, CASE WHEN p_size > 25 THEN 'coarse' ELSE 'fine' END AS gas, CAST(sum(p_size) AS DOUBLE) AS v FROM part GROUP BY 1, 2, 3)
        SELECT p_brand, p_type, gas, v FROM d
@@ -214,7 +214,9 @@ def _j16(t):
 def _j16_derived(t):
     gas = F.when(F.col("p_size") > 25, "coarse").otherwise("fine")
     rows = t.part.groupBy("p_brand", "p_type", gas.alias("gas")).agg(F.sum("p_size").cast("double").alias("v"))
-    rules = t.part.where("p_size <= 3").select("p_brand", "p_type", (F.col("p_retailprice") / 1000).alias("soot"))
+    # other brands in the rules of one type leave its rows to the wider level
+    brand = F.when(F.col("p_type") == "ECONOMY", F.concat("p_brand", F.lit("*"))).otherwise(F.col("p_brand"))
+    rules = t.part.select(brand.alias("p_brand"), "p_type", (F.col("p_retailprice") / 1000).alias("soot"))
     levels = [["p_brand", "p_type"], ["p_type"]]
     out = J.derived_rows(rows, F.col("gas") == "fine", rules, levels, {"soot": "soot"}, "gas", "v")
     return out.withColumn("v", F.round("v", 6))
