@@ -129,11 +129,14 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, weight: np
     return Model(chosen, theta[:-1], float(theta[-1]))
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
+def learn(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, longest: int = LONGEST
+) -> Model:
     """Fits on at most ``sample`` labelled documents of either label, none held out.
 
     They are taken in the order of a hash of the key; documents of equal text
-    count once and those of over ``LONGEST`` words not at all. Documents weigh
+    count once. Those of over ``longest`` words, or 64 times as many characters,
+    do not serve to learn; they are scored like others. Documents weigh
     as much as their label's share of all labelled rows. An id labelled twice
     is toxic if one of its labels says so.
     """
@@ -151,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             cell, begin, own, _, _ = sentences(data, offs)
             edge = np.append(begin, cell.shape[1])[own]
             span = [slice(a, b) for a, b in zip(edge[:-1], edge[1:])]
-            keep = np.diff(edge) <= LONGEST
+            keep = np.diff(edge) <= longest
             columns = {
                 "toxic": batch.column(1)[lo:hi],
                 "print": pa.array([int(tv.mix(tv.rolled(cell[0, s].astype(np.uint64), s.stop - s.start)).view(np.int64)[0]) if s.stop > s.start else 0 for s in span]),
@@ -161,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield {n: c.filter(pa.array(keep)) for n, c in columns.items()}
 
     schema = "toxic int, print bigint, cells array<int>, begins array<int>"
-    short = F.length("text") <= 64 * LONGEST
+    short = F.length("text") <= 64 * longest
     made = map_batches(known.where(short), ["text", F.col("toxic").cast("int").alias("toxic")], make, schema).toArrow()
     seen, bags, toxic = set(), [], []
     for y, mark, cells, begins in zip(*(made.column(n) for n in ("toxic", "print", "cells", "begins"))):
@@ -212,6 +215,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return map_batches(docs, [key, texts(docs, text)], make, schema).withColumn("held_out", held_out(key))
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """Learns from the labels and scores every document."""
-    return score(docs, learn(docs, labels, key, text, sample), key, text)
+def judge(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, longest: int = LONGEST
+) -> DataFrame:
+    """Learns from the labels, within the bounds ``sample`` and ``longest``, and scores every document."""
+    return score(docs, learn(docs, labels, key, text, sample, longest), key, text)

@@ -405,6 +405,73 @@ def test_toxicity_of_odd_rows(docs, labels):
     assert {s for i, s, _ in rows if i in (4, 5, 8)} == {0.0}
     assert toxicity.judge(docs.limit(0), labels).count() == 0
     assert toxicity.judge(docs, labels.limit(0)).where("predicted = 1").count() == 0
+    # nothing serves to learn, all is scored
+    none = toxicity.judge(docs, labels, longest=0)
+    assert none.count() == len(documents()) and none.where("predicted = 1").count() == 0
+
+
+def plain_toxicity(text, weights, bias):
+    """Noisy-or of the sentence scores, and the sentences of 0.5 or more, word by word."""
+    raw = (text or "").encode()
+    none, worst, places = 1.0, 0.0, []
+    for part in re.finditer(rb"[^.!?\n]+", raw):
+        found = list(re.finditer(rb"[A-Za-z0-9\x80-\xff]+", part[0]))
+        if not found:
+            continue
+        total = bias
+        for word in found:
+            cells = toxicity.sentences(np.frombuffer(word[0], np.uint8), np.array([0, len(word[0])]))[0]
+            total += sum(weights.get(int(c), 0.0) for c in cells[:, 0] if c)
+        p = 1 / (1 + math.exp(-total))
+        none, worst = none * (1 - p), max(worst, p)
+        if p >= 0.5:
+            places.append(f"{part.start() + found[0].start()}:{part.start() + found[-1].end()}")
+    return 1 - none, worst, ",".join(places)
+
+
+def test_toxicity_is_the_noisy_or_of_its_sentences(spark):
+    cells = lambda w: toxicity.sentences(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][:, 0]
+    weights = {int(cells(b"waa")[0]): 1.5, int(cells(b"vileness")[1]): 2.5, int(cells(b"vileness")[0]): 1.0, int(cells(b"wbb")[0]): -0.75}
+    model = toxicity.Model(np.array(list(weights)), np.array(list(weights.values())), -3.0)
+    texts = [words(random.Random(i), 30 + i, 40) for i in range(40)]
+    texts += [None, "", "...", "Vileness", "waa waa. vileness waa\nVILEST vile? é vileness é!", "waa " * 5000, "wbb. " * 3000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for i, made, worst, predicted, places in got(toxicity.score(frame, model), "doc_id", "score", "worst", "predicted", "offending"):
+        want = plain_toxicity(texts[i], weights, -3.0)
+        assert made == pytest.approx(want[0], abs=1e-5) and worst == pytest.approx(want[1], abs=1e-5), texts[i]
+        assert places == want[2] and predicted == int(made >= 0.5), texts[i]
+
+
+def test_toxicity_fit_is_a_minimum_of_the_noisy_or_loss():
+    rng = np.random.default_rng(5)
+    bags, toxic = [], np.arange(300) % 3 == 0
+    for y in toxic:
+        cells = np.zeros((1 + len(toxicity.STEMS), 12), np.int64)
+        cells[0] = rng.integers(1000, 1400, 12)
+        if rng.random() < (0.8 if y else 0.1):
+            cells[0, rng.integers(12)] = 77
+        bags.append((cells, np.array([0, 4, 8])))
+    weight = np.where(toxic, 2.0, 1.0)
+    model = toxicity.fit(bags, toxic, weight)
+    assert 77 in model.cells
+
+    def loss(theta, bias):
+        by_cell, total = dict(zip(model.cells.tolist(), theta)), 0.0
+        for (cells, begin), y, w in zip(bags, toxic, weight):
+            none = 1.0
+            for part in np.split(cells, begin[1:], axis=1):
+                s = bias + sum(by_cell.get(int(c), 0.0) for c in part.ravel())
+                none *= 1 - 1 / (1 + math.exp(-s))
+            total -= w * math.log(1 - none if y else none)
+        return total / weight.sum() + 0.5e-4 * float(np.dot(theta, theta))
+
+    best = loss(model.weights, model.bias)
+    for step in (-0.2, 0.2):
+        assert loss(model.weights, model.bias + step) > best
+        for i in range(len(model.weights)):
+            moved = model.weights.copy()
+            moved[i] += step
+            assert loss(moved, model.bias) > best
 
 
 # --- 6: MinHash
