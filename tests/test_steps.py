@@ -58,6 +58,8 @@ def test_a_group_beyond_its_bound_fails_before_it_is_gathered(spark, frame):
     try:
         df = spark.range(0, 5000, 1, 4).selectExpr("if(id < 1000, 0, id % 9 + 1) AS k", "id")
         assert sorted(r[0] for r in rows_per_group(df, ["k"], count, "n long", bound=1000).collect())[-1] == 1000
+        plan = rows_per_group(df, ["k"], count, "n long")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
         with pytest.raises(Exception, match="over 999 rows"):
             rows_per_group(df, ["k"], count, "n long", bound=999).collect()
         with pytest.raises(Exception, match="m"):
