@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.functions.semantics import raise_if, ratio
+from panelweave.functions.semantics import clamp, raise_if, ratio
 from panelweave.operators.groups import attach, with_group, with_panel
 from panelweave.operators.joins import complete_panel, replicate, replicate_values
 from panelweave.operators.reshape import spread
@@ -464,3 +464,57 @@ def vintage_factor(vintage: int, year: int, years: Sequence[int], step: int, lif
     if before >= last:
         return 0.0
     return (year - last) / (year - before)
+
+
+def annualised_rate(df: DataFrame, keys: Sequence[str], value: str, out: str, year: str = "year") -> DataFrame:
+    """Yearly growth rate from a key's row before, over however many years lie between.
+
+    Null in a key's first row, and where either value is null or the one before is 0.
+    """
+    w = over(keys, year)
+    growth, step = ratio(value, F.lag(value).over(w)), F.col(year) - F.lag(year).over(w)
+    return df.withColumn(out, F.pow(growth, F.lit(1.0) / step) - 1)
+
+
+def guard_decline(
+    df: DataFrame, keys: Sequence[str], value: str, first: int, check: int, last: int, year: str = "year"
+) -> DataFrame:
+    """Later values of a key do not fall below its value in ``first``; all other rows stay.
+
+    In ``check`` a lower value becomes that of ``first``. In ``last`` it becomes
+    the straight line through the values of both years, or that of ``first``
+    if the line lies lower. Keys without a value in ``first`` stay as they are.
+    """
+    at = lambda y: F.max(F.when(F.col(year) == y, F.col(value)))
+    rows = with_panel(df, keys, {"__v0": at(first), "__v1": at(check), "__v2": at(last)})
+    v0, v1, v2, now = F.col("__v0"), F.col("__v1"), F.col("__v2"), F.col(year)
+    line = F.greatest(v0, v1 + (v1 - v0) * (last - check) / (check - first))
+    guarded = F.when((now == check) & (v1 < v0), v0).when((now == last) & (v2 < v0), line).otherwise(F.col(value))
+    return rows.withColumn(value, guarded).drop("__v0", "__v1", "__v2")
+
+
+def rate_from_first_active(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, low: float, high: float, year: str = "year"
+) -> DataFrame:
+    """Rows after a key's first year with a positive value, with that ``base_year`` and the yearly rate since then.
+
+    The rate is held between ``low`` and ``high``. Keys that are never active give no row.
+    """
+    active = F.when(F.col(value) > 0, F.col(year))
+    rows = with_panel(df, keys, {"base_year": F.min(active), "__base": F.min_by(value, active)})
+    rate = F.pow(ratio(value, "__base"), F.lit(1.0) / (F.col(year) - F.col("base_year"))) - 1
+    return rows.where(F.col(year) > F.col("base_year")).withColumn(out, clamp(rate, low, high)).drop("__base")
+
+
+def decline_with_floor(
+    base: DataFrame, value: str, total: Column, over_years: int, floor: float, years: Sequence[int], out: str
+) -> DataFrame:
+    """Each base row for all ``years``, its value declining from the first year at a steady yearly rate.
+
+    The rate takes off the part ``total`` within ``over_years`` years; the
+    value never loses more than the part ``floor``.
+    """
+    rate = F.pow(F.lit(1.0) - total, F.lit(1.0 / over_years)) - 1
+    rows = replicate_values(base, "year", list(years))
+    falling = F.col(value) * F.pow(1 + rate, F.col("year") - years[0])
+    return rows.withColumn(out, F.greatest(F.col(value) * F.lit(1 - floor), falling))

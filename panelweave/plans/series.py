@@ -195,9 +195,8 @@ def _t10(t):
         FROM cy WINDOW w AS (PARTITION BY o_custkey ORDER BY year)""",
 )
 def _t11(t):
-    w = S.over(["o_custkey"])
-    growth, step = ratio("value", F.lag("value").over(w)), F.col("year") - F.lag("year").over(w)
-    return t.cy.select("o_custkey", "year", F.round(F.pow(growth, F.lit(1.0) / step) - 1, 8).alias("rate"))
+    rows = S.annualised_rate(t.cy, ["o_custkey"], "value", "rate")
+    return rows.select("o_custkey", "year", F.round("rate", 8).alias("rate"))
 
 
 @query(
@@ -414,12 +413,8 @@ def _t19(t):
           WHEN year = 2000 AND v2 < v0 THEN greatest(v0, v1 + (v1 - v0) * 2 / 3) ELSE value END, 4) AS value FROM ts JOIN a USING (n_nationkey)""",
 )
 def _t20(t):
-    at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
-    rows = with_panel(t.ts, ["n_nationkey"], {"v0": at(1995), "v1": at(1998), "v2": at(2000)})
-    v0, v1, v2, year = F.col("v0"), F.col("v1"), F.col("v2"), F.col("year")
-    line = F.greatest(v0, v1 + (v1 - v0) * 2 / 3)
-    guarded = F.when((year == 1998) & (v1 < v0), v0).when((year == 2000) & (v2 < v0), line).otherwise(F.col("value"))
-    return rows.select("n_nationkey", "year", F.round(guarded, 4).alias("value"))
+    rows = S.guard_decline(t.ts, ["n_nationkey"], "value", 1995, 1998, 2000)
+    return rows.select("n_nationkey", "year", F.round("value", 4).alias("value"))
 
 
 @query(
@@ -441,12 +436,8 @@ def _t21(t):
         FROM cy JOIN b USING (o_custkey) WHERE year > y0""",
 )
 def _t22(t):
-    active = F.when(F.col("value") > 0, F.col("year"))
-    rows = with_panel(t.cy, ["o_custkey"], {"base_year": F.min(active), "v0": F.min_by("value", active)})
-    rate = F.pow(ratio("value", "v0"), F.lit(1.0) / (F.col("year") - F.col("base_year"))) - 1
-    return rows.where(F.col("year") > F.col("base_year")).select(
-        "o_custkey", "base_year", "year", F.round(clamp(rate, -0.5, 0.5), 8).alias("rate")
-    )
+    rows = S.rate_from_first_active(t.cy, ["o_custkey"], "value", "rate", -0.5, 0.5)
+    return rows.select("o_custkey", "base_year", "year", F.round("rate", 8).alias("rate"))
 
 
 @query(
@@ -457,7 +448,6 @@ def _t22(t):
 )
 def _t23(t):
     base = t.ts.where("year = 1995").select("n_nationkey", F.col("value").alias("v0"))
-    rate = F.pow(F.lit(1.0) - F.col("n_nationkey") / 100.0, F.lit(1.0 / 6)) - 1
-    rows = replicate_values(base, "year", list(range(1995, 2006)))
-    cost = F.greatest(F.col("v0") * F.lit(1 - 0.15), F.col("v0") * F.pow(1 + rate, F.col("year") - 1995))
-    return rows.select("n_nationkey", "year", F.round(cost, 4).alias("cost"))
+    total = F.col("n_nationkey") / 100.0
+    rows = S.decline_with_floor(base, "v0", total, 6, 0.15, range(1995, 2006), "cost")
+    return rows.select("n_nationkey", "year", F.round("cost", 4).alias("cost"))

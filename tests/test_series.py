@@ -214,3 +214,35 @@ def test_missing_shadow_technology_fails(frame):
     )
     with pytest.raises(PySparkException, match="shadow technology"):
         S.decay_extrapolate(df, ["region"], [1, 2, 3]).collect()
+
+
+def test_annualised_rates_span_the_years_between(frame):
+    df = series(frame, {"a": [(2000, 100.0), (2002, 121.0), (2003, None), (2004, 0.0), (2005, 5.0)]})
+    got = [r.rate for r in S.annualised_rate(df, ["k"], "value", "rate").orderBy("year").collect()]
+    assert got[1] == pytest.approx(0.1) and [got[0], got[2], got[3], got[4]] == [None] * 4
+
+
+def test_a_decline_is_guarded_by_the_first_year(frame):
+    points = lambda *v: list(zip((2000, 2004, 2006, 2007), v))
+    df = series(frame, {"falls": points(10.0, 8.0, 6.0, 1.0), "dips": points(10.0, 14.0, 6.0, 1.0), "grows": points(1.0, 2.0, 3.0, 4.0), "late": [(2004, 1.0), (2006, 0.5)]})
+    out = S.guard_decline(df, ["k"], "value", 2000, 2004, 2006)
+    assert out.columns == df.columns
+    got = {(r.k, r.year): r.value for r in out.collect()}
+    assert [got["falls", y] for y in (2000, 2004, 2006, 2007)] == [10.0, 10.0, 10.0, 1.0]
+    assert [got["dips", y] for y in (2004, 2006, 2007)] == [14.0, 16.0, 1.0]
+    assert got["grows", 2006] == 3.0 and got["late", 2004] == 1.0 and got["late", 2006] == 0.5
+
+
+def test_rates_start_at_the_first_active_year(frame):
+    df = series(frame, {"a": [(1, 0.0), (2, 4.0), (3, 4.4), (4, 400.0)], "never": [(1, 0.0), (2, None)]})
+    out = S.rate_from_first_active(df, ["k"], "value", "rate", -0.5, 0.5).orderBy("year").collect()
+    assert [(r.k, r.year, r.base_year) for r in out] == [("a", 3, 2), ("a", 4, 2)]
+    assert out[0].rate == pytest.approx(0.1) and out[1].rate == 0.5
+
+
+def test_costs_decline_to_a_floor(frame):
+    base = frame([("a", 100.0), ("b", None)], "k string, v double")
+    out = S.decline_with_floor(base, "v", F.lit(0.19), 2, 0.15, [2000, 2001, 2002], "cost")
+    got = {(r.k, r.year): r.cost for r in out.collect()}
+    assert [got["a", y] for y in (2000, 2001, 2002)] == pytest.approx([100.0, 90.0, 85.0])
+    assert got["b", 2001] is None and len(got) == 6
