@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelweave.functions.semantics import clamp, if_else, raise_if, ratio
+from panelweave.functions.semantics import clamp, if_else, raise_if, ratio, weighted_mean
 from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
 from panelweave.operators.joins import checked_join, complete_panel, replicate
 from panelweave.operators.scans import quantiles
-from panelweave.operators.timeseries import interpolate
+from panelweave.operators.timeseries import interpolate, over
 
 
 def downscale(
@@ -296,3 +296,28 @@ def impute_by_index(
     grid = attach(replicate(index, items), prices.select(area, item, F.col(value).alias("__own")), [area, item])
     guesses = [F.col(f"__ref{i}") * F.col(n) for i, n in enumerate(names)]
     return grid.select(area, item, F.coalesce("__own", *guesses).alias(value))
+
+
+def yield_index(
+    df: DataFrame, members: DataFrame, member: str, item: str, made: str, area: str, zone: str, out: str
+) -> DataFrame:
+    """Per zone, the mean over its members' items of local yield over the item's yield everywhere, weighted by area.
+
+    ``df`` has one row per member and item with output ``made`` and ``area``;
+    ``members`` gives the zone of each member, and a member without one fails the job.
+    """
+    rows = with_group(df, [item], {"__made": F.sum(made), "__area": F.sum(area)})
+    rows = rows.withColumn("__ratio", ratio(made, area) / ratio("__made", "__area"))
+    mapped = checked_join(rows, members.select(member, zone), [member])
+    return mapped.groupBy(zone).agg(weighted_mean("__ratio", area).alias(out))
+
+
+def survey_conversion(df: DataFrame, keys: Sequence[str], value: str, turn: int, out: str, year: str = "year") -> DataFrame:
+    """Factor from a key's neighbouring survey to each row: the next one before the year ``turn``, else the one before.
+
+    1 where there is no such survey, or no finite factor.
+    """
+    w = over(keys, year)
+    later, earlier = ratio(value, F.lead(value).over(w)), ratio(value, F.lag(value).over(w))
+    factor = F.when(F.col(year) < turn, later).otherwise(earlier)
+    return df.withColumn(out, F.coalesce(factor, F.lit(1.0)))

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from panelweave.functions.semantics import clamp, ratio, sum_where, weighted_mean
 from panelweave.operators import allocation as A
-from panelweave.operators.groups import attach, share, with_group, with_panel, with_total
+from panelweave.operators.groups import attach, share, with_panel, with_total
 from panelweave.operators.joins import checked_join, replicate_values
-from panelweave.operators.timeseries import extend, interpolate, over
+from panelweave.operators.timeseries import extend, interpolate
 from panelweave.plans.registry import query
 from panelweave.plans.series import BETWEEN, interpolation
 from panelweave.plans.views import CY, GAPS, TS, YEARS
@@ -300,12 +300,9 @@ def _d27(t):
         .groupBy("l_suppkey", "p_type")
         .agg(F.sum("made").alias("made"), F.sum("area").alias("area"))
     )
-    rows = with_group(sums, ["p_type"], {"__made": F.sum("made"), "__area": F.sum("area")})
-    local = ratio("made", "area") / ratio("__made", "__area")
-    mapped = checked_join(
-        rows.withColumn("ratio", local), t.supplier.select("s_suppkey", "s_nationkey"), {"l_suppkey": "s_suppkey"}
-    )
-    return mapped.groupBy("s_nationkey").agg(F.round(weighted_mean("ratio", "area"), 9).alias("idx"))
+    members = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    out = A.yield_index(sums, members, "l_suppkey", "p_type", "made", "area", "s_nationkey", "idx")
+    return out.withColumn("idx", F.round("idx", 9))
 
 
 @query(
@@ -314,11 +311,8 @@ def _d27(t):
           ELSE value / lag(value) OVER w END, 1), 9) AS conv FROM cy WINDOW w AS (PARTITION BY o_custkey ORDER BY year)""",
 )
 def _d28(t):
-    w = over(["o_custkey"])
-    conv = F.when(F.col("year") < 1998, ratio("value", F.lead("value").over(w))).otherwise(
-        ratio("value", F.lag("value").over(w))
-    )
-    return t.cy.select("o_custkey", "year", F.round(F.coalesce(conv, F.lit(1.0)), 9).alias("conv"))
+    rows = A.survey_conversion(t.cy, ["o_custkey"], "value", 1998, "conv")
+    return rows.select("o_custkey", "year", F.round("conv", 9).alias("conv"))
 
 
 @query(

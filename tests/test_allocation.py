@@ -121,3 +121,21 @@ def test_primary_equivalent_by_hand(frame):
     out = B.final_balance(B.primary_equivalent(df, sinks, "area", [1]), ["comm", "area", "year"])
     got = {r.element: round(r.value, 9) for r in out.collect()}
     assert {e: got[e] for e in ("Production", "Processed", "Food", "Residuals")} == {"Production": 30.0, "Processed": 0.0, "Food": 30.0, "Residuals": 0.0}
+
+
+def test_yield_index_weighs_items_by_area(frame):
+    df = frame([(1, "x", 30.0, 10.0), (2, "x", 10.0, 10.0), (1, "y", 8.0, 30.0), (3, "y", 2.0, 10.0)], "who int, item string, made double, area double")
+    zones = frame([(1, "n"), (2, "s"), (3, "s")], "who int, zone string")
+    got = {r.zone: r.idx for r in A.yield_index(df, zones, "who", "item", "made", "area", "zone", "idx").collect()}
+    # x yields 2 everywhere, y a quarter
+    assert got["n"] == pytest.approx((1.5 * 10 + (8 / 30 / 0.25) * 30) / 40)
+    assert got["s"] == pytest.approx((0.5 * 10 + 0.8 * 10) / 20)
+    with pytest.raises(Exception, match="missed"):
+        A.yield_index(df, zones.where("who < 3"), "who", "item", "made", "area", "zone", "idx").collect()
+
+
+def test_survey_conversion_looks_to_the_turn(frame):
+    df = frame([("a", 1, 2.0), ("a", 2, 4.0), ("a", 3, 8.0), ("a", 4, None), ("b", 1, 5.0), ("c", 1, 1.0), ("c", 2, 0.0)], "k string, year int, value double")
+    got = {(r.k, r.year): r.conv for r in A.survey_conversion(df, ["k"], "value", 3, "conv").collect()}
+    assert [got["a", y] for y in (1, 2, 3, 4)] == [0.5, 0.5, 2.0, 1.0]
+    assert got["b", 1] == 1.0 and got["c", 1] == 1.0 and got["c", 2] == 1.0
