@@ -232,8 +232,8 @@ def primary_sql() -> str:
                 nullif(sum(pr) OVER (PARTITION BY comm, year) / nullif(sum(pc) OVER (PARTITION BY comm, year), 0), 0), 1), {low}) AS rate FROM {k}_cells)""",
             f"""{k}_all AS (SELECT *, coalesce(sum(ex) OVER (PARTITION BY comm, year) / nullif(sum(ex / nullif(rate, 0)) OVER (PARTITION BY comm, year), 0), rate) AS traded,
                 coalesce(lag(rate) OVER (PARTITION BY comm, area ORDER BY year), rate) AS lagged FROM {k}_rate)""",
-            f"""{k}_sum AS (SELECT b.comm, b.area, b.year, b.element, sum(b.value / CASE b.bal_source WHEN 'bal_import' THEN traded
-                WHEN 'bal_domestic_lag' THEN lagged ELSE rate END) AS value FROM {k}_bal b JOIN {k}_all a
+            f"""{k}_sum AS (SELECT b.comm, b.area, b.year, b.element, sum(coalesce(b.value / CASE b.bal_source WHEN 'bal_import' THEN traded
+                WHEN 'bal_domestic_lag' THEN lagged ELSE rate END, 0)) AS value FROM {k}_bal b LEFT JOIN {k}_all a
                 ON a.comm = b.comm AND a.area = b.area AND a.year = b.year GROUP BY 1, 2, 3, 4)""",
             f"""{k}_share AS (SELECT comm, item, tier, sum(value) / sum(sum(value)) OVER (PARTITION BY comm) AS share FROM {rows}
                 WHERE element = 'Processed' AND tier < {tier} AND item IN {src} GROUP BY 1, 2, 3)""",
