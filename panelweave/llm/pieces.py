@@ -27,7 +27,8 @@ from panelweave.llm.arrow import map_batches, texts
 SPACE = "▁"
 NORMAL, CONTROL, USER, BYTE, UNUSED = 1, 3, 4, 6, 5
 #: Parts kept per Python worker, and the longest part that is kept or merged in arrays.
-CACHED, SHORT = 300_000, 64
+#: A worker keeps them while it runs other stages, so they count against every step of a session.
+CACHED, SHORT = 60_000, 64
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:

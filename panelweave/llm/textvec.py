@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 19
+#: Temporaries take some 65 times as many bytes, and a Python worker keeps much of what it has touched.
+BLOCK = 1 << 17
 BASE = 0x9E3779B97F4A7C15
 U64 = np.uint64
 

@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import sys
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,19 @@ def test_shingle_sets(k):
     assert sizes == [len(shingles(t, k)) for t in texts]
 
 
+def test_temporaries_of_a_long_column_stay_small(monkeypatch):
+    monkeypatch.setattr(textvec, "POWERS", textvec._Powers())
+    column = pa.array([words(random.Random(i), 150) for i in range(4000)])
+    tracemalloc.start()
+    for _, _, data, offs in textvec.slices(column):
+        quality._slice_statistics(data, offs, 8)
+    for _, _, sets, begin in textvec.shingle_sets(column, 5):
+        minhash.signatures(sets, begin)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+
+
 # --- 1: URL filters
 
 URLS = [
@@ -745,6 +760,14 @@ def test_encoding_is_that_of_the_library(model):
         assert b"".join(text.encode()[i:j] for i, j in zip(a, b)) == text.encode()
 
 
+def test_cache_of_pieces_stays_small(model):
+    own = pieces.Encoder(open(model, "rb").read())
+    for lo in range(0, 140_000, 20_000):
+        own.encode([" ".join(f"w{i}" for i in range(lo, lo + 20_000))])
+    held = sys.getsizeof(own.cache) + sum(sys.getsizeof(x) for entry in own.cache.items() for x in entry)
+    assert 0 < held < 16 << 20
+
+
 def test_pieces_of_tables(spark, docs, model):
     blob = open(model, "rb").read()
     made = pieces.encode(clashing(docs), blob)
